@@ -17,6 +17,7 @@ from forgelake.functions.calendar import calendar_columns
 from forgelake.functions.events import actor_type, recency
 
 STATE_TYPES = {
+    "state_day": {"date_actual": "DATE"},
     "state_actor": {
         "actor_id": "BIGINT",
         "actor_login": "STRING",
@@ -50,22 +51,19 @@ def org_state(silver: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by, "org_id", "org_login").agg(F.max(recency()).alias("last_seen"))
 
 
+def day_state(silver: DataFrame, *by: str) -> DataFrame:
+    return silver.select(*by, F.to_date("created_at").alias("date_actual")).distinct()
+
+
 def latest(value: str) -> Column:
     """The newest value that is not NULL."""
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.col("last_seen")))
 
 
-def dim_date(days: DataFrame) -> DataFrame:
-    """``days`` holds the dates in column ``date_actual``, in any number of copies.
-
-    Distinct first, derive after: the calendar columns are computed once per day.
-    """
+def dim_date(state: DataFrame) -> DataFrame:
+    """Distinct first, derive after: the calendar columns are computed once per day."""
     day = F.col("date_actual")
-    return days.select(day).filter(day.isNotNull()).distinct().select(*calendar_columns(day))
-
-
-def event_days(silver: DataFrame) -> DataFrame:
-    return silver.select(F.to_date("created_at").alias("date_actual"))
+    return state.select(day).filter(day.isNotNull()).distinct().select(*calendar_columns(day))
 
 
 def dim_actor(state: DataFrame) -> DataFrame:

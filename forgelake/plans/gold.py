@@ -14,7 +14,7 @@ Gold = dict[str, DataFrame]
 def transform_to_gold(silver: DataFrame) -> Gold:
     """All seven gold tables as lazy frames."""
     return {
-        "dim_date": dims.dim_date(dims.event_days(silver)),
+        "dim_date": dims.dim_date(dims.day_state(silver)),
         "dim_actor": dims.dim_actor(dims.actor_state(silver)),
         "dim_repo": dims.dim_repo(dims.repo_state(silver)),
         "dim_org": dims.dim_org(dims.org_state(silver)),
