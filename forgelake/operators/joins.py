@@ -22,25 +22,27 @@ def with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFr
     return fact.join(F.broadcast(dim_date.select("date_id", *columns)), "date_id")
 
 
-def heavy_keys(
-    rows: DataFrame,
-    on: Sequence[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
+def heavy_counts(counts: DataFrame, on: Sequence[str], rows: str) -> DataFrame:
     """The keys too large for one task, with the number of tasks each should get.
 
-    At most ``HEAVY_KEYS`` rows, which makes the result safe to broadcast. A key beyond
-    them holds under a thousandth of the rows and takes the ordinary way.
+    ``counts`` holds the number of rows per key. At most ``HEAVY_KEYS`` keys result, which
+    makes them safe to broadcast. A key beyond them holds under a thousandth of the rows and
+    takes the ordinary way.
     """
-    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        counted.filter(F.col("_rows") > rows_per_split)
-        .orderBy(F.desc("_rows"), *on)
+        counts.filter(F.col(rows) > ROWS_PER_SPLIT)
+        .orderBy(F.desc(rows), *on)
         .limit(HEAVY_KEYS)
-        .select(*on, F.ceil(F.col("_rows") / rows_per_split).cast("int").alias("_splits"))
+        .select(*on, F.ceil(F.col(rows) / ROWS_PER_SPLIT).cast("int").alias("_splits"))
     )
 
 
+def heavy_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``heavy_counts`` of a frame's rows: one narrow scan that shuffles a row per key."""
+    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    return heavy_counts(counts, on, "_rows")
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -72,3 +74,22 @@ def salted_join(
         F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)).alias("_salt"),
     )
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+
+
+def repeat_rows(df: DataFrame, times: str, most: int = 1_000_000) -> DataFrame:
+    """Each row as often as column ``times`` says, which is dropped.
+
+    Large numbers are first cut into pieces of at most ``most`` and these are spread over the
+    tasks, so no task has to hold or write all copies of one row.
+    """
+    keys = [c for c in df.columns if c != times]
+    pieces = df.select(
+        *keys,
+        times,
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({times} - 1) DIV {most}"))).alias("_piece"),
+    ).repartition(*keys, "_piece")
+    left = F.col(times) - F.col("_piece") * most
+    copies = F.least(left, F.lit(most).cast("bigint"))
+    return pieces.select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("_copy")).select(
+        *keys
+    )

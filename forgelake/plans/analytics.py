@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import date_id_of, day_number
 from forgelake.functions.events import count_where, percent
-from forgelake.operators.joins import heavy_keys, salted_join, with_calendar
+from forgelake.operators.joins import heavy_keys, repeat_rows, salted_join, with_calendar
 from forgelake.plans.gold import Gold
 
 def _is(event_type: str) -> Column:
@@ -100,9 +100,13 @@ def live_branches(gold: Gold, respect_time: bool = False) -> DataFrame:
     created = dev.filter(_is("CreateEvent") & (F.col("create_ref_type") == "branch"))
     deleted = dev.filter(_is("DeleteEvent"))
     if not respect_time:
+        # Counted per branch on one side and distinct on the other, a branch that owns a third
+        # of all creations is one row in the join; both sides are partitioned for it already.
         gone = deleted.select("repo_id", F.col("delete_ref_name").alias("branch_name")).distinct()
-        branches = created.select("event_id", "repo_id", F.col("create_ref_name").alias("branch_name"))
-        return salted_join(branches, gone, ["repo_id", "branch_name"], "left_anti").drop("event_id")
+        branches = created.groupBy("repo_id", F.col("create_ref_name").alias("branch_name")).agg(
+            F.count(F.lit(1)).alias("creations")
+        )
+        return repeat_rows(branches.join(gone, ["repo_id", "branch_name"], "left_anti"), "creations")
     moves = created.select(
         "repo_id",
         F.col("create_ref_name").alias("branch_name"),

@@ -19,7 +19,7 @@ from forgelake.plans.marts import MART_TYPES, build_marts
 from forgelake.schemas import FACTS, ddl
 from forgelake.session import prepare
 from forgelake.sources.bronze import land_dumps, quarantine, read_bronze
-from forgelake.sources.lake import day_slices, read_gold, read_silver, replace_slices
+from forgelake.sources.lake import bytes_in, day_slices, read_gold, read_silver, replace_slices
 
 STATES = {
     "state_day": dims.day_state,
@@ -61,7 +61,8 @@ def run_silver(
 ) -> None:
     """Bronze to silver in one pass over the JSON. ``dedupe`` drops repeated event ids."""
     last = last or first
-    events = read_bronze(prepare(spark), f"{base}/bronze", first, last)
+    prepare(spark, bytes_in(spark, f"{base}/bronze", day_slices(first, last)))
+    events = read_bronze(spark, f"{base}/bronze", first, last)
     rows = flatten(events, event_date=F.col("event_date"))
     write_silver(drop_repeats(rows) if dedupe else rows, f"{base}/silver", first, last)
 
@@ -69,7 +70,8 @@ def run_silver(
 def run_quarantine(spark: SparkSession, base: str, first: date, last: date | None = None) -> None:
     """List the bad lines of the days in ``base/quarantine``."""
     last = last or first
-    events = read_bronze(prepare(spark), f"{base}/bronze", first, last)
+    prepare(spark, bytes_in(spark, f"{base}/bronze", day_slices(first, last)))
+    events = read_bronze(spark, f"{base}/bronze", first, last)
     bad = quarantine(events, "event_date")
     replace_slices(bad, f"{base}/quarantine", ("event_date",), day_slices(first, last))
 
@@ -88,8 +90,9 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
             f"{path}/{name}",
             ("event_date", "date_id"),
             slices,
-            cluster_by=("event_type",),
             sort_by=("event_type",),
+            # Silver files are of a good size and a fact is a filter of them: no shuffle.
+            balance=False,
         )
     for name, build in STATES.items():
         replace_slices(build(silver, "event_date"), f"{path}/{name}", ("event_date",), slices)
@@ -111,13 +114,14 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
 def run_gold(spark: SparkSession, base: str, first: date, last: date | None = None) -> Gold:
     """Stored silver days to stored gold."""
     last = last or first
-    silver = read_silver(prepare(spark), f"{base}/silver", first, last)
+    prepare(spark, bytes_in(spark, f"{base}/silver", day_slices(first, last)))
+    silver = read_silver(spark, f"{base}/silver", first, last)
     return write_gold(silver, f"{base}/gold", first, last)
 
 
 def run_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """Renew the marts from stored gold."""
-    gold = read_gold(prepare(spark), f"{base}/gold")
+    gold = read_gold(prepare(spark, bytes_in(spark, f"{base}/gold")), f"{base}/gold")
     for name, rows in build_marts(gold).items():
         rows.write.mode("overwrite").parquet(f"{base}/gold/{name}")
     return read_marts(spark, base)

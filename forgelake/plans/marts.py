@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import day_number
-from forgelake.operators.joins import salted_join, with_calendar
+from forgelake.functions.events import count_where
+from forgelake.operators.joins import heavy_counts, salted_join, with_calendar
 from forgelake.plans.gold import Gold
 
 MART_TYPES = {
@@ -38,25 +39,43 @@ def issue_resolution(gold: Gold) -> DataFrame:
     """First opening of each issue and the first closing at or after it.
 
     One row per issue with any issue event: ``opened_at`` is NULL where the opening lies
-    before the data, ``closed_at`` where the issue was not closed since. The closings of an
-    issue are compared with its opening one by one and never gathered in a list.
+    before the data, ``closed_at`` where the issue was not closed since.
+
+    One hash aggregate answers all issues whose first closing follows the opening. Only for
+    the others are the closings looked at one by one; no list of them is ever gathered.
     """
     issues = gold["fact_issue_lifecycle"].filter(
         (F.col("event_type") == "IssuesEvent") & F.col("issue_id").isNotNull()
     )
-    opened_time = F.when(F.col("issue_action") == "opened", F.col("created_at"))
-    openings = issues.groupBy("issue_id").agg(F.min(opened_time).alias("opened_at"))
-    # Closings at the same instant are alike, and repeats of one are dropped before the join.
-    closings = (
-        issues.filter(F.col("issue_action") == "closed").select("issue_id", "created_at").distinct()
+    opened, closed = F.col("issue_action") == "opened", F.col("issue_action") == "closed"
+    firsts = issues.groupBy("issue_id").agg(
+        F.min(F.when(opened, F.col("created_at"))).alias("opened_at"),
+        F.min(F.when(closed, F.col("created_at"))).alias("closed_at"),
+        count_where(closed).alias("closings"),
+    )
+    backwards = F.coalesce(F.col("closed_at") < F.col("opened_at"), F.lit(False))
+    in_order = firsts.filter(~backwards).select(
+        "issue_id",
+        "opened_at",
+        F.when(F.col("opened_at").isNotNull(), F.col("closed_at")).alias("closed_at"),
     )
-    resolved = (
-        salted_join(closings, openings, ["issue_id"])
-        .filter(F.col("created_at") >= F.col("opened_at"))
-        .groupBy("issue_id")
-        .agg(F.min("created_at").alias("closed_at"))
+    odd = firsts.filter(backwards)
+    closings = issues.filter(closed).select("event_id", "issue_id", "created_at")
+    later = (
+        salted_join(
+            closings,
+            odd.select("issue_id", "opened_at"),
+            ["issue_id"],
+            heavy=heavy_counts(odd, ["issue_id"], "closings"),
+        )
+        .groupBy("issue_id", "opened_at")
+        .agg(
+            F.min(
+                F.when(F.col("created_at") >= F.col("opened_at"), F.col("created_at"))
+            ).alias("closed_at")
+        )
     )
-    return openings.join(resolved, "issue_id", "left").select(
+    return in_order.unionAll(later).select(
         "issue_id",
         "opened_at",
         "closed_at",

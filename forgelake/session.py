@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
@@ -26,11 +29,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return prepare(spark)
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Set what results depend on; sizing stays with whoever made the session."""
+def prepare(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Set what results depend on, and room for shuffles of the given amount of input."""
     # Event times are UTC instants: calendar days must not follow the machine's zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Shuffles start with a partition per 128 MB of input, so that one fits into a task's
+    # memory; adaptive execution merges those that turn out small.
+    wanted = min(input_bytes // SHUFFLE_BYTES, MOST_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    else:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     return spark
 
 

@@ -67,10 +67,14 @@ def land_dumps(
 ) -> None:
     """Store landed dumps in bronze by day and hour, replacing those hours.
 
-    Lines are kept as they are: bronze holds every field and every malformed line.
+    Lines are kept as they are: bronze holds every field and every malformed line. There is no
+    shuffle; a task reads a dump and writes the file of its hour. The plain text can be split
+    again when it is read, which the gzipped dump could not.
     """
     paths = _dump_paths(spark, landing, first, last or first, hour)
     hours = range(24) if hour is None else [hour]
+    # Without a limit on open files Spark would sort all lines by hour before writing them.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "24")
     replace_slices(
         _with_slice(spark.read.text(paths)),
         bronze,
@@ -81,8 +85,10 @@ def land_dumps(
             for h in hours
         ],
         fmt="text",
+        balance=False,
         **options,
     )
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
 
 
 def read_bronze(

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from forgelake.plans.gold import Gold
 from forgelake.schemas import DIMENSIONS, FACTS, SILVER_TYPES, ddl
 
 
@@ -49,6 +51,7 @@ def replace_slices(
     fmt: str = "parquet",
     cluster_by: tuple[str, ...] = (),
     sort_by: tuple[str, ...] = (),
+    balance: bool = True,
     **options: str,
 ) -> None:
     """Make the rows of ``df`` the whole content of ``slices``; other slices stay untouched.
@@ -58,15 +61,18 @@ def replace_slices(
     removed, which a dynamic overwrite alone would leave as the earlier run wrote them. A
     second run with the same input gives the same table.
 
-    Rows are rebalanced before the write: small groups share a file, a large group is cut into
-    several, so neither many tiny files nor one huge task result from uneven days or types.
+    With ``balance`` rows are shuffled before the write: small groups share a file, a large
+    group is cut into several, so neither many tiny files nor one huge task result from uneven
+    days or types. Without it every task writes what it read, which is right where the input
+    files are of a good size already.
     """
     spark = df.sparkSession
     written = Observation()
     key = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by])
     # The set holds partition paths: as many as the run has slices, plus strays.
     rows = df.observe(written, F.collect_set(key).alias("partitions"))
-    rows = rows.hint("rebalance", *partition_by, *cluster_by)
+    if balance:
+        rows = rows.hint("rebalance", *partition_by, *cluster_by)
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -100,12 +106,29 @@ def read_silver(
     return silver
 
 
-def read_gold(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> int:
+    """Size of the files in the given slices of a table."""
+    total = 0
+    for piece in slices:
+        files, folder = _folder(spark, f"{path}/{piece}" if piece else path)
+        if files.exists(folder):
+            total += files.getContentSummary(folder).getLength()
+    return total
+
+
+def read_gold(spark: SparkSession, path: str) -> Gold:
     """The stored gold tables with exactly the documented columns."""
-    gold = {}
-    for name, columns in DIMENSIONS.items():
-        gold[name] = spark.read.schema(ddl(columns)).parquet(f"{path}/{name}").select(*columns)
-    for name, spec in FACTS.items():
-        stored = spark.read.schema(ddl({**spec["columns"], "event_date": "DATE"}))
-        gold[name] = stored.parquet(f"{path}/{name}").select(*spec["columns"])
-    return gold
+
+    def table(name: str, columns: dict[str, str], **slices: str) -> DataFrame:
+        stored = spark.read.schema(ddl({**columns, **slices})).parquet(f"{path}/{name}")
+        return stored.select(*columns)
+
+    return Gold(
+        {
+            **{name: partial(table, name, columns) for name, columns in DIMENSIONS.items()},
+            **{
+                name: partial(table, name, spec["columns"], event_date="DATE")
+                for name, spec in FACTS.items()
+            },
+        }
+    )

@@ -47,6 +47,11 @@ def stream_to_silver(
     events = bronze_stream(prepare(spark), bronze, files_per_batch)
     rows = flatten(events, event_date=F.col("event_date"))
     if dedupe_within is not None:
+        # Ids of the whole delay are kept as state: on disk rather than in executor memory.
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         rows = rows.withWatermark("created_at", dedupe_within)
         rows = rows.dropDuplicatesWithinWatermark(["event_id"])
     return (

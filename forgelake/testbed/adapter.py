@@ -21,12 +21,12 @@ TYPE_OF_SLOT = (
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in the shape of the raw JSON records."""
+    """Events in the shape of the raw JSON records, the time already a timestamp."""
     types = ", ".join(f"'{t}'" for t in TYPE_OF_SLOT)
     base = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id AS e",
         "user_id AS u",
-        "date_format(CAST(ts AS TIMESTAMP), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS created_at",
+        "date_trunc('SECOND', CAST(ts AS TIMESTAMP)) AS created_at",
         "CAST(event_id % 20 AS INT) AS slot",
         "event_id DIV 20 AS g",
     )
@@ -90,10 +90,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON lines with the slice they arrive in: value, event_date, event_hour."""
-    moment = F.col("created_at").cast("timestamp")
     events = raw_events(spark, sf_dir)
+    time_text = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'"}
     return events.select(
-        F.to_json(F.struct(*events.columns)).alias("value"),
-        F.to_date(moment).alias("event_date"),
-        F.hour(moment).alias("event_hour"),
+        F.to_json(F.struct(*events.columns), time_text).alias("value"),
+        F.to_date("created_at").alias("event_date"),
+        F.hour("created_at").alias("event_hour"),
     )

@@ -193,8 +193,8 @@ def dq_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimensions built from week two alone, so that other weeks leave orphans to find."""
     silver = silver_of(spark, sf_dir)
     week = silver.filter(F.col("event_date").between(*[F.lit(d) for d in RANGE]))
-    facts = {name: df for name, df in transform_to_gold(silver).items() if name in FACTS}
-    return quality.orphan_keys({**transform_to_gold(week), **facts})
+    gold = transform_to_gold(silver)
+    return quality.orphan_keys(transform_to_gold(week).with_tables(**{f: gold[f] for f in FACTS}))
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
