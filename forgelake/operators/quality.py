@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ def duplicate_events(silver: DataFrame) -> DataFrame:
     )
 
 
-def orphan_keys(gold: dict[str, DataFrame]) -> DataFrame:
+def orphan_keys(gold: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows whose key is set but missing in its dimension, per fact and key.
 
     The fact is counted per key first, so a frequent key crosses the network once.

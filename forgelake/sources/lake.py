@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from datetime import date, timedelta
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.plans.gold import Gold
@@ -34,13 +34,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(files.globStatus(folder))
 
 
-def _subfolders(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Partition folders ``depth`` levels below ``path``, relative to it."""
-    if depth == 0:
-        return [""] if exists(spark, path) else []
-    files, folder = _folder(spark, path + "/*" * depth)
-    found = [str(s.getPath().toString()) for s in files.globStatus(folder) or [] if s.isDirectory()]
-    return ["/" + "/".join(p.rstrip("/").split("/")[-depth:]) for p in found]
+def _stored_partitions(spark: SparkSession, path: str, slices: Iterable[str], depth: int):
+    """The partitions that exist in the slices, each with one of its files."""
+    for piece in slices:
+        below = depth - len(piece.split("/"))
+        files, pattern = _folder(spark, f"{path}/{piece}" + "/*" * below)
+        for status in files.globStatus(pattern) or []:
+            if status.isDirectory():
+                content = files.listFiles(status.getPath(), False)
+                yield files, status.getPath(), content.next().getPath() if content.hasNext() else None
 
 
 def replace_slices(
@@ -57,9 +59,9 @@ def replace_slices(
     """Make the rows of ``df`` the whole content of ``slices``; other slices stay untouched.
 
     A slice is a partition path such as ``event_date=2024-01-31``. Dynamic overwrite replaces
-    the partitions that receive rows. Partitions of the slices that receive none are then
-    removed, which a dynamic overwrite alone would leave as the earlier run wrote them. A
-    second run with the same input gives the same table.
+    the partitions that receive rows and leaves the others as an earlier run wrote them. Those
+    are recognised by an old file that is still there, and removed. A second run with the same
+    input gives the same table, also after a run that broke off.
 
     With ``balance`` rows are shuffled before the write: small groups share a file, a large
     group is cut into several, so neither many tiny files nor one huge task result from uneven
@@ -67,23 +69,17 @@ def replace_slices(
     files are of a good size already.
     """
     spark = df.sparkSession
-    written = Observation()
-    key = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by])
-    # The set holds partition paths: as many as the run has slices, plus strays.
-    rows = df.observe(written, F.collect_set(key).alias("partitions"))
+    before = list(_stored_partitions(spark, path, slices, len(partition_by)))
+    rows = df
     if balance:
         rows = rows.hint("rebalance", *partition_by, *cluster_by)
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.options(**options).partitionBy(*partition_by).format(fmt).save(path)
-    kept = set(written.get["partitions"])
-    for piece in slices:
-        depth = len(partition_by) - len(piece.split("/"))
-        for below in _subfolders(spark, f"{path}/{piece}", depth):
-            if piece + below not in kept:
-                files, folder = _folder(spark, f"{path}/{piece}{below}")
-                files.delete(folder, True)
+    for files, partition, old_file in before:
+        if old_file is None or files.exists(old_file):
+            files.delete(partition, True)
 
 
 def day_slices(first: date, last: date) -> list[str]:

@@ -1,0 +1,116 @@
+import gzip
+import json
+from datetime import date
+
+import pytest
+
+from forgelake.sources import bronze as B
+from forgelake.sources.tables import counted, read_table, write_table
+
+DAY = date(2024, 3, 9)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+def test_formats_keep_values(spark, tmp_path, fmt):
+    df = spark.createDataFrame(
+        [(1, "größe", 1.5, True), (2, 'say "hi", ok', None, False), (3, None, 0.0, None)],
+        "n INT, s STRING, d DOUBLE, b BOOLEAN",
+    )
+    path = str(tmp_path / fmt)
+    write_table(df, path, fmt)
+    assert sorted(read_table(spark, path, fmt, schema=df.schema).collect()) == sorted(df.collect())
+    # Writing again replaces the table.
+    write_table(df.limit(0) if fmt == "parquet" else df.filter("n = 1"), path, fmt)
+    assert read_table(spark, path, fmt, schema=df.schema).count() == (0 if fmt == "parquet" else 1)
+
+
+def test_text_formats_can_infer_their_schema(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n BIGINT, s STRING")
+    write_table(df, str(tmp_path / "j"))
+    assert read_table(spark, str(tmp_path / "j"), "json").count() == 2
+    write_table(df, str(tmp_path / "c"), "csv")
+    assert dict(read_table(spark, str(tmp_path / "c"), "csv").dtypes) == {"n": "int", "s": "string"}
+
+
+def test_json_is_utf8_with_explicit_nulls(spark, tmp_path):
+    df = spark.createDataFrame([("größe", None)], "s STRING, t STRING")
+    write_table(df, str(tmp_path / "j"))
+    text = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "j").glob("part-*"))
+    assert text.strip() == '{"s":"größe","t":null}'
+
+
+def test_csv_holds_nested_values_as_json(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS n, named_struct('a', 2) AS s, array(1, 2) AS l")
+    write_table(df, str(tmp_path / "c"), "csv")
+    row = read_table(spark, str(tmp_path / "c"), "csv", schema="n INT, s STRING, l STRING").first()
+    assert (row["s"], row["l"]) == ('{"a":2}', "[1,2]")
+
+
+def test_unknown_format_is_a_value_error(spark, tmp_path):
+    df = spark.range(1)
+    with pytest.raises(ValueError, match="unsupported format"):
+        read_table(spark, "nowhere", "xml")
+    with pytest.raises(ValueError, match="cannot write"):
+        write_table(df, str(tmp_path / "x"), "xml")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_table(spark, str(tmp_path / "missing"))
+
+
+def test_rows_are_counted_on_the_way(spark, tmp_path):
+    df, observed = counted(spark.range(12), "load")
+    write_table(df, str(tmp_path / "t"), "parquet")
+    assert observed.get == {"rows": 12}
+
+
+def dump(folder, day, hour, *events):
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = "".join((e if isinstance(e, str) else json.dumps(e)) + "\n" for e in events)
+    (folder / f"{day}-{hour}.json.gz").write_bytes(gzip.compress(lines.encode()))
+
+
+def watch(n):
+    return {"id": str(n), "type": "WatchEvent", "created_at": "2024-03-09T05:00:00Z",
+            "actor": {"id": n, "login": f"u{n}"}, "repo": {"id": 1, "name": "o/r"},
+            "payload": {"action": "started", "unread": [1, 2]}}
+
+
+def test_hourly_dumps_are_read_by_name(spark, tmp_path):
+    landing = tmp_path / "landing"
+    dump(landing, DAY, 5, watch(1), watch(2))
+    dump(landing, DAY, 15, watch(3))
+    day = B.read_dumps(spark, str(landing), DAY, DAY)
+    found = sorted((r["id"], str(r["event_date"]), r["event_hour"]) for r in day.collect())
+    assert found == [("1", "2024-03-09", 5), ("2", "2024-03-09", 5), ("3", "2024-03-09", 15)]
+    # Hour 5 is not hour 15.
+    assert B.read_dumps(spark, str(landing), DAY, DAY, 5).count() == 2
+    with pytest.raises(ValueError, match="2024-03-10"):
+        B.read_dumps(spark, str(landing), date(2024, 3, 10), date(2024, 3, 10))
+
+
+def test_landing_keeps_lines_and_replaces_hours(spark, tmp_path):
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    dump(landing, DAY, 5, watch(1), "{broken")
+    dump(landing, DAY, 6, watch(2))
+    B.land_dumps(spark, str(landing), bronze, DAY)
+    lines = {r["value"] for r in spark.read.text(bronze).collect()}
+    assert lines == {json.dumps(watch(1)), "{broken", json.dumps(watch(2))}
+    for _ in range(2):
+        dump(landing, DAY, 5, watch(7))
+        B.land_dumps(spark, str(landing), bronze, DAY, hour=5)
+        events = B.read_bronze(spark, bronze, DAY, DAY)
+        found = sorted((r["id"], r["event_hour"]) for r in events.collect())
+        assert found == [("2", 6), ("7", 5)]
+    # An hour whose dump has become empty loses its rows.
+    dump(landing, DAY, 6)
+    B.land_dumps(spark, str(landing), bronze, DAY)
+    assert [r["id"] for r in B.read_bronze(spark, bronze).collect()] == ["7"]
+
+
+def test_plain_dated_layout(spark, tmp_path):
+    folder = tmp_path / "2024" / "03" / "09"
+    folder.mkdir(parents=True)
+    (folder / "05.json").write_text(json.dumps(watch(1)) + "\n")
+    (folder / "14.json").write_text(json.dumps(watch(2)) + "\n")
+    events = B.read_bronze_dated(spark, str(tmp_path), DAY, date(2024, 3, 11))
+    found = sorted((r["id"], str(r["event_date"]), r["event_hour"]) for r in events.collect())
+    assert found == [("1", "2024-03-09", 5), ("2", "2024-03-09", 14)]
