@@ -27,11 +27,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--from", dest="first", type=date.fromisoformat)
     parser.add_argument("--to", dest="last", type=date.fromisoformat)
     parser.add_argument("--dedupe", action="store_true", help="silver only: drop repeated events")
+    parser.add_argument("--streamed", action="store_true", help="gold only: from streamed silver")
     args = parser.parse_args(argv)
-    if args.job != "marts" and not args.first:
-        if None in (args.year, args.month, args.day):
-            parser.error("give --year --month --day, or --from and --to")
+    if not args.first and None not in (args.year, args.month, args.day):
         args.first = date(args.year, args.month, args.day)
+    if not args.first and args.job != "marts":
+        parser.error("give --year --month --day, or --from and --to")
 
     spark = SparkSession.builder.appName(f"forgelake-{args.job}").getOrCreate()
     if args.job == "bronze":
@@ -41,9 +42,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "quarantine":
         jobs.run_quarantine(spark, args.base, args.first, args.last)
     elif args.job == "gold":
-        jobs.run_gold(spark, args.base, args.first, args.last)
+        jobs.run_gold(spark, args.base, args.first, args.last, args.streamed)
     elif args.job == "marts":
-        jobs.run_marts(spark, args.base)
+        jobs.run_marts(spark, args.base, args.first, args.last)
     else:
         jobs.run_day(spark, args.base, args.first, args.last)
 

@@ -76,6 +76,16 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def only_few(df: DataFrame, column: str, most: int = 1000) -> list | None:
+    """The distinct values of a column if there are at most ``most``, else None.
+
+    Lets a plan filter a large table by a short literal list, which reaches the file scan,
+    where otherwise it has to join.
+    """
+    values = df.select(column).distinct().limit(most + 1).collect()
+    return [row[0] for row in values] if len(values) <= most else None
+
+
 def repeat_rows(df: DataFrame, times: str, most: int = 1_000_000) -> DataFrame:
     """Each row as often as column ``times`` says, which is dropped.
 

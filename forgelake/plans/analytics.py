@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import date_id_of, day_number
 from forgelake.functions.events import count_where, percent
-from forgelake.operators.joins import heavy_keys, repeat_rows, salted_join, with_calendar
+from forgelake.operators.joins import heavy_keys, only_few, repeat_rows, salted_join, with_calendar
 from forgelake.plans.gold import Gold
 
 def _is(event_type: str) -> Column:
@@ -339,13 +339,20 @@ def developer_profile(gold: Gold, login: str | None = None) -> DataFrame:
 
     Each fact is aggregated before the join. Joining both facts to the actor first would
     multiply their rows with each other and inflate the commit sum.
+
+    One login belongs to one or a few ids. These are looked up first, so that the facts are
+    filtered while they are read and nothing of other developers is shuffled.
     """
     actors = gold["dim_actor"].select("actor_id", "actor_login")
+    dev, lifecycle = gold["fact_dev_activity"], gold["fact_issue_lifecycle"]
     if login is not None:
         actors = actors.filter(F.col("actor_login") == login)
+        ids = only_few(actors, "actor_id")
+        if ids is not None:
+            dev = dev.filter(F.col("actor_id").isin(ids))
+            lifecycle = lifecycle.filter(F.col("actor_id").isin(ids))
     code = (
-        gold["fact_dev_activity"]
-        .filter(F.col("event_type").isin("PushEvent", "PullRequestEvent"))
+        dev.filter(F.col("event_type").isin("PushEvent", "PullRequestEvent"))
         .groupBy("actor_id")
         .agg(
             F.sum("push_commit_count").alias("commits"),
@@ -353,8 +360,7 @@ def developer_profile(gold: Gold, login: str | None = None) -> DataFrame:
         )
     )
     talk = (
-        gold["fact_issue_lifecycle"]
-        .filter(_is("IssueCommentEvent"))
+        lifecycle.filter(_is("IssueCommentEvent"))
         .groupBy("actor_id")
         .agg(F.countDistinct("event_id").alias("comments"))
     )

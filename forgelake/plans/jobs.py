@@ -15,11 +15,12 @@ from forgelake.operators import dimensions as dims
 from forgelake.operators.facts import fact
 from forgelake.operators.silver import drop_repeats, flatten
 from forgelake.plans.gold import Gold
-from forgelake.plans.marts import MART_TYPES, build_marts
+from forgelake.plans.marts import ADDITIVE, MART_TYPES, issue_resolution, merge_slices
 from forgelake.schemas import FACTS, ddl
-from forgelake.session import prepare
+from forgelake.session import prepare, room_for
 from forgelake.sources.bronze import land_dumps, quarantine, read_bronze
 from forgelake.sources.lake import bytes_in, day_slices, read_gold, read_silver, replace_slices
+from forgelake.streaming.ingest import read_streamed_silver
 
 STATES = {
     "state_day": dims.day_state,
@@ -41,15 +42,8 @@ def run_bronze(
 
 
 def write_silver(rows: DataFrame, path: str, first: date, last: date) -> None:
-    """Each file holds few event types, so a filter on the type skips files and row groups."""
-    replace_slices(
-        rows,
-        path,
-        ("event_date",),
-        day_slices(first, last),
-        cluster_by=("event_type",),
-        sort_by=("event_type",),
-    )
+    """Rows lie sorted by type in each file, so a filter on the type skips pages and row groups."""
+    replace_slices(rows, path, ("event_date",), day_slices(first, last), sort_by=("event_type",))
 
 
 def run_silver(
@@ -61,19 +55,19 @@ def run_silver(
 ) -> None:
     """Bronze to silver in one pass over the JSON. ``dedupe`` drops repeated event ids."""
     last = last or first
-    prepare(spark, bytes_in(spark, f"{base}/bronze", day_slices(first, last)))
-    events = read_bronze(spark, f"{base}/bronze", first, last)
-    rows = flatten(events, event_date=F.col("event_date"))
-    write_silver(drop_repeats(rows) if dedupe else rows, f"{base}/silver", first, last)
+    with room_for(prepare(spark), bytes_in(spark, f"{base}/bronze", day_slices(first, last))):
+        events = read_bronze(spark, f"{base}/bronze", first, last)
+        rows = flatten(events, event_date=F.col("event_date"))
+        write_silver(drop_repeats(rows) if dedupe else rows, f"{base}/silver", first, last)
 
 
 def run_quarantine(spark: SparkSession, base: str, first: date, last: date | None = None) -> None:
     """List the bad lines of the days in ``base/quarantine``."""
     last = last or first
-    prepare(spark, bytes_in(spark, f"{base}/bronze", day_slices(first, last)))
-    events = read_bronze(spark, f"{base}/bronze", first, last)
-    bad = quarantine(events, "event_date")
-    replace_slices(bad, f"{base}/quarantine", ("event_date",), day_slices(first, last))
+    slices = day_slices(first, last)
+    with room_for(prepare(spark), bytes_in(spark, f"{base}/bronze", slices)):
+        bad = quarantine(read_bronze(spark, f"{base}/bronze", first, last), "event_date")
+        replace_slices(bad, f"{base}/quarantine", ("event_date",), slices)
 
 
 def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
@@ -111,27 +105,49 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
     return read_gold(spark, path)
 
 
-def run_gold(spark: SparkSession, base: str, first: date, last: date | None = None) -> Gold:
-    """Stored silver days to stored gold."""
+def run_gold(
+    spark: SparkSession,
+    base: str,
+    first: date,
+    last: date | None = None,
+    streamed: bool = False,
+) -> Gold:
+    """Stored silver days to stored gold, from the batch table or the streamed one."""
     last = last or first
-    prepare(spark, bytes_in(spark, f"{base}/silver", day_slices(first, last)))
-    silver = read_silver(spark, f"{base}/silver", first, last)
-    return write_gold(silver, f"{base}/gold", first, last)
+    path = f"{base}/streamed" if streamed else f"{base}/silver"
+    read = read_streamed_silver if streamed else read_silver
+    with room_for(prepare(spark), bytes_in(spark, path, day_slices(first, last))):
+        return write_gold(read(spark, path, first, last), f"{base}/gold", first, last)
 
 
-def run_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Renew the marts from stored gold."""
-    gold = read_gold(prepare(spark, bytes_in(spark, f"{base}/gold")), f"{base}/gold")
-    for name, rows in build_marts(gold).items():
-        rows.write.mode("overwrite").parquet(f"{base}/gold/{name}")
+def run_marts(
+    spark: SparkSession, base: str, first: date | None = None, last: date | None = None
+) -> dict[str, DataFrame]:
+    """Renew the marts from stored gold: for some days, or for all.
+
+    The additive marts keep a share per slice, so a day costs a day of facts. An issue may be
+    opened and closed years apart; its mart is always built from all issue events.
+    """
+    gold = f"{base}/gold"
+    last = last or first
+    slices = ["event_date=*"] if first is None else day_slices(first, last)
+    read = sum(bytes_in(spark, f"{gold}/{name}", [""] if first is None else slices) for name in FACTS)
+    with room_for(prepare(spark), read):
+        days = read_gold(spark, gold, first, last, with_slice=True)
+        for name, (build, _) in ADDITIVE.items():
+            replace_slices(build(days, "event_date"), f"{gold}/{name}", ("event_date",), slices)
+    with room_for(spark, bytes_in(spark, f"{gold}/fact_issue_lifecycle")):
+        resolution = issue_resolution(read_gold(spark, gold))
+        resolution.write.mode("overwrite").parquet(f"{gold}/mart_issue_resolution")
     return read_marts(spark, base)
 
 
 def read_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {
+    marts = {
         name: spark.read.schema(ddl(columns)).parquet(f"{base}/gold/{name}")
         for name, columns in MART_TYPES.items()
     }
+    return {n: merge_slices(df, n) if n in ADDITIVE else df for n, df in marts.items()}
 
 
 def run_day(spark: SparkSession, base: str, first: date, last: date | None = None) -> Gold:

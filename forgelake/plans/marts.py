@@ -83,15 +83,17 @@ def issue_resolution(gold: Gold) -> DataFrame:
     )
 
 
-def repo_daily_stats(gold: Gold) -> DataFrame:
+def repo_daily_stats(gold: Gold, *by: str) -> DataFrame:
     """Commits, stars and forks per repository and day; commits are NULL without a push.
 
-    Rows of both facts are stacked and summed in one shuffle.
+    Rows of both facts are stacked and summed in one shuffle. ``by`` adds a grouping, such as
+    the slice under which the daily job stores its share.
     """
     none = F.lit(None).cast("int")
     pushes = gold["fact_dev_activity"].filter(F.col("event_type") == "PushEvent")
     interest = gold["fact_community"].filter(F.col("event_type").isin("WatchEvent", "ForkEvent"))
     rows = pushes.select(
+        *by,
         "repo_id",
         "date_id",
         F.col("push_commit_count").alias("commits"),
@@ -99,6 +101,7 @@ def repo_daily_stats(gold: Gold) -> DataFrame:
         F.lit(0).alias("fork"),
     ).unionAll(
         interest.select(
+            *by,
             "repo_id",
             "date_id",
             none,
@@ -106,14 +109,14 @@ def repo_daily_stats(gold: Gold) -> DataFrame:
             (F.col("event_type") == "ForkEvent").cast("int"),
         )
     )
-    return rows.groupBy("repo_id", "date_id").agg(
+    return rows.groupBy(*by, "repo_id", "date_id").agg(
         F.sum("commits").alias("total_commits"),
         F.sum("star").alias("total_stars"),
         F.sum("fork").alias("total_forks"),
     )
 
 
-def developer_activity(gold: Gold) -> DataFrame:
+def developer_activity(gold: Gold, *by: str) -> DataFrame:
     """Commits, pull request events and comments per actor and month."""
     none = F.lit(None).cast("int")
     code = gold["fact_dev_activity"].filter(
@@ -121,15 +124,16 @@ def developer_activity(gold: Gold) -> DataFrame:
     )
     talk = gold["fact_issue_lifecycle"].filter(F.col("event_type") == "IssueCommentEvent")
     rows = code.select(
+        *by,
         "actor_id",
         "date_id",
         F.col("push_commit_count").alias("commits"),
         (F.col("event_type") == "PullRequestEvent").cast("int").alias("pr"),
         F.lit(0).alias("comment"),
-    ).unionAll(talk.select("actor_id", "date_id", none, F.lit(0), F.lit(1)))
+    ).unionAll(talk.select(*by, "actor_id", "date_id", none, F.lit(0), F.lit(1)))
     return (
         with_calendar(rows, gold["dim_date"], "year", "month")
-        .groupBy("actor_id", "year", "month")
+        .groupBy(*by, "actor_id", "year", "month")
         .agg(
             F.sum("commits").alias("total_commits"),
             F.sum("pr").alias("total_prs"),
@@ -138,12 +142,18 @@ def developer_activity(gold: Gold) -> DataFrame:
     )
 
 
-def build_marts(gold: Gold) -> dict[str, DataFrame]:
-    return {
-        "mart_issue_resolution": issue_resolution(gold),
-        "mart_repo_daily_stats": repo_daily_stats(gold),
-        "mart_developer_activity": developer_activity(gold),
-    }
+# The marts whose rows add up over slices, with their keys.
+ADDITIVE = {
+    "mart_repo_daily_stats": (repo_daily_stats, ["repo_id", "date_id"]),
+    "mart_developer_activity": (developer_activity, ["actor_id", "year", "month"]),
+}
+
+
+def merge_slices(stored: DataFrame, name: str) -> DataFrame:
+    """One row per key out of the shares that the slices left."""
+    keys = ADDITIVE[name][1]
+    measures = [c for c in MART_TYPES[name] if c not in keys]
+    return stored.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
 
 
 def monthly_commits_from(daily: DataFrame, gold: Gold) -> DataFrame:

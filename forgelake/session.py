@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 SHUFFLE_BYTES = 128 * 1024 * 1024
 MOST_PARTITIONS = 100_000
+LARGE_RUN = 64 * 1024**3
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -29,21 +32,51 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return prepare(spark)
 
 
-def prepare(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
-    """Set what results depend on, and room for shuffles of the given amount of input."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what results depend on; all sizing stays with whoever made the session."""
     # Event times are UTC instants: calendar days must not follow the machine's zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # Shuffles start with a partition per 128 MB of input, so that one fits into a task's
-    # memory; adaptive execution merges those that turn out small.
-    wanted = min(input_bytes // SHUFFLE_BYTES, MOST_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    else:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for one action; the former ones come back afterwards."""
+    former = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in former.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def room_for(spark: SparkSession, input_bytes: int):
+    """Settings for a job over that much input.
+
+    Shuffles start with a partition per 128 MB, so that one fits into a task's memory, if the
+    session does not give more already; adaptive execution merges those that turn out small.
+    Shuffled rows shrink to about a third as parquet, so large runs ask for larger pieces.
+    """
+    initial, advisory = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+    values = {}
+    wanted = min(input_bytes // SHUFFLE_BYTES, MOST_PARTITIONS)
+    given = spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(given):
+        values[initial] = str(wanted)
+    if input_bytes >= LARGE_RUN and spark.conf.get(advisory, None) is None:
+        values[advisory] = "256MB"
+    return settings(spark, values)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 

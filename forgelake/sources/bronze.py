@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from forgelake.functions.events import event_time
 from forgelake.schemas import BRONZE_DDL
-from forgelake.sources.lake import days_between, exists, replace_slices
+from forgelake.session import settings
+from forgelake.sources.lake import days_between, exists, replace_slices, within
 
 SLICES_DDL = "event_date DATE, event_hour INT"
 # Fixed value: an hourly dump is named by day and hour, the hour without a leading zero.
@@ -73,34 +74,28 @@ def land_dumps(
     """
     paths = _dump_paths(spark, landing, first, last or first, hour)
     hours = range(24) if hour is None else [hour]
-    # Without a limit on open files Spark would sort all lines by hour before writing them.
-    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "24")
-    replace_slices(
-        _with_slice(spark.read.text(paths)),
-        bronze,
-        ("event_date", "event_hour"),
-        [
-            f"event_date={day.isoformat()}/event_hour={h}"
-            for day in days_between(first, last or first)
-            for h in hours
-        ],
-        fmt="text",
-        balance=False,
-        **options,
-    )
-    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    # A task may keep several files open, or it would have to sort its lines by hour first.
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "24"}):
+        replace_slices(
+            _with_slice(spark.read.text(paths)),
+            bronze,
+            ("event_date", "event_hour"),
+            [
+                f"event_date={day.isoformat()}/event_hour={h}"
+                for day in days_between(first, last or first)
+                for h in hours
+            ],
+            fmt="text",
+            balance=False,
+            **options,
+        )
 
 
 def read_bronze(
     spark: SparkSession, bronze: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Bronze events; the day filter prunes partition folders."""
-    events = read_events(spark, bronze, SLICES_DDL)
-    if first is not None:
-        events = events.filter(F.col("event_date") >= F.lit(first))
-    if last is not None:
-        events = events.filter(F.col("event_date") <= F.lit(last))
-    return events
+    return within(read_events(spark, bronze, SLICES_DDL), first, last)
 
 
 def read_bronze_dated(spark: SparkSession, bronze: str, first: date, last: date) -> DataFrame:

@@ -51,7 +51,6 @@ def replace_slices(
     partition_by: tuple[str, ...],
     slices: Iterable[str],
     fmt: str = "parquet",
-    cluster_by: tuple[str, ...] = (),
     sort_by: tuple[str, ...] = (),
     balance: bool = True,
     **options: str,
@@ -72,7 +71,7 @@ def replace_slices(
     before = list(_stored_partitions(spark, path, slices, len(partition_by)))
     rows = df
     if balance:
-        rows = rows.hint("rebalance", *partition_by, *cluster_by)
+        rows = rows.hint("rebalance", *partition_by)
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -86,20 +85,13 @@ def day_slices(first: date, last: date) -> list[str]:
     return [f"event_date={day.isoformat()}" for day in days_between(first, last)]
 
 
-def read_silver(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
-) -> DataFrame:
-    """The silver table, or its slices ``first`` to ``last``: the filter prunes partitions.
-
-    The schema is given, not taken from a file, so days written before a column existed
-    read as NULL there.
-    """
-    silver = spark.read.schema(ddl(SILVER_TYPES)).parquet(path).select(*SILVER_TYPES)
+def within(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """The slices ``first`` to ``last``; on a stored table the filter prunes partitions."""
     if first is not None:
-        silver = silver.filter(F.col("event_date") >= F.lit(first))
+        df = df.filter(F.col("event_date") >= F.lit(first))
     if last is not None:
-        silver = silver.filter(F.col("event_date") <= F.lit(last))
-    return silver
+        df = df.filter(F.col("event_date") <= F.lit(last))
+    return df
 
 
 def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> int:
@@ -112,19 +104,44 @@ def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> i
     return total
 
 
-def read_gold(spark: SparkSession, path: str) -> Gold:
-    """The stored gold tables with exactly the documented columns."""
+def read_silver(
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """The silver table.
+
+    The schema is given, not taken from a file, so days written before a column existed
+    read as NULL there.
+    """
+    stored = spark.read.schema(ddl(SILVER_TYPES)).parquet(path).select(*SILVER_TYPES)
+    return within(stored, first, last)
+
+
+def read_gold(
+    spark: SparkSession,
+    path: str,
+    first: date | None = None,
+    last: date | None = None,
+    with_slice: bool = False,
+) -> Gold:
+    """The stored gold tables with exactly the documented columns.
+
+    ``first`` and ``last`` limit the facts to some slices; ``with_slice`` keeps their
+    ``event_date``.
+    """
+
+    def dimension(name: str) -> DataFrame:
+        columns = DIMENSIONS[name]
+        return spark.read.schema(ddl(columns)).parquet(f"{path}/{name}").select(*columns)
 
-    def table(name: str, columns: dict[str, str], **slices: str) -> DataFrame:
-        stored = spark.read.schema(ddl({**columns, **slices})).parquet(f"{path}/{name}")
-        return stored.select(*columns)
+    def fact(name: str) -> DataFrame:
+        columns = FACTS[name]["columns"]
+        stored = spark.read.schema(ddl({**columns, "event_date": "DATE"})).parquet(f"{path}/{name}")
+        kept = [*columns, "event_date"] if with_slice else [*columns]
+        return within(stored, first, last).select(*kept)
 
     return Gold(
         {
-            **{name: partial(table, name, columns) for name, columns in DIMENSIONS.items()},
-            **{
-                name: partial(table, name, spec["columns"], event_date="DATE")
-                for name, spec in FACTS.items()
-            },
+            **{name: partial(dimension, name) for name in DIMENSIONS},
+            **{name: partial(fact, name) for name in FACTS},
         }
     )

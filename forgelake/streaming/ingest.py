@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forgelake.operators.silver import flatten
 from forgelake.schemas import BRONZE_DDL, SILVER_TYPES, ddl
-from forgelake.session import prepare
+from forgelake.session import prepare, settings
+from forgelake.sources.lake import within
+
+STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def bronze_stream(spark: SparkSession, bronze: str, files_per_batch: int = 1000) -> DataFrame:
@@ -23,7 +28,7 @@ def _append_batch(silver: str):
         # A batch owns its folders: if it is replayed after a failure it overwrites them, so
         # every event is stored once although foreachBatch itself only promises at-least-once.
         rows = batch.withColumn("batch_id", F.lit(batch_id))
-        rows = rows.hint("rebalance", "event_date", "event_type")
+        rows = rows.hint("rebalance", "event_date")
         rows = rows.sortWithinPartitions("event_date", "event_type")
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("event_date", "batch_id").parquet(silver)
@@ -47,21 +52,17 @@ def stream_to_silver(
     events = bronze_stream(prepare(spark), bronze, files_per_batch)
     rows = flatten(events, event_date=F.col("event_date"))
     if dedupe_within is not None:
-        # Ids of the whole delay are kept as state: on disk rather than in executor memory.
-        spark.conf.set(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
         rows = rows.withWatermark("created_at", dedupe_within)
         rows = rows.dropDuplicatesWithinWatermark(["event_id"])
-    return (
-        rows.writeStream.foreachBatch(_append_batch(silver))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.foreachBatch(_append_batch(silver))
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    # Ids of the whole delay are kept as state: on disk rather than in executor memory.
+    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": STATE_ON_DISK}):
+        return writer.start()
 
 
-def read_streamed_silver(spark: SparkSession, silver: str) -> DataFrame:
+def read_streamed_silver(
+    spark: SparkSession, silver: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
     stored = spark.read.schema(f"{ddl(SILVER_TYPES)}, batch_id BIGINT").parquet(silver)
-    return stored.select(*SILVER_TYPES)
+    return within(stored.select(*SILVER_TYPES), first, last)

@@ -7,9 +7,10 @@ from test_sources import dump
 
 from forgelake.__main__ import main
 from forgelake.operators.silver import flatten
-from forgelake.plans import analytics, jobs
+from forgelake.plans import analytics, jobs, marts
 from forgelake.plans.gold import transform_to_gold
 from forgelake.schemas import FACTS
+from forgelake.session import room_for, shared_folder
 from forgelake.sources.bronze import read_bronze
 from forgelake.sources.lake import read_gold, read_silver
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
@@ -180,3 +181,48 @@ def test_silver_files_hold_sorted_types(spark, base):
         files.setdefault(r["file"], []).append(r["event_type"])
     assert all(types == sorted(types) for types in files.values())
     assert set(FACTS) <= set(jobs.write_gold(read_silver(spark, f"{base}/silver"), f"{base}/gold", D1, D2))
+
+
+def test_marts_by_day_equal_marts_at_once(spark, base):
+    # A stray makes two slices share a key.
+    dump(base / "landing", D2, 0, ev(6, "PushEvent", D1))
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    for day in (D2, D1, D2):
+        stored = jobs.run_marts(spark, str(base), day)
+    stepwise = {name: content(df) for name, df in stored.items()}
+    assert {n: content(df) for n, df in jobs.run_marts(spark, str(base)).items()} == stepwise
+    gold = read_gold(spark, f"{base}/gold")
+    fresh = {"mart_issue_resolution": marts.issue_resolution(gold)}
+    fresh.update({n: build(gold) for n, (build, _) in marts.ADDITIVE.items()})
+    assert {n: content(df) for n, df in fresh.items()} == stepwise
+    assert stepwise["mart_repo_daily_stats"][0].startswith("Row(date_id=20240101, repo_id=10, total_commits=4")
+
+
+def test_gold_from_streamed_silver(spark, base):
+    jobs.run_bronze(spark, str(base), D1, D2)
+    stream_to_silver(spark, f"{base}/bronze", f"{base}/streamed", f"{base}/progress").awaitTermination()
+    jobs.run_gold(spark, str(base), D1, D2, streamed=True)
+    streamed = all_gold(spark, base)
+    jobs.run_day(spark, str(base), D1, D2)
+    assert all_gold(spark, base) == streamed
+
+
+def test_job_settings_are_given_back(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with room_for(spark, 10**14):
+        assert (spark.conf.get(key), spark.conf.get(advisory)) == ("100000", "256MB")
+    assert spark.conf.get(key, None) is None and spark.conf.get(advisory, None) is None
+    with room_for(spark, 10**6):
+        assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "1000000")
+    with room_for(spark, 10**14):
+        assert spark.conf.get(key) == "1000000"
+    assert spark.conf.get(key) == "1000000"
+    spark.conf.unset(key)
+
+
+def test_intermediate_tables_go_to_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(shared + "/x-")
