@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Each query runs from the events table through silver and gold to its answer, and again on gold
-tables stored beforehand by the batch jobs. The first round warms the session up; the figure of
-a query is the median of the others.
+tables stored beforehand by the batch jobs. One round over all queries warms the session up; the
+figure of a query is the median of the rounds after it.
 """
 
 from __future__ import annotations
@@ -53,17 +53,18 @@ def consume(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def median_seconds(action) -> float:
-    action()
-    return round(statistics.median(timed(action) for _ in range(ROUNDS)), 3)
+def median_seconds(actions) -> dict[str, float]:
+    rounds = [{name: timed(action) for name, action in actions.items()} for _ in range(ROUNDS + 1)]
+    return {
+        name: round(statistics.median(r[name] for r in rounds[1:]), 3) for name in actions
+    }
 
 
 def main() -> None:
     spark = local_session(CPUS)
-    direct = {
-        name: median_seconds(lambda n=name: consume(QUERIES[n](spark, SF_DIR)))
-        for name in [*ANALYTICS, *MARTS]
-    }
+    direct = median_seconds(
+        {n: lambda n=n: consume(QUERIES[n](spark, SF_DIR)) for n in [*ANALYTICS, *MARTS]}
+    )
     base = shared_folder(spark, "bench")
     silver = silver_of(spark, SF_DIR)
     store = {
@@ -73,9 +74,7 @@ def main() -> None:
         "store_gold": round(timed(lambda: jobs.run_gold(spark, base, lake.FIRST, lake.LAST)), 3),
     }
     gold = jobs.read_gold(spark, f"{base}/gold")
-    stored = {
-        name: median_seconds(lambda p=plan: consume(p(gold))) for name, plan in STORED.items()
-    }
+    stored = median_seconds({n: lambda p=p: consume(p(gold)) for n, p in STORED.items()})
     print(
         json.dumps(
             {
