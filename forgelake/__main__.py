@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--from", dest="first", type=date.fromisoformat)
     parser.add_argument("--to", dest="last", type=date.fromisoformat)
     parser.add_argument("--dedupe", action="store_true", help="silver only: drop repeated events")
+    parser.add_argument("--dated", action="store_true", help="silver only: bronze in YYYY/MM/DD/HH.json")
     parser.add_argument("--streamed", action="store_true", help="gold only: from streamed silver")
     args = parser.parse_args(argv)
     if not args.first and None not in (args.year, args.month, args.day):
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "bronze":
         jobs.run_bronze(spark, args.base, args.first, args.last, args.hour)
     elif args.job == "silver":
-        jobs.run_silver(spark, args.base, args.first, args.last, args.dedupe)
+        jobs.run_silver(spark, args.base, args.first, args.last, args.dedupe, args.dated)
     elif args.job == "quarantine":
         jobs.run_quarantine(spark, args.base, args.first, args.last)
     elif args.job == "gold":

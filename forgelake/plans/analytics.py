@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from forgelake.functions.calendar import date_id_of, day_number
 from forgelake.functions.events import count_where, percent
 from forgelake.operators.joins import heavy_keys, only_few, repeat_rows, salted_join, with_calendar
-from forgelake.plans.gold import Gold
+from forgelake.tables import Gold
 
 def _is(event_type: str) -> Column:
     return F.col("event_type") == event_type

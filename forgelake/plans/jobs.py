@@ -14,13 +14,20 @@ from pyspark.sql import functions as F
 from forgelake.operators import dimensions as dims
 from forgelake.operators.facts import fact
 from forgelake.operators.silver import drop_repeats, flatten
-from forgelake.plans.gold import Gold
 from forgelake.plans.marts import ADDITIVE, MART_TYPES, issue_resolution, merge_slices
 from forgelake.schemas import FACTS, ddl
 from forgelake.session import prepare, room_for
-from forgelake.sources.bronze import land_dumps, quarantine, read_bronze
-from forgelake.sources.lake import bytes_in, day_slices, read_gold, read_silver, replace_slices
+from forgelake.sources.bronze import land_dumps, quarantine, read_bronze, read_bronze_dated
+from forgelake.sources.lake import (
+    bytes_in,
+    day_slices,
+    days_between,
+    read_gold,
+    read_silver,
+    replace_slices,
+)
 from forgelake.streaming.ingest import read_streamed_silver
+from forgelake.tables import Gold
 
 STATES = {
     "state_day": dims.day_state,
@@ -52,11 +59,17 @@ def run_silver(
     first: date,
     last: date | None = None,
     dedupe: bool = False,
+    dated: bool = False,
 ) -> None:
-    """Bronze to silver in one pass over the JSON. ``dedupe`` drops repeated event ids."""
+    """Bronze to silver in one pass over the JSON.
+
+    ``dedupe`` drops repeated event ids; ``dated`` reads bronze laid out as ``2024/01/31/05.json``.
+    """
     last = last or first
-    with room_for(prepare(spark), bytes_in(spark, f"{base}/bronze", day_slices(first, last))):
-        events = read_bronze(spark, f"{base}/bronze", first, last)
+    folders = [f"{d:%Y/%m/%d}" for d in days_between(first, last)] if dated else day_slices(first, last)
+    read = read_bronze_dated if dated else read_bronze
+    with room_for(prepare(spark), bytes_in(spark, f"{base}/bronze", folders)):
+        events = read(spark, f"{base}/bronze", first, last)
         rows = flatten(events, event_date=F.col("event_date"))
         write_silver(drop_repeats(rows) if dedupe else rows, f"{base}/silver", first, last)
 

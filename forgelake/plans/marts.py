@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from forgelake.functions.calendar import day_number
 from forgelake.functions.events import count_where
 from forgelake.operators.joins import heavy_counts, salted_join, with_calendar
-from forgelake.plans.gold import Gold
+from forgelake.tables import Gold
 
 MART_TYPES = {
     "mart_issue_resolution": {

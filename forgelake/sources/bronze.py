@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from forgelake.functions.events import event_time
 from forgelake.schemas import BRONZE_DDL
 from forgelake.session import settings
-from forgelake.sources.lake import days_between, exists, replace_slices, within
+from forgelake.sources.lake import (
+    dated_folders,
+    days_between,
+    exists,
+    folder_day,
+    replace_slices,
+    within,
+)
 
 SLICES_DDL = "event_date DATE, event_hour INT"
 # Fixed value: an hourly dump is named by day and hour, the hour without a leading zero.
@@ -100,18 +107,10 @@ def read_bronze(
 
 def read_bronze_dated(spark: SparkSession, bronze: str, first: date, last: date) -> DataFrame:
     """Bronze events in the plain layout ``bronze/2024/01/31/05.json``, hours padded."""
-    folders = [f"{bronze}/{day:%Y/%m/%d}" for day in days_between(first, last)]
-    found = [f for f in folders if exists(spark, f)]
-    if not found:
-        raise ValueError(f"no bronze data in {bronze} for {first} to {last}")
-    path = F.col("_metadata.file_path")
-    parts = r"(\d{4})/(\d{2})/(\d{2})/(\d{2})\.json"
-    day = F.concat_ws("-", *[F.regexp_extract(path, parts, n) for n in (1, 2, 3)])
-    events = read_events(spark, found)
+    events = read_events(spark, dated_folders(spark, bronze, first, last))
+    hour = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{2})\.json", 1).cast("int")
     return events.select(
-        *events.columns,
-        day.cast("date").alias("event_date"),
-        F.regexp_extract(path, parts, 4).cast("int").alias("event_hour"),
+        *events.columns, folder_day().alias("event_date"), hour.alias("event_hour")
     )
 
 

@@ -12,13 +12,14 @@ from forgelake.operators import dimensions as dims
 from forgelake.operators import quality
 from forgelake.operators import silver as S
 from forgelake.plans import analytics, jobs, marts
-from forgelake.plans.gold import Gold, register_views, transform_to_gold
+from forgelake.plans.gold import register_views, transform_to_gold
 from forgelake.schemas import COMMON_PATHS, FACTS, SILVER_TYPES, TYPE_PATHS, ddl
 from forgelake.session import prepare, shared_folder
 from forgelake.sources import bronze as B
 from forgelake.sources.lake import read_silver
 from forgelake.sources.tables import read_table, write_table
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
+from forgelake.tables import Gold
 from forgelake.testbed import lake
 from forgelake.testbed.adapter import raw_events
 
