@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -43,22 +43,32 @@ def heavy_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
     return heavy_counts(counts, on, "_rows")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark, by its own size estimate and threshold, will broadcast this side."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    limit = plan.conf().autoBroadcastJoinThreshold()
+    return int(str(plan.stats().sizeInBytes())) <= limit
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    heavy: DataFrame | None = None,
+    heavy: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may be skewed: inner, left, left_semi or left_anti.
 
-    Left rows of a heavy key are spread over its splits by a hash of the row, and the
-    right rows of that key are repeated once per split, so each pair still meets exactly
+    A small right side is broadcast, the left stays where it is, and skew does not matter.
+    Otherwise left rows of a heavy key are spread over its splits by a hash of the row, and
+    the right rows of that key are repeated once per split, so each pair still meets exactly
     once. The hash, unlike a random number, gives the same salt when a task is rerun.
-    ``heavy`` may come from an earlier, cheaper stage of ``left``: too many splits do no harm.
+    ``heavy`` may profile an earlier, cheaper stage of ``left``: too many splits do no harm.
     """
     on = list(on)
-    heavy = heavy_keys(left, on) if heavy is None else heavy
+    if is_small(right):
+        return left.join(right, on, how)
+    heavy = heavy_keys(left, on) if heavy is None else heavy()
     spread = F.xxhash64(*left.columns)
     unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     salted_left = left.join(F.broadcast(heavy), on, "left").select(

@@ -13,6 +13,7 @@ so these join the names to distinct pairs instead, through a join that splits he
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,12 +147,15 @@ def fork_log(gold: Gold, ordered: bool = True) -> DataFrame:
     forks = gold["fact_community"].filter(_is("ForkEvent")).select(
         "event_id", "date_id", "repo_id", "actor_id", "fork_new_repo_name"
     )
-    # Both key profiles are taken from the fact itself, not from the joined rows.
-    heavy_repos, heavy_actors = heavy_keys(forks, ["repo_id"]), heavy_keys(forks, ["actor_id"])
     dated = with_calendar(forks, gold["dim_date"], "date_actual")
-    named = salted_join(dated, _repo_names(gold), ["repo_id"], heavy=heavy_repos)
+    # Both key profiles are taken from the fact itself, not from the joined rows.
+    named = salted_join(
+        dated, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, forks, ["repo_id"])
+    )
     actors = gold["dim_actor"].select("actor_id", "actor_login")
-    result = salted_join(named, actors, ["actor_id"], heavy=heavy_actors).select(
+    result = salted_join(
+        named, actors, ["actor_id"], heavy=partial(heavy_keys, forks, ["actor_id"])
+    ).select(
         F.col("repo_name").alias("source_repo"),
         F.col("actor_login").alias("forked_by"),
         F.col("fork_new_repo_name").alias("new_fork_repo"),
@@ -187,7 +191,7 @@ def org_reach(gold: Gold, ordered: bool = True) -> DataFrame:
     pairs = rows.groupBy("org_id", "actor_id").agg(F.count(F.lit(1)).alias("events"))
     orgs = gold["dim_org"].select("org_id", "org_name")
     # The profile of the raw rows bounds that of the pairs and costs no second shuffle of them.
-    named = salted_join(pairs, orgs, ["org_id"], heavy=heavy_keys(rows, ["org_id"]))
+    named = salted_join(pairs, orgs, ["org_id"], heavy=partial(heavy_keys, rows, ["org_id"]))
     result = (
         named.groupBy("org_name", "actor_id")
         .agg(F.sum("events").alias("events"))
@@ -238,7 +242,9 @@ def avg_days_to_close(gold: Gold, ordered: bool = True) -> DataFrame:
 
 def _distinct_issues_by_name(gold: Gold, issues: DataFrame, rows: DataFrame, count: str) -> DataFrame:
     """Distinct issues per repository name, from distinct (issue, repository) pairs."""
-    named = salted_join(issues, _repo_names(gold), ["repo_id"], heavy=heavy_keys(rows, ["repo_id"]))
+    named = salted_join(
+        issues, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, rows, ["repo_id"])
+    )
     return (
         named.select("repo_name", "issue_id")
         .distinct()
@@ -264,7 +270,7 @@ def hot_issues(gold: Gold, n: int = 20) -> DataFrame:
         F.count(F.lit(1)).alias("comments")
     )
     named = salted_join(
-        pairs, _repo_names(gold), ["repo_id"], heavy=heavy_keys(comments, ["repo_id"])
+        pairs, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, comments, ["repo_id"])
     )
     return (
         named.groupBy("issue_id", "repo_name")
@@ -290,7 +296,9 @@ def reopen_rate(gold: Gold, ordered: bool = True) -> DataFrame:
         F.max(F.col("issue_action") == "closed").alias("closed"),
         F.max(F.col("issue_action") == "reopened").alias("reopened"),
     )
-    named = salted_join(pairs, _repo_names(gold), ["repo_id"], heavy=heavy_keys(issues, ["repo_id"]))
+    named = salted_join(
+        pairs, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, issues, ["repo_id"])
+    )
     result = (
         named.groupBy("repo_name", "issue_id")
         .agg(F.max("closed").alias("closed"), F.max("reopened").alias("reopened"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,7 +68,7 @@ def issue_resolution(gold: Gold) -> DataFrame:
             closings,
             odd.select("issue_id", "opened_at"),
             ["issue_id"],
-            heavy=heavy_counts(odd, ["issue_id"], "closings"),
+            heavy=partial(heavy_counts, odd, ["issue_id"], "closings"),
         )
         .groupBy("issue_id", "opened_at")
         .agg(

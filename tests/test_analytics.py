@@ -137,9 +137,15 @@ def test_resolution_takes_first_close_after_open(rows):
     }
 
 
-@pytest.fixture(params=[1, 3, 10**6])
-def split_size(request, monkeypatch):
+@pytest.fixture(params=["broadcast", 1, 3, 10**6])
+def split_size(request, spark, monkeypatch):
+    if request.param == "broadcast":
+        yield
+        return
     monkeypatch.setattr(joins, "ROWS_PER_SPLIT", request.param)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

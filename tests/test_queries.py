@@ -7,7 +7,8 @@ from forgelake.operators import joins
 from forgelake.testbed.queries import ANALYTICS, MARTS
 
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
-SALTED = ["fork_log", "org_reach", "issue_backlog", "hot_issues", "reopened_issues", "reopen_rate", "live_branches"]
+SALTED = ["fork_log", "org_reach", "issue_backlog", "hot_issues", "reopened_issues", "reopen_rate",
+          "mart_issue_resolution"]
 
 
 @pytest.fixture(scope="module")
@@ -24,19 +25,22 @@ def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
 
 
+@pytest.fixture
+def no_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", SALTED)
-def test_query_equals_sql_when_keys_are_split(spark, con, name, monkeypatch):
+def test_query_equals_sql_when_keys_are_split(spark, con, name, no_broadcasts, monkeypatch):
     monkeypatch.setattr(joins, "ROWS_PER_SPLIT", 2)
     assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
 
 
 @pytest.mark.parametrize("name", ["monthly_commits", "fork_log", "issue_backlog", "avg_days_to_close"])
-def test_query_equals_sql_without_broadcasts(spark, con, name, monkeypatch):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_query_equals_sql_without_broadcasts(spark, con, name, no_broadcasts):
+    assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
 
 
 def test_entry_gives_rows(spark):
