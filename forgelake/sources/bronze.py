@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.functions.events import event_time
@@ -15,8 +15,8 @@ from forgelake.sources.lake import (
     days_between,
     exists,
     folder_day,
+    read_slices,
     replace_slices,
-    within,
 )
 
 SLICES_DDL = "event_date DATE, event_hour INT"
@@ -24,15 +24,18 @@ SLICES_DDL = "event_date DATE, event_hour INT"
 DUMP_NAME = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json"
 
 
-def read_events(spark: SparkSession, path: str | list[str], extra_ddl: str = "") -> DataFrame:
+def _event_reader(spark: SparkSession, schema: str) -> DataFrameReader:
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", "_corrupt_record")
+
+
+def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """JSON-lines events under the fixed schema; plain or gzipped files.
 
     A line that does not parse becomes a row of NULLs with the text in ``_corrupt_record``,
     instead of failing the file.
     """
-    schema = f"{BRONZE_DDL}, {extra_ddl}" if extra_ddl else BRONZE_DDL
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    return _event_reader(spark, BRONZE_DDL).json(path)
 
 
 def _dump_paths(spark: SparkSession, landing: str, first: date, last: date, hour: int | None):
@@ -101,8 +104,9 @@ def land_dumps(
 def read_bronze(
     spark: SparkSession, bronze: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    """Bronze events; the day filter prunes partition folders."""
-    return within(read_events(spark, bronze, SLICES_DDL), first, last)
+    """Stored bronze events, or those of some days."""
+    reader = _event_reader(spark, f"{BRONZE_DDL}, {SLICES_DDL}").format("json")
+    return read_slices(spark, reader, bronze, first, last)
 
 
 def read_bronze_dated(spark: SparkSession, bronze: str, first: date, last: date) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from datetime import date, timedelta
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.schemas import DIMENSIONS, FACTS, SILVER_TYPES, ddl
@@ -85,13 +85,28 @@ def day_slices(first: date, last: date) -> list[str]:
     return [f"event_date={day.isoformat()}" for day in days_between(first, last)]
 
 
-def within(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    """The slices ``first`` to ``last``; on a stored table the filter prunes partitions."""
+def read_slices(
+    spark: SparkSession,
+    reader: DataFrameReader,
+    path: str,
+    first: date | None,
+    last: date | None,
+) -> DataFrame:
+    """A stored table, or its slices ``first`` to ``last``; the filter prunes partitions.
+
+    Between two given days only their folders are listed, so that a daily job does not walk
+    through years of folders to find its own.
+    """
+    paths = []
+    if first is not None and last is not None:
+        folders = [f"{path}/{piece}" for piece in day_slices(first, last)]
+        paths = [f for f in folders if exists(spark, f)]
+    rows = reader.option("basePath", path).load(paths or path)
     if first is not None:
-        df = df.filter(F.col("event_date") >= F.lit(first))
+        rows = rows.filter(F.col("event_date") >= F.lit(first))
     if last is not None:
-        df = df.filter(F.col("event_date") <= F.lit(last))
-    return df
+        rows = rows.filter(F.col("event_date") <= F.lit(last))
+    return rows
 
 
 def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> int:
@@ -142,8 +157,8 @@ def read_silver(
     The schema is given, not taken from a file, so days written before a column existed
     read as NULL there.
     """
-    stored = spark.read.schema(ddl(SILVER_TYPES)).parquet(path).select(*SILVER_TYPES)
-    return within(stored, first, last)
+    reader = spark.read.format("parquet").schema(ddl(SILVER_TYPES))
+    return read_slices(spark, reader, path, first, last).select(*SILVER_TYPES)
 
 
 def read_gold(
@@ -165,9 +180,9 @@ def read_gold(
 
     def fact(name: str) -> DataFrame:
         columns = FACTS[name]["columns"]
-        stored = spark.read.schema(ddl({**columns, "event_date": "DATE"})).parquet(f"{path}/{name}")
+        reader = spark.read.format("parquet").schema(ddl({**columns, "event_date": "DATE"}))
         kept = [*columns, "event_date"] if with_slice else [*columns]
-        return within(stored, first, last).select(*kept)
+        return read_slices(spark, reader, f"{path}/{name}", first, last).select(*kept)
 
     return Gold(
         {

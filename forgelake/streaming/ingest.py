@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from forgelake.operators.silver import flatten
 from forgelake.schemas import BRONZE_DDL, SILVER_TYPES, ddl
 from forgelake.session import prepare, settings
-from forgelake.sources.lake import within
+from forgelake.sources.lake import read_slices
 
 STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -64,5 +64,5 @@ def stream_to_silver(
 def read_streamed_silver(
     spark: SparkSession, silver: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    stored = spark.read.schema(f"{ddl(SILVER_TYPES)}, batch_id BIGINT").parquet(silver)
-    return within(stored.select(*SILVER_TYPES), first, last)
+    reader = spark.read.format("parquet").schema(f"{ddl(SILVER_TYPES)}, batch_id BIGINT")
+    return read_slices(spark, reader, silver, first, last).select(*SILVER_TYPES)
