@@ -11,8 +11,12 @@ from forgelake.schemas import COMMON_PATHS, TYPE_PATHS
 
 
 def event_time() -> Column:
-    """The event's instant; NULL where the text is no timestamp."""
-    return F.col("created_at").try_cast("timestamp")
+    """The event's instant; NULL where the text is no timestamp in the years 1 to 9999.
+
+    Other years have no eight-digit date_id, and without them the number of days is bounded.
+    """
+    instant = F.col("created_at").try_cast("timestamp")
+    return F.when(F.year(instant).between(1, 9999), instant)
 
 
 def common_columns() -> list[Column]:

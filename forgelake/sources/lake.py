@@ -23,14 +23,15 @@ def days_between(first: date, last: date) -> list[date]:
     return [first + timedelta(days=n) for n in range((last - first).days + 1)]
 
 
-def _folder(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path with the file system that holds it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, or any match of a glob, exists."""
-    files, folder = _folder(spark, path)
+    files, folder = hadoop_path(spark, path)
     return bool(files.globStatus(folder))
 
 
@@ -38,7 +39,7 @@ def _stored_partitions(spark: SparkSession, path: str, slices: Iterable[str], de
     """The partitions that exist in the slices, each with one of its files."""
     for piece in slices:
         below = depth - len(piece.split("/"))
-        files, pattern = _folder(spark, f"{path}/{piece}" + "/*" * below)
+        files, pattern = hadoop_path(spark, f"{path}/{piece}" + "/*" * below)
         for status in files.globStatus(pattern) or []:
             if status.isDirectory():
                 content = files.listFiles(status.getPath(), False)
@@ -113,7 +114,7 @@ def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> i
     """Size of the files in the given slices of a table."""
     total = 0
     for piece in slices:
-        files, folder = _folder(spark, f"{path}/{piece}" if piece else path)
+        files, folder = hadoop_path(spark, f"{path}/{piece}" if piece else path)
         if files.exists(folder):
             total += files.getContentSummary(folder).getLength()
     return total

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.session import shared_folder
-from forgelake.sources.lake import _folder, replace_slices
+from forgelake.sources.lake import hadoop_path, replace_slices
 from forgelake.testbed.adapter import raw_lines
 
 # The driver's events all lie in this month.
@@ -36,12 +36,12 @@ def landing_lake(spark: SparkSession, sf_dir: str) -> str:
     )
     rows = lines.select("value", "dump")
     replace_slices(rows, staged, ("dump",), [], fmt="text", compression="gzip")
-    files, folder = _folder(spark, f"{staged}/dump=*")
-    landing = _folder(spark, f"{base}/landing")[1]
+    files, folder = hadoop_path(spark, f"{staged}/dump=*")
+    landing = hadoop_path(spark, f"{base}/landing")[1]
     files.mkdirs(landing)
     for status in files.globStatus(folder):
         name = status.getPath().getName().removeprefix("dump=")
-        files.rename(status.getPath(), _folder(spark, f"{base}/landing/{name}.json.gz")[1])
+        files.rename(status.getPath(), hadoop_path(spark, f"{base}/landing/{name}.json.gz")[1])
     return base
 
 

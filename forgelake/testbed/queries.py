@@ -153,12 +153,11 @@ def gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_two_runs(spark: SparkSession, sf_dir: str) -> Gold:
-    """Gold stored by one run over the later days, one over the earlier, and a repeat."""
+    """Gold stored by one run over the later days and one over the earlier, with a week in both."""
     base = lake.bronze_lake(spark, sf_dir)
     jobs.run_silver(spark, base, lake.FIRST, lake.LAST)
     jobs.run_gold(spark, base, RANGE[0], lake.LAST)
-    jobs.run_gold(spark, base, lake.FIRST, RANGE[1])
-    return jobs.run_gold(spark, base, *RANGE)
+    return jobs.run_gold(spark, base, lake.FIRST, RANGE[1])
 
 
 def facts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:

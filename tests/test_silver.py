@@ -102,6 +102,8 @@ def test_other_types_and_unplaceable_rows_are_dropped(bronze):
         event(2, "WatchEvent", {"action": "started"}, id=None),
         event(3, "WatchEvent", {"action": "started"}, created_at="yesterday"),
         event(4, "WatchEvent", {"action": "started"}, type=None),
+        event(6, "WatchEvent", {"action": "started"}, created_at="+12345-01-01T00:00:00Z"),
+        event(7, "WatchEvent", {"action": "started"}, created_at="-0044-03-15T00:00:00Z"),
         event(5, "WatchEvent", {"action": "started"}),
     )
     assert [r["event_id"] for r in S.flatten(raw).collect()] == ["5"]
