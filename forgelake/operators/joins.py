@@ -62,7 +62,10 @@ def salted_join(
     A small right side is broadcast, the left stays where it is, and skew does not matter.
     Otherwise left rows of a heavy key are spread over its splits by a hash of the row, and
     the right rows of that key are repeated once per split, so each pair still meets exactly
-    once. The hash, unlike a random number, gives the same salt when a task is rerun.
+    once. The hash, unlike a random number, gives the same salt when a task is rerun. Copies
+    of one row share a salt; where they are many, adaptive execution cuts their partition into
+    several, which it can because both sides come straight out of a shuffle.
+
     ``heavy`` may profile an earlier, cheaper stage of ``left``: too many splits do no harm.
     """
     on = list(on)

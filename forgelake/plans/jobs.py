@@ -113,8 +113,9 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
         "dim_repo": dims.dim_repo(state["state_repo"]),
         "dim_org": dims.dim_org(state["state_org"]),
     }
-    for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+    with room_for(spark, sum(bytes_in(spark, f"{path}/{name}") for name in STATES)):
+        for name, rows in tables.items():
+            rows.write.mode("overwrite").parquet(f"{path}/{name}")
     return read_gold(spark, path)
 
 

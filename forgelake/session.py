@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
+SHUFFLE_BYTES = 64 * 1024 * 1024
 MOST_PARTITIONS = 100_000
 LARGE_RUN = 64 * 1024**3
 
@@ -59,7 +59,7 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 def room_for(spark: SparkSession, input_bytes: int):
     """Settings for a job over that much input.
 
-    Shuffles start with a partition per 128 MB, so that one fits into a task's memory, if the
+    Shuffles start with a partition per 64 MB, so that one fits into a task's memory, if the
     session does not give more already; adaptive execution merges those that turn out small.
     Shuffled rows shrink to about a third as parquet, so large runs ask for larger pieces.
     """

@@ -5,11 +5,13 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from forgelake.operators.facts import fact
+from forgelake.operators.joins import salted_join
 from forgelake.operators.silver import flatten
 from forgelake.plans import analytics as A
 from forgelake.plans import marts as M
 from forgelake.plans.gold import transform_to_gold
 from forgelake.schemas import FACTS
+from forgelake.session import settings
 from forgelake.testbed.adapter import raw_events
 from forgelake.testbed.queries import ANALYTICS, MARTS, QUERIES, gold_of
 
@@ -23,14 +25,18 @@ def shuffles(df):
 
 
 @pytest.fixture
-def gold(spark, tmp_path):
-    """Stored gold, with broadcasts left to hints as they would be for large dimensions."""
+def no_broadcasts(spark):
+    """Broadcasts left to hints, as they would be with large dimensions."""
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        yield
+
+
+@pytest.fixture
+def gold(spark, tmp_path, no_broadcasts):
     made = transform_to_gold(flatten(raw_events(spark, SMALL)))
     for name, df in made.items():
         df.write.parquet(f"{tmp_path}/{name}")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield {name: spark.read.parquet(f"{tmp_path}/{name}") for name in made}
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return {name: spark.read.parquet(f"{tmp_path}/{name}") for name in made}
 
 
 @pytest.mark.parametrize("name", [*ANALYTICS, *MARTS, "silver_sparse", "dim_repo", "reopen_rate"])
@@ -77,3 +83,23 @@ def test_issue_events_are_aggregated_once(gold):
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def test_copies_of_one_row_are_split_at_run_time(spark, no_broadcasts, tmp_path):
+    events = spark.range(0, 400_000, 1, 8)
+    events.selectExpr("IF(id % 3 = 0, 5, id) AS k", "IF(id % 3 = 0, 0, id) AS v").write.parquet(
+        f"{tmp_path}/left"
+    )
+    left = spark.read.parquet(f"{tmp_path}/left")
+    # The right side is an aggregate, as a dimension made on the fly is.
+    right = spark.range(400_000).selectExpr("id AS k", "id % 7 AS n").groupBy("k").agg(F.max("n").alias("n"))
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with settings(spark, small):
+        joined = salted_join(left, right, ["k"])
+        assert len(joined.collect()) == 400_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
