@@ -4,8 +4,9 @@ from conftest import SMALL
 
 import __spark_entry__ as driver
 from forgelake.operators import joins
+from forgelake.testbed.oracles import ORACLES as SQL
+from forgelake.testbed.queries import QUERIES
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
 SALTED = ["fork_log", "org_reach", "issue_backlog", "hot_issues", "reopened_issues", "reopen_rate",
           "mart_issue_resolution"]
 
@@ -17,6 +18,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
