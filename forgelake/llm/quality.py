@@ -39,13 +39,13 @@ CAPITALS = r"[A-Z]+"
 #: The measured vector, and the least standard deviation that each part is given: clean groups
 #: have none of some things, and the first of them should not be infinitely far away.
 PARTS = {
-    "v_length": (F.log("n_words"), 0.7),
-    "v_word": (F.log(F.col("word_chars") / F.col("n_words")), 0.1),
-    "v_symbols": (F.sqrt(F.col("n_symbols") / F.col("word_chars")), 0.04),
-    "v_marks": (F.sqrt(F.col("n_marks") / F.col("word_chars")), 0.06),
-    "v_capitals": (F.sqrt(F.col("n_capitals") / F.col("word_chars")), 0.08),
-    "v_repeats": (F.sqrt(F.col("n_repeat_words") / F.col("n_words")), 0.15),
-    "v_lines": (F.sqrt(F.col("n_dup_lines") / F.col("n_lines")), 0.2),
+    "v_length": ("ln(n_words)", 0.7),
+    "v_word": ("ln(word_chars / n_words)", 0.1),
+    "v_symbols": ("sqrt(n_symbols / word_chars)", 0.04),
+    "v_marks": ("sqrt(n_marks / word_chars)", 0.06),
+    "v_capitals": ("sqrt(n_capitals / word_chars)", 0.08),
+    "v_repeats": ("sqrt(n_repeat_words / n_words)", 0.15),
+    "v_lines": ("sqrt(n_dup_lines / n_lines)", 0.2),
 }
 NAMES = list(PARTS)
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -236,7 +236,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     )
     rows = measured(rows, "body").drop("body")
     # only rows that pass are measured; all have at least one word
-    rows = rows.withColumns({n: F.when(~F.col("base_failed"), v) for n, (v, _) in PARTS.items()})
+    rows = rows.withColumns({n: F.when(~F.col("base_failed"), F.expr(v)) for n, (v, _) in PARTS.items()})
     rows = stored(rows, "measured")
     rows = stored(grouped(rows), "grouped")
     core = rows.filter("NOT base_failed AND q_group IS NOT NULL").select("q_group", *NAMES)
