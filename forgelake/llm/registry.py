@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from forgelake.llm import mixing, quality, simhash, token_counts
+from forgelake.llm import decontamination, mixing, quality, simhash, token_counts, warc
 
 QUERIES = {
+    "op2_warc": warc.query,
     "op4_token_counts": token_counts.query,
     "op5_mixing": mixing.query,
+    "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
     "op10_simhash_near_dedup": simhash.query,
 }
 
 ORACLES = {
+    "op2_warc": warc.SQL,
+    "op6_decontamination": decontamination.SQL,
     "op5_mixing": mixing.SQL,
 }
