@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from forgelake.llm import decontamination, mixing, quality, simhash, token_counts, warc
+from forgelake.llm import (
+    decontamination,
+    language_id,
+    license_scan,
+    mixing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op2_warc": warc.query,
+    "op3_language_id": language_id.query,
     "op4_token_counts": token_counts.query,
     "op5_mixing": mixing.query,
     "op6_decontamination": decontamination.query,
     "op7_quality_rules": quality.query,
+    "op8_license_scan": license_scan.query,
+    "op9_toxicity": toxicity.query,
     "op10_simhash_near_dedup": simhash.query,
 }
 
