@@ -8,11 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows without an id sort and join as this one.
-NO_ID = 2**63 - 1
+#: Rows without an id are numbered from here, by a hash of their text.
+NO_ID_FROM = 1 << 62
 
 _LOCAL: dict[str, str] = {}
 
@@ -46,12 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_or_empty(column: str = "text"):
+def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def id_or_last(column: str = "doc_id"):
-    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
+def document_number(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The id, or a number from the text that is larger than ids are."""
+    last = F.xxhash64(text).bitwiseAND(F.lit(NO_ID_FROM - 1)) + F.lit(NO_ID_FROM)
+    return F.coalesce(F.col(doc_id).cast("long"), last)
 
 
 def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

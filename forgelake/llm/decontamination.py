@@ -215,6 +215,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW_WOR
     )
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    bad = contamination(docs, benchmark).filter("contaminated").select("doc_id", "text_hash").distinct()
+    bad = stored(bad.select(F.struct("doc_id", "text_hash").alias("bad")), "contaminated")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("key"),
+    )
+    return rows.join(bad, F.col("key").eqNullSafe(F.col("bad")), "left_anti").select("row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(

@@ -254,6 +254,12 @@ def verdicts(docs: DataFrame) -> DataFrame:
     return rows.select("row.*", *BASE, "base_failed", "distance", kept.alias("kept"))
 
 
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that all rules keep."""
+    rows = docs.select(F.struct(*docs.columns).alias("all"), "text", "lang", "source")
+    return verdicts(rows).filter("kept").select("all.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return verdicts(docs).select("doc_id", *BASE, "base_failed", "kept", "distance")

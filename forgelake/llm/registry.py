@@ -9,12 +9,14 @@ from forgelake.llm import (
     mixing,
     quality,
     simhash,
+    suffix_dedup,
     token_counts,
     toxicity,
     warc,
 )
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.query,
     "op2_warc": warc.query,
     "op3_language_id": language_id.query,
     "op4_token_counts": token_counts.query,

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import stored, table
+from forgelake.llm.common import document_number, stored, table
 from forgelake.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -245,6 +245,18 @@ def groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int =
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def deduplicated(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
+    """One row of ``docs`` per group: that of the smallest doc_id, once if it is repeated.
+
+    Rows without a doc_id come after all others, in the order of a hash of their texts.
+    """
+    rows = docs.select(document_number().alias("number"), F.struct(*docs.columns).alias("row"), "text")
+    found = groups(rows.select(F.col("number").alias("doc_id"), "text"), shingle_words, most_bits)
+    kept = stored(found.select(F.col("component_id").alias("number")).distinct(), "kept")
+    rows = rows.join(kept, "number", "left_semi")
+    return rows.groupBy("number").agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = groups(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
