@@ -220,25 +220,24 @@ def limit_of(rows: DataFrame, share: float, name: str) -> DataFrame:
     return stored(out, "limits")
 
 
-def verdicts(docs: DataFrame) -> DataFrame:
-    """``docs`` with the base columns, ``base_failed``, ``distance`` and ``kept``.
+def verdicts(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """The carried columns, the base columns, ``base_failed``, ``distance`` and ``kept``.
 
-    ``docs`` needs text, lang and source; columns named like the added ones are replaced. NULL
+    ``docs`` needs text, lang and source; carried columns named like the added ones give way. NULL
     lang or source count as a value of their own. Rows that fail a base rule are not measured
     and have no distance; nor have rows of a group that is too small even when pooled, which are
     kept. Repeated rows count as often as they stand. An empty table gives an empty one.
     """
     added = [*BASE, "base_failed", "distance", "kept"]
-    docs = docs.drop(*added)
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col("text").alias("body"),
+        F.struct(*[c for c in carried if c not in added]).alias("row"), F.col("text").alias("body"),
         F.col("lang").cast("string").alias("q_lang"), F.col("source").cast("string").alias("q_source"),
     )
     rows = measured(rows, "body").drop("body")
     # only rows that pass are measured; all have at least one word
     rows = rows.withColumns({n: F.when(~F.col("base_failed"), F.expr(v)) for n, (v, _) in PARTS.items()})
-    rows = stored(rows, "measured")
-    rows = stored(grouped(rows), "grouped")
+    # written once, with what is carried; the passes below read only the numbers of it
+    rows = grouped(stored(rows, "measured"))
     core = rows.filter("NOT base_failed AND q_group IS NOT NULL").select("q_group", *NAMES)
     estimate = first_spread(core)
     for _ in range(STEPS):
@@ -257,9 +256,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that all rules keep."""
     rows = docs.select(F.struct(*docs.columns).alias("all"), "text", "lang", "source")
-    return verdicts(rows).filter("kept").select("all.*")
+    return verdicts(rows, ["all"]).filter("kept").select("all.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return verdicts(docs).select("doc_id", *BASE, "base_failed", "kept", "distance")
+    return verdicts(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", *BASE, "base_failed", "kept", "distance")
