@@ -15,8 +15,8 @@ is that few suffixes need sorting:
    bytes. Each bucket is sorted by multikey quicksort, once forwards from the anchors and once
    backwards; common-prefix lengths of neighbours then tell which windows are equal.
 4. Suffixes that share the anchor of a bucket's first or last may have equals across the boundary.
-   Their windows are compared across buckets. This also divides an anchor with very many
-   surroundings, over which the splitters spread several buckets.
+   Those of their windows that are first in their bucket are compared across buckets. This also
+   divides an anchor with very many surroundings, over which the splitters spread several buckets.
 """
 
 from __future__ import annotations
@@ -310,26 +310,24 @@ def in_buckets(rows: DataFrame, length: int) -> DataFrame:
         number, run = bucket["id"].to_numpy(), bucket["run"].to_numpy()
         _, one = np.unique(np.rec.fromarrays([number, run]), return_index=True)
         right, left, number, run = right[one], left[one], number[one], run[one]
-        order = multikey_quicksort(tokens(right[:, :GRAM]))
-        ends = right[[order[0], order[-1]], :GRAM]
-        edge = (right[:, :GRAM] == ends[0]).all(1) | (right[:, :GRAM] == ends[1]).all(1)
-        yield from opened(right[edge], left[edge], number[edge], run[edge])
-        right, left, number, run = (x[~edge] for x in (right, left, number, run))
-        if len(run) < 2:
-            return
-        pos, _, place = unpacked_run(run)
         again = repeated_windows(right, left, number, run, length)
+        pos, _, place = unpacked_run(run)
         # neighbouring windows of a row as one span; larger t is further left
         padded = np.pad(again, ((0, 0), (1, 1)))
         row, t_first = np.nonzero(padded[:, 1:] & ~padded[:, :-1])
         t_after = np.nonzero(~padded[:, 1:] & padded[:, :-1])[1]
         start = pos[row] + place[row] - (t_after - 1)
         yield spans(number[row], start, t_after - t_first, None)
+        order = multikey_quicksort(tokens(right[:, :GRAM]))
+        ends = right[[order[0], order[-1]], :GRAM]
+        edge = (right[:, :GRAM] == ends[0]).all(1) | (right[:, :GRAM] == ends[1]).all(1)
+        yield from opened(right[edge], left[edge], number[edge], run[edge], again[edge])
 
-    def opened(right, left, number, run) -> Iterator[pa.RecordBatch]:
+    def opened(right, left, number, run, again) -> Iterator[pa.RecordBatch]:
+        """Windows that are the bucket's first, where other buckets may have an earlier one."""
         pos, count, place = unpacked_run(run)
         for t in range(length - GRAM + 1):
-            rows = np.flatnonzero((place - count < t) & (t <= place))
+            rows = np.flatnonzero((place - count < t) & (t <= place) & ~again[:, t])
             if len(rows):
                 window = np.concatenate([left[rows][:, :t][:, ::-1], right[rows][:, : length - t]], axis=1)
                 yield spans(number[rows], pos[rows] + place[rows] - t, np.ones(len(rows), np.int64), fixed(window))
