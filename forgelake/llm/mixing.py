@@ -69,7 +69,7 @@ def source_means(
     all_size, all_weight = sizes.agg(F.sum("size")).scalar(), sizes.agg(F.sum("weight")).scalar()
     mean = F.col("weight") / F.nullif(all_weight, F.lit(0.0)) * all_size / F.col("size")
     return (
-        sizes.withColumn("mean", F.coalesce(F.round(F.least(mean, F.lit(MOST_REPEATS)), 6), F.lit(0.0)))
+        sizes.withColumn("mean", F.round(F.least(F.coalesce(mean, F.lit(0.0)), F.lit(MOST_REPEATS)), 6))
         .select("source", "size", "mean", poisson_steps(F.col("mean")).alias("steps"))
     )
 

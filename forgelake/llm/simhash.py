@@ -199,9 +199,10 @@ def links_in_bins(rows: DataFrame, most_bits: int) -> DataFrame:
 
 
 def near_links(fps: DataFrame, most_bits: int = MOST_BITS, bin_rows: int = BIN_ROWS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints of at most ``most_bits`` (3 or fewer) bits apart.
+    """Links (a, b) that join the same fingerprints as all pairs of at most ``most_bits`` would.
 
-    They join the same fingerprints as all such pairs would, without being all of them.
+    A bin gives a tree over the fingerprints that its pairs connect, not the pairs themselves, so
+    the ends of a link may be further apart than ``most_bits`` (3 or fewer).
     """
     if not 0 <= most_bits <= 3:
         raise ValueError("blocks are laid out for at most 3 bits")
