@@ -66,12 +66,12 @@ def main() -> None:
         {n: lambda n=n: consume(QUERIES[n](spark, SF_DIR)) for n in [*ANALYTICS, *MARTS]}
     )
     base = shared_folder(spark, "bench")
-    silver = silver_of(spark, SF_DIR)
+    silver, days = silver_of(spark, SF_DIR), lake.span(spark, SF_DIR)
     store = {
         "store_silver": round(
-            timed(lambda: jobs.write_silver(silver, f"{base}/silver", lake.FIRST, lake.LAST)), 3
+            timed(lambda: jobs.write_silver(silver, f"{base}/silver", *days)), 3
         ),
-        "store_gold": round(timed(lambda: jobs.run_gold(spark, base, lake.FIRST, lake.LAST)), 3),
+        "store_gold": round(timed(lambda: jobs.run_gold(spark, base, *days)), 3),
     }
     gold = jobs.read_gold(spark, f"{base}/gold")
     stored = median_seconds({n: lambda p=p: consume(p(gold)) for n, p in STORED.items()})

@@ -1,4 +1,4 @@
-"""Calendar expressions. All of them compile to code; none uses a date formatter per event."""
+"""Calendar expressions. All compile to code, and none depends on the session's time zone."""
 
 from __future__ import annotations
 
@@ -7,19 +7,28 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MICROS_PER_DAY = 86_400_000_000
 
-def date_id(moment: Column) -> Column:
-    """YYYYMMDD as an INT."""
-    return (F.year(moment) * 10000 + F.month(moment) * 100 + F.dayofmonth(moment)).cast("int")
 
+def day_number(moment: Column) -> Column:
+    """Days from the epoch to the UTC day of an instant, for exact arithmetic over days."""
+    micros = F.unix_micros(moment)
+    # a whole number of days divides without rounding
+    return ((micros - F.pmod(micros, F.lit(MICROS_PER_DAY))) / F.lit(MICROS_PER_DAY)).cast("bigint")
 
-def date_id_of(day: date) -> int:
-    return int(day.strftime("%Y%m%d"))
 
+def utc_day(moment: Column) -> Column:
+    """The UTC day of an instant."""
+    return F.date_from_unix_date(day_number(moment).cast("int"))
 
-def day_number(moment: Column) -> Column:
-    """Days since the epoch, for exact arithmetic over calendar days."""
-    return F.unix_date(F.to_date(moment)).cast("bigint")
+
+def date_id(day: Column) -> Column:
+    """YYYYMMDD of a DATE as an INT."""
+    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+
+
+def date_id_of(day: date) -> int:
+    return int(day.strftime("%Y%m%d"))
 
 
 def calendar_columns(day: Column) -> list[Column]:

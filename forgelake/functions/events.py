@@ -7,16 +7,28 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from forgelake.functions.calendar import utc_day
 from forgelake.schemas import COMMON_PATHS, TYPE_PATHS
 
+# Fixed value: how events write their time, with or without fractions of a second.
+ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
+
+
+def instant_of(column: str) -> Column:
+    """The instant that an ISO text with date, time and zone names; other texts give NULL.
+
+    A cast would also read "12:30:00" as a time of the day of the run, and "2024" as a day.
+    """
+    return F.try_to_timestamp(F.col(column), F.lit(ISO_INSTANT))
+
 
 def event_time() -> Column:
-    """The event's instant; NULL where the text is no timestamp in the years 1 to 9999.
+    """The event's instant; NULL where the text is none in the years 1 to 9999.
 
     Other years have no eight-digit date_id, and without them the number of days is bounded.
     """
-    instant = F.col("created_at").try_cast("timestamp")
-    return F.when(F.year(instant).between(1, 9999), instant)
+    instant = instant_of("created_at")
+    return F.when(F.year(utc_day(instant)).between(1, 9999), instant)
 
 
 def common_columns() -> list[Column]:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.functions.calendar import calendar_columns
+from forgelake.functions.calendar import calendar_columns, utc_day
 from forgelake.functions.events import actor_type, recency
 
 STATE_TYPES = {
@@ -52,7 +52,7 @@ def org_state(silver: DataFrame, *by: str) -> DataFrame:
 
 
 def day_state(silver: DataFrame, *by: str) -> DataFrame:
-    return silver.select(*by, F.to_date("created_at").alias("date_actual")).distinct()
+    return silver.select(*by, utc_day(F.col("created_at")).alias("date_actual")).distinct()
 
 
 def latest(value: str) -> Column:
@@ -87,8 +87,12 @@ def dim_repo(state: DataFrame) -> DataFrame:
     return (
         state.filter(F.col("repo_id").isNotNull())
         .groupBy("repo_id")
-        .agg(latest("repo_name").alias("repo_name"), latest("org_id").alias("org_id"))
-        .withColumn("primary_language", F.lit(None).cast("string"))
+        # Name and owner come from one event: after a transfer to a person there is no owner.
+        .agg(
+            F.max_by(F.struct("repo_name", "org_id"), F.when(F.col("repo_name").isNotNull(), F.col("last_seen")))
+            .alias("newest")
+        )
+        .select("repo_id", "newest.repo_name", "newest.org_id", F.lit(None).cast("string").alias("primary_language"))
     )
 
 

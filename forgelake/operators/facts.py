@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.functions.calendar import date_id
+from forgelake.functions.calendar import date_id, utc_day
 from forgelake.schemas import FACTS, SILVER_TYPES
 
 
@@ -14,7 +14,7 @@ def fact(silver: DataFrame, name: str, *extra: str) -> DataFrame:
     columns = []
     for column, sql_type in FACTS[name]["columns"].items():
         if column == "date_id":
-            columns.append(date_id(F.col("created_at")).alias("date_id"))
+            columns.append(date_id(utc_day(F.col("created_at"))).alias("date_id"))
         elif SILVER_TYPES[column] != sql_type:
             # Raw integers are BIGINT; one that does not fit the narrower type becomes NULL.
             columns.append(F.col(column).try_cast(sql_type).alias(column))

@@ -1,16 +1,16 @@
-"""Joins that hold up when one key owns a large share of the rows."""
+"""Joins that hold up when one key owns a large share of the rows.
 
-from __future__ import annotations
+Most questions need none of this: they aggregate by id before they join names. Where rows or
+pairs must meet names, a plain join does: Spark broadcasts the names if they are small, and if
+not, adaptive execution splits the partition of a heavy key, since both sides come straight out
+of a shuffle.
+"""
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_KEYS = 1000
-ROWS_PER_SPLIT = 1_000_000
-
 
 def with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
     """Join calendar columns to a fact without moving the fact.
@@ -22,97 +22,23 @@ def with_calendar(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFr
     return fact.join(F.broadcast(dim_date.select("date_id", *columns)), "date_id")
 
 
-def heavy_counts(counts: DataFrame, on: Sequence[str], rows: str) -> DataFrame:
-    """The keys too large for one task, with the number of tasks each should get.
-
-    ``counts`` holds the number of rows per key. At most ``HEAVY_KEYS`` keys result, which
-    makes them safe to broadcast. A key beyond them holds under a thousandth of the rows and
-    takes the ordinary way.
-    """
-    return (
-        counts.filter(F.col(rows) > ROWS_PER_SPLIT)
-        .orderBy(F.desc(rows), *on)
-        .limit(HEAVY_KEYS)
-        .select(*on, F.ceil(F.col(rows) / ROWS_PER_SPLIT).cast("int").alias("_splits"))
-    )
-
-
-def heavy_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """``heavy_counts`` of a frame's rows: one narrow scan that shuffles a row per key."""
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    return heavy_counts(counts, on, "_rows")
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark, by its own size estimate and threshold, will broadcast this side."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    limit = plan.conf().autoBroadcastJoinThreshold()
-    return int(str(plan.stats().sizeInBytes())) <= limit
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    heavy: Callable[[], DataFrame] | None = None,
-) -> DataFrame:
-    """Equi-join whose left side may be skewed: inner, left, left_semi or left_anti.
-
-    A small right side is broadcast, the left stays where it is, and skew does not matter.
-    Otherwise left rows of a heavy key are spread over its splits by a hash of the row, and
-    the right rows of that key are repeated once per split, so each pair still meets exactly
-    once. The hash, unlike a random number, gives the same salt when a task is rerun. Copies
-    of one row share a salt; where they are many, adaptive execution cuts their partition into
-    several, which it can because both sides come straight out of a shuffle.
-
-    ``heavy`` may profile an earlier, cheaper stage of ``left``: too many splits do no harm.
-    """
-    on = list(on)
-    if is_small(right):
-        return left.join(right, on, how)
-    heavy = heavy_keys(left, on) if heavy is None else heavy()
-    spread = F.xxhash64(*left.columns)
-    unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salted_left = left.join(F.broadcast(heavy), on, "left").select(
-        *left.columns,
-        F.when(F.col("_splits").isNotNull(), F.pmod(spread, F.col("_splits")).cast("int"))
-        # A NULL key never meets a right row, so those rows can go anywhere.
-        .when(unmatched, F.pmod(spread, F.lit(HEAVY_KEYS)).cast("int"))
-        .otherwise(0)
-        .alias("_salt"),
-    )
-    salted_right = right.join(F.broadcast(heavy), on, "left").select(
-        *right.columns,
-        F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)).alias("_salt"),
-    )
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
-
-
-def only_few(df: DataFrame, column: str, most: int = 1000) -> list | None:
-    """The distinct values of a column if there are at most ``most``, else None.
-
-    Lets a plan filter a large table by a short literal list, which reaches the file scan,
-    where otherwise it has to join.
-    """
-    values = df.select(column).distinct().limit(most + 1).collect()
-    return [row[0] for row in values] if len(values) <= most else None
-
-
 def repeat_rows(df: DataFrame, times: str, most: int = 1_000_000) -> DataFrame:
     """Each row as often as column ``times`` says, which is dropped.
 
-    Large numbers are first cut into pieces of at most ``most`` and these are spread over the
-    tasks, so no task has to hold or write all copies of one row.
+    Rows with few copies are repeated where they lie. Large numbers are cut into pieces of at
+    most ``most``, and only these are dealt to other tasks, so that no task has to hold or write
+    all copies of one row.
     """
     keys = [c for c in df.columns if c != times]
-    pieces = df.select(
+
+    def repeated(rows: DataFrame, copies: Column) -> DataFrame:
+        return rows.select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("_copy")).select(*keys)
+
+    few, many = df.filter(F.col(times) <= most), df.filter(F.col(times) > most)
+    pieces = many.select(
         *keys,
         times,
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({times} - 1) DIV {most}"))).alias("_piece"),
     ).repartition(*keys, "_piece")
     left = F.col(times) - F.col("_piece") * most
-    copies = F.least(left, F.lit(most).cast("bigint"))
-    return pieces.select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("_copy")).select(
-        *keys
-    )
+    return repeated(few, F.col(times)).unionAll(repeated(pieces, F.least(left, F.lit(most).cast("bigint"))))

@@ -5,24 +5,24 @@ joined has one row per repository or actor, so a key that owns a third of the ev
 collapsed to one row before anything is shuffled by it. Answers are grouped by *name*, as
 asked; two ids that share a name are merged by a second, small aggregation. Sums, counts
 and ratios (carried as numerator and denominator) survive that; distinct counts do not,
-so these join the names to distinct pairs instead, through a join that splits heavy keys.
+so these join the names to distinct pairs instead.
 
 ``ordered`` sorts the answer for presentation, ties broken by key.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-from functools import partial
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import date_id_of, day_number
 from forgelake.functions.events import count_where, percent
-from forgelake.operators.joins import heavy_keys, only_few, repeat_rows, salted_join, with_calendar
+from forgelake.operators.joins import repeat_rows, with_calendar
 from forgelake.tables import Gold
 
+
 def _is(event_type: str) -> Column:
     return F.col("event_type") == event_type
 
@@ -69,15 +69,15 @@ def pr_merge_rate(gold: Gold, ordered: bool = True) -> DataFrame:
 
 
 def top_pushers(gold: Gold, as_of: date | None = None, days: int = 30, n: int = 10) -> DataFrame:
-    """The ``n`` developers with most pushed commits in the ``days`` before ``as_of``.
+    """The ``n`` developers with most pushed commits on ``as_of`` and the ``days`` before it.
 
+    ``as_of`` is today in UTC if not given; what is dated later does not count.
     ``date_id`` orders like the date it stands for, so the window is a filter on the
     fact's partition column and no calendar join is needed.
     """
-    first = (as_of or date.today()) - timedelta(days=days)
-    pushes = gold["fact_dev_activity"].filter(
-        _is("PushEvent") & (F.col("date_id") >= date_id_of(first))
-    )
+    last = as_of or datetime.now(timezone.utc).date()
+    window = F.col("date_id").between(date_id_of(last - timedelta(days=days)), date_id_of(last))
+    pushes = gold["fact_dev_activity"].filter(_is("PushEvent") & window)
     by_id = pushes.groupBy("actor_id").agg(
         F.count(F.lit(1)).alias("pushes"), F.sum("push_commit_count").alias("commits")
     )
@@ -142,20 +142,14 @@ def weekly_stars(gold: Gold, ordered: bool = True) -> DataFrame:
     return _ranked(result, ordered, "new_stars", "repo_name", "year", "week_of_year")
 
 
-def fork_log(gold: Gold, ordered: bool = True) -> DataFrame:
-    """Who forked what, into what, and on which day: one row per fork."""
+def fork_log(gold: Gold, ordered: bool = False) -> DataFrame:
+    """Who forked what, into what, and on which day: one row per fork, sorted only if asked for."""
     forks = gold["fact_community"].filter(_is("ForkEvent")).select(
-        "event_id", "date_id", "repo_id", "actor_id", "fork_new_repo_name"
+        "date_id", "repo_id", "actor_id", "fork_new_repo_name"
     )
     dated = with_calendar(forks, gold["dim_date"], "date_actual")
-    # Both key profiles are taken from the fact itself, not from the joined rows.
-    named = salted_join(
-        dated, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, forks, ["repo_id"])
-    )
     actors = gold["dim_actor"].select("actor_id", "actor_login")
-    result = salted_join(
-        named, actors, ["actor_id"], heavy=partial(heavy_keys, forks, ["actor_id"])
-    ).select(
+    result = dated.join(_repo_names(gold), "repo_id").join(actors, "actor_id").select(
         F.col("repo_name").alias("source_repo"),
         F.col("actor_login").alias("forked_by"),
         F.col("fork_new_repo_name").alias("new_fork_repo"),
@@ -190,10 +184,9 @@ def org_reach(gold: Gold, ordered: bool = True) -> DataFrame:
     )
     pairs = rows.groupBy("org_id", "actor_id").agg(F.count(F.lit(1)).alias("events"))
     orgs = gold["dim_org"].select("org_id", "org_name")
-    # The profile of the raw rows bounds that of the pairs and costs no second shuffle of them.
-    named = salted_join(pairs, orgs, ["org_id"], heavy=partial(heavy_keys, rows, ["org_id"]))
     result = (
-        named.groupBy("org_name", "actor_id")
+        pairs.join(orgs, "org_id")
+        .groupBy("org_name", "actor_id")
         .agg(F.sum("events").alias("events"))
         .groupBy("org_name")
         .agg(F.count("actor_id").alias("unique_actors"), F.sum("events").alias("total_events"))
@@ -240,13 +233,11 @@ def avg_days_to_close(gold: Gold, ordered: bool = True) -> DataFrame:
     return _ranked(result, ordered, "avg_days_to_close", "repo_name")
 
 
-def _distinct_issues_by_name(gold: Gold, issues: DataFrame, rows: DataFrame, count: str) -> DataFrame:
+def _distinct_issues_by_name(gold: Gold, issues: DataFrame, count: str) -> DataFrame:
     """Distinct issues per repository name, from distinct (issue, repository) pairs."""
-    named = salted_join(
-        issues, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, rows, ["repo_id"])
-    )
     return (
-        named.select("repo_name", "issue_id")
+        issues.join(_repo_names(gold), "repo_id")
+        .select("repo_name", "issue_id")
         .distinct()
         .groupBy("repo_name")
         .agg(F.count("issue_id").alias(count))
@@ -259,7 +250,7 @@ def issue_backlog(gold: Gold, ordered: bool = True) -> DataFrame:
     closed = _issue_action(gold, "closed").select("issue_id").distinct()
     # Distinct on both sides first: the anti join then sees an issue once per repository.
     pending = opened.distinct().join(closed, "issue_id", "left_anti")
-    result = _distinct_issues_by_name(gold, pending, opened, "open_issues")
+    result = _distinct_issues_by_name(gold, pending, "open_issues")
     return _ranked(result, ordered, "open_issues", "repo_name")
 
 
@@ -269,11 +260,9 @@ def hot_issues(gold: Gold, n: int = 20) -> DataFrame:
     pairs = comments.groupBy(F.col("comment_target_issue_id").alias("issue_id"), "repo_id").agg(
         F.count(F.lit(1)).alias("comments")
     )
-    named = salted_join(
-        pairs, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, comments, ["repo_id"])
-    )
     return (
-        named.groupBy("issue_id", "repo_name")
+        pairs.join(_repo_names(gold), "repo_id")
+        .groupBy("issue_id", "repo_name")
         .agg(F.sum("comments").alias("comment_count"))
         .orderBy(F.desc("comment_count"), "issue_id", "repo_name")
         .limit(n)
@@ -283,7 +272,7 @@ def hot_issues(gold: Gold, n: int = 20) -> DataFrame:
 def reopened_issues(gold: Gold, ordered: bool = True) -> DataFrame:
     """Distinct issues reopened per repository."""
     reopened = _issue_action(gold, "reopened").select("issue_id", "repo_id")
-    result = _distinct_issues_by_name(gold, reopened.distinct(), reopened, "reopened_issues")
+    result = _distinct_issues_by_name(gold, reopened.distinct(), "reopened_issues")
     return _ranked(result, ordered, "reopened_issues", "repo_name")
 
 
@@ -296,11 +285,9 @@ def reopen_rate(gold: Gold, ordered: bool = True) -> DataFrame:
         F.max(F.col("issue_action") == "closed").alias("closed"),
         F.max(F.col("issue_action") == "reopened").alias("reopened"),
     )
-    named = salted_join(
-        pairs, _repo_names(gold), ["repo_id"], heavy=partial(heavy_keys, issues, ["repo_id"])
-    )
     result = (
-        named.groupBy("repo_name", "issue_id")
+        pairs.join(_repo_names(gold), "repo_id")
+        .groupBy("repo_name", "issue_id")
         .agg(F.max("closed").alias("closed"), F.max("reopened").alias("reopened"))
         .filter(F.col("issue_id").isNotNull())
         .groupBy("repo_name")
@@ -348,29 +335,29 @@ def developer_profile(gold: Gold, login: str | None = None) -> DataFrame:
     Each fact is aggregated before the join. Joining both facts to the actor first would
     multiply their rows with each other and inflate the commit sum.
 
-    One login belongs to one or a few ids. These are looked up first, so that the facts are
-    filtered while they are read and nothing of other developers is shuffled.
+    An event is one row of a fact, so events are counted, not distinct ids. For one login the
+    facts first meet its ids alone; these are few, so Spark broadcasts them and shuffles nothing
+    of other developers.
     """
     actors = gold["dim_actor"].select("actor_id", "actor_login")
     dev, lifecycle = gold["fact_dev_activity"], gold["fact_issue_lifecycle"]
     if login is not None:
         actors = actors.filter(F.col("actor_login") == login)
-        ids = only_few(actors, "actor_id")
-        if ids is not None:
-            dev = dev.filter(F.col("actor_id").isin(ids))
-            lifecycle = lifecycle.filter(F.col("actor_id").isin(ids))
+        ids = actors.select("actor_id")
+        dev = dev.join(ids, "actor_id", "left_semi")
+        lifecycle = lifecycle.join(ids, "actor_id", "left_semi")
     code = (
         dev.filter(F.col("event_type").isin("PushEvent", "PullRequestEvent"))
         .groupBy("actor_id")
         .agg(
             F.sum("push_commit_count").alias("commits"),
-            F.countDistinct(F.when(_is("PullRequestEvent"), F.col("event_id"))).alias("prs"),
+            count_where(_is("PullRequestEvent")).alias("prs"),
         )
     )
     talk = (
         lifecycle.filter(_is("IssueCommentEvent"))
         .groupBy("actor_id")
-        .agg(F.countDistinct("event_id").alias("comments"))
+        .agg(F.count(F.lit(1)).alias("comments"))
     )
     return (
         actors.join(code, "actor_id", "left")

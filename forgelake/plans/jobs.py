@@ -6,14 +6,14 @@ range runs as one Spark job per table over all its days, not as a loop over days
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.operators import dimensions as dims
 from forgelake.operators.facts import fact
-from forgelake.operators.silver import drop_repeats, flatten
+from forgelake.operators.silver import core_events, first_copies, flatten
 from forgelake.plans.marts import ADDITIVE, MART_TYPES, issue_resolution, merge_slices
 from forgelake.schemas import FACTS, ddl
 from forgelake.session import prepare, room_for
@@ -22,11 +22,15 @@ from forgelake.sources.lake import (
     bytes_in,
     day_slices,
     days_between,
+    exists,
     read_gold,
     read_silver,
+    read_version,
     replace_slices,
+    stored_days,
+    write_version,
 )
-from forgelake.streaming.ingest import read_streamed_silver
+from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
 from forgelake.tables import Gold
 
 STATES = {
@@ -43,14 +47,18 @@ def run_bronze(
     first: date,
     last: date | None = None,
     hour: int | None = None,
-) -> None:
-    """Landed dumps in ``base/landing`` to bronze: one hour, a day, or a range."""
-    land_dumps(prepare(spark), f"{base}/landing", f"{base}/bronze", first, last, hour)
+) -> int:
+    """Landed dumps in ``base/landing`` to bronze: one hour, a day, or a range; the lines landed."""
+    return land_dumps(prepare(spark), f"{base}/landing", f"{base}/bronze", first, last, hour)
 
 
-def write_silver(rows: DataFrame, path: str, first: date, last: date) -> None:
+def write_silver(
+    rows: DataFrame, path: str, first: date, last: date, seen: Observation | None = None
+) -> None:
     """Rows lie sorted by type in each file, so a filter on the type skips pages and row groups."""
-    replace_slices(rows, path, ("event_date",), day_slices(first, last), sort_by=("event_type",))
+    replace_slices(
+        rows, path, ("event_date",), day_slices(first, last), sort_by=("event_type",), seen=seen
+    )
 
 
 def run_silver(
@@ -58,20 +66,35 @@ def run_silver(
     base: str,
     first: date,
     last: date | None = None,
-    dedupe: bool = False,
+    dedupe: bool = True,
     dated: bool = False,
-) -> None:
-    """Bronze to silver in one pass over the JSON.
+) -> int:
+    """Bronze to silver in one pass over the JSON; the rows stored.
 
-    ``dedupe`` drops repeated event ids; ``dated`` reads bronze laid out as ``2024/01/31/05.json``.
+    All days must be in bronze: a day that is missing there stops the run before anything stored
+    is touched. A day without core events leaves an empty slice. With ``dedupe`` an event id is
+    stored once (see ``first_copies``), as the facts need it; ``dated`` reads bronze laid out as
+    ``2024/01/31/05.json``.
     """
-    last = last or first
+    last, bronze = last or first, f"{base}/bronze"
     folders = [f"{d:%Y/%m/%d}" for d in days_between(first, last)] if dated else day_slices(first, last)
+    if not dated:
+        missing = set(folders) - set(stored_days(spark, bronze, first, last))
+        if missing:
+            raise ValueError(f"nothing in {bronze} for {', '.join(sorted(missing))}")
     read = read_bronze_dated if dated else read_bronze
-    with room_for(prepare(spark), bytes_in(spark, f"{base}/bronze", folders)):
-        events = read(spark, f"{base}/bronze", first, last)
-        rows = flatten(events, event_date=F.col("event_date"))
-        write_silver(drop_repeats(rows) if dedupe else rows, f"{base}/silver", first, last)
+    with room_for(prepare(spark), bytes_in(spark, bronze, folders)):
+        events = core_events(read(spark, bronze, first, last))
+        if dedupe:
+            day_before = first - timedelta(days=1)
+            if dated:
+                known = exists(spark, f"{bronze}/{day_before:%Y/%m/%d}")
+            else:
+                known = bool(stored_days(spark, bronze, day_before, day_before))
+            events = first_copies(events, core_events(read(spark, bronze, day_before, day_before)) if known else None)
+        rows, seen = flatten(events, event_date=F.col("event_date")), Observation("silver")
+        write_silver(rows, f"{base}/silver", first, last, seen)
+    return seen.get["rows"]
 
 
 def run_quarantine(spark: SparkSession, base: str, first: date, last: date | None = None) -> None:
@@ -115,7 +138,7 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
     }
     with room_for(spark, sum(bytes_in(spark, f"{path}/{name}") for name in STATES)):
         for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{path}/{name}")
+            write_version(rows, f"{path}/{name}")
     return read_gold(spark, path)
 
 
@@ -152,19 +175,37 @@ def run_marts(
             replace_slices(build(days, "event_date"), f"{gold}/{name}", ("event_date",), slices)
     with room_for(spark, bytes_in(spark, f"{gold}/fact_issue_lifecycle")):
         resolution = issue_resolution(read_gold(spark, gold))
-        resolution.write.mode("overwrite").parquet(f"{gold}/mart_issue_resolution")
+        write_version(resolution, f"{gold}/mart_issue_resolution")
     return read_marts(spark, base)
 
 
 def read_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    marts = {
-        name: spark.read.schema(ddl(columns)).parquet(f"{base}/gold/{name}")
-        for name, columns in MART_TYPES.items()
-    }
-    return {n: merge_slices(df, n) if n in ADDITIVE else df for n, df in marts.items()}
+    out = {}
+    for name, columns in MART_TYPES.items():
+        path = f"{base}/gold/{name}"
+        if name in ADDITIVE:
+            out[name] = merge_slices(spark.read.schema(ddl(columns)).parquet(path), name)
+        else:
+            out[name] = read_version(spark, path, columns)
+    return out
 
 
-def run_day(spark: SparkSession, base: str, first: date, last: date | None = None) -> Gold:
+def run_day(
+    spark: SparkSession,
+    base: str,
+    first: date,
+    last: date | None = None,
+    dedupe: bool = True,
+    dated: bool = False,
+) -> Gold:
     """Silver, then gold; an error in silver stops the run before gold is touched."""
-    run_silver(spark, base, first, last)
+    run_silver(spark, base, first, last, dedupe, dated)
     return run_gold(spark, base, first, last)
+
+
+def run_stream(spark: SparkSession, base: str, dedupe: bool = True) -> None:
+    """What has arrived in ``base/bronze`` since the last run, to ``base/streamed``."""
+    query = stream_to_silver(
+        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/streamed-progress", dedupe=dedupe
+    )
+    query.awaitTermination()

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import day_number
 from forgelake.functions.events import count_where
-from forgelake.operators.joins import heavy_counts, salted_join, with_calendar
+from forgelake.operators.joins import with_calendar
 from forgelake.tables import Gold
 
 MART_TYPES = {
@@ -65,14 +63,9 @@ def issue_resolution(gold: Gold) -> DataFrame:
         F.when(F.col("opened_at").isNotNull(), F.col("closed_at")).alias("closed_at"),
     )
     odd = firsts.filter(backwards)
-    closings = issues.filter(closed).select("event_id", "issue_id", "created_at")
+    closings = issues.filter(closed).select("issue_id", "created_at")
     later = (
-        salted_join(
-            closings,
-            odd.select("issue_id", "opened_at"),
-            ["issue_id"],
-            heavy=partial(heavy_counts, odd, ["issue_id"], "closings"),
-        )
+        closings.join(odd.select("issue_id", "opened_at"), "issue_id")
         .groupBy("issue_id", "opened_at")
         .agg(
             F.min(

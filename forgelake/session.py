@@ -10,8 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 SHUFFLE_BYTES = 64 * 1024 * 1024
-MOST_PARTITIONS = 100_000
-LARGE_RUN = 64 * 1024**3
+
+_LOCAL_FOLDER: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -61,20 +61,11 @@ def room_for(spark: SparkSession, input_bytes: int):
 
     Shuffles start with a partition per 64 MB, so that one fits into a task's memory, if the
     session does not give more already; adaptive execution merges those that turn out small.
-    Shuffled rows shrink to about a third as parquet, so large runs ask for larger pieces.
     """
-    initial, advisory = (
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-    )
-    values = {}
-    wanted = min(input_bytes // SHUFFLE_BYTES, MOST_PARTITIONS)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     given = spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    if wanted > int(given):
-        values[initial] = str(wanted)
-    if input_bytes >= LARGE_RUN and spark.conf.get(advisory, None) is None:
-        values[advisory] = "256MB"
-    return settings(spark, values)
+    wanted = input_bytes // SHUFFLE_BYTES
+    return settings(spark, {initial: str(wanted)} if wanted > int(given) else {})
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -87,6 +78,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="forgelake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL_FOLDER:
+            _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="forgelake-"))
+        root = _LOCAL_FOLDER[0]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.functions.events import event_time
@@ -12,9 +13,8 @@ from forgelake.schemas import BRONZE_DDL
 from forgelake.session import settings
 from forgelake.sources.lake import (
     dated_folders,
-    days_between,
-    exists,
     folder_day,
+    hadoop_path,
     read_slices,
     replace_slices,
 )
@@ -22,11 +22,8 @@ from forgelake.sources.lake import (
 SLICES_DDL = "event_date DATE, event_hour INT"
 # Fixed value: an hourly dump is named by day and hour, the hour without a leading zero.
 DUMP_NAME = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json"
-
-
-def _event_reader(spark: SparkSession, schema: str) -> DataFrameReader:
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", "_corrupt_record")
+# How lines that do not parse are read: as rows of NULLs with the text.
+CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -35,24 +32,34 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     A line that does not parse becomes a row of NULLs with the text in ``_corrupt_record``,
     instead of failing the file.
     """
-    return _event_reader(spark, BRONZE_DDL).json(path)
+    return spark.read.schema(BRONZE_DDL).options(**CORRUPT).json(path)
 
 
-def _dump_paths(spark: SparkSession, landing: str, first: date, last: date, hour: int | None):
-    hours = "*" if hour is None else str(hour)
-    globs = [f"{landing}/{day.isoformat()}-{hours}.json.gz" for day in days_between(first, last)]
-    found = [g for g in globs if exists(spark, g)]
+def find_dumps(
+    spark: SparkSession, landing: str, first: date, last: date, hour: int | None = None
+) -> dict[tuple[date, int], str]:
+    """The landed dumps of some days, or of one hour of each, by day and hour: one listing."""
+    files, folder = hadoop_path(spark, landing)
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    found = {}
+    for name in names:
+        parts = re.fullmatch(DUMP_NAME + r"\.gz", name)
+        if parts is None:
+            continue
+        day, at = date.fromisoformat(parts[1]), int(parts[2])
+        if first <= day <= last and hour in (None, at):
+            found[day, at] = f"{landing}/{name}"
     if not found:
-        raise ValueError(f"no hourly dumps in {landing} for {first} to {last}, hour {hours}")
+        raise ValueError(f"no hourly dumps in {landing} for {first} to {last}, hour {hour}")
     return found
 
 
 def _with_slice(df: DataFrame) -> DataFrame:
-    name = F.col("_metadata.file_path")
+    name, dump = F.col("_metadata.file_path"), ".*" + DUMP_NAME
     return df.select(
         *df.columns,
-        F.regexp_extract(name, DUMP_NAME, 1).cast("date").alias("event_date"),
-        F.regexp_extract(name, DUMP_NAME, 2).cast("int").alias("event_hour"),
+        F.regexp_extract(name, dump, 1).cast("date").alias("event_date"),
+        F.regexp_extract(name, dump, 2).cast("int").alias("event_hour"),
     )
 
 
@@ -64,7 +71,8 @@ def read_dumps(
     A gzip file is one task, so a day gives up to 24 and a range reads all its hours at once.
     A dump may also be a folder of gzip parts under the same name.
     """
-    return _with_slice(read_events(spark, _dump_paths(spark, landing, first, last, hour)))
+    dumps = find_dumps(spark, landing, first, last, hour)
+    return _with_slice(read_events(spark, list(dumps.values())))
 
 
 def land_dumps(
@@ -75,44 +83,44 @@ def land_dumps(
     last: date | None = None,
     hour: int | None = None,
     **options: str,
-) -> None:
-    """Store landed dumps in bronze by day and hour, replacing those hours.
+) -> int:
+    """Store landed dumps in bronze by day and hour, replacing the hours found; the lines stored.
+
+    An hour that has no dump, as when landing was cleaned up, stays as it is in bronze.
 
     Lines are kept as they are: bronze holds every field and every malformed line. There is no
     shuffle; a task reads a dump and writes the file of its hour. The plain text can be split
     again when it is read, which the gzipped dump could not.
     """
-    paths = _dump_paths(spark, landing, first, last or first, hour)
-    hours = range(24) if hour is None else [hour]
+    dumps = find_dumps(spark, landing, first, last or first, hour)
+    seen = Observation("landed")
     # A task may keep several files open, or it would have to sort its lines by hour first.
     with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "24"}):
         replace_slices(
-            _with_slice(spark.read.text(paths)),
+            _with_slice(spark.read.text(list(dumps.values()))),
             bronze,
             ("event_date", "event_hour"),
-            [
-                f"event_date={day.isoformat()}/event_hour={h}"
-                for day in days_between(first, last or first)
-                for h in hours
-            ],
+            [f"event_date={day.isoformat()}/event_hour={h}" for day, h in dumps],
             fmt="text",
             balance=False,
+            seen=seen,
             **options,
         )
+    return seen.get["rows"]
 
 
 def read_bronze(
     spark: SparkSession, bronze: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Stored bronze events, or those of some days."""
-    reader = _event_reader(spark, f"{BRONZE_DDL}, {SLICES_DDL}").format("json")
-    return read_slices(spark, reader, bronze, first, last)
+    schema = f"{BRONZE_DDL}, {SLICES_DDL}"
+    return read_slices(spark, "json", schema, bronze, first, last, **CORRUPT)
 
 
 def read_bronze_dated(spark: SparkSession, bronze: str, first: date, last: date) -> DataFrame:
     """Bronze events in the plain layout ``bronze/2024/01/31/05.json``, hours padded."""
-    events = read_events(spark, dated_folders(spark, bronze, first, last))
-    hour = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{2})\.json", 1).cast("int")
+    events = read_events(spark, dated_folders(spark, bronze, first, last, all_days=True))
+    hour = F.regexp_extract(F.col("_metadata.file_path"), r".*/(\d{2})\.json", 1).cast("int")
     return events.select(
         *events.columns, folder_day().alias("event_date"), hour.alias("event_hour")
     )

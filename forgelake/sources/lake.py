@@ -12,9 +12,10 @@ from collections.abc import Iterable
 from datetime import date, timedelta
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from forgelake.functions.events import instant_of
 from forgelake.schemas import DIMENSIONS, FACTS, SILVER_TYPES, ddl
 from forgelake.tables import Gold
 
@@ -35,15 +36,38 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(files.globStatus(folder))
 
 
-def _stored_partitions(spark: SparkSession, path: str, slices: Iterable[str], depth: int):
-    """The partitions that exist in the slices, each with one of its files."""
+def folders_in(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folders right below a path, by name: one listing; none if the path does not exist."""
+    files, folder = hadoop_path(spark, path)
+    if not files.exists(folder):
+        return {}
+    found = [s.getPath() for s in files.listStatus(folder) if s.isDirectory()]
+    return {p.getName(): p.toString() for p in found}
+
+
+def _stored_files(spark: SparkSession, path: str, slices: Iterable[str], depth: int) -> dict[str, set[str]]:
+    """Per partition folder of the slices its files: one listing of the table, one per slice."""
+    wanted = {piece.split("/")[0]: [] for piece in slices}
     for piece in slices:
-        below = depth - len(piece.split("/"))
-        files, pattern = hadoop_path(spark, f"{path}/{piece}" + "/*" * below)
-        for status in files.globStatus(pattern) or []:
-            if status.isDirectory():
-                content = files.listFiles(status.getPath(), False)
-                yield files, status.getPath(), content.next().getPath() if content.hasNext() else None
+        wanted[piece.split("/")[0]].append(piece)
+    tops = folders_in(spark, path)
+    any_top = "event_date=*" in wanted
+    out: dict[str, set[str]] = {}
+    for name, top in tops.items():
+        pieces = ["event_date=*"] if any_top else wanted.get(name)
+        if not pieces:
+            continue
+        files, folder = hadoop_path(spark, top)
+        whole = any("/" not in p for p in pieces)
+        below = {p.split("/", 1)[1] for p in pieces if "/" in p}
+        listed = files.listFiles(folder, True)
+        while listed.hasNext():
+            file = listed.next().getPath()
+            partition = file.getParent().toString()
+            inner = partition.removeprefix(folder.toString()).strip("/")
+            if (whole or inner in below) and inner.count("/") + bool(inner) == depth - 1:
+                out.setdefault(partition, set()).add(file.toString())
+    return out
 
 
 def replace_slices(
@@ -54,55 +78,74 @@ def replace_slices(
     fmt: str = "parquet",
     sort_by: tuple[str, ...] = (),
     balance: bool = True,
+    seen: Observation | None = None,
     **options: str,
 ) -> None:
     """Make the rows of ``df`` the whole content of ``slices``; other slices stay untouched.
 
     A slice is a partition path such as ``event_date=2024-01-31``. Dynamic overwrite replaces
     the partitions that receive rows and leaves the others as an earlier run wrote them. Those
-    are recognised by an old file that is still there, and removed. A second run with the same
+    are recognised by an old file that is still there, and removed; a folder that holds nothing
+    but files of this run is never touched. A second run with the same
     input gives the same table, also after a run that broke off.
 
     With ``balance`` rows are shuffled before the write: small groups share a file, a large
     group is cut into several, so neither many tiny files nor one huge task result from uneven
     days or types. Without it every task writes what it read, which is right where the input
-    files are of a good size already.
+    files are of a good size already. ``seen`` observes the number of ``rows`` written.
     """
     spark = df.sparkSession
-    before = list(_stored_partitions(spark, path, slices, len(partition_by)))
+    slices = list(slices)
+    before = _stored_files(spark, path, slices, len(partition_by))
     rows = df
     if balance:
         rows = rows.hint("rebalance", *partition_by)
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    if seen is not None:
+        # on top of the plan: an observation further down is lost where nothing comes out
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.options(**options).partitionBy(*partition_by).format(fmt).save(path)
-    for files, partition, old_file in before:
-        if old_file is None or files.exists(old_file):
-            files.delete(partition, True)
+    after = _stored_files(spark, path, slices, len(partition_by)) if before else {}
+    for partition, old in before.items():
+        if old & after.get(partition, set()):
+            files, folder = hadoop_path(spark, partition)
+            files.delete(folder, True)
 
 
 def day_slices(first: date, last: date) -> list[str]:
     return [f"event_date={day.isoformat()}" for day in days_between(first, last)]
 
 
+def stored_days(spark: SparkSession, path: str, first: date, last: date) -> list[str]:
+    """The slices ``first`` to ``last`` that have a folder."""
+    there = folders_in(spark, path)
+    return [piece for piece in day_slices(first, last) if piece in there]
+
+
 def read_slices(
     spark: SparkSession,
-    reader: DataFrameReader,
+    fmt: str,
+    schema: str,
     path: str,
     first: date | None,
     last: date | None,
+    **options: str,
 ) -> DataFrame:
     """A stored table, or its slices ``first`` to ``last``; the filter prunes partitions.
 
-    Between two given days only their folders are listed, so that a daily job does not walk
-    through years of folders to find its own.
+    Between two given days only their folders are read, so that a daily job does not walk
+    through years of folders to find its own. Days without a folder have no rows.
     """
-    paths = []
+    reader = spark.read.format(fmt).schema(schema).options(**options).option("basePath", path)
     if first is not None and last is not None:
-        folders = [f"{path}/{piece}" for piece in day_slices(first, last)]
-        paths = [f for f in folders if exists(spark, f)]
-    rows = reader.option("basePath", path).load(paths or path)
+        found = stored_days(spark, path, first, last)
+        if not found:
+            return spark.createDataFrame([], schema)
+        rows = reader.load([f"{path}/{piece}" for piece in found])
+    else:
+        rows = reader.load(path)
     if first is not None:
         rows = rows.filter(F.col("event_date") >= F.lit(first))
     if last is not None:
@@ -110,6 +153,29 @@ def read_slices(
     return rows
 
 
+def write_version(rows: DataFrame, path: str) -> None:
+    """Write a table anew beside its former version, which readers use until this one is whole.
+
+    A version counts once its write has left the success mark. The version before it stays for
+    readers that still hold it; older ones go.
+    """
+    spark = rows.sparkSession
+    versions = sorted(int(n.removeprefix("version=")) for n in folders_in(spark, path) if n.startswith("version="))
+    new = (versions[-1] if versions else 0) + 1
+    rows.write.mode("overwrite").parquet(f"{path}/version={new}")
+    for old in versions[:-1]:
+        files, folder = hadoop_path(spark, f"{path}/version={old}")
+        files.delete(folder, True)
+
+
+def read_version(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """The newest whole version of a table."""
+    for name in sorted(folders_in(spark, path), key=lambda n: (len(n), n), reverse=True):
+        if name.startswith("version=") and exists(spark, f"{path}/{name}/_SUCCESS"):
+            return spark.read.schema(ddl(columns)).parquet(f"{path}/{name}").select(*columns)
+    raise ValueError(f"{path} has not been written")
+
+
 def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> int:
     """Size of the files in the given slices of a table."""
     total = 0
@@ -120,18 +186,21 @@ def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> i
     return total
 
 
-def dated_folders(spark: SparkSession, root: str, first: date, last: date) -> list[str]:
+def dated_folders(
+    spark: SparkSession, root: str, first: date, last: date, all_days: bool = False
+) -> list[str]:
     """The folders ``root/2024/01/31`` that exist; ``root`` may be a glob."""
-    folders = [f"{root}/{day:%Y/%m/%d}" for day in days_between(first, last)]
-    found = [f for f in folders if exists(spark, f)]
-    if not found:
-        raise ValueError(f"nothing in {root} for {first} to {last}")
-    return found
+    folders = {day: f"{root}/{day:%Y/%m/%d}" for day in days_between(first, last)}
+    found = {day: f for day, f in folders.items() if exists(spark, f)}
+    if not found or all_days and len(found) < len(folders):
+        missing = ", ".join(str(d) for d in folders if d not in found)
+        raise ValueError(f"nothing in {root} for {missing}")
+    return list(found.values())
 
 
 def folder_day() -> Column:
-    """The day that the folders of the row's file name."""
-    path, parts = F.col("_metadata.file_path"), r"/(\d{4})/(\d{2})/(\d{2})/"
+    """The day that the folders of the row's file name; folders further up may look like one."""
+    path, parts = F.col("_metadata.file_path"), r".*/(\d{4})/(\d{2})/(\d{2})/"
     return F.concat_ws("-", *[F.regexp_extract(path, parts, n) for n in (1, 2, 3)]).cast("date")
 
 
@@ -145,7 +214,7 @@ def read_silver_dated(spark: SparkSession, root: str, first: date, last: date) -
     tables = spark.read.schema(ddl({**stored, "created_at": "STRING"}))
     rows = tables.parquet(*dated_folders(spark, f"{root}/*", first, last))
     rows = rows.select(*stored, folder_day().alias("event_date"))
-    return rows.withColumn("created_at", F.col("created_at").try_cast("timestamp")).filter(
+    return rows.withColumn("created_at", instant_of("created_at")).filter(
         F.col("event_id").isNotNull() & F.col("created_at").isNotNull()
     )
 
@@ -158,8 +227,7 @@ def read_silver(
     The schema is given, not taken from a file, so days written before a column existed
     read as NULL there.
     """
-    reader = spark.read.format("parquet").schema(ddl(SILVER_TYPES))
-    return read_slices(spark, reader, path, first, last).select(*SILVER_TYPES)
+    return read_slices(spark, "parquet", ddl(SILVER_TYPES), path, first, last).select(*SILVER_TYPES)
 
 
 def read_gold(
@@ -176,14 +244,13 @@ def read_gold(
     """
 
     def dimension(name: str) -> DataFrame:
-        columns = DIMENSIONS[name]
-        return spark.read.schema(ddl(columns)).parquet(f"{path}/{name}").select(*columns)
+        return read_version(spark, f"{path}/{name}", DIMENSIONS[name])
 
     def fact(name: str) -> DataFrame:
         columns = FACTS[name]["columns"]
-        reader = spark.read.format("parquet").schema(ddl({**columns, "event_date": "DATE"}))
+        schema = ddl({**columns, "event_date": "DATE"})
         kept = [*columns, "event_date"] if with_slice else [*columns]
-        return read_slices(spark, reader, f"{path}/{name}", first, last).select(*kept)
+        return read_slices(spark, "parquet", schema, f"{path}/{name}", first, last).select(*kept)
 
     return Gold(
         {

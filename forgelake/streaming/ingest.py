@@ -2,32 +2,55 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from forgelake.operators.silver import flatten
+from forgelake.operators.silver import drop_repeats, flatten
 from forgelake.schemas import BRONZE_DDL, SILVER_TYPES, ddl
-from forgelake.session import prepare, settings
-from forgelake.sources.lake import read_slices
+from forgelake.session import prepare
+from forgelake.sources.lake import folders_in, read_slices
 
-STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The file source forgets files older than this and would skip them. Landing is by day and hour,
+# and a day may be caught up on years later, so nothing is old.
+FILES_ARE_NEVER_OLD = "100000d"
 
 
 def bronze_stream(spark: SparkSession, bronze: str, files_per_batch: int = 1000) -> DataFrame:
     """Raw events as a stream of files. Files per batch bound the work after a long pause."""
     reader = spark.readStream.schema(f"{BRONZE_DDL}, event_date DATE, event_hour INT")
     reader = reader.option("mode", "PERMISSIVE").option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFileAge", FILES_ARE_NEVER_OLD)
     return reader.option("columnNameOfCorruptRecord", "_corrupt_record").json(bronze)
 
 
-def _append_batch(silver: str):
+def _stored_ids(spark: SparkSession, silver: str, batch: DataFrame, batch_id: int) -> DataFrame:
+    """(event_id) of earlier batches, in the slices of this one and those next to them."""
+    # one row per day that the batch's files came from
+    days = {r.event_date for r in batch.select("event_date").distinct().collect()}
+    around = {f"event_date={d + timedelta(days=n)}" for d in days for n in (-1, 0, 1)}
+    paths = [
+        path
+        for name, folder in folders_in(spark, silver).items() if name in around
+        for piece, path in folders_in(spark, folder).items() if piece != f"batch_id={batch_id}"
+    ]
+    schema = f"{ddl(SILVER_TYPES)}, batch_id BIGINT"
+    if not paths:
+        return spark.createDataFrame([], schema).select("event_id")
+    return spark.read.schema(schema).option("basePath", silver).parquet(*paths).select("event_id")
+
+
+def _append_batch(silver: str, dedupe: bool):
     def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch
+        if dedupe:
+            known = _stored_ids(batch.sparkSession, silver, batch, batch_id)
+            rows = drop_repeats(rows).join(known, "event_id", "left_anti")
         # A batch owns its folders: if it is replayed after a failure it overwrites them, so
         # every event is stored once although foreachBatch itself only promises at-least-once.
-        rows = batch.withColumn("batch_id", F.lit(batch_id))
+        rows = rows.withColumn("batch_id", F.lit(batch_id))
         rows = rows.hint("rebalance", "event_date")
         rows = rows.sortWithinPartitions("event_date", "event_type")
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -41,28 +64,23 @@ def stream_to_silver(
     bronze: str,
     silver: str,
     checkpoint: str,
-    dedupe_within: str | None = None,
+    dedupe: bool = False,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Start a query that takes all files there are and then ends; run it again to catch up.
 
-    Flattening needs no state. ``dedupe_within`` (for example ``"2 hours"``) drops an event id
-    that comes again within that time, such as from an hour fetched twice.
+    Nothing is dropped for being late: flattening needs no state, and ``dedupe`` looks for an
+    event's id in the batch itself and in what earlier batches have stored for its slice and the
+    two beside it, not in a window of event time. Slices may arrive in any order.
     """
     events = bronze_stream(prepare(spark), bronze, files_per_batch)
     rows = flatten(events, event_date=F.col("event_date"))
-    if dedupe_within is not None:
-        rows = rows.withWatermark("created_at", dedupe_within)
-        rows = rows.dropDuplicatesWithinWatermark(["event_id"])
-    writer = rows.writeStream.foreachBatch(_append_batch(silver))
-    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    # Ids of the whole delay are kept as state: on disk rather than in executor memory.
-    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": STATE_ON_DISK}):
-        return writer.start()
+    writer = rows.writeStream.foreachBatch(_append_batch(silver, dedupe))
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_streamed_silver(
     spark: SparkSession, silver: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    reader = spark.read.format("parquet").schema(f"{ddl(SILVER_TYPES)}, batch_id BIGINT")
-    return read_slices(spark, reader, silver, first, last).select(*SILVER_TYPES)
+    schema = f"{ddl(SILVER_TYPES)}, batch_id BIGINT"
+    return read_slices(spark, "parquet", schema, silver, first, last).select(*SILVER_TYPES)

@@ -2,7 +2,9 @@
 
 Only event_id, ts and user_id are read. With e = event_id, slot = e % 20, g = e div 20 the
 slot decides the event type, and the other fields follow from e, g and the user, so that the
-same facts can be worked out from ``events`` in plain SQL.
+same facts can be worked out from ``events`` in plain SQL. Repositories and organisations grow
+in number with the events; early events carry former names of some developers, repositories and
+organisations, and some repositories later move from an organisation to a person.
 """
 
 from __future__ import annotations
@@ -39,8 +41,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN slot IN (13, 14) THEN u
                 WHEN slot = 15 THEN u * 3
                 ELSE g END AS x""",
-        "CASE WHEN u % 10 = 0 THEN concat('dev-', u, '[bot]') ELSE concat('dev-', u) END AS login",
-    ).selectExpr("*", "1000 + x % 37 AS repo_id")
+        """concat('dev-', u, CASE WHEN u % 7 = 0 AND g < 25 THEN '-old' ELSE '' END,
+                  CASE WHEN u % 10 = 0 THEN '[bot]' ELSE '' END) AS login""",
+    ).selectExpr("*", "1000 + x % 37 + 37 * (x DIV 200) AS repo_id").selectExpr(
+        "*", "100 + repo_id % 5 + 5 * (repo_id DIV 200) AS owner"
+    )
     action = """CASE WHEN slot IN (5, 7) THEN 'opened' WHEN slot IN (6, 8) THEN 'closed'
                      WHEN slot = 9 THEN 'reopened' WHEN slot IN (10, 11, 12) THEN 'created'
                      WHEN slot IN (13, 14) THEN 'started' END"""
@@ -64,8 +69,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                   concat('owner-', repo_id % 5, '/repo-', repo_id,
                          CASE WHEN repo_id % 9 = 0 AND g < 25 THEN '-old' ELSE '' END) AS name
            ) AS repo""",
-        """CASE WHEN repo_id % 4 <> 0 THEN
-             struct(100 + repo_id % 5 AS id, concat('org-', (100 + repo_id % 5) % 100) AS login)
+        """CASE WHEN repo_id % 4 <> 0 AND NOT (repo_id % 11 = 0 AND g >= 25) THEN
+             struct(owner AS id, concat('org-', owner - 100,
+                    CASE WHEN owner % 2 = 0 AND g < 25 THEN '-old' ELSE '' END) AS login)
            END AS org""",
         f"""struct(
               {action} AS action,

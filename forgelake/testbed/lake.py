@@ -7,12 +7,19 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgelake.operators.silver import flatten, of_type
+from forgelake.schemas import TYPE_PATHS
 from forgelake.session import shared_folder
-from forgelake.sources.lake import hadoop_path, replace_slices
-from forgelake.testbed.adapter import raw_lines
+from forgelake.sources.lake import folders_in, hadoop_path, replace_slices
+from forgelake.testbed.adapter import raw_events, raw_lines
 
-# The driver's events all lie in this month.
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
+
+def span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last day of the events."""
+    day = F.to_date("ts")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    row = events.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return row["first"], row["last"]
 
 
 def write_bronze(lines: DataFrame, bronze: str) -> None:
@@ -45,6 +52,59 @@ def landing_lake(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+def clean_landing(spark: SparkSession, base: str, keep_hours: tuple[int, ...]) -> None:
+    """Remove the dumps of all other hours, as retention would."""
+    files, landing = hadoop_path(spark, f"{base}/landing")
+    for status in files.listStatus(landing):
+        name = status.getPath().getName()
+        if int(name.removesuffix(".json.gz").rsplit("-", 1)[1]) not in keep_hours:
+            files.delete(status.getPath(), True)
+
+
+def age_files(spark: SparkSession, bronze: str, day: date, days: int) -> None:
+    """Set back the modification times of a day's files."""
+    files, folder = hadoop_path(spark, f"{bronze}/event_date={day}")
+    listed = files.listFiles(folder, True)
+    while listed.hasNext():
+        status = listed.next()
+        files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def dated_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze in the plain layout ``2024/01/31/05.json``."""
+    base = shared_folder(spark, "lake")
+    staged = f"{base}/staged"
+    day, hour = F.date_format("event_date", "yyyy/MM/dd"), F.format_string("%02d", "event_hour")
+    rows = raw_lines(spark, sf_dir).select("value", F.concat_ws("/", day, hour).alias("place"))
+    # a partition value may not hold the slashes: they become folders when it is moved
+    rows = rows.withColumn("place", F.translate("place", "/", "-"))
+    rows.repartition("place").write.partitionBy("place").text(staged)
+    for name, path in folders_in(spark, staged).items():
+        y, m, d, h = name.removeprefix("place=").split("-")
+        files, target = hadoop_path(spark, f"{base}/bronze/{y}/{m}/{d}/{h}.json")
+        files.mkdirs(target.getParent())
+        files.rename(files.listFiles(hadoop_path(spark, path)[1], False).next().getPath(), target)
+    return base
+
+
+def type_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Silver as a table per type and day, ``root/PushEvent/2024/01/31``, the time as text."""
+    root = shared_folder(spark, "lake")
+    staged = f"{root}/staged"
+    silver = flatten(raw_events(spark, sf_dir))
+    text = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    for kind in TYPE_PATHS:
+        rows = of_type(silver, kind).withColumn("day", F.date_format("created_at", "yyyy-MM-dd"))
+        rows = rows.withColumn("created_at", text)
+        rows.write.partitionBy("day").parquet(f"{staged}/{kind}")
+        for name, path in folders_in(spark, f"{staged}/{kind}").items():
+            y, m, d = name.removeprefix("day=").split("-")
+            files, target = hadoop_path(spark, f"{root}/tables/{kind}/{y}/{m}/{d}")
+            files.mkdirs(target.getParent())
+            files.rename(hadoop_path(spark, path)[1], target)
+    return f"{root}/tables"
+
+
 def spoiled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of which some are damaged, by event type, in the ways real dumps are.
 

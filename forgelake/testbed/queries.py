@@ -16,7 +16,7 @@ from forgelake.plans.gold import register_views, transform_to_gold
 from forgelake.schemas import COMMON_PATHS, FACTS, SILVER_TYPES, TYPE_PATHS, ddl
 from forgelake.session import prepare, shared_folder
 from forgelake.sources import bronze as B
-from forgelake.sources.lake import read_silver
+from forgelake.sources.lake import read_silver, read_silver_dated
 from forgelake.sources.tables import read_table, write_table
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
 from forgelake.tables import Gold
@@ -67,7 +67,7 @@ def _envelope(events: DataFrame) -> DataFrame:
 
 def bronze_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.landing_lake(spark, sf_dir)
-    return _envelope(B.read_dumps(spark, f"{base}/landing", lake.FIRST, lake.LAST))
+    return _envelope(B.read_dumps(spark, f"{base}/landing", *lake.span(spark, sf_dir)))
 
 
 def bronze_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,9 +77,20 @@ def bronze_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.landing_lake(spark, sf_dir)
-    jobs.run_bronze(spark, base, lake.FIRST, lake.LAST)
+    landed = jobs.run_bronze(spark, base, *lake.span(spark, sf_dir))
     events = B.read_bronze(spark, f"{base}/bronze")
-    return events.groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("events"))
+    return events.groupBy("event_date", "event_hour").agg(
+        F.count(F.lit(1)).alias("events"), F.lit(landed).cast("bigint").alias("landed")
+    )
+
+
+def bronze_relanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dumps, and all days once more after most dumps have left the landing folder."""
+    base, days = lake.landing_lake(spark, sf_dir), lake.span(spark, sf_dir)
+    jobs.run_bronze(spark, base, *days)
+    lake.clean_landing(spark, base, keep_hours=(3, 4))
+    jobs.run_bronze(spark, base, *days)
+    return _envelope(B.read_bronze(spark, f"{base}/bronze"))
 
 
 def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +113,7 @@ def silver_of_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.bronze_lake(spark, sf_dir)
-    jobs.run_silver(spark, base, lake.FIRST, lake.LAST)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
     return read_silver(spark, f"{base}/silver", ONE_DAY, ONE_DAY)
 
 
@@ -114,7 +125,7 @@ def silver_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.bronze_lake(spark, sf_dir)
-    jobs.run_silver(spark, base, lake.FIRST, lake.LAST)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
     jobs.run_silver(spark, base, *RANGE)
     return S.counts_by_type(read_silver(spark, f"{base}/silver"))
 
@@ -127,10 +138,22 @@ def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark, "lake")
     lake.write_bronze(lake.refetched_lines(spark, sf_dir), f"{base}/bronze")
-    jobs.run_silver(spark, base, lake.FIRST, lake.LAST, dedupe=True)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
     return read_silver(spark, f"{base}/silver")
 
 
+def silver_from_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = lake.dated_lake(spark, sf_dir)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir), dated=True)
+    return read_silver(spark, f"{base}/silver")
+
+
+def gold_from_type_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repository health from silver that is kept as a table per type and day."""
+    root, days = lake.type_tables(spark, sf_dir), lake.span(spark, sf_dir)
+    return analytics.repo_health(transform_to_gold(read_silver_dated(spark, root, *days)))
+
+
 def _round_trip(fmt: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         silver = silver_of(spark, sf_dir)
@@ -155,9 +178,10 @@ def gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _in_two_runs(spark: SparkSession, sf_dir: str) -> Gold:
     """Gold stored by one run over the later days and one over the earlier, with a week in both."""
     base = lake.bronze_lake(spark, sf_dir)
-    jobs.run_silver(spark, base, lake.FIRST, lake.LAST)
-    jobs.run_gold(spark, base, RANGE[0], lake.LAST)
-    return jobs.run_gold(spark, base, lake.FIRST, RANGE[1])
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
+    first, last = lake.span(spark, sf_dir)
+    jobs.run_gold(spark, base, RANGE[0], last)
+    return jobs.run_gold(spark, base, first, RANGE[1])
 
 
 def facts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,12 +232,57 @@ def stream_silver_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_folder(spark, "lake")
     lake.write_bronze(lake.refetched_lines(spark, sf_dir), f"{base}/bronze")
     run = stream_to_silver(
-        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/progress", dedupe_within="60 days"
+        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/progress", dedupe=True
     )
     run.awaitTermination()
     return read_streamed_silver(spark, f"{base}/streamed")
 
 
+def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks that arrive newest first, the last one with files that look a month old."""
+    base = shared_folder(spark, "lake")
+    lines, (first, last) = lake.refetched_lines(spark, sf_dir), lake.span(spark, sf_dir)
+    for end in reversed(range(0, (last - first).days + 1, 7)):
+        week = F.datediff("event_date", F.lit(first)).between(end, end + 6)
+        lake.write_bronze(lines.filter(week), f"{base}/bronze")
+        if end == 0:
+            lake.age_files(spark, f"{base}/bronze", first, days=30)
+        jobs.run_stream(spark, base)
+    return read_streamed_silver(spark, f"{base}/streamed")
+
+
+def _refetched_gold(spark: SparkSession, sf_dir: str) -> tuple[str, Gold]:
+    """Stored gold of a lake in which an hour of every day was fetched twice, run day by day."""
+    base, (first, last) = shared_folder(spark, "lake"), lake.span(spark, sf_dir)
+    lake.write_bronze(lake.refetched_lines(spark, sf_dir), f"{base}/bronze")
+    jobs.run_silver(spark, base, first, RANGE[0])
+    jobs.run_silver(spark, base, RANGE[0], last)
+    return base, jobs.run_gold(spark, base, first, last)
+
+
+def developer_profile_refetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.developer_profile(_refetched_gold(spark, sf_dir)[1])
+
+
+def developer_totals_from_mart_refetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, gold = _refetched_gold(spark, sf_dir)
+    return marts.developer_totals_from(jobs.run_marts(spark, base)["mart_developer_activity"], gold)
+
+
+def _stored_mart(name: str) -> Query:
+    """A mart after runs over the later days, the earlier ones, and a week once more."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base, (first, last) = lake.bronze_lake(spark, sf_dir), lake.span(spark, sf_dir)
+        jobs.run_silver(spark, base, first, last)
+        for days in ((RANGE[0], last), (first, RANGE[1]), RANGE):
+            jobs.run_gold(spark, base, *days)
+            stored = jobs.run_marts(spark, base, *days)
+        return stored[name]
+
+    return query
+
+
 def sql_weekend_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = register_views(gold_of(spark, sf_dir))
     return session.sql(SQL_REPORT, args={"event_type": "PushEvent"})
@@ -221,14 +290,14 @@ def sql_weekend_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.bronze_lake(spark, sf_dir)
-    jobs.run_silver(spark, base, lake.FIRST, lake.LAST)
-    return analytics.repo_health(jobs.run_gold(spark, base, lake.FIRST, lake.LAST))
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
+    return analytics.repo_health(jobs.run_gold(spark, base, *lake.span(spark, sf_dir)))
 
 
 def stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.bronze_lake(spark, sf_dir)
-    jobs.run_silver(spark, base, lake.FIRST, lake.LAST)
-    gold = jobs.run_gold(spark, base, lake.FIRST, lake.LAST)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
+    gold = jobs.run_gold(spark, base, *lake.span(spark, sf_dir))
     stored = jobs.run_marts(spark, base)
     return marts.monthly_commits_from(stored["mart_repo_daily_stats"], gold)
 
@@ -253,6 +322,9 @@ ANALYTICS: dict[str, Query] = {
     "monthly_commits": _on_gold(analytics.monthly_commits),
     "pr_merge_rate": _on_gold(analytics.pr_merge_rate),
     "top_pushers_30d": _on_gold(lambda g: analytics.top_pushers(g, as_of=AS_OF)),
+    "top_pushers_mid_month": _on_gold(
+        lambda g: analytics.top_pushers(g, as_of=date(2024, 1, 10), days=7)
+    ),
     "live_branches": _on_gold(analytics.live_branches),
     "weekly_stars": _on_gold(analytics.weekly_stars),
     "fork_log": _on_gold(analytics.fork_log),
@@ -277,6 +349,7 @@ OTHERS: dict[str, Query] = {
     "bronze_read": bronze_read,
     "bronze_day": bronze_day,
     "ingest_counts": ingest_counts,
+    "bronze_relanded": bronze_relanded,
     "bronze_quarantine": bronze_quarantine,
     "silver_of_spoiled": silver_of_spoiled,
     "silver_day": silver_day,
@@ -284,6 +357,8 @@ OTHERS: dict[str, Query] = {
     "silver_rerun": silver_rerun,
     "silver_sparse": _on_raw(S.flatten),
     "silver_union": silver_union,
+    "silver_from_dated": silver_from_dated,
+    "gold_from_type_tables": gold_from_type_tables,
     "silver_deduped": silver_deduped,
     "silver_counts_by_type": _on_silver(S.counts_by_type),
     "event_types_present": _on_raw(S.event_types_present),
@@ -301,6 +376,8 @@ OTHERS: dict[str, Query] = {
     "dim_repo_enriched": dim_repo_enriched,
     "dim_actor_incremental": lambda spark, sf_dir: _in_two_runs(spark, sf_dir)["dim_actor"],
     "dim_repo_incremental": lambda spark, sf_dir: _in_two_runs(spark, sf_dir)["dim_repo"],
+    "dim_date_incremental": lambda spark, sf_dir: _in_two_runs(spark, sf_dir)["dim_date"],
+    "dim_org_incremental": lambda spark, sf_dir: _in_two_runs(spark, sf_dir)["dim_org"],
     **{name: _table(name) for name in FACTS},
     "facts_stored": facts_stored,
     "gold_counts": gold_counts,
@@ -317,9 +394,14 @@ OTHERS: dict[str, Query] = {
     ),
     "stored_repo_health": stored_repo_health,
     "stored_marts": stored_marts,
+    "stored_issue_resolution": _stored_mart("mart_issue_resolution"),
+    "stored_developer_activity": _stored_mart("mart_developer_activity"),
+    "developer_profile_refetched": developer_profile_refetched,
+    "developer_totals_from_mart_refetched": developer_totals_from_mart_refetched,
     "sql_weekend_report": sql_weekend_report,
     "stream_silver": stream_silver,
     "stream_silver_deduped": stream_silver_deduped,
+    "stream_silver_late": stream_silver_late,
     "dq_duplicate_events": dq_duplicate_events,
     "dq_orphan_keys": dq_orphan_keys,
     "dq_sparse_profile": _on_silver(quality.sparse_profile),

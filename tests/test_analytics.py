@@ -2,8 +2,7 @@ from datetime import date, datetime
 
 import pytest
 
-from forgelake.operators import joins
-from forgelake.operators.joins import repeat_rows, salted_join
+from forgelake.operators.joins import repeat_rows
 from forgelake.plans import analytics as A
 from forgelake.plans import marts as M
 from forgelake.plans.gold import transform_to_gold
@@ -137,39 +136,6 @@ def test_resolution_takes_first_close_after_open(rows):
     }
 
 
-@pytest.fixture(params=["broadcast", 1, 3, 10**6])
-def split_size(request, spark, monkeypatch):
-    if request.param == "broadcast":
-        yield
-        return
-    monkeypatch.setattr(joins, "ROWS_PER_SPLIT", request.param)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, split_size, how):
-    # One key has a third of the rows, and some rows have no key at all.
-    left = spark.range(90).selectExpr(
-        "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 20 END AS k"
-    )
-    right = spark.range(12).selectExpr("id + 2 AS k", "id * 10 AS v").unionAll(
-        spark.sql("SELECT CAST(7 AS BIGINT), CAST(-1 AS BIGINT)")
-    )
-    salted, plain = salted_join(left, right, ["k"], how), left.join(right, "k", how)
-    columns = plain.columns
-    assert sorted(salted.columns) == sorted(columns)
-    assert sorted(map(str, salted.select(*columns).collect())) == sorted(map(str, plain.collect()))
-
-
-def test_heavy_keys_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(joins, "ROWS_PER_SPLIT", 100)
-    left = spark.range(3000).selectExpr("id", "IF(id < 1000, 0, id) AS k")
-    heavy = joins.heavy_keys(left, ["k"]).collect()
-    assert [tuple(r) for r in heavy] == [(0, 10)]
-
-
 def test_rows_are_repeated_in_pieces(spark):
     df = spark.createDataFrame([("a", 1), ("b", 7), (None, 3)], "k STRING, n BIGINT")
     got = sorted(str(r["k"]) for r in repeat_rows(df, "n", most=3).collect())

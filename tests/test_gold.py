@@ -38,7 +38,8 @@ def test_dimension_takes_latest_known_name(rows):
         {"event_id": "3", "repo_name": None, "created_at": "2024-01-03 00:00:00"},
     )
     gold = transform_to_gold(silver)
-    assert [tuple(r) for r in gold["dim_repo"].collect()] == [(10, "o/new", 5, None)]
+    # An event without an owner means that there is none any more.
+    assert [tuple(r) for r in gold["dim_repo"].collect()] == [(10, "o/new", None, None)]
     assert [tuple(r) for r in gold["dim_org"].collect()] == [(5, "o", "Organization")]
 
 

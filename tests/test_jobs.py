@@ -1,4 +1,6 @@
 import json
+import os
+import shutil
 from datetime import date
 
 import pytest
@@ -11,8 +13,8 @@ from forgelake.operators.silver import flatten, of_type
 from forgelake.plans import analytics, jobs, marts
 from forgelake.plans.gold import transform_to_gold
 from forgelake.schemas import FACTS
-from forgelake.session import room_for, shared_folder
-from forgelake.sources.bronze import read_bronze
+from forgelake.session import room_for, settings, shared_folder
+from forgelake.sources.bronze import read_bronze, read_bronze_dated
 from forgelake.sources.lake import read_gold, read_silver, read_silver_dated
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
 
@@ -21,8 +23,8 @@ PUSH = {"push_id": 1, "size": 2, "ref": "refs/heads/main"}
 
 
 def ev(n, kind, day, payload=None, **more):
-    moment = f"{day}T05:00:00Z"
-    return event(n, kind, PUSH if payload is None else payload, created_at=moment, **more)
+    more.setdefault("created_at", f"{day}T05:00:00Z")
+    return event(n, kind, PUSH if payload is None else payload, **more)
 
 
 @pytest.fixture
@@ -106,9 +108,9 @@ def test_quarantine_dedupe_and_marts(spark, tmp_path):
         jobs.run_quarantine(spark, str(tmp_path), D1)
         bad = spark.read.parquet(f"{tmp_path}/quarantine").collect()
         assert [(r["line"], r["kept"], str(r["event_date"])) for r in bad] == [("{broken", False, "2024-01-01")]
-    jobs.run_silver(spark, str(tmp_path), D1)
+    assert jobs.run_silver(spark, str(tmp_path), D1, dedupe=False) == 2
     assert read_silver(spark, f"{tmp_path}/silver").count() == 2
-    jobs.run_silver(spark, str(tmp_path), D1, dedupe=True)
+    assert jobs.run_silver(spark, str(tmp_path), D1) == 1
     assert read_silver(spark, f"{tmp_path}/silver").count() == 1
     jobs.run_gold(spark, str(tmp_path), D1)
     stats = jobs.run_marts(spark, str(tmp_path))["mart_repo_daily_stats"].collect()
@@ -166,7 +168,7 @@ def test_stream_drops_an_hour_fetched_twice(spark, base):
     dump(base / "landing", D1, 6, ev(1, "PushEvent", D1), ev(7, "PushEvent", D1))
     jobs.run_bronze(spark, str(base), D1)
     query = stream_to_silver(
-        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/progress", dedupe_within="1 day", files_per_batch=1
+        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/progress", dedupe=True, files_per_batch=1
     )
     query.awaitTermination()
     got = read_streamed_silver(spark, f"{base}/streamed")
@@ -211,16 +213,15 @@ def test_gold_from_streamed_silver(spark, base):
 
 def test_job_settings_are_given_back(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    with room_for(spark, 10**14):
-        assert (spark.conf.get(key), spark.conf.get(advisory)) == ("100000", "256MB")
-    assert spark.conf.get(key, None) is None and spark.conf.get(advisory, None) is None
+    with room_for(spark, 64 * 2**20 * 2_000_000):
+        assert spark.conf.get(key) == "2000000"
+    assert spark.conf.get(key, None) is None
     with room_for(spark, 10**6):
         assert spark.conf.get(key, None) is None
-    spark.conf.set(key, "1000000")
+    spark.conf.set(key, "3000000")
     with room_for(spark, 10**14):
-        assert spark.conf.get(key) == "1000000"
-    assert spark.conf.get(key) == "1000000"
+        assert spark.conf.get(key) == "3000000"
+    assert spark.conf.get(key) == "3000000"
     spark.conf.unset(key)
 
 
@@ -244,3 +245,118 @@ def test_dated_layouts_are_read(spark, tmp_path):
     assert content(again) == content(silver.withColumn("org_login", F.lit(None).cast("string")))
     with pytest.raises(ValueError, match="nothing in"):
         read_silver_dated(spark, f"{tmp_path}/tables", D2, D3)
+
+
+def test_an_hour_missing_from_landing_keeps_its_bronze(spark, base):
+    dump(base / "landing", D1, 6, ev(7, "PushEvent", D1))
+    assert jobs.run_bronze(spark, str(base), D1) == 3
+    (base / "landing" / f"{D1}-5.json.gz").unlink()
+    assert jobs.run_bronze(spark, str(base), D1) == 1
+    assert sorted(r["id"] for r in read_bronze(spark, f"{base}/bronze").collect()) == ["1", "2", "7"]
+
+
+def test_a_day_missing_from_bronze_stops_the_run(spark, base):
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    before = all_gold(spark, base)
+    shutil.rmtree(base / "bronze" / f"event_date={D1}")
+    for days in ((D1, D1), (D1, D2)):
+        with pytest.raises(ValueError, match=f"event_date={D1}"):
+            jobs.run_day(spark, str(base), *days)
+    assert read_silver(spark, f"{base}/silver", D1, D1).count() == 2
+    assert all_gold(spark, base) == before
+    # Days that silver has not are no days for gold, but no error either.
+    jobs.run_gold(spark, str(base), D3)
+    assert all_gold(spark, base) == before
+
+
+def test_a_folder_left_empty_by_a_broken_run_harms_nothing(spark, base):
+    jobs.run_bronze(spark, str(base), D1, D2)
+    (base / "silver" / f"event_date={D1}").mkdir(parents=True)
+    jobs.run_silver(spark, str(base), D1, D2)
+    assert sorted(r["event_id"] for r in read_silver(spark, f"{base}/silver").collect()) == ["1", "2", "3", "5"]
+
+
+def test_stream_takes_late_stray_and_old_files(spark, base):
+    dump(base / "landing", D1, 6, ev(8, "PushEvent", D1) | {"created_at": "9998-01-01T00:00:00Z"})
+    dump(base / "landing", D3, 5, ev(9, "PushEvent", D3), ev(3, "PushEvent", D3))
+
+    def stream(day):
+        jobs.run_bronze(spark, str(base), day)
+        if day == D1:
+            for f in (base / "bronze").rglob("part-*"):
+                if f"event_date={D1}" in str(f):
+                    os.utime(f, (1, 1))
+        jobs.run_stream(spark, str(base))
+
+    for day in (D3, D1, D2):
+        stream(day)
+    got = read_streamed_silver(spark, f"{base}/streamed")
+    assert sorted(r["event_id"] for r in got.collect()) == ["1", "2", "3", "5", "8", "9"]
+
+
+def test_a_repeat_across_midnight_goes_whatever_the_range(spark, base):
+    dump(base / "landing", D2, 0, ev(1, "PushEvent", D1), ev(6, "PushEvent", D2))
+    dump(base / "landing", D3, 0, ev(1, "PushEvent", D1))
+    jobs.run_bronze(spark, str(base), D1, D3)
+    jobs.run_silver(spark, str(base), D1, D3)
+    at_once = content(read_silver(spark, f"{base}/silver"))
+    assert len(at_once) == 5
+    for day in (D3, D1, D2, D2):
+        jobs.run_silver(spark, str(base), day)
+    assert content(read_silver(spark, f"{base}/silver")) == at_once
+
+
+def test_a_broken_write_leaves_the_former_version(spark, base):
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    before = all_gold(spark, base)
+    (base / "gold" / "dim_repo" / "version=2").mkdir()
+    assert all_gold(spark, base) == before
+    jobs.run_gold(spark, str(base), D1)
+    jobs.run_gold(spark, str(base), D1)
+    assert all_gold(spark, base) == before
+    assert len(list((base / "gold" / "dim_repo").glob("version=*"))) <= 2
+
+
+def test_base_folders_may_look_like_days(spark, tmp_path):
+    folder = tmp_path / "2023" / "05" / "06" / "bronze" / "2024" / "01" / "01"
+    folder.mkdir(parents=True)
+    (folder / "05.json").write_text(json.dumps(ev(1, "PushEvent", D1)) + "\n")
+    events = read_bronze_dated(spark, f"{tmp_path}/2023/05/06/bronze", D1, D1).collect()
+    assert [(str(r["event_date"]), r["event_hour"]) for r in events] == [("2024-01-01", 5)]
+
+
+@pytest.mark.parametrize("line", [
+    "gold --hour 5", "marts --dated", "quarantine --keep-repeats", "stream --year 2024", "day --streamed",
+    "silver --from 2024-01-01 --day 3", "marts --to 2024-01-01",
+])
+def test_options_that_a_job_does_not_know_are_errors(line):
+    job, *rest = line.split()
+    days = [] if job in ("marts", "stream") or "--from" in rest else ["--year", "2024", "--month", "1", "--day", "1"]
+    with pytest.raises(SystemExit):
+        main([job, "--base", "x", *days, *rest])
+
+
+def test_command_line_streams(spark, base):
+    jobs.run_bronze(spark, str(base), D1)
+    main(["stream", "--base", str(base)])
+    assert read_streamed_silver(spark, f"{base}/streamed").count() == 2
+    main(["day", "--base", str(base), "--year", "2024", "--month", "1", "--day", "1", "--keep-repeats"])
+
+
+def test_days_do_not_follow_the_session_zone(spark, base):
+    dump(base / "landing", D2, 6,
+         ev(11, "IssuesEvent", D1, {"action": "opened", "issue": {"id": 1}}, created_at="2024-01-01T07:30:00Z"),
+         ev(12, "IssuesEvent", D2, {"action": "closed", "issue": {"id": 1}}, created_at="2024-01-02T00:30:00Z"))
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    want = {n: content(df) for n, df in transform_to_gold(read_silver(spark, f"{base}/silver")).items()}
+    with settings(spark, {"spark.sql.session.timeZone": "America/Los_Angeles"}):
+        gold = read_gold(spark, f"{base}/gold")
+        assert analytics.avg_days_to_close(gold).first()["avg_days_to_close"] == 1.0
+        fresh = transform_to_gold(flatten(read_bronze(spark, f"{base}/bronze")))
+        for name in ("dim_date", "fact_issue_lifecycle"):
+            days = [c for c in ("date_id", "date_actual", "event_id") if c in fresh[name].columns]
+            assert content(fresh[name].select(*days)) == content(gold[name].select(*days))
+    assert len(want["dim_date"]) == 2

@@ -3,12 +3,9 @@ from compare import difference, duck
 from conftest import SMALL
 
 import __spark_entry__ as driver
-from forgelake.operators import joins
 from forgelake.testbed.oracles import ORACLES as SQL
 from forgelake.testbed.queries import QUERIES
 
-SALTED = ["fork_log", "org_reach", "issue_backlog", "hot_issues", "reopened_issues", "reopen_rate",
-          "mart_issue_resolution"]
 
 
 @pytest.fixture(scope="module")
@@ -34,13 +31,8 @@ def no_broadcasts(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", SALTED)
-def test_query_equals_sql_when_keys_are_split(spark, con, name, no_broadcasts, monkeypatch):
-    monkeypatch.setattr(joins, "ROWS_PER_SPLIT", 2)
-    assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
-
-
-@pytest.mark.parametrize("name", ["monthly_commits", "fork_log", "issue_backlog", "avg_days_to_close"])
+@pytest.mark.parametrize("name", ["monthly_commits", "fork_log", "org_reach", "issue_backlog", "hot_issues",
+                                  "reopened_issues", "reopen_rate", "mart_issue_resolution", "avg_days_to_close"])
 def test_query_equals_sql_without_broadcasts(spark, con, name, no_broadcasts):
     assert difference(QUERIES[name](spark, SMALL), con, SQL[name]) == ""
 

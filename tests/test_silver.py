@@ -6,31 +6,32 @@ from forgelake.operators import silver as S
 from forgelake.schemas import COMMON_PATHS, SILVER_TYPES, TYPE_PATHS
 from forgelake.sources.bronze import quarantine, read_events
 
+# Payload as sent -> what the type's columns must hold.
 PAYLOADS = {
-    "PushEvent": ({"push_id": 1234, "size": 2, "ref": "refs/heads/main"},
-                  {"push_id": 1234, "push_commit_count": 2, "push_ref": "refs/heads/main"}),
+    "PushEvent": ({"push_id": 61, "size": 0, "ref": "refs/tags/süd", "head": "c0ffee"},
+                  {"push_id": 61, "push_commit_count": 0, "push_ref": "refs/tags/süd"}),
     "PullRequestEvent": (
-        {"action": "opened", "number": 42, "pull_request": {"id": 999, "merged": False}},
-        {"pr_action": "opened", "pr_number": 42, "pr_id": 999, "pr_is_merged": False}),
-    "IssuesEvent": ({"action": "closed", "issue": {"id": 888, "number": 12}},
-                    {"issue_action": "closed", "issue_id": 888, "issue_number": 12}),
+        {"action": "closed", "number": 3_000_000_000, "pull_request": {"id": 17, "merged": True, "title": "x"}},
+        {"pr_action": "closed", "pr_number": 3_000_000_000, "pr_id": 17, "pr_is_merged": True}),
+    "IssuesEvent": ({"action": "reopened", "issue": {"id": 2**62, "number": 4, "labels": [{}]}},
+                    {"issue_action": "reopened", "issue_id": 2**62, "issue_number": 4}),
     "IssueCommentEvent": (
-        {"action": "created", "issue": {"id": 888}, "comment": {"id": 777}},
-        {"comment_action": "created", "comment_target_issue_id": 888, "comment_id": 777}),
-    "WatchEvent": ({"action": "started"}, {"watch_action": "started"}),
-    "ForkEvent": ({"forkee": {"id": 555, "full_name": "neu/größe"}},
-                  {"fork_new_repo_id": 555, "fork_new_repo_name": "neu/größe"}),
-    "CreateEvent": ({"ref_type": "branch", "ref": "feature-x"},
-                    {"create_ref_type": "branch", "create_ref_name": "feature-x"}),
-    "DeleteEvent": ({"ref_type": "tag", "ref": "v1.0.0"},
-                    {"delete_ref_type": "tag", "delete_ref_name": "v1.0.0"}),
+        {"action": "deleted", "issue": {"id": 31, "number": 8}, "comment": {"id": 32, "body": "{}"}},
+        {"comment_action": "deleted", "comment_target_issue_id": 31, "comment_id": 32}),
+    "WatchEvent": ({"action": ""}, {"watch_action": ""}),
+    "ForkEvent": ({"forkee": {"id": -1, "full_name": "neu/größe"}},
+                  {"fork_new_repo_id": -1, "fork_new_repo_name": "neu/größe"}),
+    "CreateEvent": ({"ref_type": "repository", "ref": None},
+                    {"create_ref_type": "repository", "create_ref_name": None}),
+    "DeleteEvent": ({"ref_type": "branch", "ref": "a/b c"},
+                    {"delete_ref_type": "branch", "delete_ref_name": "a/b c"}),
 }
 
 
 def event(n, kind, payload, **changes):
-    base = {"id": str(n), "type": kind, "created_at": "2025-01-01T00:00:00Z",
-            "actor": {"id": 1, "login": "someone"}, "repo": {"id": 10, "name": "org/repo"},
-            "org": {"id": 100, "login": "org"}, "payload": payload, "public": True}
+    base = {"id": str(n), "type": kind, "created_at": "2024-02-29T23:59:58Z",
+            "actor": {"id": 7, "login": "someone", "url": "x"}, "repo": {"id": 10, "name": "lake/forge"},
+            "org": {"id": 70, "login": "lake"}, "payload": payload, "public": True}
     return {k: v for k, v in {**base, **changes}.items() if v is not ...}
 
 
@@ -52,8 +53,8 @@ def test_each_type_flattens_to_its_columns(bronze, kind):
     assert one.columns == [*COMMON_PATHS, *TYPE_PATHS[kind]]
     row = one.collect()[0].asDict()
     assert {k: row[k] for k in expected} == expected
-    assert (row["event_id"], row["actor_id"], row["repo_name"], row["org_id"]) == ("7", 1, "org/repo", 100)
-    assert str(row["created_at"]) == "2025-01-01 00:00:00"
+    assert (row["event_id"], row["actor_id"], row["repo_name"], row["org_id"]) == ("7", 7, "lake/forge", 70)
+    assert str(row["created_at"]) == "2024-02-29 23:59:58"
 
 
 def test_sparse_row_is_null_off_its_type(bronze):
@@ -104,6 +105,8 @@ def test_other_types_and_unplaceable_rows_are_dropped(bronze):
         event(4, "WatchEvent", {"action": "started"}, type=None),
         event(6, "WatchEvent", {"action": "started"}, created_at="+12345-01-01T00:00:00Z"),
         event(7, "WatchEvent", {"action": "started"}, created_at="-0044-03-15T00:00:00Z"),
+        event(8, "WatchEvent", {"action": "started"}, created_at="12:30:00"),
+        event(9, "WatchEvent", {"action": "started"}, created_at="2024"),
         event(5, "WatchEvent", {"action": "started"}),
     )
     assert [r["event_id"] for r in S.flatten(raw).collect()] == ["5"]
@@ -118,6 +121,7 @@ def test_quarantine_lists_every_bad_line(bronze):
         event(4, "WatchEvent", {"action": "started"}, created_at="yesterday"),
         event(5, "WatchEvent", {"action": "started"}, id=None),
         event(6, "PushEvent", {"push_id": 1, "size": "many"}),
+        event(7, "WatchEvent", {"action": "started"}, created_at="12:30:00"),
     )
     bad = quarantine(raw)
     found = sorted((r["reason"], r["kept"], r["line"] is not None) for r in bad.collect())
@@ -127,9 +131,10 @@ def test_quarantine_lists_every_bad_line(bronze):
         ("unreadable field", True, True),
         ("unreadable line", False, True),
         ("unreadable time", False, False),
+        ("unreadable time", False, False),
     ]
     # The same lines are found when only a count is asked for, which needs no column.
-    assert bad.count() == 5
+    assert bad.count() == 6
     silver = {r["event_id"]: r for r in S.flatten(raw).collect()}
     assert sorted(silver) == ["1", "3", "6"]
     assert silver["3"]["actor_id"] is None and silver["3"]["actor_login"] == "someone"

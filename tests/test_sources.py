@@ -111,6 +111,8 @@ def test_plain_dated_layout(spark, tmp_path):
     folder.mkdir(parents=True)
     (folder / "05.json").write_text(json.dumps(watch(1)) + "\n")
     (folder / "14.json").write_text(json.dumps(watch(2)) + "\n")
-    events = B.read_bronze_dated(spark, str(tmp_path), DAY, date(2024, 3, 11))
+    with pytest.raises(ValueError, match="2024-03-10, 2024-03-11"):
+        B.read_bronze_dated(spark, str(tmp_path), DAY, date(2024, 3, 11))
+    events = B.read_bronze_dated(spark, str(tmp_path), DAY, DAY)
     found = sorted((r["id"], str(r["event_date"]), r["event_hour"]) for r in events.collect())
     assert found == [("1", "2024-03-09", 5), ("2", "2024-03-09", 14)]
