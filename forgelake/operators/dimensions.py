@@ -5,7 +5,8 @@ built in two steps. The first keeps one row per (key, value) with when it was se
 hash aggregate that shrinks the events to about the number of keys before the shuffle,
 however often one key occurs. The second picks the newest value per key out of those few
 rows. The first step is also the state that the daily job stores per day: minimum and
-maximum merge, so a dimension over the stored days equals one over all events.
+maximum merge, so a dimension over the stored days equals one over all events, and the days up
+to a month's start can be kept merged.
 """
 
 from __future__ import annotations
@@ -55,6 +56,17 @@ def day_state(silver: DataFrame, *by: str) -> DataFrame:
     return silver.select(*by, utc_day(F.col("created_at")).alias("date_actual")).distinct()
 
 
+def merged(name: str, state: DataFrame) -> DataFrame:
+    """Rows of one state table brought together: minima and maxima merge."""
+    known = {"first_seen_at": F.min("first_seen_at"), "last_seen": F.max("last_seen")}
+    columns = STATE_TYPES[name]
+    keys = [c for c in columns if c not in known]
+    rows = state.select(*columns)
+    if len(keys) == len(columns):
+        return rows.distinct()
+    return rows.groupBy(*keys).agg(*[known[c].alias(c) for c in columns if c in known]).select(*columns)
+
+
 def latest(value: str) -> Column:
     """The newest value that is not NULL."""
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.col("last_seen")))

@@ -23,6 +23,8 @@ from forgelake.sources.lake import (
     day_slices,
     days_between,
     exists,
+    folders_in,
+    hadoop_path,
     read_gold,
     read_silver,
     read_version,
@@ -106,12 +108,54 @@ def run_quarantine(spark: SparkSession, base: str, first: date, last: date | Non
         replace_slices(bad, f"{base}/quarantine", ("event_date",), slices)
 
 
+def whole_state(spark: SparkSession, path: str, name: str, first: date) -> DataFrame:
+    """All days of a state table, those before a month's start from one merged table.
+
+    A merged table ``<state>_upto/upto=2024-02-01`` holds all days before that one. A run that
+    replaces days from ``first`` on removes the merged tables that contain any of them, and makes
+    a new one when a month has ended. A daily run thus reads the names known so far, as large as
+    the dimension that it writes, and the days since; not every day there ever was.
+    """
+    schema = ddl(dims.STATE_TYPES[name])
+    home = f"{path}/{name}_upto"
+    marks = {date.fromisoformat(n.removeprefix("upto=")) for n in folders_in(spark, home) if n.startswith("upto=")}
+    for mark in marks:
+        if mark > first or not exists(spark, f"{home}/upto={mark}/_SUCCESS"):
+            files, folder = hadoop_path(spark, f"{home}/upto={mark}")
+            files.delete(folder, True)
+    valid = sorted(m for m in marks if m <= first and exists(spark, f"{home}/upto={m}/_SUCCESS"))
+    stored = sorted(n.removeprefix("event_date=") for n in folders_in(spark, f"{path}/{name}") if n.startswith("event_date="))
+    since = valid[-1] if valid else None
+
+    def upto(mark: date | None, rows: DataFrame) -> DataFrame:
+        if mark is None:
+            return rows
+        return spark.read.schema(schema).parquet(f"{home}/upto={mark}").unionAll(rows)
+
+    def days(begin: date | None, end: date | None) -> DataFrame:
+        wanted = [
+            f"{path}/{name}/event_date={d}" for d in stored
+            if (begin is None or d >= str(begin)) and (end is None or d < str(end))
+        ]
+        columns = list(dims.STATE_TYPES[name])
+        if not wanted:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(f"{schema}, event_date DATE").option("basePath", f"{path}/{name}").parquet(*wanted).select(*columns)
+
+    month = date.fromisoformat(stored[-1]).replace(day=1) if stored else None
+    if month is not None and month > (since or date.min) and str(month) > stored[0] and month <= first:
+        merged = dims.merged(name, upto(since, days(since, month)))
+        merged.write.mode("overwrite").parquet(f"{home}/upto={month}")
+        since = month
+    return upto(since, days(since, None))
+
+
 def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
     """Replace the slices ``first`` to ``last`` of ``silver`` in gold, then renew the dimensions.
 
     Dimensions span all days. Each day leaves a small table of the names it saw, and the
-    dimensions are built from all of these, so a run costs its own days of silver, days may
-    come in any order, and a repeated day takes back what its earlier version had added.
+    dimensions are built from these (see ``whole_state``), so a run costs its own days of silver,
+    days may come in any order, and a repeated day takes back what its earlier version had added.
     """
     spark, slices = silver.sparkSession, day_slices(first, last)
     for name in FACTS:
@@ -126,10 +170,7 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
         )
     for name, build in STATES.items():
         replace_slices(build(silver, "event_date"), f"{path}/{name}", ("event_date",), slices)
-    state = {
-        name: spark.read.schema(f"{ddl(columns)}, event_date DATE").parquet(f"{path}/{name}")
-        for name, columns in dims.STATE_TYPES.items()
-    }
+    state = {name: whole_state(spark, path, name, first) for name in STATES}
     tables = {
         "dim_date": dims.dim_date(state["state_day"]),
         "dim_actor": dims.dim_actor(state["state_actor"]),
