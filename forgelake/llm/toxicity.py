@@ -33,6 +33,8 @@ STEMS = (4, 5, 6, 7)
 LEAST_SHARE = 0.01
 LEAST_LOG_ODDS = 3.0
 MOST_TERMS = 400
+#: A text that has so many terms of the lexicon calls for no more.
+ENOUGH_TERMS = 3
 #: Shorter terms must match exactly, and so must stems: most words are one edit from some stem.
 LEAST_LETTERS_FOR_EDIT = 5
 WINDOW_WORDS = 8
@@ -246,7 +248,7 @@ def lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
     terms = F.flatten(F.transform(words, lambda w: F.array(
         w, *[F.when(F.char_length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
     )))
-    found = sample.select("toxic", F.explode(F.array_distinct(F.array_compact(terms))).alias("term"))
+    found = sample.select("doc_id", "toxic", F.explode(F.array_distinct(F.array_compact(terms))).alias("term"))
     found = found.filter(F.char_length("term") >= 4)
     sizes = sample.agg(
         F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")
@@ -260,10 +262,18 @@ def lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
     # one standard error down, so that rare terms need more of a difference
     sure = odds - F.sqrt(1 / a + 1 / b)
     best = counts.filter((F.col("a") >= least) & (sure >= LEAST_LOG_ODDS)).orderBy(F.desc("a"), "term").limit(MOST_TERMS)
+    where = found.filter("toxic = 1").join(F.broadcast(best.select("term")), "term")
+    # at most MOST_TERMS rows, each with documents of the sample
+    rows = where.groupBy("term").agg(F.collect_set("doc_id").alias("docs")).collect()
     stems, words = [], []
-    for term in sorted((r.term for r in best.collect()), key=len):
-        if not any(term.startswith(s) for s in stems):
-            (stems if term.endswith("*") else words).append(term.rstrip("*"))
+    marks: dict[int, int] = {}
+    for term, docs in sorted(((r.term, r.docs) for r in rows), key=lambda r: (-len(r[1]), len(r[0]), r[0])):
+        # copies of one text share all their words: past a few terms, a further one tells nothing new
+        if sum(marks.get(d, 0) < ENOUGH_TERMS for d in docs) < least or any(term.startswith(s) for s in stems):
+            continue
+        (stems if term.endswith("*") else words).append(term.rstrip("*"))
+        for d in docs:
+            marks[d] = marks.get(d, 0) + 1
     return words, stems
 
 
