@@ -8,6 +8,14 @@ from forgelake.plans import marts as M
 from forgelake.plans.gold import transform_to_gold
 
 
+@pytest.fixture(autouse=True, params=["UTC", "America/Los_Angeles"])
+def zone(request, spark):
+    """No answer may depend on the session's time zone."""
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def issue(action, day, issue=1, **more):
     return {"event_type": "IssuesEvent", "issue_action": action, "issue_id": issue,
             "created_at": f"2024-01-{day:02d} 12:00:00", **more}
