@@ -24,6 +24,9 @@ STEPS = 3
 FEW_REPEATS = 64
 #: Groups below this size are pooled by language, then all together.
 LEAST_GROUP = 200
+#: Up to so many groups, tables of a row per group are written as one file: many nearly empty files
+#: would look too large to broadcast, and a join by group would bring a heavy one to one task.
+FEW_GROUPS = 20_000
 #: Fixed value: median of the chi-square distribution with 7 degrees of freedom.
 CHI2_MEDIAN = 6.3458
 #: Squared distance beyond which a row is rejected: it differs from its group in kind, not in degree.
@@ -134,8 +137,16 @@ def measured(docs: DataFrame, column: str = "text") -> DataFrame:
     )
 
 
-def grouped(rows: DataFrame) -> DataFrame:
-    """The rows with ``q_group``; NULL where too few rows are alike for an estimate."""
+def per_group(rows: DataFrame, name: str, few: bool) -> DataFrame:
+    """A table of a row per group, written."""
+    return stored(rows.coalesce(1) if few else rows, name)
+
+
+def grouped(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows with ``q_group``, and whether there are few groups.
+
+    The group is NULL where too few rows are alike for an estimate.
+    """
     lang = F.coalesce(F.col("q_lang"), F.lit(""))
     source = F.coalesce(F.col("q_source"), F.lit(""))
     keyed = rows.withColumn("q_fine", F.concat_ws("\x1f", lang, source)).withColumn("q_pool", lang)
@@ -145,11 +156,13 @@ def grouped(rows: DataFrame) -> DataFrame:
         return stored(counts.withColumnRenamed(key, f"{name}_of"), "groups")
 
     fine = sizes("q_fine", "q_n")
+    few = fine.count() <= FEW_GROUPS
+    fine = per_group(fine, "groups", few)
     keyed = keyed.join(fine, F.col("q_fine") == F.col("q_n_of"), "left").drop("q_n_of")
     keyed = keyed.withColumn("q_small", F.coalesce("q_n", F.lit(0)) < LEAST_GROUP)
     # what is left over of a language, where its sources are too small
     pooled = keyed.filter("q_small AND NOT base_failed").groupBy("q_pool").agg(F.count("*").alias("q_m"))
-    pooled = stored(pooled.withColumnRenamed("q_pool", "q_m_of"), "groups")
+    pooled = per_group(pooled.withColumnRenamed("q_pool", "q_m_of"), "groups", few)
     rest = stored(pooled.filter(F.col("q_m") < LEAST_GROUP).agg(F.sum("q_m").alias("q_r")), "groups")
     keyed = keyed.join(pooled, F.col("q_pool") == F.col("q_m_of"), "left").drop("q_m_of")
     group = (
@@ -157,10 +170,10 @@ def grouped(rows: DataFrame) -> DataFrame:
         .when(F.col("q_m") >= LEAST_GROUP, F.concat(F.lit("2"), "q_pool"))
         .when(rest.select("q_r").scalar() >= LEAST_GROUP, F.lit("3"))
     )
-    return keyed.withColumn("q_group", group).drop("q_fine", "q_pool", "q_n", "q_m", "q_small")
+    return keyed.withColumn("q_group", group).drop("q_fine", "q_pool", "q_n", "q_m", "q_small"), few
 
 
-def spread(rows: DataFrame) -> DataFrame:
+def spread(rows: DataFrame, few: bool = True) -> DataFrame:
     """Per group the mean ``m_i`` and the Cholesky factor ``l_i_j`` of the floored covariance."""
     p = range(len(NAMES))
     sums = [F.avg(NAMES[i]).alias(f"m_{i}") for i in p]
@@ -178,16 +191,16 @@ def spread(rows: DataFrame) -> DataFrame:
             value = F.sqrt(F.greatest(rest, F.lit(floor * 1e-3))) if i == j else rest / F.col(f"l_{j}_{j}")
             out = out.withColumn(f"l_{i}_{j}", value)
     keep = [f"m_{i}" for i in p] + [f"l_{i}_{j}" for i in p for j in p if j <= i]
-    return stored(out.select(F.col("q_group").alias("q_of"), *keep), "spread")
+    return per_group(out.select(F.col("q_group").alias("q_of"), *keep), "spread", few)
 
 
-def first_spread(rows: DataFrame) -> DataFrame:
+def first_spread(rows: DataFrame, few: bool) -> DataFrame:
     """The start: medians, and 1.4826 times the median absolute deviations on the diagonal."""
     p = range(len(NAMES))
     centre = rows.groupBy(F.col("q_group").alias("q_of")).agg(
         *[F.percentile_approx(NAMES[i], 0.5, 1000).alias(f"m_{i}") for i in p]
     )
-    centre = stored(centre, "centre")
+    centre = per_group(centre, "centre", few)
     off = rows.join(centre, F.col("q_group") == F.col("q_of")).groupBy("q_group").agg(
         *[F.percentile_approx(F.abs(F.col(NAMES[i]) - F.col(f"m_{i}")), 0.5, 1000).alias(f"d_{i}") for i in p]
     )
@@ -198,7 +211,7 @@ def first_spread(rows: DataFrame) -> DataFrame:
     out = off.join(centre, F.col("q_group") == F.col("q_of")).select(
         "q_of", *[f"m_{i}" for i in p], *scale, *zero
     )
-    return stored(out, "spread")
+    return per_group(out, "spread", few)
 
 
 def distances(rows: DataFrame, spread: DataFrame) -> DataFrame:
@@ -214,10 +227,10 @@ def distances(rows: DataFrame, spread: DataFrame) -> DataFrame:
     return rows.withColumn("q_d2", total).drop(*spread.columns, *[f"z_{i}" for i in p])
 
 
-def limit_of(rows: DataFrame, share: float, name: str) -> DataFrame:
+def limit_of(rows: DataFrame, share: float, name: str, few: bool) -> DataFrame:
     """Per group the distance within which that share of the rows lies."""
     out = rows.groupBy(F.col("q_group").alias("q_lim")).agg(F.percentile_approx("q_d2", share, 1000).alias(name))
-    return stored(out, "limits")
+    return per_group(out, "limits", few)
 
 
 def verdicts(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -237,14 +250,14 @@ def verdicts(docs: DataFrame, carried: list[str]) -> DataFrame:
     # only rows that pass are measured; all have at least one word
     rows = rows.withColumns({n: F.when(~F.col("base_failed"), F.expr(v)) for n, (v, _) in PARTS.items()})
     # written once, with what is carried; the passes below read only the numbers of it
-    rows = grouped(stored(rows, "measured"))
+    rows, few = grouped(stored(rows, "measured"))
     core = rows.filter("NOT base_failed AND q_group IS NOT NULL").select("q_group", *NAMES)
-    estimate = first_spread(core)
+    estimate = first_spread(core, few)
     for _ in range(STEPS):
         far = distances(core, estimate)
-        near = far.join(limit_of(far, CORE_SHARE, "q_most"), F.col("q_group") == F.col("q_lim"))
-        estimate = spread(near.filter(F.col("q_d2") <= F.col("q_most")))
-    half = limit_of(distances(core, estimate), 0.5, "q_half")
+        near = far.join(limit_of(far, CORE_SHARE, "q_most", few), F.col("q_group") == F.col("q_lim"))
+        estimate = spread(near.filter(F.col("q_d2") <= F.col("q_most")), few)
+    half = limit_of(distances(core, estimate), 0.5, "q_half", few)
     rows = distances(rows, estimate).join(half, F.col("q_group") == F.col("q_lim"), "left")
     # the core is narrower than its group: scale so that the median row is where it should be
     distance = F.when(~F.col("base_failed"), F.col("q_d2") * CHI2_MEDIAN / F.greatest("q_half", F.lit(1e-9)))
