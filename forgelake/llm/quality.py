@@ -181,17 +181,18 @@ def spread(rows: DataFrame, few: bool = True) -> DataFrame:
         F.covar_pop(NAMES[i], NAMES[j]).alias(f"c_{i}_{j}") for i in p for j in p if j <= i
     ]
     out = rows.groupBy("q_group").agg(*sums)
+    # one select whose columns refer to those before them: a plan per column would cost the driver dear
+    factor = []
     for i in p:
         floor = PARTS[NAMES[i]][1] ** 2
         for j in range(i + 1):
-            rest = F.col(f"c_{i}_{j}") + (F.lit(floor) if i == j else F.lit(0.0))
-            for k in range(j):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
+            rest = f"c_{i}_{j}" + (f" + {floor!r}D" if i == j else "")
+            rest += "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j))
             # the floor keeps every pivot positive but for rounding
-            value = F.sqrt(F.greatest(rest, F.lit(floor * 1e-3))) if i == j else rest / F.col(f"l_{j}_{j}")
-            out = out.withColumn(f"l_{i}_{j}", value)
-    keep = [f"m_{i}" for i in p] + [f"l_{i}_{j}" for i in p for j in p if j <= i]
-    return per_group(out.select(F.col("q_group").alias("q_of"), *keep), "spread", few)
+            value = f"sqrt(greatest({rest}, {floor * 1e-3!r}D))" if i == j else f"({rest}) / l_{j}_{j}"
+            factor.append(f"{value} AS l_{i}_{j}")
+    out = out.selectExpr("q_group AS q_of", *[f"m_{i}" for i in p], *factor)
+    return per_group(out, "spread", few)
 
 
 def first_spread(rows: DataFrame, few: bool) -> DataFrame:
@@ -216,15 +217,13 @@ def first_spread(rows: DataFrame, few: bool) -> DataFrame:
 
 def distances(rows: DataFrame, spread: DataFrame) -> DataFrame:
     """The rows with ``q_d2``, the squared Mahalanobis distance within their group."""
+    columns, p = rows.columns, range(len(NAMES))
+    steps = [
+        f"({NAMES[i]} - m_{i}" + "".join(f" - l_{i}_{j} * z_{j}" for j in range(i)) + f") / l_{i}_{i} AS z_{i}" for i in p
+    ]
+    total = " + ".join(f"z_{i} * z_{i}" for i in p) + " AS q_d2"
     rows = rows.join(spread, F.col("q_group") == F.col("q_of"), "left")
-    p = range(len(NAMES))
-    for i in p:
-        rest = F.col(NAMES[i]) - F.col(f"m_{i}")
-        for j in range(i):
-            rest = rest - F.col(f"l_{i}_{j}") * F.col(f"z_{j}")
-        rows = rows.withColumn(f"z_{i}", rest / F.col(f"l_{i}_{i}"))
-    total = sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in p), F.lit(0.0))
-    return rows.withColumn("q_d2", total).drop(*spread.columns, *[f"z_{i}" for i in p])
+    return rows.selectExpr(*columns, *steps, total).select(*columns, "q_d2")
 
 
 def limit_of(rows: DataFrame, share: float, name: str, few: bool) -> DataFrame:
