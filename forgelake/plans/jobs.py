@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from forgelake.operators import dimensions as dims
 from forgelake.operators.facts import fact
 from forgelake.operators.silver import core_events, first_copies, flatten
-from forgelake.plans.marts import ADDITIVE, MART_TYPES, issue_resolution, merge_slices
+from forgelake.plans.marts import ADDITIVE, MART_TYPES, merge_slices, resolved
 from forgelake.schemas import FACTS, ddl
 from forgelake.session import prepare, room_for
 from forgelake.sources.bronze import land_dumps, quarantine, read_bronze, read_bronze_dated
@@ -40,6 +40,7 @@ STATES = {
     "state_actor": dims.actor_state,
     "state_repo": dims.repo_state,
     "state_org": dims.org_state,
+    "state_issue": dims.issue_state,
 }
 
 
@@ -108,53 +109,68 @@ def run_quarantine(spark: SparkSession, base: str, first: date, last: date | Non
         replace_slices(bad, f"{base}/quarantine", ("event_date",), slices)
 
 
-def whole_state(spark: SparkSession, path: str, name: str, first: date) -> DataFrame:
-    """All days of a state table, those before a month's start from one merged table.
+def _merged_marks(spark: SparkSession, home: str) -> list[date]:
+    """The days up to which there are whole merged tables, in order."""
+    names = [n.removeprefix("upto=") for n in folders_in(spark, home) if n.startswith("upto=")]
+    return sorted(date.fromisoformat(n) for n in names if exists(spark, f"{home}/upto={n}/_SUCCESS"))
 
-    A merged table ``<state>_upto/upto=2024-02-01`` holds all days before that one. A run that
-    replaces days from ``first`` on removes the merged tables that contain any of them, and makes
-    a new one when a month has ended. A daily run thus reads the names known so far, as large as
-    the dimension that it writes, and the days since; not every day there ever was.
+
+def _state_days(spark: SparkSession, path: str, name: str, begin: date | None, end: date | None = None) -> DataFrame:
+    """The days of a state table from ``begin`` to before ``end``."""
+    columns = dims.STATE_TYPES[name]
+    stored = folders_in(spark, f"{path}/{name}")
+    wanted = [
+        folder for piece, folder in stored.items()
+        if piece.startswith("event_date=")
+        and (begin is None or piece >= f"event_date={begin}") and (end is None or piece < f"event_date={end}")
+    ]
+    if not wanted:
+        return spark.createDataFrame([], ddl(columns))
+    reader = spark.read.schema(f"{ddl(columns)}, event_date DATE").option("basePath", f"{path}/{name}")
+    return reader.parquet(*wanted).select(*columns)
+
+
+def read_state(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """All days of a state table: the newest merged table and the days since."""
+    home = f"{path}/{name}_upto"
+    marks = _merged_marks(spark, home)
+    if not marks:
+        return _state_days(spark, path, name, None)
+    merged = spark.read.schema(ddl(dims.STATE_TYPES[name])).parquet(f"{home}/upto={marks[-1]}")
+    return merged.unionAll(_state_days(spark, path, name, marks[-1]))
+
+
+def keep_merged(spark: SparkSession, path: str, name: str, first: date) -> None:
+    """Bring the merged tables of a state table up to date after days from ``first`` on were replaced.
+
+    A merged table ``<state>_upto/upto=2024-02-01`` holds all days before that one. Those that
+    contain replaced days go, and a new one is made once a month has ended. A daily run thus reads
+    one table with a row per name known so far, like the dimension that it writes, and the days
+    since; not every day there ever was.
     """
-    schema = ddl(dims.STATE_TYPES[name])
     home = f"{path}/{name}_upto"
-    marks = {date.fromisoformat(n.removeprefix("upto=")) for n in folders_in(spark, home) if n.startswith("upto=")}
-    for mark in marks:
-        if mark > first or not exists(spark, f"{home}/upto={mark}/_SUCCESS"):
-            files, folder = hadoop_path(spark, f"{home}/upto={mark}")
+    for piece in folders_in(spark, home):
+        mark = piece.removeprefix("upto=")
+        if mark > str(first) or not exists(spark, f"{home}/{piece}/_SUCCESS"):
+            files, folder = hadoop_path(spark, f"{home}/{piece}")
             files.delete(folder, True)
-    valid = sorted(m for m in marks if m <= first and exists(spark, f"{home}/upto={m}/_SUCCESS"))
-    stored = sorted(n.removeprefix("event_date=") for n in folders_in(spark, f"{path}/{name}") if n.startswith("event_date="))
-    since = valid[-1] if valid else None
-
-    def upto(mark: date | None, rows: DataFrame) -> DataFrame:
-        if mark is None:
-            return rows
-        return spark.read.schema(schema).parquet(f"{home}/upto={mark}").unionAll(rows)
-
-    def days(begin: date | None, end: date | None) -> DataFrame:
-        wanted = [
-            f"{path}/{name}/event_date={d}" for d in stored
-            if (begin is None or d >= str(begin)) and (end is None or d < str(end))
-        ]
-        columns = list(dims.STATE_TYPES[name])
-        if not wanted:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(f"{schema}, event_date DATE").option("basePath", f"{path}/{name}").parquet(*wanted).select(*columns)
-
-    month = date.fromisoformat(stored[-1]).replace(day=1) if stored else None
-    if month is not None and month > (since or date.min) and str(month) > stored[0] and month <= first:
-        merged = dims.merged(name, upto(since, days(since, month)))
-        merged.write.mode("overwrite").parquet(f"{home}/upto={month}")
-        since = month
-    return upto(since, days(since, None))
+    days = sorted(n.removeprefix("event_date=") for n in folders_in(spark, f"{path}/{name}") if n.startswith("event_date="))
+    if not days:
+        return
+    month, marks = date.fromisoformat(days[-1]).replace(day=1), _merged_marks(spark, home)
+    since = marks[-1] if marks else None
+    if str(month) > max(days[0], str(since or "")) and month <= first:
+        rows = _state_days(spark, path, name, since, month)
+        if since is not None:
+            rows = rows.unionAll(spark.read.schema(ddl(dims.STATE_TYPES[name])).parquet(f"{home}/upto={since}"))
+        dims.merged(name, rows).write.mode("overwrite").parquet(f"{home}/upto={month}")
 
 
 def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
     """Replace the slices ``first`` to ``last`` of ``silver`` in gold, then renew the dimensions.
 
     Dimensions span all days. Each day leaves a small table of the names it saw, and the
-    dimensions are built from these (see ``whole_state``), so a run costs its own days of silver,
+    dimensions are built from these (see ``keep_merged``), so a run costs its own days of silver,
     days may come in any order, and a repeated day takes back what its earlier version had added.
     """
     spark, slices = silver.sparkSession, day_slices(first, last)
@@ -170,7 +186,8 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
         )
     for name, build in STATES.items():
         replace_slices(build(silver, "event_date"), f"{path}/{name}", ("event_date",), slices)
-    state = {name: whole_state(spark, path, name, first) for name in STATES}
+        keep_merged(spark, path, name, first)
+    state = {name: read_state(spark, path, name) for name in STATES}
     tables = {
         "dim_date": dims.dim_date(state["state_day"]),
         "dim_actor": dims.dim_actor(state["state_actor"]),
@@ -204,7 +221,8 @@ def run_marts(
     """Renew the marts from stored gold: for some days, or for all.
 
     The additive marts keep a share per slice, so a day costs a day of facts. An issue may be
-    opened and closed years apart; its mart is always built from all issue events.
+    opened and closed years apart; its mart is renewed whole, from the state that gold keeps of
+    issues and not from their events.
     """
     gold = f"{base}/gold"
     last = last or first
@@ -214,9 +232,8 @@ def run_marts(
         days = read_gold(spark, gold, first, last, with_slice=True)
         for name, (build, _) in ADDITIVE.items():
             replace_slices(build(days, "event_date"), f"{gold}/{name}", ("event_date",), slices)
-    with room_for(spark, bytes_in(spark, f"{gold}/fact_issue_lifecycle")):
-        resolution = issue_resolution(read_gold(spark, gold))
-        write_version(resolution, f"{gold}/mart_issue_resolution")
+    with room_for(spark, bytes_in(spark, f"{gold}/state_issue")):
+        write_version(resolved(read_state(spark, gold, "state_issue")), f"{gold}/mart_issue_resolution")
     return read_marts(spark, base)
 
 

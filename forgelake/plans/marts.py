@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import day_number
-from forgelake.functions.events import count_where
+from forgelake.operators.dimensions import issue_moments
 from forgelake.operators.joins import with_calendar
 from forgelake.tables import Gold
 
@@ -40,38 +40,31 @@ def issue_resolution(gold: Gold) -> DataFrame:
 
     One row per issue with any issue event: ``opened_at`` is NULL where the opening lies
     before the data, ``closed_at`` where the issue was not closed since.
+    """
+    return resolved(issue_moments(gold["fact_issue_lifecycle"]))
+
+
+def resolved(moments: DataFrame) -> DataFrame:
+    """The same from (issue_id, opened_at, closed_at), one or several rows per issue.
 
     One hash aggregate answers all issues whose first closing follows the opening. Only for
     the others are the closings looked at one by one; no list of them is ever gathered.
     """
-    issues = gold["fact_issue_lifecycle"].filter(
-        (F.col("event_type") == "IssuesEvent") & F.col("issue_id").isNotNull()
-    )
-    opened, closed = F.col("issue_action") == "opened", F.col("issue_action") == "closed"
-    firsts = issues.groupBy("issue_id").agg(
-        F.min(F.when(opened, F.col("created_at"))).alias("opened_at"),
-        F.min(F.when(closed, F.col("created_at"))).alias("closed_at"),
-        count_where(closed).alias("closings"),
-    )
-    # Naming the count here too makes all uses of the aggregate alike: it is shuffled once.
-    backwards = F.coalesce(
-        (F.col("closings") > 0) & (F.col("closed_at") < F.col("opened_at")), F.lit(False)
+    firsts = moments.groupBy("issue_id").agg(
+        F.min("opened_at").alias("opened_at"), F.min("closed_at").alias("closed_at")
     )
+    backwards = F.coalesce(F.col("closed_at") < F.col("opened_at"), F.lit(False))
     in_order = firsts.filter(~backwards).select(
         "issue_id",
         "opened_at",
         F.when(F.col("opened_at").isNotNull(), F.col("closed_at")).alias("closed_at"),
     )
-    odd = firsts.filter(backwards)
-    closings = issues.filter(closed).select("issue_id", "created_at")
+    odd = firsts.filter(backwards).select("issue_id", "opened_at")
+    closings = moments.filter(F.col("closed_at").isNotNull()).select("issue_id", "closed_at")
     later = (
-        closings.join(odd.select("issue_id", "opened_at"), "issue_id")
+        closings.join(odd, "issue_id")
         .groupBy("issue_id", "opened_at")
-        .agg(
-            F.min(
-                F.when(F.col("created_at") >= F.col("opened_at"), F.col("created_at"))
-            ).alias("closed_at")
-        )
+        .agg(F.min(F.when(F.col("closed_at") >= F.col("opened_at"), F.col("closed_at"))).alias("closed_at"))
     )
     return in_order.unionAll(later).select(
         "issue_id",

@@ -365,7 +365,9 @@ def test_days_do_not_follow_the_session_zone(spark, base):
 def test_months_that_have_ended_are_kept_merged(spark, tmp_path):
     days = [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 29), date(2024, 3, 1)]
     for n, day in enumerate(days):
-        dump(tmp_path / "landing", day, 5, ev(n, "PushEvent", day, actor={"id": n % 2, "login": f"a{n}"}))
+        issue = {"action": ["opened", "closed"][n % 2], "issue": {"id": n // 3}}
+        dump(tmp_path / "landing", day, 5, ev(n, "PushEvent", day, actor={"id": n % 2, "login": f"a{n}"}),
+             ev(n + 50, "IssuesEvent", day, issue))
         jobs.run_bronze(spark, str(tmp_path), day)
         jobs.run_day(spark, str(tmp_path), day)
         gold = read_gold(spark, f"{tmp_path}/gold")
@@ -374,9 +376,10 @@ def test_months_that_have_ended_are_kept_merged(spark, tmp_path):
     kept = {p.name for p in (tmp_path / "gold" / "state_actor_upto").iterdir()}
     assert kept == {"upto=2024-02-01", "upto=2024-03-01"}
     # The daily run reads the merged table and the month's own days, nothing before.
-    state = jobs.whole_state(spark, f"{tmp_path}/gold", "state_actor", days[-1])
-    read = {f.split("/gold/")[1].rsplit("/", 1)[0] for f in state.inputFiles()}
-    assert read == {"state_actor_upto/upto=2024-03-01", "state_actor/event_date=2024-03-01"}
+    for name in ("state_actor", "state_issue"):
+        state = jobs.read_state(spark, f"{tmp_path}/gold", name)
+        read = {f.split("/gold/")[1].rsplit("/", 1)[0] for f in state.inputFiles()}
+        assert read == {f"{name}_upto/upto=2024-03-01", f"{name}/event_date=2024-03-01"}
     # A day of a merged month comes again without its event.
     dump(tmp_path / "landing", days[1], 5, ev(9, "GollumEvent", days[1]))
     jobs.run_bronze(spark, str(tmp_path), days[1])
@@ -386,3 +389,5 @@ def test_months_that_have_ended_are_kept_merged(spark, tmp_path):
     assert {k: content(v) for k, v in gold.items()} == {k: content(v) for k, v in fresh.items()}
     jobs.run_day(spark, str(tmp_path), days[-1])
     assert all_gold(spark, tmp_path) == {k: content(v) for k, v in fresh.items()}
+    stored = jobs.run_marts(spark, str(tmp_path), days[-1])["mart_issue_resolution"]
+    assert content(stored) == content(marts.issue_resolution(fresh))
