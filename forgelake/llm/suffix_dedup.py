@@ -14,9 +14,11 @@ is that few suffixes need sorting:
    a shared passage. Their suffixes are range-partitioned by sampled splitters on their leading
    bytes. Each bucket is sorted by multikey quicksort, once forwards from the anchors and once
    backwards; common-prefix lengths of neighbours then tell which windows are equal.
-4. Suffixes that share the anchor of a bucket's first or last may have equals across the boundary.
-   Those of their windows that are first in their bucket are compared across buckets. This also
-   divides an anchor with very many surroundings, over which the splitters spread several buckets.
+4. Windows that are first in their bucket may still have an equal across its boundaries, if they
+   share their bytes from the anchor on with the bucket's first or last suffix. These suffixes are
+   sorted once more, by the bytes before the anchor; windows that also share those are compared
+   across buckets. This divides an anchor with very many surroundings, over which the splitters
+   spread several buckets.
 """
 
 from __future__ import annotations
@@ -299,47 +301,96 @@ def repeated_windows(right: np.ndarray, left: np.ndarray, number: np.ndarray, ru
 
 
 def in_buckets(rows: DataFrame, length: int) -> DataFrame:
-    """(id, start, windows, bytes): repeats found in buckets; with ``bytes``, windows still open."""
+    """Repeats found in buckets, as (id, start, windows), and suffixes with windows still open.
+
+    Those have ``right``, ``left`` and ``open``, a byte for each window. A window is open if it is
+    its bucket's first and shares its bytes from the anchor on with the bucket's first or last
+    suffix: what shares them with a suffix of another bucket shares them with all in between.
+    """
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        right, left, number, run = gathered(batches, length)
+        if not len(run):
             return
-        bucket = pa.Table.from_batches(held).combine_chunks()
-        right, left = (matrix(bucket[c].chunk(0), width) for c, width in (("right", length), ("left", length - GRAM)))
-        number, run = bucket["id"].to_numpy(), bucket["run"].to_numpy()
-        _, one = np.unique(np.rec.fromarrays([number, run]), return_index=True)
-        right, left, number, run = right[one], left[one], number[one], run[one]
         again = repeated_windows(right, left, number, run, length)
-        pos, _, place = unpacked_run(run)
+        pos, count, place = unpacked_run(run)
         # neighbouring windows of a row as one span; larger t is further left
         padded = np.pad(again, ((0, 0), (1, 1)))
         row, t_first = np.nonzero(padded[:, 1:] & ~padded[:, :-1])
         t_after = np.nonzero(~padded[:, 1:] & padded[:, :-1])[1]
         start = pos[row] + place[row] - (t_after - 1)
-        yield spans(number[row], start, t_after - t_first, None)
-        order = multikey_quicksort(tokens(right[:, :GRAM]))
-        ends = right[[order[0], order[-1]], :GRAM]
-        edge = (right[:, :GRAM] == ends[0]).all(1) | (right[:, :GRAM] == ends[1]).all(1)
-        yield from opened(right[edge], left[edge], number[edge], run[edge], again[edge])
-
-    def opened(right, left, number, run, again) -> Iterator[pa.RecordBatch]:
-        """Windows that are the bucket's first, where other buckets may have an earlier one."""
-        pos, count, place = unpacked_run(run)
-        for t in range(length - GRAM + 1):
-            rows = np.flatnonzero((place - count < t) & (t <= place) & ~again[:, t])
+        none = pa.nulls(len(row), pa.binary())
+        yield batch(number[row], pa.array(start), pa.array(t_after - t_first), pa.nulls(len(row), pa.int64()), none, none, none)
+        order = multikey_quicksort(tokens(right))
+        reach = np.maximum(*(shared_with(right, right[order[k]]) for k in (0, -1)))
+        t = np.arange(length - GRAM + 1)
+        still = (place - count)[:, None] < t
+        still &= (t <= place[:, None]) & ~again & (reach[:, None] >= length - t)
+        rows = np.flatnonzero(still.any(1))
+        none = pa.nulls(len(rows), pa.int64())
+        yield batch(number[rows], none, none, pa.array(run[rows]), fixed(right[rows]), fixed(left[rows]), fixed(still[rows]))
+
+    def batch(number, *columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int64()), *columns], names=["id", "start", "windows", "run", "right", "left", "open"]
+        )
+
+    return rows.mapInArrow(
+        sort, "id long, start long, windows long, run long, right binary, left binary, open binary"
+    )
+
+
+def open_windows(rows: DataFrame, length: int) -> DataFrame:
+    """(id, start, bytes) of the open windows that may have an equal in another bucket.
+
+    The suffixes are sorted once more, by what lies before their anchors: a window whose bytes
+    before the anchor no neighbour shares has no equal anywhere.
+    """
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        back = length - GRAM
+        right, left = matrix(table["right"].chunk(0), length), matrix(table["left"].chunk(0), back)
+        still = matrix(table["open"].chunk(0), back + 1) != 0
+        number, (pos, _, place) = table["id"].to_numpy(), unpacked_run(table["run"].to_numpy())
+        around = np.concatenate([right[:, :GRAM], left], axis=1)
+        order = multikey_quicksort(tokens(around))
+        shared = common_prefixes(around, order) - GRAM
+        reach = in_row_order(order, np.maximum(shared, np.r_[shared[1:], 0]))
+        # only the first and the last may have a closer neighbour in another task
+        reach[order[[0, -1]]] = back
+        for t in range(back + 1):
+            rows = np.flatnonzero(still[:, t] & (reach >= t))
             if len(rows):
                 window = np.concatenate([left[rows][:, :t][:, ::-1], right[rows][:, : length - t]], axis=1)
-                yield spans(number[rows], pos[rows] + place[rows] - t, np.ones(len(rows), np.int64), fixed(window))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number[rows]), pa.array(pos[rows] + place[rows] - t), fixed(window)],
+                    names=["id", "start", "bytes"],
+                )
+
+    return rows.mapInArrow(sort, "id long, start long, bytes binary")
+
+
+def gathered(batches: Iterator[pa.RecordBatch], length: int) -> tuple[np.ndarray, ...]:
+    """right, left, id and run of a bucket, each occurrence once."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    bucket = pa.Table.from_batches(held).combine_chunks()
+    right, left = matrix(bucket["right"].chunk(0), length), matrix(bucket["left"].chunk(0), length - GRAM)
+    number, run = bucket["id"].to_numpy(), bucket["run"].to_numpy()
+    _, one = np.unique(np.rec.fromarrays([number, run]), return_index=True)
+    return right[one], left[one], number[one], run[one]
 
-    def spans(number, start, windows, window) -> pa.RecordBatch:
-        window = pa.nulls(len(number), pa.binary()) if window is None else window
-        return pa.RecordBatch.from_arrays(
-            [pa.array(number, pa.int64()), pa.array(start, pa.int64()), pa.array(windows, pa.int64()), window],
-            names=["id", "start", "windows", "bytes"],
-        )
 
-    return rows.mapInArrow(sort, "id long, start long, windows long, bytes binary")
+def shared_with(rows: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Bytes at the beginning that each row shares with the given one."""
+    differ = rows != row
+    return np.where(differ.any(1), differ.argmax(1), rows.shape[1])
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -358,11 +409,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     cut = stored(suffixes(docs, found.filter("NOT repeat"), length), "suffixes")
     buckets = max(cut.count() // BUCKET_ROWS + 1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sorted_rows = stored(in_buckets(cut.repartitionByRange(buckets, "right", "left"), length), "buckets")
-    inner = sorted_rows.filter("bytes IS NULL").select("id", "start", "windows")
-    edges = sorted_rows.filter("bytes IS NOT NULL")
+    inner = sorted_rows.filter("run IS NULL").select("id", "start", "windows")
+    edges = sorted_rows.filter("run IS NOT NULL").withColumn("around", F.concat(F.substring("right", 1, GRAM), "left"))
+    edges = open_windows(edges.repartitionByRange("around"), length)
+    edges = stored(edges, "windows")
     first = stored(edges.groupBy("bytes").agg(F.min(F.struct("id", "start")).alias("first")), "first")
     across = edges.join(first, "bytes").filter(F.struct("id", "start") != F.col("first"))
-    spans = whole.union(inner).union(across.select("id", "start", "windows"))
+    spans = whole.union(inner).union(across.select("id", "start", F.lit(1).cast("long")))
     upto = F.col("start") + F.col("windows") - 1 + length
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", upto.alias("upto"))).alias("spans"))
 
