@@ -36,7 +36,9 @@ from forgelake.llm.hashing import INVERSE, mixed, powers, prefix_sums, span_hash
 
 LENGTH = 100
 GRAM = 24
-SEGMENT_BYTES = 1 << 20
+#: Texts are worked on in segments of that size, and their runs gathered over that many bytes.
+SEGMENT_BYTES = 1 << 19
+GATHER_BYTES = 8 << 20
 #: Suffixes in a bucket, about; a row has some 200 bytes.
 BUCKET_ROWS = 40_000
 #: Below this many rows, a part of the quicksort is sorted by all its tokens at once.
@@ -99,19 +101,20 @@ def all_runs(docs: DataFrame, length: int) -> DataFrame:
             ids = batch.column(0).to_numpy()
             offsets, data = binary_parts(batch.column(1))
             offsets = offsets.astype(np.int64)
-            parts = []
-            for first, last in slices(batch.column(1), SEGMENT_BYTES):
-                for doc, pos, count, place, gram, content in runs_of(data, offsets[first : last + 1], length):
-                    parts.append((ids[first + doc], pos, count, place, gram, content))
-            if not parts:
-                continue
-            number, pos, count, place, gram, content = (np.concatenate(x) for x in zip(*parts))
-            run = packed_run(pos, count, place)
-            gram, run = without_repeats(gram, content, number, run)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), pa.array(content.view(np.int64)), pa.array(number), pa.array(run)],
-                names=["gram", "content", "id", "run"],
-            )
+            for begin, end in slices(batch.column(1), GATHER_BYTES):
+                parts = []
+                for first, last in slices(batch.column(1).slice(begin, end - begin), SEGMENT_BYTES):
+                    first, last = begin + first, begin + last
+                    for doc, pos, count, place, gram, content in runs_of(data, offsets[first : last + 1], length):
+                        parts.append((ids[first + doc], packed_run(pos, count, place), gram, content))
+                if not parts:
+                    continue
+                number, run, gram, content = (np.concatenate(x) for x in zip(*parts))
+                gram, run = without_repeats(gram, content, number, run)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram.view(np.int64)), pa.array(content.view(np.int64)), pa.array(number), pa.array(run)],
+                    names=["gram", "content", "id", "run"],
+                )
 
     def without_repeats(gram, content, number, run):
         order = np.argsort(gram + np.uint64(3) * content, kind="stable")
