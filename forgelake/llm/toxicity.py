@@ -242,6 +242,11 @@ def sampled(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, d
     return stored(picked.select("doc_id", "text", "toxic"), "sample"), share
 
 
+def may_be_misspelled(term: str) -> bool:
+    """Whether the term is a whole word that is matched with an edit."""
+    return not term.endswith("*") and len(term) >= LEAST_LETTERS_FOR_EDIT
+
+
 def lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
     """Words and stems that mark toxic texts, at most MOST_TERMS."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
@@ -269,7 +274,10 @@ def lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
     marks: dict[int, int] = {}
     for term, docs in sorted(((r.term, r.docs) for r in rows), key=lambda r: (-len(r[1]), len(r[0]), r[0])):
         # copies of one text share all their words: past a few terms, a further one tells nothing new
-        if sum(marks.get(d, 0) < ENOUGH_TERMS for d in docs) < least or any(term.startswith(s) for s in stems):
+        if sum(marks.get(d, 0) < ENOUGH_TERMS for d in docs) < least and not may_be_misspelled(term):
+            continue
+        # a stem matches its own letters only, so a word that allows an edit stays beside it
+        if any(term.startswith(s) for s in stems) and not may_be_misspelled(term):
             continue
         (stems if term.endswith("*") else words).append(term.rstrip("*"))
         for d in docs:

@@ -121,6 +121,31 @@ def test_toxic_documents_of_the_held_out_fold(spark, medium):
     assert found[0, 1] <= 2 and found[1, 1] >= 0.5 * (found[1, 0] + found[1, 1])
 
 
+def marked_documents(spark, clean, toxic):
+    """Documents and labels; ``toxic`` tells the words that are set into the prose of the n-th toxic text."""
+    r = random.Random(11)
+    prose = lambda: [r.choice(["river", "garden", "window", "simple", "letter", "number", "yellow", "house"]) for _ in range(30)]
+    rows = [(i, " ".join(prose()), 0) for i in range(clean)]
+    for i, extra in enumerate(toxic, clean):
+        words = prose()
+        words[10:10] = extra
+        rows.append((i, " ".join(words), 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    return df.select("doc_id", "text"), df.select("doc_id", "toxic")
+
+
+def test_misspelled_terms_are_found_without_a_right_one(spark):
+    # edits within the first four letters, so that no stem matches them
+    wrong = [w[:k] + c + w[k + 1 :] for w in ("idiot", "stupid", "pathetic") for k in (1, 2, 3) for c in "qxwzkj"]
+    toxic = [[wrong[i // 4 % len(wrong)]] if i % 4 == 0 else [("idiot", "stupid", "pathetic")[i % 3]] for i in range(400)]
+    docs, labels = marked_documents(spark, 800, toxic)
+    got = {r.doc_id: r for r in toxicity.scored(docs, labels).collect()}
+    held = [i for i in range(800, 1200) if (i - 800) % 4 == 0 and zlib.crc32(str(i).encode()) % 4 == 2]
+    assert len(held) > 10
+    assert all(got[i].n_matches == 1 and got[i].predicted == 1 for i in held)
+    assert not any(got[i].predicted for i in range(800))
+
+
 def test_scores_do_not_see_held_out_labels(spark, medium):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
