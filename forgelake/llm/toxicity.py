@@ -13,6 +13,7 @@ exact, misspelled, quoted and clustered matches gives the score.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,16 +26,13 @@ from forgelake.llm.common import slices, stored, table, text_or_empty
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-#: Labelled rows that lexicon and regression are learned from, of either label.
+#: Labelled rows that the regression is fitted on, of either label.
 SAMPLE_ROWS = 3000
 #: Lengths of stems; whole words are longer or as long.
 STEMS = (4, 5, 6, 7)
-#: A term must be in that share of the toxic texts, and so much likelier there (log odds).
-LEAST_SHARE = 0.01
+#: A term must be in so many toxic texts, and be so much likelier there (log odds).
+LEAST_TEXTS = 5
 LEAST_LOG_ODDS = 3.0
-MOST_TERMS = 400
-#: A text that has so many terms of the lexicon calls for no more.
-ENOUGH_TERMS = 3
 #: Shorter terms must match exactly, and so must stems: most words are one edit from some stem.
 LEAST_LETTERS_FOR_EDIT = 5
 WINDOW_WORDS = 8
@@ -127,13 +125,17 @@ def compiled(words: list[str], stems: list[str], edits: int = 1) -> Automaton:
     rows = [[0] * (len(alphabet) + 1)]
     at = 1
     while at < len(order):
-        row = []
-        for letter in range(len(alphabet) + 1):
+        # letters that continue no term from here lead where an unknown one leads
+        row = [0] * (len(alphabet) + 1)
+        for letter in [0, *sorted({c for node, _ in order[at] for c in children[node]})]:
             after = step(order[at], letter)
             if after not in numbers:
                 numbers[after] = len(order)
                 order.append(after)
-            row.append(numbers[after])
+            if letter:
+                row[letter] = numbers[after]
+            else:
+                row = [numbers[after]] * len(row)
         rows.append(row)
         at += 1
 
@@ -149,7 +151,7 @@ def compiled(words: list[str], stems: list[str], edits: int = 1) -> Automaton:
 
 def matches(automaton: Automaton, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per word: 0, 1 or 2 as in ``result``; whether it begins with a stem."""
-    classes = np.zeros(0x110000, np.uint8)
+    classes = np.zeros(0x110000, np.uint16)
     for c, i in automaton.alphabet.items():
         classes[ord(c)] = i
     state = np.ones(len(starts), np.int32)
@@ -225,11 +227,14 @@ def fold(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % FOLDS
 
 
-def sampled(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, dict[int, float]]:
-    """(doc_id, text, toxic) of a sample of the labelled rows, and each label's share in it."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of all rows to learn from, written."""
     known = labels.filter((fold() != HELD_OUT) & F.col("toxic").isin(0, 1))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = stored(known, "labelled")
+    return stored(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labelled")
+
+
+def sampled(docs: DataFrame, known: DataFrame, rows: int) -> tuple[DataFrame, dict[int, float]]:
+    """(doc_id, text, toxic) of a sample of the labelled rows, and each label's share in it."""
     sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {k: min(1.0, rows / n) for k, n in sizes.items()}
     drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxicity sample")), F.lit(1_000_000)) / 1_000_000
@@ -247,41 +252,66 @@ def may_be_misspelled(term: str) -> bool:
     return not term.endswith("*") and len(term) >= LEAST_LETTERS_FOR_EDIT
 
 
-def lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
-    """Words and stems that mark toxic texts, at most MOST_TERMS."""
+def distinct_texts(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, mark, toxic): one labelled row for each text, so that copies of a text count once.
+
+    A text counts as toxic if one of its labels says so.
+    """
+    marks = rows.select("doc_id", "mark").join(known, "doc_id")
+    first = marks.groupBy("mark").agg(F.min("doc_id").alias("id"), F.max("toxic").alias("toxic"))
+    return stored(first, "texts")
+
+
+def lexicon(docs: DataFrame, known: DataFrame) -> tuple[list[str], list[str]]:
+    """Words and stems that mark toxic texts, counted over all labelled rows."""
+    text = text_or_empty()
+    rows = docs.filter(fold() != HELD_OUT).select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
+    texts = distinct_texts(rows, known)
+    sizes = texts.agg(
+        F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")
+    ).first()
+    if not sizes.toxic or not sizes.other:
+        return [], []
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    terms = F.flatten(F.transform(words, lambda w: F.array(
+    terms = F.flatten(F.transform("words", lambda w: F.array(
         w, *[F.when(F.char_length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
     )))
-    found = sample.select("doc_id", "toxic", F.explode(F.array_distinct(F.array_compact(terms))).alias("term"))
-    found = found.filter(F.char_length("term") >= 4)
-    sizes = sample.agg(
-        F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")
-    ).first()
-    least = max(5, int(LEAST_SHARE * sizes.toxic))
-    counts = found.groupBy("term").agg(
-        F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")
+    chosen = texts.withColumnRenamed("mark", "of")
+    # Spark broadcasts the labels if their table is small; only a text's distinct words travel otherwise
+    rows = rows.select("doc_id", "mark", F.array_join(words, " ").alias("line")).join(
+        chosen, (F.col("doc_id") == F.col("id")) & (F.col("mark") == F.col("of"))
+    )
+    rows = rows.select("toxic", F.split("line", " ").alias("words"))
+    found = rows.select("toxic", F.explode(F.array_distinct(F.array_compact(terms))).alias("term"))
+    counts = stored(
+        found.filter(F.char_length("term") >= 4).groupBy("term").agg(
+            F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")
+        ).filter(F.col("a") + F.col("b") >= LEAST_TEXTS),
+        "terms",
     )
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (sizes.toxic + 1 - F.col("a"))) - F.log(b / (sizes.other + 1 - F.col("b")))
     # one standard error down, so that rare terms need more of a difference
     sure = odds - F.sqrt(1 / a + 1 / b)
-    best = counts.filter((F.col("a") >= least) & (sure >= LEAST_LOG_ODDS)).orderBy(F.desc("a"), "term").limit(MOST_TERMS)
-    where = found.filter("toxic = 1").join(F.broadcast(best.select("term")), "term")
-    # at most MOST_TERMS rows, each with documents of the sample
-    rows = where.groupBy("term").agg(F.collect_set("doc_id").alias("docs")).collect()
-    stems, words = [], []
-    marks: dict[int, int] = {}
-    for term, docs in sorted(((r.term, r.docs) for r in rows), key=lambda r: (-len(r[1]), len(r[0]), r[0])):
-        # copies of one text share all their words: past a few terms, a further one tells nothing new
-        if sum(marks.get(d, 0) < ENOUGH_TERMS for d in docs) < least and not may_be_misspelled(term):
-            continue
-        # a stem matches its own letters only, so a word that allows an edit stays beside it
-        if any(term.startswith(s) for s in stems) and not may_be_misspelled(term):
-            continue
-        (stems if term.endswith("*") else words).append(term.rstrip("*"))
-        for d in docs:
-            marks[d] = marks.get(d, 0) + 1
+    # Chernoff's bound: of all terms tried, fewer than one passes by chance
+    n, base = F.col("a") + F.col("b"), sizes.toxic / (sizes.toxic + sizes.other)
+    chance = F.col("a") * F.log(F.col("a") / n / base)
+    chance += F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / n / (1 - base))).otherwise(0.0)
+    tried = max(counts.count(), 1)
+    marking = (F.col("a") >= LEAST_TEXTS) & (sure >= LEAST_LOG_ODDS) & (chance >= math.log(tried))
+    # a row per term that marks toxic texts; no text
+    found = [r.term for r in counts.filter(marking).select("term").collect()]
+    stems: list[str] = []
+    taken: set[str] = set()
+    for stem in sorted((t[:-1] for t in found if t.endswith("*")), key=lambda t: (len(t), t)):
+        if not any(stem[:k] in taken for k in STEMS if k < len(stem)):
+            stems.append(stem)
+            taken.add(stem)
+    # a word that begins with a stem is found by it, but misspellings of the word are not
+    words = [
+        t for t in sorted(found)
+        if not t.endswith("*") and (may_be_misspelled(t) or not any(t[:k] in taken for k in STEMS))
+    ]
     return words, stems
 
 
@@ -307,8 +337,9 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     counts as toxic if one label says so. Without any, no text has a match and all score the same.
     NULL and empty texts are scored as texts without a match. A NULL doc_id is not held out.
     """
-    sample, share = sampled(docs, labels, sample_rows)
-    words, stems = lexicon(sample)
+    known = labelled(labels)
+    sample, share = sampled(docs, known, sample_rows)
+    words, stems = lexicon(docs, known)
     automaton = compiled(words, stems)
     columns = ", ".join(f"{f} double" for f in FEATURES)
 

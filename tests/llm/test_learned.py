@@ -146,6 +146,24 @@ def test_misspelled_terms_are_found_without_a_right_one(spark):
     assert not any(got[i].predicted for i in range(800))
 
 
+def test_rare_terms_enter_beside_common_ones(spark):
+    # "moron" stands in 0.8 % of the toxic texts, always beside three common terms
+    common = ["idiot", "stupid", "pathetic"]
+    toxic = [[*common, "moron"] if i % 130 == 0 else common for i in range(8000)]
+    docs, labels = marked_documents(spark, 8000, toxic)
+    alone = spark.createDataFrame([(10_000, "river garden moron window " * 2)], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.scored(docs.union(alone), labels).collect()}
+    assert got[10_000].n_matches == 2
+    assert not any(got[i].n_matches for i in range(8000))
+
+
+def test_copies_of_a_text_count_once(spark):
+    copies = [["quiet", "evening"] for _ in range(60)]
+    docs, labels = marked_documents(spark, 800, [["idiot"]] * 200 + copies)
+    same = docs.withColumn("text", F.when(F.col("doc_id") < 1000, F.col("text")).otherwise("a quiet evening at home"))
+    assert toxicity.lexicon(same, toxicity.labelled(labels))[0] == ["idiot"]
+
+
 def test_scores_do_not_see_held_out_labels(spark, medium):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
