@@ -1,10 +1,10 @@
 """Quality rules: plain limits, then robust multivariate outliers per language and source.
 
 Everything is DataFrame code. One pass over the texts makes a small numeric table; all that
-follows reads only that table. Per group the minimum covariance determinant is approached by
-concentration steps from the medians: take the three quarters of the rows nearest to the centre,
-estimate mean and covariance from them, measure all rows again. A row is rejected if its squared
-Mahalanobis distance is far out. Means and covariances are plain sums, so a group that holds a
+follows reads only that table. Per group the minimum covariance determinant is sought as DetMCD
+does: from several fixed starts, take the half of the rows nearest to the centre, estimate mean and
+covariance from them, measure all rows again, until no determinant falls any more; the estimate with
+the smallest one is used. A row is rejected if its squared Mahalanobis distance is far out. Means and covariances are plain sums, so a group that holds a
 third of all rows is added up in every task and only its sums are shuffled.
 """
 
@@ -17,9 +17,16 @@ from forgelake.llm.common import stored, table
 
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-#: Share of a group's rows that the estimate rests on, and steps towards it.
-CORE_SHARE = 0.75
-STEPS = 3
+#: Share of a group's rows that the estimate rests on.
+CORE_SHARE = 0.5
+#: The steps end once no logarithm of a determinant changes by more; quantiles are approximate, which
+#: lets it waver by a little. A search that has not ended after MOST_STEPS fails.
+STABLE = 0.01
+MOST_STEPS = 100
+#: Rank accuracy of quantiles.
+ACCURACY = 10_000
+#: Starts of the search: deviations alone, spatial signs, and hyperbolic tangents of the parts.
+STARTS = ("0", "1", "2")
 #: Repeated windows of a text up to which its places are found by search, not by sorting.
 FEW_REPEATS = 64
 #: Groups below this size are pooled by language, then all together.
@@ -173,14 +180,9 @@ def grouped(rows: DataFrame) -> tuple[DataFrame, bool]:
     return keyed.withColumn("q_group", group).drop("q_fine", "q_pool", "q_n", "q_m", "q_small"), few
 
 
-def spread(rows: DataFrame, few: bool = True) -> DataFrame:
-    """Per group the mean ``m_i`` and the Cholesky factor ``l_i_j`` of the floored covariance."""
+def factored(out: DataFrame, few: bool) -> DataFrame:
+    """The means and the Cholesky factor, from columns ``m_i`` and ``c_i_j``."""
     p = range(len(NAMES))
-    sums = [F.avg(NAMES[i]).alias(f"m_{i}") for i in p]
-    sums += [
-        F.covar_pop(NAMES[i], NAMES[j]).alias(f"c_{i}_{j}") for i in p for j in p if j <= i
-    ]
-    out = rows.groupBy("q_group").agg(*sums)
     # one select whose columns refer to those before them: a plan per column would cost the driver dear
     factor = []
     for i in p:
@@ -195,24 +197,84 @@ def spread(rows: DataFrame, few: bool = True) -> DataFrame:
     return per_group(out, "spread", few)
 
 
+def spread(rows: DataFrame, few: bool = True) -> DataFrame:
+    """Per group the mean ``m_i`` and the Cholesky factor ``l_i_j`` of the floored covariance."""
+    p = range(len(NAMES))
+    sums = [F.avg(NAMES[i]).alias(f"m_{i}") for i in p]
+    sums += [
+        F.covar_pop(NAMES[i], NAMES[j]).alias(f"c_{i}_{j}") for i in p for j in p if j <= i
+    ]
+    return factored(rows.groupBy("q_group").agg(*sums), few)
+
+
 def first_spread(rows: DataFrame, few: bool) -> DataFrame:
-    """The start: medians, and 1.4826 times the median absolute deviations on the diagonal."""
+    """The starts, per group and start: medians, and three covariances scaled to the median
+    absolute deviations; ``q_of`` is the start followed by the group."""
     p = range(len(NAMES))
     centre = rows.groupBy(F.col("q_group").alias("q_of")).agg(
-        *[F.percentile_approx(NAMES[i], 0.5, 1000).alias(f"m_{i}") for i in p]
+        *[F.percentile_approx(NAMES[i], 0.5, ACCURACY).alias(f"m_{i}") for i in p]
     )
     centre = per_group(centre, "centre", few)
     off = rows.join(centre, F.col("q_group") == F.col("q_of")).groupBy("q_group").agg(
-        *[F.percentile_approx(F.abs(F.col(NAMES[i]) - F.col(f"m_{i}")), 0.5, 1000).alias(f"d_{i}") for i in p]
+        *[F.percentile_approx(F.abs(F.col(NAMES[i]) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"d_{i}") for i in p]
     )
     scale = [
-        F.sqrt(F.pow(F.col(f"d_{i}") * 1.4826, 2.0) + PARTS[NAMES[i]][1] ** 2).alias(f"l_{i}_{i}") for i in p
+        F.sqrt(F.pow(F.col(f"d_{i}") * 1.4826, 2.0) + PARTS[NAMES[i]][1] ** 2).alias(f"s_{i}") for i in p
     ]
-    zero = [F.lit(0.0).alias(f"l_{i}_{j}") for i in p for j in range(i)]
-    out = off.join(centre, F.col("q_group") == F.col("q_of")).select(
-        "q_of", *[f"m_{i}" for i in p], *scale, *zero
+    centre = off.join(centre, F.col("q_group") == F.col("q_of")).select("q_of", *[f"m_{i}" for i in p], *scale)
+    centre = per_group(centre, "centre", few)
+    scaled = rows.join(centre, F.col("q_group") == F.col("q_of")).selectExpr(
+        "q_group", *[f"({NAMES[i]} - m_{i}) / s_{i} AS z_{i}" for i in p], *[f"m_{i}" for i in p], *[f"s_{i}" for i in p]
     )
-    return per_group(out, "spread", few)
+    length = " + ".join(f"z_{i} * z_{i}" for i in p)
+    scaled = scaled.selectExpr("*", f"sqrt(greatest({length}, 1e-12D)) AS q_length")
+    signs = [f"avg(z_{i} * z_{j} / (q_length * q_length)) AS g_{i}_{j}" for i in p for j in range(i + 1)]
+    tangents = [f"covar_pop(tanh(z_{i}), tanh(z_{j})) AS t_{i}_{j}" for i in p for j in range(i + 1)]
+    constant = [f"first({x}_{i}) AS {x}_{i}" for x in "ms" for i in p]
+    sums = scaled.groupBy("q_group").agg(*[F.expr(e) for e in (*signs, *tangents, *constant)])
+    sums = per_group(sums, "starts", few)
+
+    def start(number: str, value) -> DataFrame:
+        # as correlations, so that all starts have the same deviations
+        return sums.selectExpr(
+            f"concat('{number}', q_group) AS q_group", *[f"m_{i}" for i in p],
+            *[f"s_{i} * s_{j} * {value(i, j)} AS c_{i}_{j}" for i in p for j in range(i + 1)],
+        )
+
+    def correlation(x: str):
+        return lambda i, j: f"CASE WHEN {x}_{i}_{i} * {x}_{j}_{j} > 0 THEN {x}_{i}_{j} / sqrt({x}_{i}_{i} * {x}_{j}_{j}) ELSE 0D END"
+
+    starts = start(STARTS[0], lambda i, j: "1D" if i == j else "0D")
+    starts = starts.union(start(STARTS[1], correlation("g"))).union(start(STARTS[2], correlation("t")))
+    return factored(starts, few)
+
+
+def determinants(estimate: DataFrame) -> DataFrame:
+    """``estimate`` with ``q_det``, the logarithm of each determinant."""
+    return estimate.withColumn("q_det", F.expr(" + ".join(f"2 * ln(l_{i}_{i})" for i in range(len(NAMES)))))
+
+
+def smallest_spread(core: DataFrame, few: bool) -> DataFrame:
+    """Per group the estimate with the smallest determinant that the starts lead to."""
+    rows = core.withColumn("q_start", F.explode(F.array(*[F.lit(k) for k in STARTS])))
+    rows = rows.select(F.concat("q_start", "q_group").alias("q_group"), *NAMES)
+    estimate, before = first_spread(core, few), None
+    for _ in range(MOST_STEPS):
+        far = distances(rows, estimate)
+        near = far.join(limit_of(far, CORE_SHARE, "q_most", few), F.col("q_group") == F.col("q_lim"))
+        estimate = spread(near.filter(F.col("q_d2") <= F.col("q_most")), few)
+        after = determinants(estimate).select(F.col("q_of").alias("q_now"), F.col("q_det").alias("q_new"))
+        if before is not None:
+            change = before.join(after, F.col("q_of") == F.col("q_now")).agg(F.max(F.abs(F.col("q_det") - F.col("q_new"))))
+            changed = change.first()[0]
+            if changed is None or changed <= STABLE:
+                break
+        before = determinants(estimate).select("q_of", "q_det")
+    else:
+        raise RuntimeError(f"the estimate still changes after {MOST_STEPS} steps")
+    found = determinants(estimate).withColumn("q_of", F.substring("q_of", 2, 1 << 30))
+    best = found.groupBy("q_of").agg(F.min(F.struct("q_det", *[c for c in estimate.columns if c != "q_of"])).alias("s"))
+    return per_group(best.select("q_of", "s.*").drop("q_det"), "spread", few)
 
 
 def distances(rows: DataFrame, spread: DataFrame) -> DataFrame:
@@ -228,7 +290,7 @@ def distances(rows: DataFrame, spread: DataFrame) -> DataFrame:
 
 def limit_of(rows: DataFrame, share: float, name: str, few: bool) -> DataFrame:
     """Per group the distance within which that share of the rows lies."""
-    out = rows.groupBy(F.col("q_group").alias("q_lim")).agg(F.percentile_approx("q_d2", share, 1000).alias(name))
+    out = rows.groupBy(F.col("q_group").alias("q_lim")).agg(F.percentile_approx("q_d2", share, ACCURACY).alias(name))
     return per_group(out, "limits", few)
 
 
@@ -251,11 +313,7 @@ def verdicts(docs: DataFrame, carried: list[str]) -> DataFrame:
     # written once, with what is carried; the passes below read only the numbers of it
     rows, few = grouped(stored(rows, "measured"))
     core = rows.filter("NOT base_failed AND q_group IS NOT NULL").select("q_group", *NAMES)
-    estimate = first_spread(core, few)
-    for _ in range(STEPS):
-        far = distances(core, estimate)
-        near = far.join(limit_of(far, CORE_SHARE, "q_most", few), F.col("q_group") == F.col("q_lim"))
-        estimate = spread(near.filter(F.col("q_d2") <= F.col("q_most")), few)
+    estimate = smallest_spread(core, few)
     half = limit_of(distances(core, estimate), 0.5, "q_half", few)
     rows = distances(rows, estimate).join(half, F.col("q_group") == F.col("q_lim"), "left")
     # the core is narrower than its group: scale so that the median row is where it should be

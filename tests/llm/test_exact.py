@@ -273,6 +273,19 @@ def test_junk_goes_and_prose_stays(spark):
     assert not any(v for i, v in kept.items() if i >= 2000)
 
 
+def test_a_third_of_a_group_is_junk(spark):
+    r = random.Random(7)
+    syllables = "the an er in on at en ed or is to of re ha wh".split()
+    word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
+    prose = lambda: ". ".join(" ".join(word() for _ in range(9)) for _ in range(r.randint(8, 60))) + "."
+    copy = " ".join(word() + r.choice(["$$$", "###", "***"]) for _ in range(200))
+    rows = [(i, prose(), "en", "s0") for i in range(400)] + [(2000 + i, copy, "en", "s0") for i in range(200)]
+    found = quality.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id"])
+    kept = {r.doc_id: r.kept for r in found.collect()}
+    assert all(kept[i] for i in range(400))
+    assert not any(kept[i] for i in range(2000, 2200))
+
+
 # --- decontamination -------------------------------------------------------------------------
 
 ITEM_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
