@@ -16,9 +16,10 @@ from forgelake.llm.common import stored, table
 
 SEED = 17
 TEMPERATURE = 0.5
-#: A source's mean repetition is held at this, so that a tiny source is not repeated without end.
+#: The registered query holds a source's mean repetition at this, as its SQL states; mixes do not.
+#: No single draw has a larger mean either: documents of such a source draw several times.
 MOST_REPEATS = 8.0
-#: Steps of the distribution function; beyond it lies less than 1e-20 at the largest mean.
+#: Steps of the distribution function; beyond it lies less than 1e-20 at a draw's largest mean.
 STEPS = 64
 #: Size of a document without words: it costs something to keep.
 LEAST_SIZE = 1
@@ -52,9 +53,13 @@ def poisson_steps(mean: Column) -> Column:
 
 
 def source_means(
-    docs: DataFrame, temperature: float = TEMPERATURE, weights: DataFrame | None = None
+    docs: DataFrame, temperature: float = TEMPERATURE, weights: DataFrame | None = None,
+    most_repeats: float | None = None,
 ) -> DataFrame:
-    """Per source: its size, its mean repetition and the steps of its distribution.
+    """Per source: its size, its mean repetition, its draws and the steps of a draw's distribution.
+
+    A mean above MOST_REPEATS is dealt evenly over several draws: the sum of Poisson numbers is
+    Poisson again. ``most_repeats`` holds means down; what sources lose by it, others do not get.
 
     ``weights`` (source, weight) gives the target shares; a source without a row has weight 0.
     Without it, shares follow size to the power of ``temperature``.
@@ -68,14 +73,19 @@ def source_means(
         sizes = sizes.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     all_size, all_weight = sizes.agg(F.sum("size")).scalar(), sizes.agg(F.sum("weight")).scalar()
     mean = F.col("weight") / F.nullif(all_weight, F.lit(0.0)) * all_size / F.col("size")
+    mean = F.coalesce(mean, F.lit(0.0))
+    if most_repeats is not None:
+        mean = F.least(mean, F.lit(float(most_repeats)))
+    draws = F.greatest(F.lit(1), F.ceil(F.col("mean") / MOST_REPEATS)).cast("int")
     return (
-        sizes.withColumn("mean", F.round(F.least(F.coalesce(mean, F.lit(0.0)), F.lit(MOST_REPEATS)), 6))
-        .select("source", "size", "mean", poisson_steps(F.col("mean")).alias("steps"))
+        sizes.withColumn("mean", F.round(mean, 6))
+        .withColumn("draws", draws)
+        .select("source", "size", "mean", "draws", poisson_steps(F.col("mean") / F.col("draws")).alias("steps"))
     )
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, seed: int = SEED,
-          temperature: float = TEMPERATURE) -> DataFrame:
+          temperature: float = TEMPERATURE, most_repeats: float | None = None) -> DataFrame:
     """The columns of ``docs`` plus ``mean``, ``copy`` (from 1) and ``place`` in [0, 1).
 
     Rows come in the order of ``place`` within each partition, and partitions hold random rows.
@@ -84,13 +94,18 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, seed: int = SEED,
     are called like those added are replaced.
     """
     docs = docs.drop("mean", "copy", "place")
-    means = stored(source_means(docs.select("source", "text"), temperature, weights), "means")
-    means = means.select(F.col("source").alias("of"), "mean", "steps")
+    means = stored(source_means(docs.select("source", "text"), temperature, weights, most_repeats), "means")
+    means = means.select(F.col("source").alias("of"), "mean", "draws", "steps")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     # Spark broadcasts the means if their table is small and splits a heavy source otherwise.
     rows = rows.join(means, F.col("row.source").eqNullSafe(F.col("of")))
     rows = rows.withColumn("drawn", uniform(seed, "copies", F.col("row.doc_id")))
-    rows = rows.withColumn("copies", F.size(F.filter("steps", lambda c: c <= F.col("drawn"))))
+    copies = F.size(F.filter("steps", lambda c: c <= F.col("drawn")))
+    more = F.aggregate(
+        F.sequence(F.lit(2), F.greatest(F.col("draws"), F.lit(2))), copies,
+        lambda total, k: total + F.size(F.filter("steps", lambda c: c <= uniform(seed, "copies", F.col("row.doc_id"), k))),
+    )
+    rows = rows.withColumn("copies", F.when(F.col("draws") == 1, copies).otherwise(more))
     rows = rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     rows = rows.withColumn("place", uniform(seed, "place", F.col("row.doc_id"), F.col("copy")))
     return (
@@ -101,7 +116,7 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, seed: int = SEED,
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixed(table(spark, sf_dir, "documents"))
+    rows = mixed(table(spark, sf_dir, "documents"), most_repeats=MOST_REPEATS)
     return rows.select("doc_id", "source", "copy", "place", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 

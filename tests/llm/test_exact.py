@@ -389,3 +389,18 @@ def test_sources_reach_their_shares(spark):
     assert {r.source: round(r["count"] / total, 1) for r in rows} == {"big": 0.4, "mid": 0.4, "small": 0.2}
     assert mixing.mixed(docs, weights).exceptAll(mixing.mixed(docs.repartition(3), weights)).isEmpty()
     assert mixing.mixed(docs, weights.filter("source = 'absent'")).isEmpty()
+
+
+def test_a_small_source_reaches_its_weight(spark):
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.lit("ten chars.").alias("text"),
+        F.when(F.col("id") % 1000 == 0, "small").otherwise("big").alias("source"),
+    )
+    weights = spark.createDataFrame([("big", 0.9), ("small", 0.1)], "source string, weight double")
+    rows = {r.source: r for r in mixing.mixed(docs, weights).groupBy("source").agg(
+        F.count("*").alias("n"), F.first("mean").alias("mean"), F.max("copy").alias("most")
+    ).collect()}
+    assert rows["small"].mean == pytest.approx(100)
+    # 20 documents: the standard deviation of their copies together is 45
+    assert rows["small"].n == pytest.approx(2000, abs=180) and 100 < rows["small"].most < 160
+    assert rows["big"].n == pytest.approx(18_000, rel=0.03)
