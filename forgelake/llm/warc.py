@@ -27,10 +27,10 @@ from forgelake.llm.common import scratch, stored, table
 RECORDS_PER_FILE = 4000
 #: Payloads below this size are never revisits.
 LEAST_REVISIT_BYTES = 0
-LONGEST_HEADER = 1 << 16
 
 #: Fixed values of the format.
-MAGIC = b"WARC/1.0\r\n"
+MAGIC = rb"WARC/1\.[01]\r\n"
+MAGIC_BYTES = 10
 BLANK = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -79,12 +79,13 @@ def fields(header: bytes) -> dict[str, str]:
 
 def candidates(data: bytes) -> Iterator[tuple]:
     """(start, next, type, record id, payload bytes, digest, sound) of all that may be a record."""
-    end = len(data)
-    for found in re.finditer(re.escape(MAGIC), data):
+    end, head = len(data), -1
+    for found in re.finditer(MAGIC, data):
         start = found.start()
-        head = data.find(BLANK.encode(), start, start + LONGEST_HEADER)
+        if head < start:
+            head = data.find(BLANK.encode(), start)
         if head < 0:
-            continue
+            break
         values = fields(data[start:head])
         size = values.get("content-length", "")
         if not (size.isascii() and size.isdigit()):
@@ -94,7 +95,7 @@ def candidates(data: bytes) -> Iterator[tuple]:
         # a record ends with a blank line, and the next begins there
         if after + 4 > end or data[after : after + 4] != BLANK.encode():
             continue
-        if after + 4 < end and data[after + 4 : after + 4 + len(MAGIC)] != MAGIC:
+        if after + 4 < end and not re.match(MAGIC, data[after + 4 : after + 4 + MAGIC_BYTES]):
             continue
         digest = base64.b32encode(hashlib.sha1(memoryview(data)[body:after]).digest()).decode()
         said = values.get("warc-payload-digest", "").partition(":")[2]
@@ -120,7 +121,8 @@ def reachable(start: np.ndarray, after: np.ndarray) -> np.ndarray:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(file, start, type, record_id, payload_bytes, payload_digest, sound) of every record.
 
-    Archives may be plain or gzipped. A file whose chain does not end at its end is damaged: the
+    Archives may be plain or gzipped, of version 1.0 or 1.1, and called anything that does not begin
+    with ``_`` or ``.``, which Spark takes for hidden. A file whose chain does not end at its end is damaged: the
     read fails and names it. ``sound`` tells whether the payload has the digest in its header.
     A folder without archives gives no rows.
     """
@@ -148,7 +150,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             raise ValueError(f"the records of {rows['file'].iloc[0]} do not reach its end")
         return kept.drop(columns=["length", "next"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").load(path)
     found = files.select("path", "content").mapInArrow(emit, CANDIDATE)
     out = ", ".join(c for c in CANDIDATE.split(", ") if c.split()[0] not in ("length", "next"))
     return found.groupBy("file").applyInPandas(chain, out)

@@ -349,6 +349,21 @@ def test_archives_give_back_every_record(spark, monkeypatch):
     assert all(r.record_type == "response" for r in warc.revisits(warc.read_warc(spark, path), 100).collect() if r.payload_bytes < 100)
 
 
+def test_foreign_archives_are_read(spark, tmp_path):
+    import gzip
+
+    def record(version, url, body):
+        head = f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <{url[:9]}>\r\nWARC-Target-URI: {url}\r\n"
+        return f"{head}Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+
+    parts = [record("1.0", "http://a/", "one"), record("1.1", "http://b/" + "x" * 100_000, "three"), record("1.1", "http://c/", NASTY)]
+    (tmp_path / "crawl-0001.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    (tmp_path / "_SUCCESS").write_bytes(b"")
+    (tmp_path / ".hidden").write_bytes(b"no archive")
+    found = {r.record_id: r.payload_bytes for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert found == {"<http://a/>": 3, "<http://b/>": 5, "<http://c/>": len(NASTY)}
+
+
 def test_a_damaged_archive_is_named(spark, tmp_path):
     good = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
     (tmp_path / "part-1.warc").write_bytes(good + good)
