@@ -134,7 +134,8 @@ def trained(sample: DataFrame, langs: list[str], idf: np.ndarray) -> tuple[np.nd
 
     rows = sample.select("lang", text_or_empty().alias("text"), F.xxhash64("doc_id").alias("key"))
     one = rows.mapInArrow(features, "lang string, key long, at array<int>, value array<float>")
-    found = one.coalesce(1).mapInArrow(train, "weights binary, temperature double").collect()
+    # a shuffle of the drawn rows only: coalesce would read the whole table in one task
+    found = one.repartition(1).mapInArrow(train, "weights binary, temperature double").collect()
     if not found:
         return np.zeros((BUCKETS, len(langs)), np.float32), np.zeros(len(langs), np.float32), 1.0
     w = np.frombuffer(bytes(found[0].weights), np.float32).reshape(BUCKETS + 1, len(langs))

@@ -36,6 +36,14 @@ def test_a_prediction_does_not_see_its_label(medium):
     assert a == b
 
 
+def test_the_table_is_not_read_by_one_task(medium, monkeypatch):
+    def narrowed(self, n):
+        raise AssertionError("coalesce carries its scan into one task")
+
+    monkeypatch.setattr(type(medium), "coalesce", narrowed)
+    assert language_id.identified(medium.limit(300)).count() == 300
+
+
 def test_ngrams_do_not_cross_texts():
     alone = [language_id.vectors([t])[0] for t in ("abc", "", "Zürich", "d")]
     together = language_id.vectors(["abc", "", "Zürich", "d"])
