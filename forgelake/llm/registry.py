@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from forgelake.llm import (
+    centroids,
     decontamination,
+    exact_dedup,
     language_id,
     license_scan,
     mixing,
@@ -13,6 +15,7 @@ from forgelake.llm import (
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 
 QUERIES = {
@@ -26,10 +29,15 @@ QUERIES = {
     "op8_license_scan": license_scan.query,
     "op9_toxicity": toxicity.query,
     "op10_simhash_near_dedup": simhash.query,
+    "op11_exact_dedup": exact_dedup.query,
+    "op12_centroid_clustering": centroids.query,
+    "op13_embedding_whitening": whitening.query,
 }
 
 ORACLES = {
     "op2_warc": warc.SQL,
     "op6_decontamination": decontamination.SQL,
     "op5_mixing": mixing.SQL,
+    "op11_exact_dedup": exact_dedup.SQL,
+    "op12_centroid_clustering": centroids.SQL,
 }
