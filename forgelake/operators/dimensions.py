@@ -32,8 +32,6 @@ STATE_TYPES = {
         "last_seen": "DECIMAL(38,0)",
     },
     "state_org": {"org_id": "BIGINT", "org_login": "STRING", "last_seen": "DECIMAL(38,0)"},
-    # Not for a dimension, but kept the same way: what the issue mart needs of an issue's events.
-    "state_issue": {"issue_id": "BIGINT", "closed_at": "TIMESTAMP", "opened_at": "TIMESTAMP"},
 }
 
 
@@ -68,15 +66,10 @@ def issue_moments(events: DataFrame, *by: str) -> DataFrame:
     return rows.select(*by, "issue_id", *at)
 
 
-def issue_state(silver: DataFrame, *by: str) -> DataFrame:
-    rows = issue_moments(silver, *by)
-    return rows.groupBy(*by, "issue_id", "closed_at").agg(F.min("opened_at").alias("opened_at"))
-
-
 def merged(name: str, state: DataFrame) -> DataFrame:
     """Rows of one state table brought together: minima and maxima merge."""
     known = {
-        "first_seen_at": F.min("first_seen_at"), "opened_at": F.min("opened_at"), "last_seen": F.max("last_seen")
+        "first_seen_at": F.min("first_seen_at"), "last_seen": F.max("last_seen")
     }
     columns = STATE_TYPES[name]
     keys = [c for c in columns if c not in known]

@@ -14,24 +14,22 @@ from pyspark.sql import functions as F
 from forgelake.operators import dimensions as dims
 from forgelake.operators.facts import fact
 from forgelake.operators.silver import core_events, first_copies, flatten
-from forgelake.plans.marts import ADDITIVE, MART_TYPES, merge_slices, resolved
-from forgelake.schemas import FACTS, ddl
+from forgelake.plans.marts import MART_TYPES, STORED, renew
+from forgelake.schemas import FACTS
 from forgelake.session import prepare, room_for
 from forgelake.sources.bronze import land_dumps, quarantine, read_bronze, read_bronze_dated
+from forgelake.sources.gold import gold_in, read_gold
 from forgelake.sources.lake import (
     bytes_in,
+    bytes_of,
     day_slices,
     days_between,
     exists,
-    folders_in,
-    hadoop_path,
-    read_gold,
     read_silver,
-    read_version,
     replace_slices,
     stored_days,
-    write_version,
 )
+from forgelake.sources.snapshot import Run, Snapshot, snapshot
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
 from forgelake.tables import Gold
 
@@ -40,7 +38,6 @@ STATES = {
     "state_actor": dims.actor_state,
     "state_repo": dims.repo_state,
     "state_org": dims.org_state,
-    "state_issue": dims.issue_state,
 }
 
 
@@ -109,95 +106,76 @@ def run_quarantine(spark: SparkSession, base: str, first: date, last: date | Non
         replace_slices(bad, f"{base}/quarantine", ("event_date",), slices)
 
 
-def _merged_marks(spark: SparkSession, home: str) -> list[date]:
-    """The days up to which there are whole merged tables, in order."""
-    names = [n.removeprefix("upto=") for n in folders_in(spark, home) if n.startswith("upto=")]
-    return sorted(date.fromisoformat(n) for n in names if exists(spark, f"{home}/upto={n}/_SUCCESS"))
+def _merged_marks(view: Snapshot, name: str) -> list[str]:
+    """The days up to which there are merged tables, in order."""
+    return sorted(p.removeprefix("upto=") for p in view.parts.get(f"{name}_upto", {}))
 
 
-def _state_days(spark: SparkSession, path: str, name: str, begin: date | None, end: date | None = None) -> DataFrame:
+def _state_days(view: Snapshot, name: str, begin: str | None, end: str | None = None) -> DataFrame:
     """The days of a state table from ``begin`` to before ``end``."""
-    columns = dims.STATE_TYPES[name]
-    stored = folders_in(spark, f"{path}/{name}")
     wanted = [
-        folder for piece, folder in stored.items()
-        if piece.startswith("event_date=")
-        and (begin is None or piece >= f"event_date={begin}") and (end is None or piece < f"event_date={end}")
+        piece for piece in view.pieces(name)
+        if (begin is None or piece >= f"event_date={begin}") and (end is None or piece < f"event_date={end}")
     ]
-    if not wanted:
-        return spark.createDataFrame([], ddl(columns))
-    reader = spark.read.schema(f"{ddl(columns)}, event_date DATE").option("basePath", f"{path}/{name}")
-    return reader.parquet(*wanted).select(*columns)
+    return view.read(name, dims.STATE_TYPES[name], wanted)
 
 
-def read_state(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_state(view: Snapshot, name: str) -> DataFrame:
     """All days of a state table: the newest merged table and the days since."""
-    home = f"{path}/{name}_upto"
-    marks = _merged_marks(spark, home)
+    marks = _merged_marks(view, name)
     if not marks:
-        return _state_days(spark, path, name, None)
-    merged = spark.read.schema(ddl(dims.STATE_TYPES[name])).parquet(f"{home}/upto={marks[-1]}")
-    return merged.unionAll(_state_days(spark, path, name, marks[-1]))
+        return _state_days(view, name, None)
+    merged = view.read(f"{name}_upto", dims.STATE_TYPES[name], [f"upto={marks[-1]}"])
+    return merged.unionAll(_state_days(view, name, marks[-1]))
 
 
-def keep_merged(spark: SparkSession, path: str, name: str, first: date) -> None:
+def keep_merged(run: Run, name: str, first: date) -> None:
     """Bring the merged tables of a state table up to date after days from ``first`` on were replaced.
 
-    A merged table ``<state>_upto/upto=2024-02-01`` holds all days before that one. Those that
-    contain replaced days go, and a new one is made once a month has ended. A daily run thus reads
-    one table with a row per name known so far, like the dimension that it writes, and the days
-    since; not every day there ever was.
+    A merged table ``upto=2024-02-01`` holds all days before that one. Those that contain replaced
+    days go, and a new one is made once a month has ended; the two newest are kept, so that a day of
+    the month before costs no more than a month. A daily run thus reads one table with a row per name
+    known so far, like the dimension that it writes, and the days since; not every day there ever was.
     """
-    home = f"{path}/{name}_upto"
-    for piece in folders_in(spark, home):
-        mark = piece.removeprefix("upto=")
-        if mark > str(first) or not exists(spark, f"{home}/{piece}/_SUCCESS"):
-            files, folder = hadoop_path(spark, f"{home}/{piece}")
-            files.delete(folder, True)
-    days = sorted(n.removeprefix("event_date=") for n in folders_in(spark, f"{path}/{name}") if n.startswith("event_date="))
+    merged = f"{name}_upto"
+    run.drop(merged, [f"upto={m}" for m in _merged_marks(run, name) if m > str(first)])
+    days = sorted(p.removeprefix("event_date=") for p in run.pieces(name))
     if not days:
         return
-    month, marks = date.fromisoformat(days[-1]).replace(day=1), _merged_marks(spark, home)
+    month, marks = date.fromisoformat(days[-1]).replace(day=1), _merged_marks(run, name)
     since = marks[-1] if marks else None
-    if str(month) > max(days[0], str(since or "")) and month <= first:
-        rows = _state_days(spark, path, name, since, month)
+    if str(month) > max(days[0], since or "") and month <= first:
+        rows = _state_days(run, name, since, str(month))
         if since is not None:
-            rows = rows.unionAll(spark.read.schema(ddl(dims.STATE_TYPES[name])).parquet(f"{home}/upto={since}"))
-        dims.merged(name, rows).write.mode("overwrite").parquet(f"{home}/upto={month}")
+            rows = rows.unionAll(run.read(merged, dims.STATE_TYPES[name], [f"upto={since}"]))
+        rows = dims.merged(name, rows).withColumn("upto", F.lit(str(month)))
+        run.put(merged, rows, by=("upto",), replaces=[f"upto={m}" for m in marks[:-1]])
 
 
 def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
-    """Replace the slices ``first`` to ``last`` of ``silver`` in gold, then renew the dimensions.
+    """Replace the slices ``first`` to ``last`` of ``silver`` in gold and renew the dimensions, as one version.
 
     Dimensions span all days. Each day leaves a small table of the names it saw, and the
     dimensions are built from these (see ``keep_merged``), so a run costs its own days of silver,
     days may come in any order, and a repeated day takes back what its earlier version had added.
+    Readers see facts and dimensions change together, when all of them have been written.
     """
-    spark, slices = silver.sparkSession, day_slices(first, last)
+    spark, slices, run = silver.sparkSession, day_slices(first, last), Run(silver.sparkSession, path)
     for name in FACTS:
-        replace_slices(
-            fact(silver, name, "event_date"),
-            f"{path}/{name}",
-            ("event_date", "date_id"),
-            slices,
-            sort_by=("event_type",),
-            # Silver files are of a good size and a fact is a filter of them: no shuffle.
-            balance=False,
+        # Silver files are of a good size and a fact is a filter of them: no shuffle.
+        run.put(
+            name, fact(silver, name, "event_date"), ("event_date", "date_id"), slices, sort_by=("event_type",), balance=False
         )
     for name, build in STATES.items():
-        replace_slices(build(silver, "event_date"), f"{path}/{name}", ("event_date",), slices)
-        keep_merged(spark, path, name, first)
-    state = {name: read_state(spark, path, name) for name in STATES}
-    tables = {
-        "dim_date": dims.dim_date(state["state_day"]),
-        "dim_actor": dims.dim_actor(state["state_actor"]),
-        "dim_repo": dims.dim_repo(state["state_repo"]),
-        "dim_org": dims.dim_org(state["state_org"]),
-    }
-    with room_for(spark, sum(bytes_in(spark, f"{path}/{name}") for name in STATES)):
-        for name, rows in tables.items():
-            write_version(rows, f"{path}/{name}")
-    return read_gold(spark, path)
+        run.put(name, build(silver, "event_date"), ("event_date",), slices)
+        keep_merged(run, name, first)
+    state = {name: read_state(run, name) for name in STATES}
+    with room_for(spark, bytes_of(*state.values())):
+        run.put("dim_date", dims.dim_date(state["state_day"]))
+        run.put("dim_actor", dims.dim_actor(state["state_actor"]))
+        run.put("dim_repo", dims.dim_repo(state["state_repo"]))
+        run.put("dim_org", dims.dim_org(state["state_org"]))
+    return gold_in(run.publish())
 
 
 def run_gold(
@@ -211,41 +189,33 @@ def run_gold(
     last = last or first
     path = f"{base}/streamed" if streamed else f"{base}/silver"
     read = read_streamed_silver if streamed else read_silver
-    with room_for(prepare(spark), bytes_in(spark, path, day_slices(first, last))):
-        return write_gold(read(spark, path, first, last), f"{base}/gold", first, last)
+    silver = read(prepare(spark), path, first, last)
+    with room_for(spark, bytes_of(silver)):
+        return write_gold(silver, f"{base}/gold", first, last)
 
 
 def run_marts(
     spark: SparkSession, base: str, first: date | None = None, last: date | None = None
 ) -> dict[str, DataFrame]:
-    """Renew the marts from stored gold: for some days, or for all.
+    """Renew the marts from stored gold, for some days or for all, as one version.
 
-    The additive marts keep a share per slice, so a day costs a day of facts. An issue may be
-    opened and closed years apart; its mart is renewed whole, from the state that gold keeps of
-    issues and not from their events.
+    Only the pieces that the days touch are read and written again (see ``marts.renew``).
     """
-    gold = f"{base}/gold"
     last = last or first
-    slices = ["event_date=*"] if first is None else day_slices(first, last)
-    read = sum(bytes_in(spark, f"{gold}/{name}", [""] if first is None else slices) for name in FACTS)
-    with room_for(prepare(spark), read):
-        days = read_gold(spark, gold, first, last, with_slice=True)
-        for name, (build, _) in ADDITIVE.items():
-            replace_slices(build(days, "event_date"), f"{gold}/{name}", ("event_date",), slices)
-    with room_for(spark, bytes_in(spark, f"{gold}/state_issue")):
-        write_version(resolved(read_state(spark, gold, "state_issue")), f"{gold}/mart_issue_resolution")
+    run = Run(prepare(spark), f"{base}/gold")
+    days = gold_in(run, first, last, with_slice=True)
+    slices = None if first is None else day_slices(first, last)
+    with room_for(spark, bytes_of(*[days[name] for name in FACTS])):
+        for name in STORED:
+            renew(run, name, days, slices)
+    run.publish()
     return read_marts(spark, base)
 
 
 def read_marts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    out = {}
-    for name, columns in MART_TYPES.items():
-        path = f"{base}/gold/{name}"
-        if name in ADDITIVE:
-            out[name] = merge_slices(spark.read.schema(ddl(columns)).parquet(path), name)
-        else:
-            out[name] = read_version(spark, path, columns)
-    return out
+    """The stored marts; nothing is computed on reading."""
+    view = snapshot(spark, f"{base}/gold")
+    return {name: view.read(name, columns) for name, columns in MART_TYPES.items()}
 
 
 def run_day(

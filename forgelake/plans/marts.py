@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import day_number
 from forgelake.operators.dimensions import issue_moments
 from forgelake.operators.joins import with_calendar
+from forgelake.sources.snapshot import Run
 from forgelake.tables import Gold
 
 MART_TYPES = {
@@ -133,18 +137,94 @@ def developer_activity(gold: Gold, *by: str) -> DataFrame:
     )
 
 
-# The marts whose rows add up over slices, with their keys.
-ADDITIVE = {
-    "mart_repo_daily_stats": (repo_daily_stats, ["repo_id", "date_id"]),
-    "mart_developer_activity": (developer_activity, ["actor_id", "year", "month"]),
+@dataclass(frozen=True)
+class Stored:
+    """How a mart is kept: in pieces of its key, each made from the shares of the slices that touch it.
+
+    ``share`` gives a slice's rows, ``piece`` the column that a row is stored under and ``piece_of`` its value in SQL, ``settle`` the rows
+    of the mart from all shares of some pieces.
+    """
+
+    share: Callable[[Gold, str], DataFrame]
+    share_types: dict[str, str]
+    piece: str
+    piece_of: str
+    settle: Callable[[DataFrame, str], DataFrame]
+
+
+def added_up(keys: list[str], measures: list[str]) -> Callable[[DataFrame, str], DataFrame]:
+    def settle(shares: DataFrame, piece: str) -> DataFrame:
+        by = list(dict.fromkeys([piece, *keys]))
+        return shares.groupBy(*by).agg(*[F.sum(c).alias(c) for c in measures])
+
+    return settle
+
+
+def issue_share(gold: Gold, *by: str) -> DataFrame:
+    """What the events of a slice say of each issue: a row per closing, with the first opening."""
+    rows = issue_moments(gold["fact_issue_lifecycle"], *by)
+    return rows.groupBy(*by, "issue_id", "closed_at").agg(F.min("opened_at").alias("opened_at"))
+
+
+def settled_issues(shares: DataFrame, piece: str) -> DataFrame:
+    return resolved(shares).withColumn(piece, F.expr(ISSUE_BUCKET))
+
+
+# Issues by number: new ones, which most events are about, lie together, and the number of buckets
+# grows with the issues that there are.
+ISSUES_IN_BUCKET = 1 << 20
+ISSUE_BUCKET = f"shiftright(issue_id, {ISSUES_IN_BUCKET.bit_length() - 1})"
+
+STORED = {
+    "mart_issue_resolution": Stored(
+        issue_share, {"issue_id": "BIGINT", "closed_at": "TIMESTAMP", "opened_at": "TIMESTAMP"},
+        "bucket", ISSUE_BUCKET, settled_issues,
+    ),
+    "mart_repo_daily_stats": Stored(
+        repo_daily_stats, MART_TYPES["mart_repo_daily_stats"], "date_id", "date_id",
+        added_up(["repo_id", "date_id"], ["total_commits", "total_stars", "total_forks"]),
+    ),
+    "mart_developer_activity": Stored(
+        developer_activity, MART_TYPES["mart_developer_activity"], "month_id", "year * 100 + month",
+        added_up(["actor_id", "year", "month"], ["total_commits", "total_prs", "total_comments"]),
+    ),
 }
 
 
-def merge_slices(stored: DataFrame, name: str) -> DataFrame:
-    """One row per key out of the shares that the slices left."""
-    keys = ADDITIVE[name][1]
-    measures = [c for c in MART_TYPES[name] if c not in keys]
-    return stored.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+def renew(run: Run, name: str, gold: Gold, slices: list[str] | None) -> None:
+    """Put the mart's pieces that these slices of ``gold`` touch, or touched before, into the run.
+
+    Each piece keeps the shares of its slices, so that a slice that comes again takes back what it
+    gave, in whatever order slices come. Pieces that the slices do not touch are neither read nor
+    written; the pieces in question come to the driver as a list, a number per day, month or bucket.
+    """
+    how, spark = STORED[name], run.spark
+    shares, touched = f"{name}_shares", f"{name}_touched"
+    stage = run.folder(f"{name}_stage")
+    share = how.share(gold, "event_date").withColumn(how.piece, F.expr(how.piece_of))
+    share.write.parquet(stage)
+    share = spark.read.parquet(stage)
+    marks = share.select("event_date", how.piece).distinct()
+    all_types = {**how.share_types, "event_date": "DATE", how.piece: "BIGINT"}
+    mark_types = {"event_date": "DATE", how.piece: "BIGINT"}
+    if slices is None:
+        run.put(touched, marks, by=("event_date",))
+        run.put(shares, share, by=(how.piece,))
+        pieces = None
+    else:
+        known = marks.select(F.col(how.piece).cast("bigint"))
+        if touched in run.parts:
+            known = known.union(run.read(touched, mark_types, slices).select(how.piece))
+        pieces = [f"{how.piece}={r[0]}" for r in known.distinct().collect()]
+        rows = share.select(*all_types)
+        if shares in run.parts:
+            days = [F.lit(s.removeprefix("event_date=")).cast("date") for s in slices]
+            others = run.read(shares, all_types, pieces).filter(~F.col("event_date").isin(*days))
+            rows = others.union(rows)
+        run.put(touched, marks, by=("event_date",), replaces=slices)
+        run.put(shares, rows, by=(how.piece,), replaces=pieces)
+    settled = how.settle(run.read(shares, all_types, pieces), how.piece)
+    run.put(name, settled, by=(how.piece,), replaces=pieces)
 
 
 def monthly_commits_from(daily: DataFrame, gold: Gold) -> DataFrame:

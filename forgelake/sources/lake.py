@@ -1,7 +1,7 @@
 """Layout of the lake and replacement of slices.
 
 Bronze is stored by (event_date, event_hour), silver by event_date, facts by event_date and
-date_id. ``event_date`` is always the slice, the day whose files a row came from, and never
+date_id (see ``snapshot`` for gold). ``event_date`` is always the slice, the day whose files a row came from, and never
 the row's own clock: a stray event stamped the day before must not make a run of its slice
 replace the day before. Facts add date_id, the day of the event, so that queries prune by it.
 """
@@ -10,14 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, timedelta
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.functions.events import instant_of
-from forgelake.schemas import DIMENSIONS, FACTS, SILVER_TYPES, ddl
-from forgelake.tables import Gold
+from forgelake.schemas import SILVER_TYPES, ddl
 
 
 def days_between(first: date, last: date) -> list[date]:
@@ -114,6 +112,11 @@ def replace_slices(
             files.delete(folder, True)
 
 
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table that Spark knows to be empty, unlike one made from a list."""
+    return spark.range(0).select(F.from_json(F.lit("{}"), schema).alias("row")).select("row.*")
+
+
 def day_slices(first: date, last: date) -> list[str]:
     return [f"event_date={day.isoformat()}" for day in days_between(first, last)]
 
@@ -142,7 +145,7 @@ def read_slices(
     if first is not None and last is not None:
         found = stored_days(spark, path, first, last)
         if not found:
-            return spark.createDataFrame([], schema)
+            return no_rows(spark, schema)
         rows = reader.load([f"{path}/{piece}" for piece in found])
     else:
         rows = reader.load(path)
@@ -153,29 +156,6 @@ def read_slices(
     return rows
 
 
-def write_version(rows: DataFrame, path: str) -> None:
-    """Write a table anew beside its former version, which readers use until this one is whole.
-
-    A version counts once its write has left the success mark. The version before it stays for
-    readers that still hold it; older ones go.
-    """
-    spark = rows.sparkSession
-    versions = sorted(int(n.removeprefix("version=")) for n in folders_in(spark, path) if n.startswith("version="))
-    new = (versions[-1] if versions else 0) + 1
-    rows.write.mode("overwrite").parquet(f"{path}/version={new}")
-    for old in versions[:-1]:
-        files, folder = hadoop_path(spark, f"{path}/version={old}")
-        files.delete(folder, True)
-
-
-def read_version(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """The newest whole version of a table."""
-    for name in sorted(folders_in(spark, path), key=lambda n: (len(n), n), reverse=True):
-        if name.startswith("version=") and exists(spark, f"{path}/{name}/_SUCCESS"):
-            return spark.read.schema(ddl(columns)).parquet(f"{path}/{name}").select(*columns)
-    raise ValueError(f"{path} has not been written")
-
-
 def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> int:
     """Size of the files in the given slices of a table."""
     total = 0
@@ -186,6 +166,11 @@ def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> i
     return total
 
 
+def bytes_of(*frames: DataFrame) -> int:
+    """What Spark reckons that the frames read, from the listing that it has made already."""
+    return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in frames)
+
+
 def dated_folders(
     spark: SparkSession, root: str, first: date, last: date, all_days: bool = False
 ) -> list[str]:
@@ -228,33 +213,3 @@ def read_silver(
     read as NULL there.
     """
     return read_slices(spark, "parquet", ddl(SILVER_TYPES), path, first, last).select(*SILVER_TYPES)
-
-
-def read_gold(
-    spark: SparkSession,
-    path: str,
-    first: date | None = None,
-    last: date | None = None,
-    with_slice: bool = False,
-) -> Gold:
-    """The stored gold tables with exactly the documented columns.
-
-    ``first`` and ``last`` limit the facts to some slices; ``with_slice`` keeps their
-    ``event_date``.
-    """
-
-    def dimension(name: str) -> DataFrame:
-        return read_version(spark, f"{path}/{name}", DIMENSIONS[name])
-
-    def fact(name: str) -> DataFrame:
-        columns = FACTS[name]["columns"]
-        schema = ddl({**columns, "event_date": "DATE"})
-        kept = [*columns, "event_date"] if with_slice else [*columns]
-        return read_slices(spark, "parquet", schema, f"{path}/{name}", first, last).select(*kept)
-
-    return Gold(
-        {
-            **{name: partial(dimension, name) for name in DIMENSIONS},
-            **{name: partial(fact, name) for name in FACTS},
-        }
-    )

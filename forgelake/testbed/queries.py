@@ -16,6 +16,7 @@ from forgelake.plans.gold import register_views, transform_to_gold
 from forgelake.schemas import COMMON_PATHS, FACTS, SILVER_TYPES, TYPE_PATHS, ddl
 from forgelake.session import prepare, shared_folder
 from forgelake.sources import bronze as B
+from forgelake.sources.gold import read_gold
 from forgelake.sources.lake import read_silver, read_silver_dated
 from forgelake.sources.tables import read_table, write_table
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
@@ -294,6 +295,22 @@ def stored_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.repo_health(jobs.run_gold(spark, base, *lake.span(spark, sf_dir)))
 
 
+def gold_after_broken_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repository health from stored gold after a run over a week broke off behind the facts."""
+    base = lake.bronze_lake(spark, sf_dir)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
+    jobs.run_gold(spark, base, *lake.span(spark, sf_dir))
+    # the facts of this run lack the pushes, and the organisations cannot be worked out
+    week = read_silver(spark, f"{base}/silver", *RANGE).filter(F.col("event_type") != "PushEvent")
+    broken = week.withColumn("org_login", F.raise_error(F.lit("broken off")).cast("string"))
+    try:
+        jobs.write_gold(broken, f"{base}/gold", *RANGE)
+    except Exception as error:  # the error comes wrapped by the engine
+        if "broken off" not in str(error):
+            raise
+    return analytics.repo_health(read_gold(spark, f"{base}/gold"))
+
+
 def stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.bronze_lake(spark, sf_dir)
     jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
@@ -393,6 +410,7 @@ OTHERS: dict[str, Query] = {
         lambda g: marts.developer_totals_from(marts.developer_activity(g), g)
     ),
     "stored_repo_health": stored_repo_health,
+    "gold_after_broken_run": gold_after_broken_run,
     "stored_marts": stored_marts,
     "stored_issue_resolution": _stored_mart("mart_issue_resolution"),
     "stored_developer_activity": _stored_mart("mart_developer_activity"),

@@ -15,7 +15,9 @@ from forgelake.plans.gold import transform_to_gold
 from forgelake.schemas import FACTS
 from forgelake.session import room_for, settings, shared_folder
 from forgelake.sources.bronze import read_bronze, read_bronze_dated
-from forgelake.sources.lake import read_gold, read_silver, read_silver_dated
+from forgelake.sources.gold import read_gold
+from forgelake.sources.lake import read_silver, read_silver_dated
+from forgelake.sources.snapshot import KEPT_VERSIONS, Run, snapshot
 from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
@@ -196,8 +198,7 @@ def test_marts_by_day_equal_marts_at_once(spark, base):
     stepwise = {name: content(df) for name, df in stored.items()}
     assert {n: content(df) for n, df in jobs.run_marts(spark, str(base)).items()} == stepwise
     gold = read_gold(spark, f"{base}/gold")
-    fresh = {"mart_issue_resolution": marts.issue_resolution(gold)}
-    fresh.update({n: build(gold) for n, (build, _) in marts.ADDITIVE.items()})
+    fresh = {n: getattr(marts, n.removeprefix("mart_"))(gold) for n in marts.STORED}
     assert {n: content(df) for n, df in fresh.items()} == stepwise
     assert stepwise["mart_repo_daily_stats"][0].startswith("Row(date_id=20240101, repo_id=10, total_commits=4")
 
@@ -307,16 +308,94 @@ def test_a_repeat_across_midnight_goes_whatever_the_range(spark, base):
     assert content(read_silver(spark, f"{base}/silver")) == at_once
 
 
-def test_a_broken_write_leaves_the_former_version(spark, base):
+def broken_gold(spark, base, first, last):
+    """A gold run that breaks off when the facts have been written and the organisations are counted."""
+    silver = read_silver(spark, f"{base}/silver", first, last).filter("event_type <> 'PushEvent'")
+    with pytest.raises(Exception, match="out of space"):
+        jobs.write_gold(silver.withColumn("org_login", F.raise_error(F.lit("out of space")).cast("string")),
+                        f"{base}/gold", first, last)
+
+
+def test_a_broken_run_changes_nothing(spark, base):
     jobs.run_bronze(spark, str(base), D1, D2)
     jobs.run_day(spark, str(base), D1, D2)
-    before = all_gold(spark, base)
-    (base / "gold" / "dim_repo" / "version=2").mkdir()
-    assert all_gold(spark, base) == before
+    jobs.run_marts(spark, str(base))
+    before, marts_before = all_gold(spark, base), {n: content(m) for n, m in jobs.read_marts(spark, str(base)).items()}
+    version = snapshot(spark, f"{base}/gold").version
+    broken_gold(spark, base, D1, D2)
+    assert len(list((base / "gold" / "fact_community").glob("run=*"))) == 2
+    assert all_gold(spark, base) == before and snapshot(spark, f"{base}/gold").version == version
+    # the next run takes no notice of what was left, and clears it away
     jobs.run_gold(spark, str(base), D1)
+    assert all_gold(spark, base) == before
+    named = snapshot(spark, f"{base}/gold").folders()
+    left = {"/".join(p.relative_to(base / "gold").parts) for p in (base / "gold" / "fact_community").glob("run=*/event_date=*")}
+    old = {f for f in left if f not in named}
+    assert all((base / "gold" / f).exists() for f in named) and len(old) == 1  # the slice that a reader may still hold
+    assert {n: content(m) for n, m in jobs.read_marts(spark, str(base)).items()} == marts_before
+
+
+def test_a_reader_keeps_the_version_that_it_opened(spark, base):
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    opened, before = read_gold(spark, f"{base}/gold"), all_gold(spark, base)
+    # both days come again, with other content: two more versions, and the marts
+    dump(base / "landing", D1, 5, ev(20, "PushEvent", D1, repo={"id": 77, "name": "new/name"}))
+    dump(base / "landing", D2, 5)
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    jobs.run_marts(spark, str(base))
+    assert {name: content(df) for name, df in opened.items()} == before
+    assert [r["repo_id"] for r in read_gold(spark, f"{base}/gold")["dim_repo"].collect()] == [77]
+    for _ in range(KEPT_VERSIONS):
+        jobs.run_gold(spark, str(base), D1)
+    assert len(list((base / "gold" / "dim_repo").glob("run=*"))) == KEPT_VERSIONS
+    assert len(list((base / "gold" / "_manifest").glob("*.json"))) == KEPT_VERSIONS
+
+
+def test_two_runs_at_once_do_not_lose_one(spark, base):
+    jobs.run_bronze(spark, str(base), D1, D2)
+    jobs.run_day(spark, str(base), D1, D2)
+    before = all_gold(spark, base)
+    late = Run(spark, f"{base}/gold")
     jobs.run_gold(spark, str(base), D1)
+    late.drop("fact_dev_activity", [f"event_date={D1}"])
+    with pytest.raises(RuntimeError, match="another run"):
+        late.publish()
     assert all_gold(spark, base) == before
-    assert len(list((base / "gold" / "dim_repo").glob("version=*"))) <= 2
+
+
+def test_marts_renew_only_what_a_day_touches(spark, tmp_path):
+    days = [date(2024, 1, 30), date(2024, 2, 1), date(2024, 2, 2)]
+    far = 5 << 20
+    for n, day in enumerate(days):
+        issue = [{"action": "opened", "issue": {"id": far * (n % 2) + 1}}, {"action": "closed", "issue": {"id": far * (n % 2) + 1}}]
+        dump(tmp_path / "landing", day, 5, ev(n, "PushEvent", day), ev(n + 50, "IssuesEvent", day, issue[n // 2]))
+    jobs.run_bronze(spark, str(tmp_path), days[0], days[-1])
+    for day in (date(2024, 1, 30), date(2024, 2, 1), date(2024, 2, 2)):
+        jobs.run_day(spark, str(tmp_path), day)
+        jobs.run_marts(spark, str(tmp_path), day)
+    now, root = snapshot(spark, f"{tmp_path}/gold"), tmp_path / "gold"
+    run_of = {n: {p: f.split("/")[1][:10] for p, f in now.parts[n].items()} for n in marts.STORED}
+    # days 1 and 3 speak of the issue in the first bucket, day 2 of the one far off
+    assert run_of["mart_issue_resolution"] == {"bucket=0": "run=000006", "bucket=5": "run=000004"}
+    assert run_of["mart_repo_daily_stats"] == {"date_id=20240130": "run=000002", "date_id=20240201": "run=000004", "date_id=20240202": "run=000006"}
+    assert run_of["mart_developer_activity"] == {"month_id=202401": "run=000002", "month_id=202402": "run=000006"}
+    # what a day does not touch need not even be there
+    for piece in ("bucket=5", "month_id=202401"):
+        for table in now.parts:
+            if piece in now.parts[table] and table.endswith("_shares"):
+                shutil.rmtree(root / now.parts[table][piece])
+    dump(tmp_path / "landing", days[2], 5, ev(2, "PushEvent", days[2]))
+    jobs.run_bronze(spark, str(tmp_path), days[2])
+    jobs.run_day(spark, str(tmp_path), days[2])
+    jobs.run_marts(spark, str(tmp_path), days[2])
+    again = snapshot(spark, f"{tmp_path}/gold")
+    issues = again.read("mart_issue_resolution", marts.MART_TYPES["mart_issue_resolution"], ["bucket=0"]).collect()
+    assert [(r.issue_id, str(r.opened_at), r.closed_at) for r in issues] == [(1, "2024-01-30 05:00:00", None)]
+    # reading is a scan
+    plan = jobs.read_marts(spark, str(tmp_path))["mart_developer_activity"]._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
 
 
 def test_base_folders_may_look_like_days(spark, tmp_path):
@@ -373,17 +452,18 @@ def test_months_that_have_ended_are_kept_merged(spark, tmp_path):
         gold = read_gold(spark, f"{tmp_path}/gold")
         fresh = transform_to_gold(flatten(read_bronze(spark, f"{tmp_path}/bronze")))
         assert {k: content(v) for k, v in gold.items()} == {k: content(v) for k, v in fresh.items()}
-    kept = {p.name for p in (tmp_path / "gold" / "state_actor_upto").iterdir()}
-    assert kept == {"upto=2024-02-01", "upto=2024-03-01"}
+    view = snapshot(spark, f"{tmp_path}/gold")
+    assert set(view.parts["state_actor_upto"]) == {"upto=2024-02-01", "upto=2024-03-01"}
     # The daily run reads the merged table and the month's own days, nothing before.
-    for name in ("state_actor", "state_issue"):
-        state = jobs.read_state(spark, f"{tmp_path}/gold", name)
-        read = {f.split("/gold/")[1].rsplit("/", 1)[0] for f in state.inputFiles()}
-        assert read == {f"{name}_upto/upto=2024-03-01", f"{name}/event_date=2024-03-01"}
+    for name in ("state_actor", "state_repo"):
+        read = {tuple(f.split("/gold/")[1].split("/")[:3:2]) for f in jobs.read_state(view, name).inputFiles()}
+        assert read == {(f"{name}_upto", "upto=2024-03-01"), (name, "event_date=2024-03-01")}
     # A day of a merged month comes again without its event.
+    jobs.run_marts(spark, str(tmp_path))
     dump(tmp_path / "landing", days[1], 5, ev(9, "GollumEvent", days[1]))
     jobs.run_bronze(spark, str(tmp_path), days[1])
     jobs.run_day(spark, str(tmp_path), days[1])
+    jobs.run_marts(spark, str(tmp_path), days[1])
     gold = read_gold(spark, f"{tmp_path}/gold")
     fresh = transform_to_gold(flatten(read_bronze(spark, f"{tmp_path}/bronze")))
     assert {k: content(v) for k, v in gold.items()} == {k: content(v) for k, v in fresh.items()}
