@@ -13,7 +13,9 @@ import statistics
 import time
 
 from forgelake.plans import analytics, jobs, marts
+from forgelake.plans.silver import write_silver
 from forgelake.session import local_session, shared_folder
+from forgelake.sources.lake import day_slices
 from forgelake.testbed import lake
 from forgelake.testbed.queries import ANALYTICS, AS_OF, LOGIN, MARTS, QUERIES, silver_of
 
@@ -69,7 +71,7 @@ def main() -> None:
     silver, days = silver_of(spark, SF_DIR), lake.span(spark, SF_DIR)
     store = {
         "store_silver": round(
-            timed(lambda: jobs.write_silver(silver, f"{base}/silver", *days)), 3
+            timed(lambda: write_silver(silver, f"{base}/silver", day_slices(*days))), 3
         ),
         "store_gold": round(timed(lambda: jobs.run_gold(spark, base, *days)), 3),
     }

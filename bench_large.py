@@ -10,7 +10,9 @@ import os
 
 from bench import CPUS, SF_DIR, STORED, consume, timed
 from forgelake.plans import jobs
+from forgelake.plans.silver import write_silver
 from forgelake.session import local_session, settings, shared_folder
+from forgelake.sources.lake import day_slices
 from forgelake.testbed import lake
 from forgelake.testbed.large import enlarged
 from forgelake.testbed.queries import silver_of
@@ -24,7 +26,7 @@ def main() -> None:
     days = lake.span(spark, folder)
     out = {
         "events": spark.read.parquet(f"{folder}/events.parquet").count(),
-        "silver": timed(lambda: jobs.write_silver(silver_of(spark, folder), f"{base}/silver", *days)),
+        "silver": timed(lambda: write_silver(silver_of(spark, folder), f"{base}/silver", day_slices(*days))),
         "gold": timed(lambda: jobs.run_gold(spark, base, *days)),
         "gold_last_day": timed(lambda: jobs.run_gold(spark, base, days[1])),
         "marts": timed(lambda: jobs.run_marts(spark, base)),

@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from forgelake.plans import jobs
+from forgelake.plans.silver import renew_silver
 
 # Which options a job knows besides its days; any other is an error, not ignored.
 OPTIONS = {
@@ -22,9 +23,10 @@ OPTIONS = {
     "gold": {"streamed"},
     "marts": set(),
     "day": {"keep_repeats", "dated"},
-    "stream": {"keep_repeats"},
+    "stream": {"keep_repeats", "with_marts"},
+    "compact": set(),
 }
-NO_DAYS = {"stream"}
+NO_DAYS = {"stream", "compact"}
 DAYS_OPTIONAL = {"marts"}
 
 
@@ -40,9 +42,10 @@ def parsed(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--hour", type=int, help="bronze: one hour of the day")
     parser.add_argument("--keep-repeats", action="store_true", help="silver, day, stream: do not drop repeated events")
     parser.add_argument("--dated", action="store_true", help="silver, day: bronze in YYYY/MM/DD/HH.json")
+    parser.add_argument("--with-marts", action="store_true", help="stream: add to the additive marts too")
     parser.add_argument("--streamed", action="store_true", help="gold: from streamed silver")
     args = parser.parse_args(argv)
-    given = {name for name in ("hour", "keep_repeats", "dated", "streamed") if getattr(args, name) not in (None, False)}
+    given = {name for name in ("hour", "keep_repeats", "dated", "streamed", "with_marts") if getattr(args, name) not in (None, False)}
     if given - OPTIONS[args.job]:
         parser.error(f"{args.job} takes no " + ", ".join(f"--{n.replace('_', '-')}" for n in sorted(given - OPTIONS[args.job])))
     parts = (args.year, args.month, args.day)
@@ -65,7 +68,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "bronze":
         print(f"{jobs.run_bronze(*days, args.hour)} lines landed")
     elif args.job == "silver":
-        print(f"{jobs.run_silver(*days, not args.keep_repeats, args.dated)} events stored")
+        renewed = renew_silver(*days, not args.keep_repeats, args.dated)
+        print(f"{renewed.rows} events stored", *[f"changed too: {d}" for d in renewed.changed], sep="\n")
     elif args.job == "quarantine":
         jobs.run_quarantine(*days)
     elif args.job == "gold":
@@ -74,8 +78,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_marts(*days)
     elif args.job == "day":
         jobs.run_day(*days, not args.keep_repeats, args.dated)
+    elif args.job == "compact":
+        print(*jobs.run_compact(spark, args.base), "merged")
     else:
-        jobs.run_stream(spark, args.base, not args.keep_repeats)
+        jobs.run_stream(spark, args.base, not args.keep_repeats, args.with_marts)
 
 
 if __name__ == "__main__":

@@ -13,21 +13,24 @@ from forgelake.functions.events import common_columns, event_time, sparse_column
 from forgelake.schemas import COMMON_PATHS, SILVER_TYPES, TYPE_PATHS
 
 
+def is_core() -> Column:
+    """Whether a raw event is of a known type and carries an id and a readable time."""
+    return F.col("type").isin(*TYPE_PATHS) & F.col("id").isNotNull() & event_time().isNotNull()
+
+
 def core_events(bronze: DataFrame) -> DataFrame:
-    """Events of the known types that carry an id and a readable time."""
-    return bronze.filter(
-        F.col("type").isin(*TYPE_PATHS) & F.col("id").isNotNull() & event_time().isNotNull()
-    )
+    return bronze.filter(is_core())
 
 
-def flatten(bronze: DataFrame, event_date: Column | None = None) -> DataFrame:
+def flatten(bronze: DataFrame, event_date: Column | None = None, *extra: str) -> DataFrame:
     """All types in one pass: no shuffle, no cache, no job per type.
 
-    ``event_date`` is the slice a row is stored under; by default the day of the event.
+    ``event_date`` is the slice a row is stored under; by default the day of the event. ``extra``
+    keeps further columns of bronze, such as the hour.
     """
     slice_day = utc_day(event_time()) if event_date is None else event_date
     return core_events(bronze).select(
-        *common_columns(), *sparse_columns(), slice_day.cast("date").alias("event_date")
+        *common_columns(), *sparse_columns(), slice_day.cast("date").alias("event_date"), *extra
     )
 
 
@@ -56,31 +59,3 @@ def event_types_present(bronze: DataFrame) -> DataFrame:
 
 def counts_by_type(silver: DataFrame) -> DataFrame:
     return silver.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("events"))
-
-
-def first_copies(events: DataFrame, day_before: DataFrame | None = None) -> DataFrame:
-    """Raw events without repeats of an id, as from an hour that was fetched twice.
-
-    Of the copies in a slice, that of the earliest hour stays; none stays if the slice before
-    has the id. What happens to a row thus follows from two slices of bronze, whatever range a
-    run covers. ``day_before`` holds the slice before the first one of ``events``; rows without
-    an id are left alone, as silver drops them.
-    """
-    rows = events.filter(F.col("id").isNotNull()).select(
-        "id", "event_date", "event_hour", F.struct(*events.columns).alias("row")
-    )
-    # equal hours hold equal copies, or the choice is by content: a rerun repeats it
-    order = F.struct("event_hour", F.xxhash64("row"))
-    kept = rows.groupBy("event_date", "id").agg(F.min_by("row", order).alias("row"))
-    slices = events.select("event_date", "id")
-    if day_before is not None:
-        slices = slices.unionAll(day_before.select("event_date", "id"))
-    before = slices.select("id", F.date_add("event_date", 1).alias("event_date")).distinct()
-    return kept.join(before, ["event_date", "id"], "left_anti").select("row.*")
-
-
-def drop_repeats(silver: DataFrame) -> DataFrame:
-    """One row per event_id of a silver table, by content where copies differ."""
-    rows = silver.select("event_id", F.struct(*silver.columns).alias("row"))
-    order = F.struct(F.col("row.event_date"), F.xxhash64("row"))
-    return rows.groupBy("event_id").agg(F.min_by("row", order).alias("row")).select("row.*")

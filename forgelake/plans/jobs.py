@@ -6,31 +6,23 @@ range runs as one Spark job per table over all its days, not as a loop over days
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.operators import dimensions as dims
 from forgelake.operators.facts import fact
-from forgelake.operators.silver import core_events, first_copies, flatten
 from forgelake.plans.marts import MART_TYPES, STORED, renew
+from forgelake.plans.silver import renew_silver, write_quarantine
 from forgelake.schemas import FACTS
 from forgelake.session import prepare, room_for
-from forgelake.sources.bronze import land_dumps, quarantine, read_bronze, read_bronze_dated
+from forgelake.sources.bronze import land_dumps, quarantine, read_bronze
 from forgelake.sources.gold import gold_in, read_gold
-from forgelake.sources.lake import (
-    bytes_in,
-    bytes_of,
-    day_slices,
-    days_between,
-    exists,
-    read_silver,
-    replace_slices,
-    stored_days,
-)
+from forgelake.sources.lake import bytes_of, day_slices, read_silver
 from forgelake.sources.snapshot import Run, Snapshot, snapshot
-from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
+from forgelake.streaming.ingest import compact, read_streamed_silver, stream_to_silver
 from forgelake.tables import Gold
 
 STATES = {
@@ -52,15 +44,6 @@ def run_bronze(
     return land_dumps(prepare(spark), f"{base}/landing", f"{base}/bronze", first, last, hour)
 
 
-def write_silver(
-    rows: DataFrame, path: str, first: date, last: date, seen: Observation | None = None
-) -> None:
-    """Rows lie sorted by type in each file, so a filter on the type skips pages and row groups."""
-    replace_slices(
-        rows, path, ("event_date",), day_slices(first, last), sort_by=("event_type",), seen=seen
-    )
-
-
 def run_silver(
     spark: SparkSession,
     base: str,
@@ -69,41 +52,16 @@ def run_silver(
     dedupe: bool = True,
     dated: bool = False,
 ) -> int:
-    """Bronze to silver in one pass over the JSON; the rows stored.
-
-    All days must be in bronze: a day that is missing there stops the run before anything stored
-    is touched. A day without core events leaves an empty slice. With ``dedupe`` an event id is
-    stored once (see ``first_copies``), as the facts need it; ``dated`` reads bronze laid out as
-    ``2024/01/31/05.json``.
-    """
-    last, bronze = last or first, f"{base}/bronze"
-    folders = [f"{d:%Y/%m/%d}" for d in days_between(first, last)] if dated else day_slices(first, last)
-    if not dated:
-        missing = set(folders) - set(stored_days(spark, bronze, first, last))
-        if missing:
-            raise ValueError(f"nothing in {bronze} for {', '.join(sorted(missing))}")
-    read = read_bronze_dated if dated else read_bronze
-    with room_for(prepare(spark), bytes_in(spark, bronze, folders)):
-        events = core_events(read(spark, bronze, first, last))
-        if dedupe:
-            day_before = first - timedelta(days=1)
-            if dated:
-                known = exists(spark, f"{bronze}/{day_before:%Y/%m/%d}")
-            else:
-                known = bool(stored_days(spark, bronze, day_before, day_before))
-            events = first_copies(events, core_events(read(spark, bronze, day_before, day_before)) if known else None)
-        rows, seen = flatten(events, event_date=F.col("event_date")), Observation("silver")
-        write_silver(rows, f"{base}/silver", first, last, seen)
-    return seen.get["rows"]
+    """Bronze to silver; the rows stored (see ``plans.silver``)."""
+    return renew_silver(spark, base, first, last, dedupe, dated).rows
 
 
 def run_quarantine(spark: SparkSession, base: str, first: date, last: date | None = None) -> None:
     """List the bad lines of the days in ``base/quarantine``."""
     last = last or first
-    slices = day_slices(first, last)
-    with room_for(prepare(spark), bytes_in(spark, f"{base}/bronze", slices)):
-        bad = quarantine(read_bronze(spark, f"{base}/bronze", first, last), "event_date")
-        replace_slices(bad, f"{base}/quarantine", ("event_date",), slices)
+    events = read_bronze(prepare(spark), f"{base}/bronze", first, last)
+    with room_for(spark, bytes_of(events)):
+        write_quarantine(quarantine(events, "event_date"), base, day_slices(first, last))
 
 
 def _merged_marks(view: Snapshot, name: str) -> list[str]:
@@ -152,15 +110,18 @@ def keep_merged(run: Run, name: str, first: date) -> None:
         run.put(merged, rows, by=("upto",), replaces=[f"upto={m}" for m in marks[:-1]])
 
 
-def write_gold(silver: DataFrame, path: str, first: date, last: date) -> Gold:
-    """Replace the slices ``first`` to ``last`` of ``silver`` in gold and renew the dimensions, as one version.
+def write_gold(silver: DataFrame, path: str, first: date, last: date, also: Sequence[date] = ()) -> Gold:
+    """Replace the slices ``first`` to ``last``, and some others, of ``silver`` in gold and renew the
+    dimensions, as one version.
 
     Dimensions span all days. Each day leaves a small table of the names it saw, and the
     dimensions are built from these (see ``keep_merged``), so a run costs its own days of silver,
     days may come in any order, and a repeated day takes back what its earlier version had added.
     Readers see facts and dimensions change together, when all of them have been written.
     """
-    spark, slices, run = silver.sparkSession, day_slices(first, last), Run(silver.sparkSession, path)
+    spark, run = silver.sparkSession, Run(silver.sparkSession, path)
+    slices = list(dict.fromkeys([*day_slices(first, last), *[f"event_date={d}" for d in also]]))
+    first = min([first, *also])
     for name in FACTS:
         # Silver files are of a good size and a fact is a filter of them: no shuffle.
         run.put(
@@ -184,14 +145,15 @@ def run_gold(
     first: date,
     last: date | None = None,
     streamed: bool = False,
+    also: Sequence[date] = (),
 ) -> Gold:
     """Stored silver days to stored gold, from the batch table or the streamed one."""
     last = last or first
     path = f"{base}/streamed" if streamed else f"{base}/silver"
     read = read_streamed_silver if streamed else read_silver
-    silver = read(prepare(spark), path, first, last)
+    silver = read(prepare(spark), path, first, last, also)
     with room_for(spark, bytes_of(silver)):
-        return write_gold(silver, f"{base}/gold", first, last)
+        return write_gold(silver, f"{base}/gold", first, last, also)
 
 
 def run_marts(
@@ -226,14 +188,20 @@ def run_day(
     dedupe: bool = True,
     dated: bool = False,
 ) -> Gold:
-    """Silver, then gold; an error in silver stops the run before gold is touched."""
-    run_silver(spark, base, first, last, dedupe, dated)
-    return run_gold(spark, base, first, last)
+    """Silver and quarantine from one pass over the JSON, then gold; an error in silver stops the run
+    before gold is touched. Gold follows where silver of later days changed with these."""
+    renewed = renew_silver(spark, base, first, last, dedupe, dated, bad_lines=True)
+    return run_gold(spark, base, first, last, also=renewed.changed)
 
 
-def run_stream(spark: SparkSession, base: str, dedupe: bool = True) -> None:
+def run_stream(spark: SparkSession, base: str, dedupe: bool = True, with_marts: bool = False) -> None:
     """What has arrived in ``base/bronze`` since the last run, to ``base/streamed``."""
     query = stream_to_silver(
-        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/streamed-progress", dedupe=dedupe
+        spark, f"{base}/bronze", f"{base}/streamed", f"{base}/streamed-progress", dedupe=dedupe, with_marts=with_marts
     )
     query.awaitTermination()
+
+
+def run_compact(spark: SparkSession, base: str) -> list[str]:
+    """Merge what the stream has stored in several pieces; the slices merged."""
+    return compact(spark, f"{base}/streamed")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.functions.events import event_time
@@ -110,24 +111,28 @@ def land_dumps(
 
 
 def read_bronze(
-    spark: SparkSession, bronze: str, first: date | None = None, last: date | None = None
+    spark: SparkSession, bronze: str, first: date | None = None, last: date | None = None, also: Iterable[date] = ()
 ) -> DataFrame:
     """Stored bronze events, or those of some days."""
     schema = f"{BRONZE_DDL}, {SLICES_DDL}"
-    return read_slices(spark, "json", schema, bronze, first, last, **CORRUPT)
+    return read_slices(spark, "json", schema, bronze, first, last, also, **CORRUPT)
 
 
-def read_bronze_dated(spark: SparkSession, bronze: str, first: date, last: date) -> DataFrame:
+def read_bronze_dated(
+    spark: SparkSession, bronze: str, first: date, last: date, also: Iterable[date] = ()
+) -> DataFrame:
     """Bronze events in the plain layout ``bronze/2024/01/31/05.json``, hours padded."""
-    events = read_events(spark, dated_folders(spark, bronze, first, last, all_days=True))
+    folders = dated_folders(spark, bronze, first, last, all_days=True)
+    folders += [f"{bronze}/{d:%Y/%m/%d}" for d in also]
+    events = read_events(spark, folders)
     hour = F.regexp_extract(F.col("_metadata.file_path"), r".*/(\d{2})\.json", 1).cast("int")
     return events.select(
         *events.columns, folder_day().alias("event_date"), hour.alias("event_hour")
     )
 
 
-def quarantine(events: DataFrame, *extra: str) -> DataFrame:
-    """Lines that did not decode whole, and records that silver cannot place.
+def bad_line() -> tuple[Column, list[Column]]:
+    """Whether a line did not decode whole or cannot be placed by silver, and what to keep of it.
 
     ``kept`` tells whether silver still has the row, with the unreadable field NULL.
     ``decoded`` shows what could be read.
@@ -143,13 +148,18 @@ def quarantine(events: DataFrame, *extra: str) -> DataFrame:
         .when(F.col("id").isNull() | F.col("type").isNull(), "missing id or type")
         .otherwise("unreadable time")
     )
-    return events.filter(corrupt | ~usable).select(
+    return corrupt | ~usable, [
         F.col("id").alias("event_id"),
         F.col("type").alias("event_type"),
-        "created_at",
+        F.col("created_at").alias("created_at"),
         reason.alias("reason"),
         usable.alias("kept"),
         decoded.alias("decoded"),
         F.col("_corrupt_record").alias("line"),
-        *extra,
-    )
+    ]
+
+
+def quarantine(events: DataFrame, *extra: str) -> DataFrame:
+    """The bad lines of some events."""
+    bad, columns = bad_line()
+    return events.filter(bad).select(*columns, *extra)

@@ -134,21 +134,26 @@ def read_slices(
     path: str,
     first: date | None,
     last: date | None,
+    also: Iterable[date] = (),
     **options: str,
 ) -> DataFrame:
-    """A stored table, or its slices ``first`` to ``last``; the filter prunes partitions.
+    """A stored table, or its slices ``first`` to ``last`` and some others; the filter prunes partitions.
 
     Between two given days only their folders are read, so that a daily job does not walk
     through years of folders to find its own. Days without a folder have no rows.
     """
     reader = spark.read.format(fmt).schema(schema).options(**options).option("basePath", path)
+    also = list(also)
     if first is not None and last is not None:
-        found = stored_days(spark, path, first, last)
+        there = folders_in(spark, path)
+        wanted = dict.fromkeys([*day_slices(first, last), *[f"event_date={d}" for d in also]])
+        found = [piece for piece in wanted if piece in there]
         if not found:
             return no_rows(spark, schema)
         rows = reader.load([f"{path}/{piece}" for piece in found])
-    else:
-        rows = reader.load(path)
+        day = F.col("event_date")
+        return rows.filter(day.between(F.lit(first), F.lit(last)) | (day.isin(*also) if also else F.lit(False)))
+    rows = reader.load(path)
     if first is not None:
         rows = rows.filter(F.col("event_date") >= F.lit(first))
     if last is not None:
@@ -156,16 +161,6 @@ def read_slices(
     return rows
 
 
-def bytes_in(spark: SparkSession, path: str, slices: Iterable[str] = ("",)) -> int:
-    """Size of the files in the given slices of a table."""
-    total = 0
-    for piece in slices:
-        files, folder = hadoop_path(spark, f"{path}/{piece}" if piece else path)
-        if files.exists(folder):
-            total += files.getContentSummary(folder).getLength()
-    return total
-
-
 def bytes_of(*frames: DataFrame) -> int:
     """What Spark reckons that the frames read, from the listing that it has made already."""
     return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in frames)
@@ -205,11 +200,11 @@ def read_silver_dated(spark: SparkSession, root: str, first: date, last: date) -
 
 
 def read_silver(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None, also: Iterable[date] = ()
 ) -> DataFrame:
     """The silver table.
 
     The schema is given, not taken from a file, so days written before a column existed
     read as NULL there.
     """
-    return read_slices(spark, "parquet", ddl(SILVER_TYPES), path, first, last).select(*SILVER_TYPES)
+    return read_slices(spark, "parquet", ddl(SILVER_TYPES), path, first, last, also).select(*SILVER_TYPES)

@@ -29,10 +29,13 @@ MANIFESTS = "_manifest"
 
 
 class Snapshot:
-    """One version of a store: ``parts[table][piece]`` is a folder below ``root``."""
+    """One version of a store: ``parts[table][piece]`` is a folder below ``root``.
 
-    def __init__(self, spark: SparkSession, root: str, version: int, parts: dict[str, dict[str, str]]):
-        self.spark, self.root, self.version, self.parts = spark, root, version, parts
+    ``marks`` are what a writer wants to be true of exactly this version, such as the last batch in it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, version: int, parts: dict[str, dict[str, str]], marks: dict[str, int]):
+        self.spark, self.root, self.version, self.parts, self.marks = spark, root, version, parts, marks
 
     def pieces(self, table: str) -> dict[str, str]:
         if table not in self.parts:
@@ -70,14 +73,15 @@ def _read(spark: SparkSession, root: str, version: int, name: str) -> Snapshot:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return Snapshot(spark, root, version, json.loads(text))
+    content = json.loads(text)
+    return Snapshot(spark, root, version, content["parts"], content["marks"])
 
 
 def snapshot(spark: SparkSession, root: str) -> Snapshot:
     """The newest version; version 0 without tables if nothing has been published."""
     versions = _versions(spark, root)
     if not versions:
-        return Snapshot(spark, root, 0, {})
+        return Snapshot(spark, root, 0, {}, {})
     newest = max(versions)
     return _read(spark, root, newest, versions[newest])
 
@@ -87,12 +91,13 @@ class Run(Snapshot):
 
     def __init__(self, spark: SparkSession, root: str):
         before = snapshot(spark, root)
-        super().__init__(spark, root, before.version + 1, {t: dict(p) for t, p in before.parts.items()})
+        parts = {t: dict(p) for t, p in before.parts.items()}
+        super().__init__(spark, root, before.version + 1, parts, dict(before.marks))
         # a name of its own, so that a run never meets what a broken one has left
         self.name = f"run={self.version:06d}-{uuid.uuid4().hex[:8]}"
 
-    def folder(self, table: str) -> str:
-        return f"{self.root}/{table}/{self.name}"
+    def folder(self, table: str, into: str = "") -> str:
+        return f"{self.root}/{table}/{self.name}{into and '-' + into}"
 
     def put(
         self,
@@ -102,34 +107,45 @@ class Run(Snapshot):
         replaces: Iterable[str] | None = None,
         sort_by: tuple[str, ...] = (),
         balance: bool = True,
+        suffix: str = "",
+        into: str = "",
     ) -> None:
         """Make the rows the content of the pieces that are replaced, or of the whole table.
 
         The first column of ``by`` makes the pieces. ``replaces`` lists pieces; those that get no rows
-        are gone, and others stay in the folders where they are.
+        are gone, and others stay in the folders where they are. With a ``suffix`` the new pieces are
+        called by it (``event_date=2024-01-31/12``) and so stand beside others of the same value. A run
+        that puts a table twice names another folder by ``into``.
         """
         if balance and by:
             rows = rows.hint("rebalance", *by)
         if sort_by:
             rows = rows.sortWithinPartitions(*by, *sort_by)
         writer = rows.write.partitionBy(*by) if by else rows.write
-        writer.parquet(self.folder(table))
+        home = self.folder(table, into)
+        writer.parquet(home)
         if by:
-            new = [p for p in folders_in(self.spark, self.folder(table)) if p.startswith(f"{by[0]}=")]
+            new = [p for p in folders_in(self.spark, home) if p.startswith(f"{by[0]}=")]
         else:
             new = [""]
         kept = {} if replaces is None else dict(self.parts.get(table, {}))
         for piece in replaces or ():
             kept.pop(piece, None)
-        kept.update({p: f"{table}/{self.name}/{p}".rstrip("/") for p in new})
+        below = home.removeprefix(f"{self.root}/")
+        kept.update({p + suffix: f"{below}/{p}".rstrip("/") for p in new})
         self.parts[table] = kept
 
+    def latest(self, table: str, into: str = "") -> list[str]:
+        """The pieces that this run has put."""
+        below = self.folder(table, into).removeprefix(f"{self.root}/")
+        return [p for p, f in self.parts.get(table, {}).items() if f == below or f.startswith(f"{below}/")]
+
     def drop(self, table: str, pieces: Iterable[str]) -> None:
         for piece in pieces:
             self.parts.get(table, {}).pop(piece, None)
 
-    def publish(self) -> Snapshot:
-        """Make this version the one that readers get, and clear away what no kept version names.
+    def publish(self, keep: int = KEPT_VERSIONS) -> Snapshot:
+        """Make this version the one that readers get, and clear away what none of the last ``keep`` names.
 
         One run at a time may change a store: if another has published meanwhile, this one stops.
         """
@@ -139,19 +155,20 @@ class Run(Snapshot):
             raise RuntimeError(f"another run has published version {self.version} of {self.root}")
         started = hadoop_path(self.spark, f"{self.root}/{MANIFESTS}/_{self.name}")[1]
         stream = files.create(started, True)
-        stream.write(bytearray(json.dumps(self.parts, sort_keys=True, indent=0).encode()))
+        text = json.dumps({"parts": self.parts, "marks": self.marks}, sort_keys=True, indent=0)
+        stream.write(bytearray(text.encode()))
         stream.close()
         if not files.rename(started, path):
             raise RuntimeError(f"another run has published version {self.version} of {self.root}")
-        self._clear()
-        return Snapshot(self.spark, self.root, self.version, self.parts)
+        self._clear(keep)
+        return Snapshot(self.spark, self.root, self.version, self.parts, self.marks)
 
-    def _clear(self) -> None:
+    def _clear(self, keep: int) -> None:
         versions = _versions(self.spark, self.root)
         order = sorted(versions)
-        kept = [_read(self.spark, self.root, v, versions[v]) for v in order[-KEPT_VERSIONS:]]
+        kept = [_read(self.spark, self.root, v, versions[v]) for v in order[-keep:]]
         named = set().union(*[s.folders() for s in kept])
-        for old in order[:-KEPT_VERSIONS]:
+        for old in order[:-keep]:
             files, path = hadoop_path(self.spark, f"{self.root}/{MANIFESTS}/{versions[old]}")
             files.delete(path, False)
         for table, home in folders_in(self.spark, self.root).items():

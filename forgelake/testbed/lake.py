@@ -128,3 +128,20 @@ def refetched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines, and once more those of every day's hour 5, as if it was fetched twice."""
     lines = raw_lines(spark, sf_dir)
     return lines.unionAll(lines.filter(F.col("event_hour") == 5))
+
+
+def refetched_far_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines, and those of every odd hour once more two days and 400 days later."""
+    lines = raw_lines(spark, sf_dir)
+    odd = lines.filter(F.col("event_hour") % 2 == 1)
+    return lines.unionAll(odd.withColumn("event_date", F.date_add("event_date", 2))).unionAll(
+        odd.withColumn("event_date", F.date_add("event_date", 400))
+    )
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Make a stream run its last batch once more, as after a failure."""
+    files, folder = hadoop_path(spark, f"{checkpoint}/commits")
+    batches = [s.getPath().getName() for s in files.listStatus(folder)]
+    last = max((int(n) for n in batches if n.isdigit()))
+    files.delete(hadoop_path(spark, f"{checkpoint}/commits/{last}")[1], False)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from forgelake.sources import bronze as B
 from forgelake.sources.gold import read_gold
 from forgelake.sources.lake import read_silver, read_silver_dated
 from forgelake.sources.tables import read_table, write_table
-from forgelake.streaming.ingest import read_streamed_silver, stream_to_silver
+from forgelake.streaming.ingest import read_streamed_marts, read_streamed_silver, stream_to_silver
 from forgelake.tables import Gold
 from forgelake.testbed import lake
 from forgelake.testbed.adapter import raw_events
@@ -143,6 +143,26 @@ def silver_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, f"{base}/silver")
 
 
+def silver_deduped_any_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats two and 400 days after the first copy, which the runs meet last."""
+    base, (first, last) = shared_folder(spark, "lake"), lake.span(spark, sf_dir)
+    lake.write_bronze(lake.refetched_far_lines(spark, sf_dir), f"{base}/bronze")
+    far = timedelta(days=400)
+    jobs.run_silver(spark, base, first + far, last + far)
+    jobs.run_silver(spark, base, RANGE[0], last + timedelta(days=2))
+    jobs.run_silver(spark, base, first, RANGE[1])
+    return read_silver(spark, f"{base}/silver")
+
+
+def quarantine_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad lines that the daily job sets aside while it fills silver."""
+    base = shared_folder(spark, "lake")
+    lake.write_bronze(lake.spoiled_lines(spark, sf_dir), f"{base}/bronze")
+    jobs.run_day(spark, base, *lake.span(spark, sf_dir))
+    bad = spark.read.parquet(f"{base}/quarantine")
+    return bad.groupBy("event_date", "reason", "kept").agg(F.count(F.lit(1)).alias("lines"), F.count("line").alias("with_text"))
+
+
 def silver_from_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lake.dated_lake(spark, sf_dir)
     jobs.run_silver(spark, base, *lake.span(spark, sf_dir), dated=True)
@@ -252,6 +272,34 @@ def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_streamed_silver(spark, f"{base}/streamed")
 
 
+def stream_silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small batches, of which one runs twice, and slices merged on the way and at the end."""
+    base = lake.bronze_lake(spark, sf_dir)
+
+    def run() -> None:
+        stream_to_silver(
+            spark, f"{base}/bronze", f"{base}/streamed", f"{base}/streamed-progress", files_per_batch=40
+        ).awaitTermination()
+
+    run()
+    lake.forget_last_commit(spark, f"{base}/streamed-progress")
+    run()
+    jobs.run_compact(spark, base)
+    return read_streamed_silver(spark, f"{base}/streamed")
+
+
+def stream_repo_daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart as batches add to it, with weeks that arrive newest first and repeats."""
+    base = shared_folder(spark, "lake")
+    lines, (first, last) = lake.refetched_lines(spark, sf_dir), lake.span(spark, sf_dir)
+    for end in reversed(range(0, (last - first).days + 1, 10)):
+        lake.write_bronze(lines.filter(F.datediff("event_date", F.lit(first)).between(end, end + 9)), f"{base}/bronze")
+        jobs.run_stream(spark, base, with_marts=True)
+    lake.forget_last_commit(spark, f"{base}/streamed-progress")
+    jobs.run_stream(spark, base, with_marts=True)
+    return read_streamed_marts(spark, f"{base}/streamed")["mart_repo_daily_stats"]
+
+
 def _refetched_gold(spark: SparkSession, sf_dir: str) -> tuple[str, Gold]:
     """Stored gold of a lake in which an hour of every day was fetched twice, run day by day."""
     base, (first, last) = shared_folder(spark, "lake"), lake.span(spark, sf_dir)
@@ -377,6 +425,8 @@ OTHERS: dict[str, Query] = {
     "silver_from_dated": silver_from_dated,
     "gold_from_type_tables": gold_from_type_tables,
     "silver_deduped": silver_deduped,
+    "silver_deduped_any_day": silver_deduped_any_day,
+    "quarantine_of_days": quarantine_of_days,
     "silver_counts_by_type": _on_silver(S.counts_by_type),
     "event_types_present": _on_raw(S.event_types_present),
     **{
@@ -420,6 +470,8 @@ OTHERS: dict[str, Query] = {
     "stream_silver": stream_silver,
     "stream_silver_deduped": stream_silver_deduped,
     "stream_silver_late": stream_silver_late,
+    "stream_silver_compacted": stream_silver_compacted,
+    "stream_repo_daily_stats": stream_repo_daily_stats,
     "dq_duplicate_events": dq_duplicate_events,
     "dq_orphan_keys": dq_orphan_keys,
     "dq_sparse_profile": _on_silver(quality.sparse_profile),
