@@ -13,8 +13,8 @@ MICROS_PER_DAY = 86_400_000_000
 def day_number(moment: Column) -> Column:
     """Days from the epoch to the UTC day of an instant, for exact arithmetic over days."""
     micros = F.unix_micros(moment)
-    # a whole number of days divides without rounding
-    return ((micros - F.pmod(micros, F.lit(MICROS_PER_DAY))) / F.lit(MICROS_PER_DAY)).cast("bigint")
+    # DIV cuts towards zero; without the part of a day nothing is left to cut
+    return F.call_function("div", micros - F.pmod(micros, F.lit(MICROS_PER_DAY)), F.lit(MICROS_PER_DAY))
 
 
 def utc_day(moment: Column) -> Column:

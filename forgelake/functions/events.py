@@ -7,13 +7,16 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from forgelake.functions.calendar import utc_day
 from forgelake.schemas import COMMON_PATHS, TYPE_PATHS
 
 # Fixed value: how events write their time, with or without fractions of a second.
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 
 
+# The first and the last microsecond of the years 1 to 9999, from the epoch.
+FIRST_INSTANT, LAST_INSTANT = -62_135_596_800_000_000, 253_402_300_799_999_999
+
+
 def instant_of(column: str) -> Column:
     """The instant that an ISO text with date, time and zone names; other texts give NULL.
 
@@ -28,7 +31,7 @@ def event_time() -> Column:
     Other years have no eight-digit date_id, and without them the number of days is bounded.
     """
     instant = instant_of("created_at")
-    return F.when(F.year(utc_day(instant)).between(1, 9999), instant)
+    return F.when(F.unix_micros(instant).between(FIRST_INSTANT, LAST_INSTANT), instant)
 
 
 def common_columns() -> list[Column]:

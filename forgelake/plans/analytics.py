@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from forgelake.functions.calendar import date_id_of, day_number
 from forgelake.functions.events import count_where, percent
 from forgelake.operators.joins import repeat_rows, with_calendar
+from forgelake.plans import marts
 from forgelake.tables import Gold
 
 
@@ -177,8 +178,14 @@ def engagement_score(
     return _ranked(result, ordered, "engagement_score", "repo_name")
 
 
-def org_reach(gold: Gold, ordered: bool = True) -> DataFrame:
-    """Distinct actors and events (stars and forks) per organisation."""
+def org_reach(gold: Gold, ordered: bool = True, approximate: bool = False) -> DataFrame:
+    """Distinct actors and events (stars and forks) per organisation.
+
+    With ``approximate`` actors are counted by sketches (see ``marts.org_reach``), one per
+    organisation and task in place of a row per organisation and actor.
+    """
+    if approximate:
+        return _ranked(marts.org_reach_from(marts.org_reach(gold), gold), ordered, "unique_actors", "org_name")
     rows = gold["fact_community"].filter(
         F.col("event_type").isin("WatchEvent", "ForkEvent") & F.col("org_id").isNotNull()
     )
@@ -346,6 +353,26 @@ def developer_profile(gold: Gold, login: str | None = None) -> DataFrame:
         ids = actors.select("actor_id")
         dev = dev.join(ids, "actor_id", "left_semi")
         lifecycle = lifecycle.join(ids, "actor_id", "left_semi")
+    return _profile(actors, dev, lifecycle)
+
+
+def developer_lookup(gold: Gold, login: str, most_ids: int = 1000) -> DataFrame:
+    """The profile of one login by a look into stored facts instead of a scan of them.
+
+    The ids of the login are looked up first, in Dim_Actor, and are then constants of the plan:
+    within a day and type facts lie sorted by actor, with Bloom filters of them, so that files and row
+    groups without these ids are skipped. A login with more ids than ``most_ids`` is joined instead.
+    """
+    actors = gold["dim_actor"].select("actor_id", "actor_login").filter(F.col("actor_login") == login)
+    found = [r.actor_id for r in actors.select("actor_id").limit(most_ids + 1).collect()]
+    if len(found) > most_ids:
+        return developer_profile(gold, login)
+    mine = F.col("actor_id").isin(*found) if found else F.lit(False)
+    return _profile(actors, gold["fact_dev_activity"].filter(mine), gold["fact_issue_lifecycle"].filter(mine))
+
+
+def _profile(actors: DataFrame, dev: DataFrame, lifecycle: DataFrame) -> DataFrame:
+    """Totals per login from the rows of both facts, each aggregated before it is joined."""
     code = (
         dev.filter(F.col("event_type").isin("PushEvent", "PullRequestEvent"))
         .groupBy("actor_id")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.functions.calendar import day_number
+from forgelake.functions.calendar import date_id_of, day_number
 from forgelake.operators.dimensions import issue_moments
 from forgelake.operators.joins import with_calendar
 from forgelake.sources.snapshot import Run
@@ -36,8 +37,19 @@ MART_TYPES = {
         "total_prs": "BIGINT",
         "total_comments": "BIGINT",
     },
+    "mart_org_reach": {
+        "org_id": "BIGINT",
+        "date_id": "INT",
+        "actors": "BINARY",
+        "total_events": "BIGINT",
+    },
 }
 
+#: Logarithm of the cells of a sketch: 4,096 cells of a byte, and with them an error of about
+#: 1.04 / 64 = 1.6 % (one standard deviation; three cover 99.7 % of answers). Small sets are exact.
+SKETCH_SIZE = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_SIZE / 2)
+
 
 def issue_resolution(gold: Gold) -> DataFrame:
     """First opening of each issue and the first closing at or after it.
@@ -137,6 +149,25 @@ def developer_activity(gold: Gold, *by: str) -> DataFrame:
     )
 
 
+def org_reach(gold: Gold, *by: str) -> DataFrame:
+    """A sketch of the actors behind stars and forks, per organisation and day.
+
+    Sketches of any days and organisations unite to one of the distinct actors of them all.
+    """
+    rows = gold["fact_community"].filter(
+        F.col("event_type").isin("WatchEvent", "ForkEvent") & F.col("org_id").isNotNull()
+    )
+    return rows.groupBy(*by, "org_id", "date_id").agg(
+        F.hll_sketch_agg("actor_id", SKETCH_SIZE).alias("actors"), F.count(F.lit(1)).alias("total_events")
+    )
+
+
+def united(shares: DataFrame, piece: str) -> DataFrame:
+    return shares.groupBy("org_id", "date_id").agg(
+        F.hll_union_agg("actors").alias("actors"), F.sum("total_events").alias("total_events")
+    )
+
+
 @dataclass(frozen=True)
 class Stored:
     """How a mart is kept: in pieces of its key, each made from the shares of the slices that touch it.
@@ -188,6 +219,7 @@ STORED = {
         developer_activity, MART_TYPES["mart_developer_activity"], "month_id", "year * 100 + month",
         added_up(["actor_id", "year", "month"], ["total_commits", "total_prs", "total_comments"]),
     ),
+    "mart_org_reach": Stored(org_reach, MART_TYPES["mart_org_reach"], "date_id", "date_id", united),
 }
 
 
@@ -273,3 +305,20 @@ def developer_totals_from(monthly: DataFrame, gold: Gold) -> DataFrame:
             F.coalesce(F.sum("comments"), F.lit(0)).alias("total_comments"),
         )
     )
+
+
+def org_reach_from(daily: DataFrame, gold: Gold, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Distinct actors, about, and events per organisation over any days, out of the daily sketches."""
+    if first is not None:
+        daily = daily.filter(F.col("date_id") >= date_id_of(first))
+    if last is not None:
+        daily = daily.filter(F.col("date_id") <= date_id_of(last))
+    by_id = daily.groupBy("org_id").agg(F.hll_union_agg("actors").alias("actors"), F.sum("total_events").alias("events"))
+    return (
+        by_id.join(gold["dim_org"].select("org_id", "org_name"), "org_id")
+        .groupBy("org_name")
+        .agg(
+            F.hll_sketch_estimate(F.hll_union_agg("actors")).alias("unique_actors"),
+            F.sum("events").alias("total_events"),
+        )
+    )

@@ -171,7 +171,11 @@ def dated_folders(
 ) -> list[str]:
     """The folders ``root/2024/01/31`` that exist; ``root`` may be a glob."""
     folders = {day: f"{root}/{day:%Y/%m/%d}" for day in days_between(first, last)}
-    found = {day: f for day, f in folders.items() if exists(spark, f)}
+    there = set()
+    for month in sorted({f"{day:%Y/%m}" for day in folders}):  # one listing for a month
+        files, pattern = hadoop_path(spark, f"{root}/{month}/*")
+        there |= {f"{month}/{s.getPath().getName()}" for s in files.globStatus(pattern) or ()}
+    found = {day: f for day, f in folders.items() if f"{day:%Y/%m/%d}" in there}
     if not found or all_days and len(found) < len(folders):
         missing = ", ".join(str(d) for d in folders if d not in found)
         raise ValueError(f"nothing in {root} for {missing}")

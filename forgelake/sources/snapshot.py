@@ -109,6 +109,7 @@ class Run(Snapshot):
         balance: bool = True,
         suffix: str = "",
         into: str = "",
+        **options: str,
     ) -> None:
         """Make the rows the content of the pieces that are replaced, or of the whole table.
 
@@ -121,7 +122,8 @@ class Run(Snapshot):
             rows = rows.hint("rebalance", *by)
         if sort_by:
             rows = rows.sortWithinPartitions(*by, *sort_by)
-        writer = rows.write.partitionBy(*by) if by else rows.write
+        writer = rows.write.options(**options)
+        writer = writer.partitionBy(*by) if by else writer
         home = self.folder(table, into)
         writer.parquet(home)
         if by:

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgelake.functions.calendar import date_id_of
 from forgelake.operators import dimensions as dims
 from forgelake.operators import quality
 from forgelake.operators import silver as S
@@ -332,6 +333,43 @@ def _stored_mart(name: str) -> Query:
     return query
 
 
+def _marts_in_two_runs(spark: SparkSession, sf_dir: str) -> tuple[Gold, dict[str, DataFrame]]:
+    base, (first, last) = lake.bronze_lake(spark, sf_dir), lake.span(spark, sf_dir)
+    jobs.run_silver(spark, base, first, last)
+    gold = jobs.run_gold(spark, base, first, last)
+    jobs.run_marts(spark, base, RANGE[0], last)
+    return gold, jobs.run_marts(spark, base, first, RANGE[1])
+
+
+def org_reach_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts by sketches, united over all days and over a week, beside the exact ones.
+
+    ``close`` tells whether the estimate is within three standard deviations of the exact count.
+    """
+    gold, stored = _marts_in_two_runs(spark, sf_dir)
+
+    def beside(window: str, days: tuple[date, date] | tuple) -> DataFrame:
+        about = marts.org_reach_from(stored["mart_org_reach"], gold, *days)
+        rows = gold["fact_community"]
+        if days:
+            rows = rows.filter(F.col("date_id").between(*[date_id_of(d) for d in days]))
+        exact = analytics.org_reach(gold.with_tables(fact_community=rows), ordered=False)
+        exact = exact.select(F.col("org_name").alias("name"), F.col("unique_actors").alias("exact"))
+        off = F.abs(F.col("unique_actors") - F.col("exact"))
+        return about.join(exact, F.col("org_name") == F.col("name"), "full").select(
+            F.lit(window).alias("days"), "org_name", F.col("exact").alias("unique_actors"), "total_events",
+            (off <= F.greatest(F.lit(0.5), 3 * marts.SKETCH_ERROR * F.col("exact"))).alias("close"),
+        )
+
+    return beside("all", ()).unionAll(beside("week", RANGE))
+
+
+def developer_lookup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = lake.bronze_lake(spark, sf_dir)
+    jobs.run_silver(spark, base, *lake.span(spark, sf_dir))
+    return analytics.developer_lookup(jobs.run_gold(spark, base, *lake.span(spark, sf_dir)), LOGIN)
+
+
 def sql_weekend_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = register_views(gold_of(spark, sf_dir))
     return session.sql(SQL_REPORT, args={"event_type": "PushEvent"})
@@ -461,6 +499,8 @@ OTHERS: dict[str, Query] = {
     ),
     "stored_repo_health": stored_repo_health,
     "gold_after_broken_run": gold_after_broken_run,
+    "org_reach_approx": org_reach_approx,
+    "developer_lookup_stored": developer_lookup_stored,
     "stored_marts": stored_marts,
     "stored_issue_resolution": _stored_mart("mart_issue_resolution"),
     "stored_developer_activity": _stored_mart("mart_developer_activity"),

@@ -195,11 +195,15 @@ def test_marts_by_day_equal_marts_at_once(spark, base):
     jobs.run_day(spark, str(base), D1, D2)
     for day in (D2, D1, D2):
         stored = jobs.run_marts(spark, str(base), day)
-    stepwise = {name: content(df) for name, df in stored.items()}
-    assert {n: content(df) for n, df in jobs.run_marts(spark, str(base)).items()} == stepwise
+    def sizes(marts):  # of sketches, what they estimate
+        reach = marts["mart_org_reach"].withColumn("actors", F.hll_sketch_estimate("actors"))
+        return {n: content(df) for n, df in {**marts, "mart_org_reach": reach}.items()}
+
+    stepwise = sizes(stored)
+    assert sizes(jobs.run_marts(spark, str(base))) == stepwise
     gold = read_gold(spark, f"{base}/gold")
     fresh = {n: getattr(marts, n.removeprefix("mart_"))(gold) for n in marts.STORED}
-    assert {n: content(df) for n, df in fresh.items()} == stepwise
+    assert sizes(fresh) == stepwise
     assert stepwise["mart_repo_daily_stats"][0].startswith("Row(date_id=20240101, repo_id=10, total_commits=4")
 
 
@@ -379,6 +383,7 @@ def test_marts_renew_only_what_a_day_touches(spark, tmp_path):
     run_of = {n: {p: f.split("/")[1][:10] for p, f in now.parts[n].items()} for n in marts.STORED}
     # days 1 and 3 speak of the issue in the first bucket, day 2 of the one far off
     assert run_of["mart_issue_resolution"] == {"bucket=0": "run=000006", "bucket=5": "run=000004"}
+    assert run_of["mart_org_reach"] == {}
     assert run_of["mart_repo_daily_stats"] == {"date_id=20240130": "run=000002", "date_id=20240201": "run=000004", "date_id=20240202": "run=000006"}
     assert run_of["mart_developer_activity"] == {"month_id=202401": "run=000002", "month_id=202402": "run=000006"}
     # what a day does not touch need not even be there
@@ -471,3 +476,45 @@ def test_months_that_have_ended_are_kept_merged(spark, tmp_path):
     assert all_gold(spark, tmp_path) == {k: content(v) for k, v in fresh.items()}
     stored = jobs.run_marts(spark, str(tmp_path), days[-1])["mart_issue_resolution"]
     assert content(stored) == content(marts.issue_resolution(fresh))
+
+
+def test_one_developer_is_found_by_reading_few_rows(spark, tmp_path):
+    events = [ev(n, "PushEvent", D1, actor={"id": n % 500 * 2, "login": f"dev-{n % 500 * 2}"}) for n in range(20_000)]
+    dump(tmp_path / "landing", D1, 5, *events)
+    jobs.run_bronze(spark, str(tmp_path), D1)
+    jobs.run_silver(spark, str(tmp_path), D1)
+    small = {"parquet.block.size": "65536", "parquet.page.size": "4096", "parquet.page.row.count.limit": "500"}
+    jobs.FACT_OPTIONS.update(small)
+    try:
+        gold = jobs.run_gold(spark, str(tmp_path), D1)
+    finally:
+        for key in small:
+            jobs.FACT_OPTIONS.pop(key)
+    found = analytics.developer_lookup(gold, "dev-154")
+    assert [tuple(r) for r in found.collect()] == [("dev-154", 80, 0, 0)]
+    assert analytics.developer_lookup(gold, "nobody").collect() == []
+    def read(actor):
+        rows = gold["fact_dev_activity"].filter(f"actor_id = {actor} AND event_type = 'PushEvent'").select("push_commit_count")
+        rows.collect()
+        scan = rows._jdf.queryExecution().executedPlan()
+        while not scan.nodeName().startswith("Scan parquet"):
+            scan = scan.executedPlan() if scan.nodeName() == "AdaptiveSparkPlan" else scan.children().head()
+        return scan.metrics().apply("numOutputRows").value()
+
+    # of 20,000 rows the scan gives only those of the row groups and pages that may have the actor
+    assert 40 <= read(154) < 2_000
+    # an actor between others, whom the ranges of the files do not deny, is denied by the Bloom filters
+    assert read(155) == 0
+
+
+def test_dated_folders_are_listed_by_month(spark, tmp_path, monkeypatch):
+    from forgelake.sources import lake
+
+    for day in (date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1)):
+        (tmp_path / f"{day:%Y/%m/%d}").mkdir(parents=True)
+    asked, path = [], lake.hadoop_path
+    monkeypatch.setattr(lake, "hadoop_path", lambda s, p: asked.append(p) or path(s, p))
+    found = lake.dated_folders(spark, str(tmp_path), date(2024, 1, 1), date(2024, 2, 29))
+    assert [f[-10:] for f in found] == ["2024/01/30", "2024/01/31", "2024/02/01"] and len(asked) == 2
+    with pytest.raises(ValueError, match="2024-01-29"):
+        lake.dated_folders(spark, str(tmp_path), date(2024, 1, 29), date(2024, 1, 31), all_days=True)
