@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.llm.common import slices, stored, table, text_or_empty
+from forgelake.llm.id_filter import id_filter, may_hold
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -38,6 +39,10 @@ LEAST_LETTERS_FOR_EDIT = 5
 WINDOW_WORDS = 8
 QUOTE_CHARACTERS = 120
 SLICE_BYTES = 1 << 20
+#: Terms that are looked for in all texts are broadcast up to that many bytes, as counted beforehand.
+MAP_BYTES = 32 << 20
+#: The lexicon's automaton takes some 10 KB a term in every worker; a larger lexicon is refused.
+MOST_TERMS = 20_000
 
 #: Marks that open or close a quotation, words that introduce one.
 QUOTES = "\"“”„«»"
@@ -262,45 +267,95 @@ def distinct_texts(rows: DataFrame, known: DataFrame) -> DataFrame:
     return stored(first, "texts")
 
 
-def lexicon(docs: DataFrame, known: DataFrame) -> tuple[list[str], list[str]]:
-    """Words and stems that mark toxic texts, counted over all labelled rows."""
+def terms_of(text: str) -> Column:
+    """The distinct words of a text and their stems, marked by an asterisk."""
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    terms = F.flatten(F.transform(words, lambda w: F.array(
+        F.when(w != "", w), *[F.when(F.char_length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
+    )))
+    return F.array_distinct(F.array_compact(terms))
+
+
+def marking(a: str, b: str, toxic: int, other: int, tried: int) -> Column:
+    """Whether a term in ``a`` of the toxic texts and ``b`` of the others marks toxic ones.
+
+    At the same ``a`` a term that does not mark with ``b`` texts does not with more of them.
+    """
+    more, less = F.col(a) + 0.5, F.col(b) + 0.5
+    odds = F.log(more / (toxic + 1 - F.col(a))) - F.log(less / (other + 1 - F.col(b)))
+    # one standard error down, so that rare terms need more of a difference
+    sure = odds - F.sqrt(1 / more + 1 / less)
+    # Chernoff's bound: of all terms tried, fewer than one passes by chance
+    n, base = F.col(a) + F.col(b), toxic / (toxic + other)
+    chance = F.col(a) * F.log(F.col(a) / n / base)
+    chance += F.when(F.col(b) > 0, F.col(b) * F.log(F.col(b) / n / (1 - base))).otherwise(0.0)
+    return (F.col(a) >= LEAST_TEXTS) & (sure >= LEAST_LOG_ODDS) & (chance >= math.log(max(tried, 1)))
+
+
+def term_counts(docs: DataFrame, known: DataFrame, sample: DataFrame) -> tuple[DataFrame, Column] | None:
+    """(term, a, b) of terms that may mark toxic texts, over all labelled rows, and which of them do.
+
+    Only toxic texts move as words, to count ``a``. Terms that are too common in the sample's other
+    texts are done with: more texts cannot make them mark. What is left is counted in all
+    other texts where they lie, and of a text only the numbers of such terms that it has move, to
+    meet its label. A fixed-size filter of ids keeps unlabelled texts from being looked at.
+    """
     text = text_or_empty()
-    rows = docs.filter(fold() != HELD_OUT).select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
+    rows = docs.filter(fold() != HELD_OUT).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")
+    )
     texts = distinct_texts(rows, known)
     sizes = texts.agg(
         F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other")
     ).first()
     if not sizes.toxic or not sizes.other:
+        return None
+
+    def labelled_as(label: int) -> DataFrame:
+        return texts.filter(F.col("toxic") == label).select("id", F.col("mark").alias("of"))
+
+    def own(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        return rows.join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("mark") == F.col("of")))
+
+    toxic = may_hold(rows, id_filter(labelled_as(1), "id"), "doc_id")
+    toxic = own(toxic.select("doc_id", "mark", terms_of("text").alias("terms")), labelled_as(1))
+    # repeated rows of a text are one text
+    toxic = toxic.groupBy("mark").agg(F.first("terms").alias("terms")).select(F.explode("terms").alias("term"))
+    counted = stored(toxic.groupBy("term").agg(F.count("*").alias("a")), "toxic_terms")
+    tried = counted.count()
+    common = counted.filter(F.col("a") >= LEAST_TEXTS)
+
+    marks = sample.select(F.xxhash64("text").alias("mark"), "text").dropDuplicates(["mark"])
+    marks = marks.join(labelled_as(0), F.col("mark") == F.col("of"), "left_semi")
+    least = marks.select(F.explode(terms_of("text")).alias("term")).groupBy("term").agg(F.count("*").alias("least"))
+    rule = (sizes.toxic, sizes.other, tried)
+    left = common.join(least, "term", "left").withColumn("least", F.coalesce("least", F.lit(0)))
+    left = left.filter(marking("a", "least", *rule)).select("term", "a", F.xxhash64("term").alias("number"))
+    left = stored(left, "candidates")
+    bulk = left.agg(F.sum(F.octet_length("term") + 100).alias("n")).first().n or 0
+
+    others = may_hold(rows, id_filter(labelled_as(0), "id"), "doc_id")
+    found = others.select("doc_id", "mark", F.explode(terms_of("text")).alias("found"))
+    # a map of that many bytes at most; beyond it Spark joins the terms as it sees fit
+    wanted = left.select("term", "number")
+    wanted = F.broadcast(wanted) if bulk <= MAP_BYTES else wanted
+    found = found.join(wanted, F.col("found") == F.col("term")).select("doc_id", "mark", "number")
+    found = own(found, labelled_as(0)).select("mark", "number").distinct()
+    b = found.groupBy(F.col("number").alias("n_b")).agg(F.count("*").alias("b"))
+    counts = left.join(b, F.col("number") == F.col("n_b"), "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    return stored(counts, "terms"), marking("a", "b", *rule)
+
+
+def lexicon(docs: DataFrame, known: DataFrame, sample: DataFrame) -> tuple[list[str], list[str]]:
+    """Words and stems that mark toxic texts, counted over all labelled rows."""
+    counted = term_counts(docs, known, sample)
+    if counted is None:
         return [], []
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    terms = F.flatten(F.transform("words", lambda w: F.array(
-        w, *[F.when(F.char_length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
-    )))
-    chosen = texts.withColumnRenamed("mark", "of")
-    # Spark broadcasts the labels if their table is small; only a text's distinct words travel otherwise
-    rows = rows.select("doc_id", "mark", F.array_join(words, " ").alias("line")).join(
-        chosen, (F.col("doc_id") == F.col("id")) & (F.col("mark") == F.col("of"))
-    )
-    rows = rows.select("toxic", F.split("line", " ").alias("words"))
-    found = rows.select("toxic", F.explode(F.array_distinct(F.array_compact(terms))).alias("term"))
-    counts = stored(
-        found.filter(F.char_length("term") >= 4).groupBy("term").agg(
-            F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")
-        ).filter(F.col("a") + F.col("b") >= LEAST_TEXTS),
-        "terms",
-    )
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    odds = F.log(a / (sizes.toxic + 1 - F.col("a"))) - F.log(b / (sizes.other + 1 - F.col("b")))
-    # one standard error down, so that rare terms need more of a difference
-    sure = odds - F.sqrt(1 / a + 1 / b)
-    # Chernoff's bound: of all terms tried, fewer than one passes by chance
-    n, base = F.col("a") + F.col("b"), sizes.toxic / (sizes.toxic + sizes.other)
-    chance = F.col("a") * F.log(F.col("a") / n / base)
-    chance += F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / n / (1 - base))).otherwise(0.0)
-    tried = max(counts.count(), 1)
-    marking = (F.col("a") >= LEAST_TEXTS) & (sure >= LEAST_LOG_ODDS) & (chance >= math.log(tried))
+    counts, marks = counted
     # a row per term that marks toxic texts; no text
-    found = [r.term for r in counts.filter(marking).select("term").collect()]
+    found = [r.term for r in counts.filter(marks).select("term").limit(MOST_TERMS + 1).collect()]
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms mark toxic texts: the automaton would not fit a worker's memory")
     stems: list[str] = []
     taken: set[str] = set()
     for stem in sorted((t[:-1] for t in found if t.endswith("*")), key=lambda t: (len(t), t)):
@@ -339,7 +394,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     """
     known = labelled(labels)
     sample, share = sampled(docs, known, sample_rows)
-    words, stems = lexicon(docs, known)
+    words, stems = lexicon(docs, known, sample)
     automaton = compiled(words, stems)
     columns = ", ".join(f"{f} double" for f in FEATURES)
 

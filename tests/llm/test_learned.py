@@ -1,6 +1,8 @@
 """Operators that learn: held-out accuracy, and exact tests of their parts."""
 
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelake.llm import language_id, license_scan, toxicity
+from forgelake.llm.id_filter import id_filter, may_hold
 from forgelake.llm.linear import FollowTheLeader, Settings, softmax, temperature
 
 MEDIUM = "/root/testdata/sf0.01"
@@ -169,7 +172,79 @@ def test_copies_of_a_text_count_once(spark):
     copies = [["quiet", "evening"] for _ in range(60)]
     docs, labels = marked_documents(spark, 800, [["idiot"]] * 200 + copies)
     same = docs.withColumn("text", F.when(F.col("doc_id") < 1000, F.col("text")).otherwise("a quiet evening at home"))
-    assert toxicity.lexicon(same, toxicity.labelled(labels))[0] == ["idiot"]
+    known = toxicity.labelled(labels)
+    assert toxicity.lexicon(same, known, toxicity.sampled(same, known, 100)[0])[0] == ["idiot"]
+
+
+def plain_counts(rows, labels):
+    """(a, b) per term over the distinct labelled texts outside the held-out fold."""
+    label = {}
+    for i, mark in labels:
+        label[i] = max(mark, label.get(i, 0))
+    texts = {}
+    for i, text in rows:
+        if i in label and zlib.crc32(str(i).encode()) % 4 != 2:
+            texts[text] = max(label[i], texts.get(text, 0))
+    counts = Counter()
+    for text, mark in texts.items():
+        words = {w for w in re.split(r"[\W_]+", text.lower()) if w}
+        for term in words | {w[:k] + "*" for w in words for k in toxicity.STEMS if len(w) > k}:
+            counts[term, mark] += 1
+    return {t: (counts[t, 1], counts[t, 0]) for t, _ in counts}, Counter(texts.values())
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("sample_rows", [5, 3000])
+def test_counts_of_terms_equal_plain_code(spark, medium, monkeypatch, broadcast, sample_rows):
+    monkeypatch.setattr(toxicity, "MAP_BYTES", 1 << 25 if broadcast else -1)
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet").select("doc_id", "toxic")
+    # every third row twice, and some labels twice
+    docs = medium.select("doc_id", "text").union(medium.filter("doc_id % 3 = 0").select("doc_id", "text"))
+    labels = labels.union(labels.filter("doc_id % 5 = 0"))
+    known = toxicity.labelled(labels)
+    counts, marks = toxicity.term_counts(docs, known, toxicity.sampled(docs, known, sample_rows)[0])
+    want, size = plain_counts([tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()])
+    got = {r.term: (r.a, r.b) for r in counts.collect()}
+    assert all(want[t] == n for t, n in got.items())
+
+    def sure(a, b):
+        odds = math.log((a + 0.5) / (size[1] + 1 - a)) - math.log((b + 0.5) / (size[0] + 1 - b))
+        base = size[1] / (size[0] + size[1])
+        chance = a * math.log(a / (a + b) / base) + (b * math.log(b / (a + b) / (1 - base)) if b else 0) if a else 0
+        return a >= toxicity.LEAST_TEXTS and odds - math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) >= toxicity.LEAST_LOG_ODDS and (
+            chance >= math.log(sum(1 for x, _ in want.values() if x)))
+
+    assert {r.term for r in counts.filter(marks).collect()} == {t for t, (a, b) in want.items() if sure(a, b)} != set()
+
+
+def test_rows_given_twice_change_no_score(spark):
+    docs, labels = marked_documents(spark, 300, [["scum", "idiot"] if i % 2 else ["idiot"] for i in range(150)])
+    once = {r.doc_id: r.score for r in toxicity.scored(docs, labels).collect()}
+    known = toxicity.labelled(labels)
+    sample = toxicity.sampled(docs, known, 100)[0]
+    twice = docs.union(docs)
+    assert toxicity.lexicon(twice, known, sample) == toxicity.lexicon(docs, known, sample)
+    assert toxicity.lexicon(docs, known, sample)[0] == ["idiot", "scum"]
+    again = {r.doc_id: r.score for r in toxicity.scored(twice, labels.union(labels)).collect()}
+    assert all((again[i] >= 0.3) == (s >= 0.3) for i, s in once.items())
+
+
+def test_short_terms_mark_too(spark):
+    docs, labels = marked_documents(spark, 800, [["ugh"]] * 400)
+    distinct = docs.withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id").cast("string")))
+    got = {r.doc_id: r.predicted for r in toxicity.scored(distinct, labels).collect()}
+    held = [i for i in range(800, 1200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert all(got[i] == 1 for i in held) and not any(got[i] for i in range(800))
+
+
+def test_a_filter_of_ids_denies_nothing_that_is_in_it(spark):
+    ids = spark.range(0, 30_000, 3).select(F.col("id").alias("id"))
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("f")).union(
+        spark.createDataFrame([(None, "x")], "doc_id long, f string"))
+    found = {r.doc_id for r in may_hold(rows, id_filter(ids, "id"), "doc_id").collect()}
+    assert set(range(0, 30_000, 3)) <= found and None not in found and len(found) < 10_000 + 200
+    assert id_filter(ids, "id").count() <= 512
+    assert may_hold(rows, id_filter(ids.limit(0), "id"), "doc_id").isEmpty()
 
 
 def test_scores_do_not_see_held_out_labels(spark, medium):
