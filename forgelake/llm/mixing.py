@@ -1,6 +1,6 @@
 """Mixing sources to target weights by Poisson replication.
 
-A source that should make up a share ``w`` of the mix and holds ``n`` of the corpus' ``N`` words
+A source that should make up a share ``w`` of the mix and holds ``n`` of the corpus' ``N`` characters
 is repeated ``w * N / n`` times on average. Each document draws its number of copies from the
 Poisson distribution with that mean: a uniform number, hashed from seed and document, is put
 through the inverse of the distribution function. A rerun draws the same numbers, and no document
@@ -16,9 +16,8 @@ from forgelake.llm.common import stored, table
 
 SEED = 17
 TEMPERATURE = 0.5
-#: The registered query holds a source's mean repetition at this, as its SQL states; mixes do not.
-#: No single draw has a larger mean either: documents of such a source draw several times.
-MOST_REPEATS = 8.0
+#: No single draw has a larger mean: documents of a source that needs more draw several times.
+MOST_AT_ONCE = 8.0
 #: Steps of the distribution function; beyond it lies less than 1e-20 at a draw's largest mean.
 STEPS = 64
 #: Size of a document without words: it costs something to keep.
@@ -54,12 +53,11 @@ def poisson_steps(mean: Column) -> Column:
 
 def source_means(
     docs: DataFrame, temperature: float = TEMPERATURE, weights: DataFrame | None = None,
-    most_repeats: float | None = None,
 ) -> DataFrame:
     """Per source: its size, its mean repetition, its draws and the steps of a draw's distribution.
 
-    A mean above MOST_REPEATS is dealt evenly over several draws: the sum of Poisson numbers is
-    Poisson again. ``most_repeats`` holds means down; what sources lose by it, others do not get.
+    A mean above MOST_AT_ONCE is dealt evenly over several draws: the sum of Poisson numbers is
+    Poisson again.
 
     ``weights`` (source, weight) gives the target shares; a source without a row has weight 0.
     Without it, shares follow size to the power of ``temperature``.
@@ -74,9 +72,7 @@ def source_means(
     all_size, all_weight = sizes.agg(F.sum("size")).scalar(), sizes.agg(F.sum("weight")).scalar()
     mean = F.col("weight") / F.nullif(all_weight, F.lit(0.0)) * all_size / F.col("size")
     mean = F.coalesce(mean, F.lit(0.0))
-    if most_repeats is not None:
-        mean = F.least(mean, F.lit(float(most_repeats)))
-    draws = F.greatest(F.lit(1), F.ceil(F.col("mean") / MOST_REPEATS)).cast("int")
+    draws = F.greatest(F.lit(1), F.ceil(F.col("mean") / MOST_AT_ONCE)).cast("int")
     return (
         sizes.withColumn("mean", F.round(mean, 6))
         .withColumn("draws", draws)
@@ -85,29 +81,32 @@ def source_means(
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, seed: int = SEED,
-          temperature: float = TEMPERATURE, most_repeats: float | None = None) -> DataFrame:
+          temperature: float = TEMPERATURE) -> DataFrame:
     """The columns of ``docs`` plus ``mean``, ``copy`` (from 1) and ``place`` in [0, 1).
 
     Rows come in the order of ``place`` within each partition, and partitions hold random rows.
-    The draw depends on doc_id alone, so repeated rows get equal numbers of copies; a NULL
-    source is a source of its own, a NULL doc_id or text is drawn like any other. Columns that
-    are called like those added are replaced.
+    The draw depends on doc_id alone, so repeated rows get equal numbers of copies. Rows without a
+    doc_id draw by their text and their place in the input, each for itself, so that equal ones
+    spread too; only their draws change if the input is laid out anew. A NULL source is a source of its
+    own. Columns that are called like those added are replaced.
     """
     docs = docs.drop("mean", "copy", "place")
-    means = stored(source_means(docs.select("source", "text"), temperature, weights, most_repeats), "means")
+    means = stored(source_means(docs.select("source", "text"), temperature, weights), "means")
     means = means.select(F.col("source").alias("of"), "mean", "draws", "steps")
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    nameless = F.concat_ws("-", F.lit("none"), F.xxhash64("text").cast("string"), F.monotonically_increasing_id().cast("string"))
+    own = F.coalesce(F.col("doc_id").cast("string"), nameless)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), own.alias("own"))
     # Spark broadcasts the means if their table is small and splits a heavy source otherwise.
     rows = rows.join(means, F.col("row.source").eqNullSafe(F.col("of")))
-    rows = rows.withColumn("drawn", uniform(seed, "copies", F.col("row.doc_id")))
+    rows = rows.withColumn("drawn", uniform(seed, "copies", F.col("own")))
     copies = F.size(F.filter("steps", lambda c: c <= F.col("drawn")))
     more = F.aggregate(
         F.sequence(F.lit(2), F.greatest(F.col("draws"), F.lit(2))), copies,
-        lambda total, k: total + F.size(F.filter("steps", lambda c: c <= uniform(seed, "copies", F.col("row.doc_id"), k))),
+        lambda total, k: total + F.size(F.filter("steps", lambda c: c <= uniform(seed, "copies", F.col("own"), k))),
     )
     rows = rows.withColumn("copies", F.when(F.col("draws") == 1, copies).otherwise(more))
     rows = rows.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    rows = rows.withColumn("place", uniform(seed, "place", F.col("row.doc_id"), F.col("copy")))
+    rows = rows.withColumn("place", uniform(seed, "place", F.col("own"), F.col("copy")))
     return (
         rows.select("row.*", "mean", "copy", "place")
         .repartition("place")
@@ -116,7 +115,7 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, seed: int = SEED,
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixed(table(spark, sf_dir, "documents"), most_repeats=MOST_REPEATS)
+    rows = mixed(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", "copy", "place", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
@@ -127,20 +126,24 @@ sizes AS (
   SELECT source, sum(greatest({LEAST_SIZE}, length(coalesce(text, ''))))::BIGINT AS size
   FROM docs GROUP BY source),
 means AS (
-  SELECT source, coalesce(round(least(
-    pow(size, {TEMPERATURE}) / sum(pow(size, {TEMPERATURE})) OVER () * sum(size) OVER () / size,
-    {MOST_REPEATS}), 6), 0) AS mean FROM sizes),
+  SELECT source, coalesce(round(
+    pow(size, {TEMPERATURE}) / sum(pow(size, {TEMPERATURE})) OVER () * sum(size) OVER () / size, 6), 0) AS mean FROM sizes),
+draws AS (SELECT source, mean, greatest(1, ceil(mean / {MOST_AT_ONCE}))::INTEGER AS draws FROM means),
 terms AS (
-  SELECT source, k, exp(-mean) * pow(mean, k) / gamma(k + 1) AS p
-  FROM means, range({STEPS}) AS r(k)),
+  SELECT source, draws, k, exp(-mean / draws) * pow(mean / draws, k) / gamma(k + 1) AS p
+  FROM draws, range({STEPS}) AS r(k)),
 steps AS (
-  SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
-lists AS (SELECT source, list(c ORDER BY k) AS cs FROM steps GROUP BY source),
-drawn AS (
-  SELECT d.doc_id, d.source, d.text, len(list_filter(l.cs, lambda c: c <=
-    ('0x' || substr(md5('{SEED}|copies|' || coalesce(d.doc_id::VARCHAR, '')), 1, {DIGITS}))::BIGINT
-    / {16**DIGITS}.0::DOUBLE)) AS n
+  SELECT source, draws, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
+lists AS (SELECT source, draws, list(c ORDER BY k) AS cs FROM steps GROUP BY source, draws),
+numbers AS (
+  SELECT d.doc_id, d.source, d.text, l.cs, unnest(range(1, l.draws + 1)) AS draw
   FROM docs d JOIN lists l ON d.source IS NOT DISTINCT FROM l.source),
+hits AS (
+  SELECT doc_id, source, text, len(list_filter(cs, lambda c: c <=
+    ('0x' || substr(md5('{SEED}|copies|' || coalesce(doc_id::VARCHAR, '') || CASE WHEN draw > 1 THEN '|' || draw ELSE '' END),
+                    1, {DIGITS}))::BIGINT / {16**DIGITS}.0::DOUBLE)) AS n
+  FROM numbers),
+drawn AS (SELECT doc_id, source, text, sum(n)::BIGINT AS n FROM hits GROUP BY ALL),
 copies AS (SELECT doc_id, source, text, unnest(range(1, n + 1))::INTEGER AS copy FROM drawn)
 SELECT doc_id, source, copy,
   ('0x' || substr(md5('{SEED}|place|' || coalesce(doc_id::VARCHAR, '') || '|' || copy), 1, {DIGITS}))::BIGINT
