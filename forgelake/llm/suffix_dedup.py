@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import binary_parts, document_number, slices, stored, table, text_or_empty
+from forgelake.llm.common import NO_ID_FROM, binary_parts, document_number, slices, stored, table, text_or_empty
 from forgelake.llm.hashing import INVERSE, mixed, powers, prefix_sums, span_hashes
 
 LENGTH = 100
@@ -430,9 +430,24 @@ def covered(size: int, starts: np.ndarray, upto: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:size]) > 0
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """(..., body, id) with an id of its own for each text: spans belong to one text only.
+
+    Where an id stands for several texts, that with the smallest hash keeps it, and the others get
+    numbers behind all ids.
+    """
+    mark = F.xxhash64("body")
+    marks = rows.select("id", mark.alias("mark")).groupBy("id").agg(F.min("mark").alias("own"), F.max("mark").alias("last"))
+    clashes = stored(marks.filter("own <> last").select(F.col("id").alias("clash"), "own"), "clashes")
+    last = F.xxhash64("id", "body").bitwiseAND(F.lit(NO_ID_FROM - 1)) + F.lit(NO_ID_FROM)
+    keeps = F.col("own").isNull() | (F.col("own") == mark)
+    found = rows.join(clashes, F.col("id") == F.col("clash"), "left")
+    return found.withColumn("id", F.when(keeps, F.col("id")).otherwise(last)).select(*rows.columns)
+
+
 def with_spans(docs: DataFrame, columns: list[str], length: int) -> DataFrame:
     """The columns, ``body`` in bytes and its spans, per row of ``docs``."""
-    rows = docs.select(*columns, text_or_empty().alias("body"), document_number().alias("id"))
+    rows = told_apart(docs.select(*columns, text_or_empty().alias("body"), document_number().alias("id")))
     spans = stored(repeated_spans(rows.select("id", "body"), length), "spans")
     rows = rows.join(spans, "id", "left")
     return rows.select(*columns, F.col("body").cast("binary").alias("body"), "spans.start", "spans.upto")
@@ -452,9 +467,9 @@ def summary(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row.
 
     NULL and empty texts have no bytes; a text shorter than ``length`` keeps all of its own. Rows
-    that repeat a doc_id with its text are one document, and each gets its result; where a doc_id
-    stands for different texts, what is found in one is removed at the same place of the others.
-    Rows without a doc_id come after all others, in the order of a hash of their texts, and equal
+    that repeat a doc_id with its text are one document, and each gets its result. Where a doc_id
+    stands for different texts they are different documents: that with the smallest hash stands at
+    the doc_id, the others come after all rows with an id of their own, in the order of a hash. Rows without a doc_id come after all others, in the order of a hash of their texts, and equal
     texts among them are one document. Only doc_id and text are used.
     """
 
