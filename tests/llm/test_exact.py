@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from forgelake.llm import decontamination, mixing, quality, simhash, suffix_dedup, token_counts, warc
 from forgelake.llm.common import scratch
 from forgelake.llm.components import components
+from forgelake.session import settings
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -419,3 +420,36 @@ def test_a_small_source_reaches_its_weight(spark):
     # 20 documents: the standard deviation of their copies together is 45
     assert rows["small"].n == pytest.approx(2000, abs=180) and 100 < rows["small"].most < 160
     assert rows["big"].n == pytest.approx(18_000, rel=0.03)
+
+
+def test_texts_that_share_an_id_lose_only_what_is_repeated(spark):
+    r = random.Random(5)
+    prose = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
+    a, b, c = prose(120), prose(300), prose(250)
+    rows = [(1, a), (2, a + "zz"), (2, b), (2, b), (2, c), (3, "q" + c), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed) for x in suffix_dedup.summary(docs).collect())
+    # one of the three texts of id 2 stands at that id, the others behind all ids
+    assert got[1, 120, 0] == 1 and got[2, 122, 120] == 1 and got[2, 300, 0] == 2 and got[None, 300, 300] + got[None, 300, 0] == 1
+    assert (got[2, 250, 0], got[3, 251, 250]) == (1, 1) or (got[2, 250, 250], got[3, 251, 0]) == (1, 1)
+    texts = Counter(x.text for x in suffix_dedup.without_repeats(docs).collect())
+    assert texts[a] == 1 and texts["zz"] == 1 and texts[b] >= 2 and "zz" in texts
+
+
+def test_rows_without_an_id_draw_each_for_itself_and_spread(spark):
+    rows = [(None, f"text {i % 500}", "a") for i in range(2000)] + [(i, "x" * 40, "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        out = mixing.mixed(docs).withColumn("part", F.spark_partition_id())
+        copies = out.filter("doc_id IS NULL").collect()
+    assert len({r.place for r in copies}) == len(copies) and len({r.part for r in copies}) > 1
+    per_text = Counter(r.text for r in copies)
+    # equal texts have not all been drawn alike: four rows of a mean about one
+    assert len(set(per_text.values())) > 3 and all(v <= 30 for v in per_text.values())
+
+
+def test_a_mean_above_eight_is_met(spark):
+    rows = [(i, "y" * 1000, "large") for i in range(2000)] + [(10_000 + i, "z" * 10, "small") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.source: r for r in mixing.mixed(docs).groupBy("source").agg(F.count("*").alias("n"), F.max("mean").alias("mean")).collect()}
+    assert got["small"].mean > 20 and abs(got["small"].n / 300 / got["small"].mean - 1) < 0.05
