@@ -39,6 +39,10 @@ LEAST_LETTERS_FOR_EDIT = 5
 WINDOW_WORDS = 8
 QUOTE_CHARACTERS = 120
 SLICE_BYTES = 1 << 20
+#: Of other texts, one in so many is counted first, for all terms. A term that is as common in other
+#: texts as in toxic ones stands in 20 times as many as LEAST_LOG_ODDS allows, and in this part of
+#: them still in more than twice as many.
+SCOUTS = 8
 #: Terms that are looked for in all texts are broadcast up to that many bytes, as counted beforehand.
 MAP_BYTES = 32 << 20
 #: The lexicon's automaton takes some 10 KB a term in every worker; a larger lexicon is refused.
@@ -267,10 +271,14 @@ def distinct_texts(rows: DataFrame, known: DataFrame) -> DataFrame:
     return stored(first, "texts")
 
 
-def terms_of(text: str) -> Column:
-    """The distinct words of a text and their stems, marked by an asterisk."""
-    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
-    terms = F.flatten(F.transform(words, lambda w: F.array(
+def words_of(text: str) -> Column:
+    """The distinct words of a text, between blanks."""
+    return F.array_join(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), " ")
+
+
+def terms_of(words: str) -> Column:
+    """Distinct words between blanks and their stems, marked by an asterisk."""
+    terms = F.flatten(F.transform(F.split(words, " "), lambda w: F.array(
         F.when(w != "", w), *[F.when(F.char_length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
     )))
     return F.array_distinct(F.array_compact(terms))
@@ -292,13 +300,14 @@ def marking(a: str, b: str, toxic: int, other: int, tried: int) -> Column:
     return (F.col(a) >= LEAST_TEXTS) & (sure >= LEAST_LOG_ODDS) & (chance >= math.log(max(tried, 1)))
 
 
-def term_counts(docs: DataFrame, known: DataFrame, sample: DataFrame) -> tuple[DataFrame, Column] | None:
+def term_counts(docs: DataFrame, known: DataFrame) -> tuple[DataFrame, Column] | None:
     """(term, a, b) of terms that may mark toxic texts, over all labelled rows, and which of them do.
 
-    Only toxic texts move as words, to count ``a``. Terms that are too common in the sample's other
-    texts are done with: more texts cannot make them mark. What is left is counted in all
-    other texts where they lie, and of a text only the numbers of such terms that it has move, to
-    meet its label. A fixed-size filter of ids keeps unlabelled texts from being looked at.
+    First the words of toxic texts and of one other text in SCOUTS meet their labels. That gives
+    ``a``, and a part of ``b`` by which nearly all terms are too common already: more texts cannot make
+    them mark. What is left is counted in all other texts where they lie, and of a text only the
+    numbers of such terms that it has move, to meet its label. A fixed-size filter of ids keeps
+    unlabelled texts from being looked at.
     """
     text = text_or_empty()
     rows = docs.filter(fold() != HELD_OUT).select(
@@ -310,45 +319,39 @@ def term_counts(docs: DataFrame, known: DataFrame, sample: DataFrame) -> tuple[D
     ).first()
     if not sizes.toxic or not sizes.other:
         return None
-
-    def labelled_as(label: int) -> DataFrame:
-        return texts.filter(F.col("toxic") == label).select("id", F.col("mark").alias("of"))
+    texts = texts.withColumnRenamed("mark", "of")
+    others = texts.filter(F.col("toxic") == 0)
 
     def own(rows: DataFrame, chosen: DataFrame) -> DataFrame:
         return rows.join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("mark") == F.col("of")))
 
-    toxic = may_hold(rows, id_filter(labelled_as(1), "id"), "doc_id")
-    toxic = own(toxic.select("doc_id", "mark", terms_of("text").alias("terms")), labelled_as(1))
+    scouts = texts.filter((F.col("toxic") == 1) | (F.pmod("of", F.lit(SCOUTS)) == 0))
+    first = may_hold(rows, id_filter(scouts, "id"), "doc_id").select("doc_id", "mark", words_of("text").alias("words"))
     # repeated rows of a text are one text
-    toxic = toxic.groupBy("mark").agg(F.first("terms").alias("terms")).select(F.explode("terms").alias("term"))
-    counted = stored(toxic.groupBy("term").agg(F.count("*").alias("a")), "toxic_terms")
-    tried = counted.count()
-    common = counted.filter(F.col("a") >= LEAST_TEXTS)
-
-    marks = sample.select(F.xxhash64("text").alias("mark"), "text").dropDuplicates(["mark"])
-    marks = marks.join(labelled_as(0), F.col("mark") == F.col("of"), "left_semi")
-    least = marks.select(F.explode(terms_of("text")).alias("term")).groupBy("term").agg(F.count("*").alias("least"))
-    rule = (sizes.toxic, sizes.other, tried)
-    left = common.join(least, "term", "left").withColumn("least", F.coalesce("least", F.lit(0)))
-    left = left.filter(marking("a", "least", *rule)).select("term", "a", F.xxhash64("term").alias("number"))
-    left = stored(left, "candidates")
+    first = own(first, scouts).groupBy("mark", "toxic").agg(F.first("words").alias("words"))
+    counted = first.select("toxic", F.explode(terms_of("words")).alias("term")).groupBy("term").agg(
+        F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("least")
+    )
+    counted = stored(counted.filter("a > 0"), "toxic_terms")
+    rule = (sizes.toxic, sizes.other, counted.count())
+    left = counted.filter(marking("a", "least", *rule))
+    left = stored(left.select("term", "a", F.xxhash64("term").alias("number")), "candidates")
     bulk = left.agg(F.sum(F.octet_length("term") + 100).alias("n")).first().n or 0
 
-    others = may_hold(rows, id_filter(labelled_as(0), "id"), "doc_id")
-    found = others.select("doc_id", "mark", F.explode(terms_of("text")).alias("found"))
+    found = may_hold(rows, id_filter(others, "id"), "doc_id").select("doc_id", "mark", words_of("text").alias("words"))
+    found = found.select("doc_id", "mark", F.explode(terms_of("words")).alias("found"))
     # a map of that many bytes at most; beyond it Spark joins the terms as it sees fit
     wanted = left.select("term", "number")
-    wanted = F.broadcast(wanted) if bulk <= MAP_BYTES else wanted
-    found = found.join(wanted, F.col("found") == F.col("term")).select("doc_id", "mark", "number")
-    found = own(found, labelled_as(0)).select("mark", "number").distinct()
+    found = found.join(F.broadcast(wanted) if bulk <= MAP_BYTES else wanted, F.col("found") == F.col("term"))
+    found = own(found.select("doc_id", "mark", "number"), others).select("mark", "number").distinct()
     b = found.groupBy(F.col("number").alias("n_b")).agg(F.count("*").alias("b"))
     counts = left.join(b, F.col("number") == F.col("n_b"), "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
     return stored(counts, "terms"), marking("a", "b", *rule)
 
 
-def lexicon(docs: DataFrame, known: DataFrame, sample: DataFrame) -> tuple[list[str], list[str]]:
+def lexicon(docs: DataFrame, known: DataFrame) -> tuple[list[str], list[str]]:
     """Words and stems that mark toxic texts, counted over all labelled rows."""
-    counted = term_counts(docs, known, sample)
+    counted = term_counts(docs, known)
     if counted is None:
         return [], []
     counts, marks = counted
@@ -394,7 +397,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     """
     known = labelled(labels)
     sample, share = sampled(docs, known, sample_rows)
-    words, stems = lexicon(docs, known, sample)
+    words, stems = lexicon(docs, known)
     automaton = compiled(words, stems)
     columns = ", ".join(f"{f} double" for f in FEATURES)
 

@@ -172,8 +172,7 @@ def test_copies_of_a_text_count_once(spark):
     copies = [["quiet", "evening"] for _ in range(60)]
     docs, labels = marked_documents(spark, 800, [["idiot"]] * 200 + copies)
     same = docs.withColumn("text", F.when(F.col("doc_id") < 1000, F.col("text")).otherwise("a quiet evening at home"))
-    known = toxicity.labelled(labels)
-    assert toxicity.lexicon(same, known, toxicity.sampled(same, known, 100)[0])[0] == ["idiot"]
+    assert toxicity.lexicon(same, toxicity.labelled(labels))[0] == ["idiot"]
 
 
 def plain_counts(rows, labels):
@@ -194,15 +193,16 @@ def plain_counts(rows, labels):
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
-@pytest.mark.parametrize("sample_rows", [5, 3000])
-def test_counts_of_terms_equal_plain_code(spark, medium, monkeypatch, broadcast, sample_rows):
+@pytest.mark.parametrize("scouts", [1, 8, 1000])
+def test_counts_of_terms_equal_plain_code(spark, medium, monkeypatch, broadcast, scouts):
     monkeypatch.setattr(toxicity, "MAP_BYTES", 1 << 25 if broadcast else -1)
+    monkeypatch.setattr(toxicity, "SCOUTS", scouts)
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet").select("doc_id", "toxic")
     # every third row twice, and some labels twice
     docs = medium.select("doc_id", "text").union(medium.filter("doc_id % 3 = 0").select("doc_id", "text"))
     labels = labels.union(labels.filter("doc_id % 5 = 0"))
     known = toxicity.labelled(labels)
-    counts, marks = toxicity.term_counts(docs, known, toxicity.sampled(docs, known, sample_rows)[0])
+    counts, marks = toxicity.term_counts(docs, known)
     want, size = plain_counts([tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()])
     got = {r.term: (r.a, r.b) for r in counts.collect()}
     assert all(want[t] == n for t, n in got.items())
@@ -221,10 +221,9 @@ def test_rows_given_twice_change_no_score(spark):
     docs, labels = marked_documents(spark, 300, [["scum", "idiot"] if i % 2 else ["idiot"] for i in range(150)])
     once = {r.doc_id: r.score for r in toxicity.scored(docs, labels).collect()}
     known = toxicity.labelled(labels)
-    sample = toxicity.sampled(docs, known, 100)[0]
     twice = docs.union(docs)
-    assert toxicity.lexicon(twice, known, sample) == toxicity.lexicon(docs, known, sample)
-    assert toxicity.lexicon(docs, known, sample)[0] == ["idiot", "scum"]
+    assert toxicity.lexicon(twice, known) == toxicity.lexicon(docs, known)
+    assert toxicity.lexicon(docs, known)[0] == ["idiot", "scum"]
     again = {r.doc_id: r.score for r in toxicity.scored(twice, labels.union(labels)).collect()}
     assert all((again[i] >= 0.3) == (s >= 0.3) for i, s in once.items())
 
