@@ -10,9 +10,10 @@ doubled, so a file with n records takes log n rounds over arrays.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from forgelake.llm.common import scratch, stored, table
 
 #: Records per archive, so that one fits well into a task's memory.
 RECORDS_PER_FILE = 4000
+#: A gzipped archive is unpacked in pieces of that size.
+UNZIP_BYTES = 1 << 22
 #: Payloads below this size are never revisits.
 LEAST_REVISIT_BYTES = 0
 
@@ -157,12 +160,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unzipped(data: bytes) -> bytes:
-    """All members of a gzip file."""
+    """All members of a gzip file, of which there may be one per record; a cut one as far as it goes."""
     out = []
-    while data:
-        one = zlib.decompressobj(wbits=31)
-        out.append(one.decompress(data))
-        data = one.unused_data
+    with gzip.GzipFile(fileobj=io.BytesIO(data)) as members:
+        try:
+            while piece := members.read1(UNZIP_BYTES):
+                out.append(piece)
+        except EOFError:
+            pass  # the chain of records will not reach the end
     return b"".join(out)
 
 
