@@ -58,6 +58,19 @@ class ChunkCounter:
         known.update((c, n) for c, n in zip(new, sizes) if len(c) <= LONGEST_KNOWN)
         return got
 
+    def beginning(self, chunk: str, budget: int) -> str:
+        """The longest beginning of a chunk that ends where one of its tokens does and keeps the budget.
+
+        A beginning may take other tokens than the chunk begins with, so it is counted itself.
+        """
+        if budget <= 0:
+            return ""
+        ends = [end for _, end in self.tokenizer.encode(chunk, add_special_tokens=False).offsets]
+        for end in reversed(ends[:budget]):
+            if len(self.tokenizer.encode(chunk[:end], add_special_tokens=False)) <= budget:
+                return chunk[:end]
+        return ""
+
 
 def counter(path: str) -> ChunkCounter:
     if path not in _COUNTERS:
@@ -68,8 +81,8 @@ def counter(path: str) -> ChunkCounter:
 class PrefixTable:
     """Token counts at all prefixes of a text that end where a chunk ends."""
 
-    def __init__(self, chunks: list[str], counts: dict[str, int]):
-        self.chunks = chunks
+    def __init__(self, chunks: list[str], counts: dict[str, int], counter: ChunkCounter):
+        self.chunks, self.counter = chunks, counter
         self.sums = np.cumsum(np.fromiter(map(counts.__getitem__, chunks), np.int64, len(chunks)))
 
     @property
@@ -86,8 +99,14 @@ class PrefixTable:
         return (int(self.sums[last - 1]) if last else 0) - before
 
     def fitting_bytes(self, budget: int) -> int:
-        """UTF-8 bytes of that prefix, its inner white space included."""
-        return len(" ".join(self.chunks[: self.fitting(budget)]).encode())
+        """UTF-8 bytes of that prefix and of what still fits of the chunk behind it."""
+        whole = self.fitting(budget)
+        text = " ".join(self.chunks[:whole])
+        if whole < len(self.chunks):
+            begun = self.counter.beginning(self.chunks[whole], budget - (int(self.sums[whole - 1]) if whole else 0))
+            if begun:
+                text = f"{text} {begun}" if whole else begun
+        return len(text.encode())
 
 
 def chunks_of(text: str) -> list[str]:
@@ -97,8 +116,9 @@ def chunks_of(text: str) -> list[str]:
 
 def prefix_tables(texts: list[str], path: str) -> list[PrefixTable]:
     split = [chunks_of(t) for t in texts]
-    counts = counter(path).learn({c for chunks in split for c in chunks})
-    return [PrefixTable(chunks, counts) for chunks in split]
+    known = counter(path)
+    counts = known.learn({c for chunks in split for c in chunks})
+    return [PrefixTable(chunks, counts, known) for chunks in split]
 
 
 class PieceTable:
@@ -163,7 +183,8 @@ class PieceTable:
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """Per row: doc_id, n_bytes, n_tokens, over_limit, fit_bytes.
 
-    ``fit_bytes`` is the length of the longest prefix of whole chunks within the limit. A NULL
+    ``fit_bytes`` is the length of a prefix within the limit: as many whole chunks as fit, and of the
+    next what fits up to the end of a token. A NULL
     or empty text has no bytes and no tokens. Repeated rows each get their own result, a NULL
     doc_id stays, further columns are ignored. No row depends on another: there is no shuffle.
     """
