@@ -141,6 +141,24 @@ def overlap(text: str, family: str) -> float:
     return max(len(want & have) / len(want) for want in TEMPLATE_PAIRS[family])
 
 
+def confirmed(text: str, likely: dict[str, float]) -> dict[str, float]:
+    """Of the families that a paragraph may name, those that its words bear out.
+
+    The likeliest needs a good share of one of its templates. A further one needs this too and, of a
+    template, all that sets it apart from the templates of those before: notices have much in common.
+    """
+    have, found, before = pairs_of(text), {}, set()
+    for n, (family, p) in enumerate(sorted(likely.items(), key=lambda x: (-x[1], x[0]))):
+        good = [want for want in TEMPLATE_PAIRS[family] if len(want & have) >= LEAST_OVERLAP * len(want)]
+        if n:
+            good = [want for want in good if want - before and want - before <= have]
+        if good:
+            found[family] = p
+        if good or not n:
+            before = before.union(*TEMPLATE_PAIRS[family])
+    return found
+
+
 def named(text: str) -> bool:
     return any(overlap(text, family) >= LEAST_OVERLAP for family in FAMILIES)
 
@@ -161,7 +179,8 @@ def scanned(docs: DataFrame, sample_paragraphs: int = SAMPLE_PARAGRAPHS) -> Data
     """doc_id, n_paragraphs, n_license, licenses, score per row.
 
     ``n_license`` counts the paragraphs with a confirmed family, ``licenses`` joins the families
-    by commas in ascending order, ``score`` is the best probability, 0 without any. NULL and
+    by commas in ascending order, ``score`` is the best probability against the unknown class, 0
+    without any. A paragraph may name several families. NULL and
     empty texts have no paragraphs. Repeated rows each get their result; only doc_id and text
     are used. An empty table is scanned by a classifier trained without a corpus.
     """
@@ -185,13 +204,14 @@ def scanned(docs: DataFrame, sample_paragraphs: int = SAMPLE_PARAGRAPHS) -> Data
             paragraphs, begin = np.unique(of, return_index=True)
             doc = np.searchsorted(offsets, bounds[paragraphs], "right") - 1
             n_paragraphs = np.bincount(doc, minlength=n)
-            for k, family, p in predicted(hashes, of, np.r_[begin, len(of)]):
+            for k, likely in predicted(hashes, of, np.r_[begin, len(of)]):
                 a, b = begin[k], (np.r_[begin, len(of)])[k + 1]
                 text = data[starts[a] : ends[b - 1]].tobytes().decode("utf-8", "replace")
-                if overlap(text, family) >= LEAST_OVERLAP:
-                    best = found[doc[k]]
+                families = confirmed(text, likely)
+                n_license[doc[k]] += bool(families)
+                best = found[doc[k]]
+                for family, p in families.items():
                     best[family] = max(best.get(family, 0.0), p)
-                    n_license[doc[k]] += 1
         return pa.RecordBatch.from_arrays(
             [
                 ids, pa.array(n_paragraphs.astype(np.int64)), pa.array(n_license),
@@ -201,8 +221,12 @@ def scanned(docs: DataFrame, sample_paragraphs: int = SAMPLE_PARAGRAPHS) -> Data
             names=["doc_id", "n_paragraphs", "n_license", "licenses", "score"],
         )
 
-    def predicted(hashes: np.ndarray, of: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, str, float]]:
-        """Paragraph, family and probability of the likeliest stretch."""
+    def predicted(hashes: np.ndarray, of: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, dict[str, float]]]:
+        """Paragraphs with the families that are likelier than none in one of their stretches.
+
+        Each family is held against the unknown class alone: a notice that names two would else
+        leave neither with half of the probability.
+        """
         one, two, inside = grams(hashes, of)
         part = weights[one].astype(np.float64)
         pair = weights[two]
@@ -214,15 +238,12 @@ def scanned(docs: DataFrame, sample_paragraphs: int = SAMPLE_PARAGRAPHS) -> Data
         first = begin[owner] + STRIDE_WORDS * (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         last = np.minimum(first + STRETCH_WORDS, begin[owner + 1])
         p = softmax(((sums[last] - sums[first]) / np.sqrt(last - first)[:, None] + bias) / t)
-        best = p[:, :-1].argmax(1)
-        score = p[np.arange(len(p)), best]
-        likely = np.flatnonzero(score >= LEAST_SCORE)
-        done: dict[tuple[int, int], float] = {}
-        for i in likely:
-            key = (int(owner[i]), int(best[i]))
-            done[key] = max(done.get(key, 0.0), float(score[i]))
-        for (k, family), p in sorted(done.items()):
-            yield k, FAMILIES[family], p
+        score = p[:, :-1] / (p[:, :-1] + p[:, -1:])
+        done: dict[int, dict[str, float]] = {}
+        for i, family in zip(*np.nonzero(score >= LEAST_SCORE)):
+            likely = done.setdefault(int(owner[i]), {})
+            likely[FAMILIES[family]] = max(likely.get(FAMILIES[family], 0.0), float(score[i, family]))
+        yield from sorted(done.items())
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().cast("binary").alias("text"))
     return rows.mapInArrow(scan, "doc_id long, n_paragraphs long, n_license long, licenses string, score double")
