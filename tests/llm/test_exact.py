@@ -453,3 +453,26 @@ def test_a_mean_above_eight_is_met(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.source: r for r in mixing.mixed(docs).groupBy("source").agg(F.count("*").alias("n"), F.max("mean").alias("mean")).collect()}
     assert got["small"].mean > 20 and abs(got["small"].n / 300 / got["small"].mean - 1) < 0.05
+
+
+def test_an_archive_of_many_members_is_unpacked_in_one_go():
+    import gzip
+    import time
+
+    member = gzip.compress(b"x" * 20_000 + NASTY.encode(), 1)
+    start = time.time()
+    data = warc.unzipped(member * 20_000)
+    # the work grew with the square of the members: some minutes
+    assert len(data) == 20_000 * (20_000 + len(NASTY.encode())) and time.time() - start < 30
+    assert warc.unzipped(member + member[:40])[: len(NASTY)] == b"x" * len(NASTY)
+
+
+def test_a_budget_cuts_inside_a_long_chunk(spark, tokenizer):
+    long = "".join(f"word{i}," for i in range(6000))
+    rows = [(1, long), (2, f"some words before {long}"), (3, "é\U0001f600" * 4000), (4, "x" * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    size = lambda t: len(tokenizer.encode(t, add_special_tokens=False))
+    for r in token_counts.token_counts(docs, PATH, limit=2048).collect():
+        text = dict(rows)[r.doc_id]
+        fit = text.encode()[: r.fit_bytes].decode()
+        assert text.startswith(fit) and 2040 <= size(fit) <= 2048 and r.over_limit

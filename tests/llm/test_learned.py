@@ -286,3 +286,24 @@ def test_every_family_is_found_in_other_words(spark, medium):
     right = [got[i] == want[i] for i in want]
     assert np.mean(right) > 0.9
     assert all(got[i] == "" for i in want if i >= 1000)
+
+
+#: Notices of two families, and notices that have words of another family in common.
+NOTICES = {
+    "Licensed under either of the Apache License, Version 2.0 or the MIT license at your option.": "Apache,MIT",
+    "Dual licensed under the MIT license and the GNU General Public License, version 3.": "GPL,MIT",
+    "It is available under the Apache License, Version 2.0 and also under the MIT license.": "Apache,MIT",
+    "You may use it as licensed under the MIT license or licensed under the BSD 3-Clause License.": "BSD,MIT",
+    "under the terms of the GNU Lesser General Public License": "LGPL",
+    "GNU Affero General Public License as published by the Free Software Foundation": "AGPL",
+    "Licensed under CC BY-SA 4.0": "CC-BY-SA",
+    "Licensed under the Apache License, Version 2.0.": "Apache",
+}
+
+
+def test_notices_that_name_two_licences(spark, medium):
+    rows = list(enumerate(f"The parts were written by many. {t}" for t in NOTICES))
+    both = spark.createDataFrame(rows, "doc_id long, text string").union(medium.select(F.col("doc_id") + 10_000, "text"))
+    got = {r.doc_id: r for r in license_scan.scanned(both).collect()}
+    assert {t: got[i].licenses for i, t in enumerate(NOTICES)} == NOTICES
+    assert all(got[i].n_license == 1 for i, _ in rows)
