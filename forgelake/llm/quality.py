@@ -83,9 +83,8 @@ def tail(array: Column) -> Column:
     return F.slice(array, 2, F.greatest(F.size(array), F.lit(1)))
 
 
-def repeated(hashes: Column) -> Column:
-    """The values that the array has at least twice, found as equal neighbours once sorted."""
-    order = F.array_sort(hashes)
+def repeated(order: Column) -> Column:
+    """The values that a sorted array has at least twice, found as equal neighbours."""
     twice = F.zip_with(order, tail(order), lambda a, b: F.when(a == b, a))
     return F.array_distinct(F.array_compact(twice))
 
@@ -125,7 +124,9 @@ def measured(docs: DataFrame, column: str = "text") -> DataFrame:
     rows = rows.withColumn("q_lines", lines)
     # one step at a time: an expression that is used twice would be evaluated twice
     rows = rows.withColumn("q_hashes", window_hashes(F.col("q_words")))
-    rows = rows.withColumn("q_repeats", repeated(F.col("q_hashes")))
+    # not array_sort, which compares through an expression; hashes are never NULL
+    rows = rows.withColumn("q_order", F.sort_array("q_hashes"))
+    rows = rows.withColumn("q_repeats", repeated(F.col("q_order")))
     rows = rows.withColumn("q_places", repeat_places(F.col("q_hashes"), F.col("q_repeats")))
     text, words = F.col("q_text"), F.col("q_words")
     return rows.select(

@@ -244,6 +244,11 @@ def test_base_counts(spark, documents, odd, monkeypatch, few):
         assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
 
 
+def test_hashes_are_sorted_as_numbers_not_through_an_expression(spark):
+    plan = quality.measured(spark.createDataFrame([("a b c",)], "text string"))._jdf.queryExecution().toString()
+    assert "sort_array(q_hashes" in plan
+
+
 def test_distances_follow_numpy(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=(900, len(quality.NAMES))) * 0.3 + 1
