@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from forgelake.operators.facts import fact
 from forgelake.plans.marts import MART_TYPES, STORED, renew
 from forgelake.plans.silver import renew_silver, write_quarantine
 from forgelake.schemas import FACTS
-from forgelake.session import prepare, room_for
+from forgelake.session import prepare, room_for, together
 from forgelake.sources.bronze import land_dumps, quarantine, read_bronze
 from forgelake.sources.gold import gold_in, read_gold
 from forgelake.sources.lake import bytes_of, day_slices, read_silver
@@ -131,20 +132,27 @@ def write_gold(silver: DataFrame, path: str, first: date, last: date, also: Sequ
     spark, run = silver.sparkSession, Run(silver.sparkSession, path)
     slices = list(dict.fromkeys([*day_slices(first, last), *[f"event_date={d}" for d in also]]))
     first = min([first, *also])
-    for name in FACTS:
+
+    def put_fact(name: str) -> None:
         # Silver files are of a good size and a fact is a filter of them: no shuffle.
         run.put(
             name, fact(silver, name, "event_date"), ("event_date", "date_id"), slices, sort_by=FACT_ORDER, balance=False, **FACT_OPTIONS
         )
-    for name, build in STATES.items():
-        run.put(name, build(silver, "event_date"), ("event_date",), slices)
+
+    def put_state(name: str) -> None:
+        run.put(name, STATES[name](silver, "event_date"), ("event_date",), slices)
         keep_merged(run, name, first)
+
+    together(spark, *[partial(put_fact, name) for name in FACTS], *[partial(put_state, name) for name in STATES])
     state = {name: read_state(run, name) for name in STATES}
     with room_for(spark, bytes_of(*state.values())):
-        run.put("dim_date", dims.dim_date(state["state_day"]))
-        run.put("dim_actor", dims.dim_actor(state["state_actor"]))
-        run.put("dim_repo", dims.dim_repo(state["state_repo"]))
-        run.put("dim_org", dims.dim_org(state["state_org"]))
+        together(
+            spark,
+            lambda: run.put("dim_date", dims.dim_date(state["state_day"])),
+            lambda: run.put("dim_actor", dims.dim_actor(state["state_actor"])),
+            lambda: run.put("dim_repo", dims.dim_repo(state["state_repo"])),
+            lambda: run.put("dim_org", dims.dim_org(state["state_org"])),
+        )
     return gold_in(run.publish())
 
 
@@ -177,8 +185,7 @@ def run_marts(
     days = gold_in(run, first, last, with_slice=True)
     slices = None if first is None else day_slices(first, last)
     with room_for(spark, bytes_of(*[days[name] for name in FACTS])):
-        for name in STORED:
-            renew(run, name, days, slices)
+        together(run.spark, *[partial(renew, run, name, days, slices) for name in STORED])
     run.publish()
     return read_marts(spark, base)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SHUFFLE_BYTES = 64 * 1024 * 1024
@@ -68,6 +70,21 @@ def room_for(spark: SparkSession, input_bytes: int):
     return settings(spark, {initial: str(wanted)} if wanted > int(given) else {})
 
 
+def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Independent steps side by side, so that the last tasks of one do not leave the cores to wait.
+
+    All are waited for; then the first error, if any, is raised.
+    """
+    if len(steps) < 2:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for one in running:
+        one.result()
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 

@@ -1,4 +1,5 @@
 import random
+import threading
 from datetime import date
 
 import pytest
@@ -6,8 +7,11 @@ from pyspark.sql import functions as F
 
 from forgelake.functions.calendar import calendar_columns, date_id
 from forgelake.operators import dimensions as D
+from forgelake.plans import jobs
 from forgelake.plans.gold import register_views, transform_to_gold
 from forgelake.schemas import DIMENSIONS, FACTS
+from forgelake.session import together
+from forgelake.sources.snapshot import Run
 
 
 def test_calendar_edges(spark):
@@ -112,3 +116,24 @@ def test_views_answer_sql_with_parameters(rows):
               WHERE a.actor_login = :who AND d.date_actual >= :since GROUP BY a.actor_login"""
     found = spark.sql(text, args={"who": "bob", "since": date(2023, 12, 1)}).collect()
     assert [tuple(r) for r in found] == [("bob", 3)]
+
+
+def test_tables_of_a_run_are_written_side_by_side(rows, tmp_path, monkeypatch):
+    meeting, put = threading.Barrier(len(FACTS) + len(jobs.STATES)), Run.put
+
+    def meet(self, table, *args, **options):
+        if table in FACTS or table in jobs.STATES:
+            meeting.wait(60)
+        return put(self, table, *args, **options)
+
+    monkeypatch.setattr(Run, "put", meet)
+    day = date(2024, 1, 1)
+    gold = jobs.write_gold(rows({"event_type": "PushEvent"}, {"event_type": "WatchEvent"}), str(tmp_path), day, day)
+    assert gold["fact_dev_activity"].count() == gold["fact_community"].count() == gold["dim_repo"].count() == 1
+
+
+def test_all_steps_are_waited_for_and_an_error_is_raised(spark):
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: 1 / 0, lambda: done.append(spark.range(3).count()))
+    assert done == [3]
