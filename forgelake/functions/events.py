@@ -13,6 +13,11 @@ from forgelake.schemas import COMMON_PATHS, TYPE_PATHS
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 
 
+# Fixed value: how nearly all events write it. A cast reads such a text as the pattern above does, at
+# a fraction of the cost, and its instant lies in the years 1 to 9999.
+PLAIN_INSTANT = r"^(?!0000)\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
+# Fixed value: how any text begins that ISO_INSTANT reads.
+MAY_BE_INSTANT = r"^[+-]?\d{4,}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}"
 # The first and the last microsecond of the years 1 to 9999, from the epoch.
 FIRST_INSTANT, LAST_INSTANT = -62_135_596_800_000_000, 253_402_300_799_999_999
 
@@ -22,7 +27,9 @@ def instant_of(column: str) -> Column:
 
     A cast would also read "12:30:00" as a time of the day of the run, and "2024" as a day.
     """
-    return F.try_to_timestamp(F.col(column), F.lit(ISO_INSTANT))
+    text = F.col(column)
+    # the pattern fails by an exception, which costs more than all else that is done to a line
+    return F.when(F.rlike(text, F.lit(MAY_BE_INSTANT)), F.try_to_timestamp(text, F.lit(ISO_INSTANT)))
 
 
 def event_time() -> Column:
@@ -30,8 +37,9 @@ def event_time() -> Column:
 
     Other years have no eight-digit date_id, and without them the number of days is bounded.
     """
-    instant = instant_of("created_at")
-    return F.when(F.unix_micros(instant).between(FIRST_INSTANT, LAST_INSTANT), instant)
+    text, instant = F.col("created_at"), instant_of("created_at")
+    bounded = F.when(F.unix_micros(instant).between(FIRST_INSTANT, LAST_INSTANT), instant)
+    return F.when(F.rlike(text, F.lit(PLAIN_INSTANT)), text.try_cast("timestamp")).otherwise(bounded)
 
 
 def common_columns() -> list[Column]:

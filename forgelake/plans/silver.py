@@ -26,7 +26,7 @@ from forgelake.functions.events import common_columns, sparse_columns
 from forgelake.operators.repeats import IDS, ID_TYPES, elsewhere, put_ids, sightings, verdicts, without_repeats
 from forgelake.operators.silver import flatten, is_core
 from forgelake.schemas import SILVER_TYPES
-from forgelake.session import prepare, room_for
+from forgelake.session import prepare, room_for, together
 from forgelake.sources.bronze import bad_line, read_bronze, read_bronze_dated
 from forgelake.sources.lake import (
     bytes_of,
@@ -112,13 +112,19 @@ def renew_silver(
         try:
             numbered(staged(events, bad_lines)).write.parquet(f"{stage}/rows")
             rows = spark.read.parquet(f"{stage}/rows")
-            if bad_lines:
+            core, changed = rows.filter("core").drop("core", "bad"), []
+
+            def fill_silver() -> None:
+                if dedupe:
+                    changed.extend(_without_repeats(spark, base, core, days, read, stage, seen))
+                else:
+                    write_silver(core, f"{base}/silver", slices, seen)
+
+            def set_aside() -> None:
                 write_quarantine(rows.filter("bad IS NOT NULL").select("bad.*", "event_date"), base, slices)
-            rows = rows.filter("core").drop("core", "bad")
-            if not dedupe:
-                write_silver(rows, f"{base}/silver", slices, seen)
-                return Renewed(seen.get["rows"], [])
-            return _without_repeats(spark, base, rows, days, read, stage, seen)
+
+            together(spark, fill_silver, *[set_aside] * bad_lines)
+            return Renewed(seen.get["rows"], changed)
         finally:
             files, folder = hadoop_path(spark, stage)
             files.delete(folder, True)
@@ -155,7 +161,8 @@ def _again(spark: SparkSession, base: str, days: list[date], read, dated: bool)
     return numbered(rows).withColumn("number", F.col("number") + F.lit(1 << 61))
 
 
-def _without_repeats(spark, base, rows, days, read, stage, seen) -> Renewed:
+def _without_repeats(spark, base, rows, days, read, stage, seen) -> list[date]:
+    """Store the rows, and those of later slices that change with them, without repeats; the days of these slices."""
     index = Run(spark, f"{base}/silver_ids")
     own_days = list(days)
 
@@ -176,8 +183,7 @@ def _without_repeats(spark, base, rows, days, read, stage, seen) -> Renewed:
     verdicts(rows, ids, known.select("event_id", "other")).write.parquet(f"{stage}/decided")
     decided = spark.read.parquet(f"{stage}/decided")
     kept = rows if decided.isEmpty() else without_repeats(rows, decided)
-    write_silver(kept, f"{base}/silver", pieces, seen)
+    together(spark, lambda: write_silver(kept, f"{base}/silver", pieces, seen), lambda: put_ids(index, ids, pieces))
     # behind silver: a run that breaks off before it finds the same to do again
-    put_ids(index, ids, pieces)
     index.publish()
-    return Renewed(seen.get["rows"], changed)
+    return changed

@@ -1,7 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from forgelake.functions import events
 from forgelake.operators import silver as S
 from forgelake.schemas import COMMON_PATHS, SILVER_TYPES, TYPE_PATHS
 from forgelake.sources.bronze import quarantine, read_events
@@ -144,3 +146,19 @@ def test_quarantine_lists_every_bad_line(bronze):
 def test_repeated_events_can_be_dropped(rows):
     silver = rows({"event_id": "1"}, {"event_id": "1"}, {"event_id": "2"})
     assert sorted(r["event_id"] for r in S.drop_repeats(silver).collect()) == ["1", "2"]
+
+
+def test_plain_times_read_as_the_pattern_reads_them_and_others_still_do(spark):
+    texts = ["2024-02-29T05:06:07Z", "2023-02-29T05:06:07Z", "2024-01-01T24:00:00Z", "0000-01-01T00:00:00Z", "0001-01-01T00:00:00Z",
+             "9999-12-31T23:59:59Z", "2024-01-01T05:06:07.123Z", "2024-01-01T05:06:07.123456+02:00", "2024-01-01t05:06:07z",
+             "2024-01-01T05:06:07Z\n", " 2024-01-01T05:06:07Z", "+12024-01-01T05:06:07Z", "0001-01-01T00:00:00+05:00", "soon", "", "2024", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "created_at string")
+    pattern = F.try_to_timestamp("created_at", F.lit(events.ISO_INSTANT))
+    bounded = F.when(F.unix_micros(pattern).between(events.FIRST_INSTANT, events.LAST_INSTANT), pattern)
+    found = rows.select(events.event_time().eqNullSafe(bounded) & events.instant_of("created_at").eqNullSafe(pattern))
+    assert all(r[0] for r in found.collect())
+
+
+def test_a_plain_time_is_read_without_the_pattern(spark):
+    plain = F.rlike("created_at", F.lit(events.PLAIN_INSTANT))
+    assert spark.createDataFrame([("2024-01-01T05:06:07Z",)], "created_at string").select(plain).first()[0]
