@@ -32,7 +32,7 @@ from forgelake.plans.gold import transform_to_gold
 from forgelake.plans.marts import MART_TYPES, STORED
 from forgelake.plans.silver import numbered
 from forgelake.schemas import BRONZE_DDL, SILVER_TYPES
-from forgelake.session import prepare
+from forgelake.session import prepare, together
 from forgelake.sources.lake import hadoop_path
 from forgelake.sources.snapshot import Run, snapshot
 
@@ -105,16 +105,26 @@ def _append_batch(root: str, dedupe: bool, with_marts: bool):
             # the JSON is parsed here and nowhere else
             numbered(batch).write.parquet(f"{stage}/rows")
             rows = spark.read.parquet(f"{stage}/rows")
+            suffix = f"/{run.version}"
+
+            def put_rows(rows: DataFrame) -> None:
+                run.put(SILVER, rows.select(*SILVER_TYPES), ("event_date",), (), sort_by=("event_type",), suffix=suffix)
+
             if dedupe:
                 sightings(rows).write.parquet(f"{stage}/ids")
-                ids = spark.read.parquet(f"{stage}/ids")
-                known = elsewhere(run, ids.select(*ID_TYPES), run.parts.get(IDS, {}), f"{stage}/known", own_day=True)
-                # what is stored goes before what arrives, whatever its day
-                known = known.select("event_id", F.lit("0001-01-01").cast("date").alias("other"))
-                verdicts(rows, ids, known).write.parquet(f"{stage}/decided")
-                rows = without_repeats(rows, spark.read.parquet(f"{stage}/decided"))
-                put_ids(run, ids, (), f"/{run.version}")
-            run.put(SILVER, rows.select(*SILVER_TYPES), ("event_date",), (), sort_by=("event_type",), suffix=f"/{run.version}")
+                ids, stored = spark.read.parquet(f"{stage}/ids"), list(run.parts.get(IDS, {}))
+
+                def put_decided() -> None:
+                    known = elsewhere(run, ids.select(*ID_TYPES), stored, f"{stage}/known", own_day=True)
+                    # what is stored goes before what arrives, whatever its day
+                    known = known.select("event_id", F.lit("0001-01-01").cast("date").alias("other"))
+                    verdicts(rows, ids, known).write.parquet(f"{stage}/decided")
+                    put_rows(without_repeats(rows, spark.read.parquet(f"{stage}/decided")))
+
+                # the index of the batch hangs on no decision, and these look only in what was stored before
+                together(spark, put_decided, lambda: put_ids(run, ids, (), suffix))
+            else:
+                put_rows(rows)
             if with_marts:
                 add_to_marts(run, run.read(SILVER, SILVER_TYPES, run.latest(SILVER)))
             merge_pieces(run)

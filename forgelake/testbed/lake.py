@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,23 @@ def bronze_lake(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+def awaited_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze with an hour of every day fetched twice, none of it arrived: it lies in ``base/awaited``."""
+    base = shared_folder(spark, "lake")
+    write_bronze(refetched_lines(spark, sf_dir), f"{base}/awaited")
+    return base
+
+
+def arrive(spark: SparkSession, base: str, days: Iterable[date]) -> None:
+    """Move the files of some days from ``base/awaited`` to ``base/bronze``; a day may have none."""
+    files, bronze = hadoop_path(spark, f"{base}/bronze")
+    files.mkdirs(bronze)
+    awaited = folders_in(spark, f"{base}/awaited")
+    for piece in [f"event_date={day}" for day in days]:
+        if piece in awaited and not files.rename(hadoop_path(spark, awaited[piece])[1], hadoop_path(spark, f"{base}/bronze/{piece}")[1]):
+            raise RuntimeError(f"{piece} can't be moved to {base}/bronze")
+
+
 def landing_lake(spark: SparkSession, sf_dir: str) -> str:
     """Gzipped hourly dumps under their usual names in ``base/landing``."""
     base = shared_folder(spark, "lake")
@@ -126,8 +144,10 @@ def spoiled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refetched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines, and once more those of every day's hour 5, as if it was fetched twice."""
-    lines = raw_lines(spark, sf_dir)
-    return lines.unionAll(lines.filter(F.col("event_hour") == 5))
+    once, twice = F.array(F.lit(1)), F.array(F.lit(1), F.lit(2))
+    # one pass over the events, which makes the text of a line once
+    fetched = F.explode(F.when(F.col("event_hour") == 5, twice).otherwise(once)).alias("fetched")
+    return raw_lines(spark, sf_dir).select("*", fetched).drop("fetched")
 
 
 def refetched_far_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

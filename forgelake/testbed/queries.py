@@ -18,7 +18,7 @@ from forgelake.schemas import COMMON_PATHS, FACTS, SILVER_TYPES, TYPE_PATHS, ddl
 from forgelake.session import prepare, shared_folder
 from forgelake.sources import bronze as B
 from forgelake.sources.gold import read_gold
-from forgelake.sources.lake import read_silver, read_silver_dated
+from forgelake.sources.lake import days_between, read_silver, read_silver_dated
 from forgelake.sources.tables import read_table, write_table
 from forgelake.streaming.ingest import read_streamed_marts, read_streamed_silver, stream_to_silver
 from forgelake.tables import Gold
@@ -262,11 +262,10 @@ def stream_silver_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weeks that arrive newest first, the last one with files that look a month old."""
-    base = shared_folder(spark, "lake")
-    lines, (first, last) = lake.refetched_lines(spark, sf_dir), lake.span(spark, sf_dir)
-    for end in reversed(range(0, (last - first).days + 1, 7)):
-        week = F.datediff("event_date", F.lit(first)).between(end, end + 6)
-        lake.write_bronze(lines.filter(week), f"{base}/bronze")
+    base, (first, last) = lake.awaited_lake(spark, sf_dir), lake.span(spark, sf_dir)
+    days = days_between(first, last)
+    for end in reversed(range(0, len(days), 7)):
+        lake.arrive(spark, base, days[end : end + 7])
         if end == 0:
             lake.age_files(spark, f"{base}/bronze", first, days=30)
         jobs.run_stream(spark, base)
@@ -291,10 +290,10 @@ def stream_silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_repo_daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily mart as batches add to it, with weeks that arrive newest first and repeats."""
-    base = shared_folder(spark, "lake")
-    lines, (first, last) = lake.refetched_lines(spark, sf_dir), lake.span(spark, sf_dir)
-    for end in reversed(range(0, (last - first).days + 1, 10)):
-        lake.write_bronze(lines.filter(F.datediff("event_date", F.lit(first)).between(end, end + 9)), f"{base}/bronze")
+    base, (first, last) = lake.awaited_lake(spark, sf_dir), lake.span(spark, sf_dir)
+    days = days_between(first, last)
+    for end in reversed(range(0, len(days), 10)):
+        lake.arrive(spark, base, days[end : end + 10])
         jobs.run_stream(spark, base, with_marts=True)
     lake.forget_last_commit(spark, f"{base}/streamed-progress")
     jobs.run_stream(spark, base, with_marts=True)
