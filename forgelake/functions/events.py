@@ -25,11 +25,13 @@ FIRST_INSTANT, LAST_INSTANT = -62_135_596_800_000_000, 253_402_300_799_999_999
 def instant_of(column: str) -> Column:
     """The instant that an ISO text with date, time and zone names; other texts give NULL.
 
-    A cast would also read "12:30:00" as a time of the day of the run, and "2024" as a day.
+    A cast would also read "12:30:00" as a time of the day of the run, and "2024" as a day. A column
+    that is a timestamp already stays as it is; its type is known before any row is read.
     """
     text = F.col(column)
     # the pattern fails by an exception, which costs more than all else that is done to a line
-    return F.when(F.rlike(text, F.lit(MAY_BE_INSTANT)), F.try_to_timestamp(text, F.lit(ISO_INSTANT)))
+    read = F.when(F.rlike(text, F.lit(MAY_BE_INSTANT)), F.try_to_timestamp(text, F.lit(ISO_INSTANT)))
+    return F.when(F.typeof(text) == "timestamp", text.try_cast("timestamp")).otherwise(read)
 
 
 def event_time() -> Column:

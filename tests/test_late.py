@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from forgelake.functions.events import event_time
 from forgelake.sources.bronze import read_bronze
 from forgelake.sources.lake import folders_in
 from forgelake.testbed import lake
@@ -48,3 +49,13 @@ def test_late_weeks_are_written_once(spark, sf_dir, monkeypatch, name):
     if name == "stream_silver_late":
         assert sorted(r["event_id"] for r in rows if r["event_date"].day in DAYS) == sorted(r["event_id"] for r in rows)
         assert len({r["event_id"] for r in rows}) == len(rows) > 0
+
+
+def test_a_time_that_is_a_timestamp_already_stays(spark):
+    texts = ["2024-01-01T05:06:07Z", "2024-01-01T05:06:07.250Z", "2024-01-01 05:06:07", "0000-01-01T00:00:00Z", None]
+    given = spark.createDataFrame([(t,) for t in texts], "created_at STRING")
+    read = given.select(event_time().alias("t")).collect()
+    assert [r["t"] and r["t"].microsecond for r in read] == [0, 250_000, None, None, None]
+    stamps = given.select(F.col("created_at").try_cast("timestamp").alias("created_at")).filter("created_at > '0001-01-01'")
+    assert stamps.select(event_time().alias("t")).collect() == [(r["created_at"],) for r in stamps.collect()]
+    assert len(stamps.collect()) == 3
