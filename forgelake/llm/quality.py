@@ -10,7 +10,7 @@ third of all rows is added up in every task and only its sums are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.llm.common import stored, table
@@ -59,6 +59,8 @@ PARTS = {
     "v_lines": ("sqrt(n_dup_lines / n_lines)", 0.2),
 }
 NAMES = list(PARTS)
+#: The logarithm of an estimate's determinant.
+DETERMINANT = " + ".join(f"2 * ln(l_{i}_{i})" for i in range(len(NAMES)))
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -162,28 +164,33 @@ def grouped(rows: DataFrame) -> tuple[DataFrame, bool]:
 
     def sizes(key: str, name: str) -> DataFrame:
         counts = keyed.filter("NOT base_failed").groupBy(key).agg(F.count("*").alias(name))
-        return stored(counts.withColumnRenamed(key, f"{name}_of"), "groups")
+        return counts.withColumnRenamed(key, f"{name}_of")
 
-    fine = sizes("q_fine", "q_n")
-    few = fine.count() <= FEW_GROUPS
+    groups = Observation()
+    fine = stored(sizes("q_fine", "q_n").observe(groups, F.count("*").alias("n")), "groups")
+    few = groups.get["n"] <= FEW_GROUPS
     fine = per_group(fine, "groups", few)
     keyed = keyed.join(fine, F.col("q_fine") == F.col("q_n_of"), "left").drop("q_n_of")
     keyed = keyed.withColumn("q_small", F.coalesce("q_n", F.lit(0)) < LEAST_GROUP)
     # what is left over of a language, where its sources are too small
     pooled = keyed.filter("q_small AND NOT base_failed").groupBy("q_pool").agg(F.count("*").alias("q_m"))
-    pooled = per_group(pooled.withColumnRenamed("q_pool", "q_m_of"), "groups", few)
-    rest = stored(pooled.filter(F.col("q_m") < LEAST_GROUP).agg(F.sum("q_m").alias("q_r")), "groups")
+    pools = Observation()
+    rest = F.sum(F.when(F.col("q_m") < LEAST_GROUP, F.col("q_m"))).alias("rest")
+    pooled = per_group(pooled.withColumnRenamed("q_pool", "q_m_of").observe(pools, rest), "groups", few)
     keyed = keyed.join(pooled, F.col("q_pool") == F.col("q_m_of"), "left").drop("q_m_of")
     group = (
         F.when(~F.col("q_small"), F.concat(F.lit("1"), "q_fine"))
         .when(F.col("q_m") >= LEAST_GROUP, F.concat(F.lit("2"), "q_pool"))
-        .when(rest.select("q_r").scalar() >= LEAST_GROUP, F.lit("3"))
+        .when(F.lit((pools.get["rest"] or 0) >= LEAST_GROUP), F.lit("3"))
     )
     return keyed.withColumn("q_group", group).drop("q_fine", "q_pool", "q_n", "q_m", "q_small"), few
 
 
-def factored(out: DataFrame, few: bool) -> DataFrame:
-    """The means and the Cholesky factor, from columns ``m_i`` and ``c_i_j``."""
+def factored(out: DataFrame, few: bool, change: Observation | None = None) -> DataFrame:
+    """The means and the Cholesky factor, from columns ``m_i`` and ``c_i_j``.
+
+    ``change`` gets the largest change from ``q_before`` to ``q_det`` as the table is written.
+    """
     p = range(len(NAMES))
     # one select whose columns refer to those before them: a plan per column would cost the driver dear
     factor = []
@@ -195,18 +202,22 @@ def factored(out: DataFrame, few: bool) -> DataFrame:
             # the floor keeps every pivot positive but for rounding
             value = f"sqrt(greatest({rest}, {floor * 1e-3!r}D))" if i == j else f"({rest}) / l_{j}_{j}"
             factor.append(f"{value} AS l_{i}_{j}")
-    out = out.selectExpr("q_group AS q_of", *[f"m_{i}" for i in p], *factor)
-    return per_group(out, "spread", few)
+    if change is None:
+        return per_group(out.selectExpr("q_group AS q_of", *[f"m_{i}" for i in p], *factor), "spread", few)
+    out = out.selectExpr("q_group AS q_of", *[f"m_{i}" for i in p], *factor, f"abs({DETERMINANT} - q_before) AS q_change")
+    return per_group(out.observe(change, F.max("q_change").alias("change")).drop("q_change"), "spread", few)
 
 
-def spread(rows: DataFrame, few: bool = True) -> DataFrame:
+def spread(rows: DataFrame, few: bool = True, change: Observation | None = None) -> DataFrame:
     """Per group the mean ``m_i`` and the Cholesky factor ``l_i_j`` of the floored covariance."""
     p = range(len(NAMES))
     sums = [F.avg(NAMES[i]).alias(f"m_{i}") for i in p]
     sums += [
         F.covar_pop(NAMES[i], NAMES[j]).alias(f"c_{i}_{j}") for i in p for j in p if j <= i
     ]
-    return factored(rows.groupBy("q_group").agg(*sums), few)
+    if change is not None:
+        sums.append(F.max("q_det").alias("q_before"))
+    return factored(rows.groupBy("q_group").agg(*sums), few, change)
 
 
 def first_spread(rows: DataFrame, few: bool) -> DataFrame:
@@ -217,14 +228,14 @@ def first_spread(rows: DataFrame, few: bool) -> DataFrame:
         *[F.percentile_approx(NAMES[i], 0.5, ACCURACY).alias(f"m_{i}") for i in p]
     )
     centre = per_group(centre, "centre", few)
-    off = rows.join(centre, F.col("q_group") == F.col("q_of")).groupBy("q_group").agg(
-        *[F.percentile_approx(F.abs(F.col(NAMES[i]) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"d_{i}") for i in p]
+    off = rows.join(centre, F.col("q_group") == F.col("q_of")).groupBy("q_of").agg(
+        *[F.first(f"m_{i}").alias(f"m_{i}") for i in p],
+        *[F.percentile_approx(F.abs(F.col(NAMES[i]) - F.col(f"m_{i}")), 0.5, ACCURACY).alias(f"d_{i}") for i in p],
     )
     scale = [
         F.sqrt(F.pow(F.col(f"d_{i}") * 1.4826, 2.0) + PARTS[NAMES[i]][1] ** 2).alias(f"s_{i}") for i in p
     ]
-    centre = off.join(centre, F.col("q_group") == F.col("q_of")).select("q_of", *[f"m_{i}" for i in p], *scale)
-    centre = per_group(centre, "centre", few)
+    centre = per_group(off.select("q_of", *[f"m_{i}" for i in p], *scale), "centre", few)
     scaled = rows.join(centre, F.col("q_group") == F.col("q_of")).selectExpr(
         "q_group", *[f"({NAMES[i]} - m_{i}) / s_{i} AS z_{i}" for i in p], *[f"m_{i}" for i in p], *[f"s_{i}" for i in p]
     )
@@ -234,64 +245,61 @@ def first_spread(rows: DataFrame, few: bool) -> DataFrame:
     tangents = [f"covar_pop(tanh(z_{i}), tanh(z_{j})) AS t_{i}_{j}" for i in p for j in range(i + 1)]
     constant = [f"first({x}_{i}) AS {x}_{i}" for x in "ms" for i in p]
     sums = scaled.groupBy("q_group").agg(*[F.expr(e) for e in (*signs, *tangents, *constant)])
-    sums = per_group(sums, "starts", few)
 
-    def start(number: str, value) -> DataFrame:
-        # as correlations, so that all starts have the same deviations
-        return sums.selectExpr(
-            f"concat('{number}', q_group) AS q_group", *[f"m_{i}" for i in p],
-            *[f"s_{i} * s_{j} * {value(i, j)} AS c_{i}_{j}" for i in p for j in range(i + 1)],
-        )
+    def correlation(x: str, i: int, j: int) -> str:
+        return f"CASE WHEN {x}_{i}_{i} * {x}_{j}_{j} > 0 THEN {x}_{i}_{j} / sqrt({x}_{i}_{i} * {x}_{j}_{j}) ELSE 0D END"
 
-    def correlation(x: str):
-        return lambda i, j: f"CASE WHEN {x}_{i}_{i} * {x}_{j}_{j} > 0 THEN {x}_{i}_{j} / sqrt({x}_{i}_{i} * {x}_{j}_{j}) ELSE 0D END"
+    def value(i: int, j: int) -> str:
+        # as correlations, so that all starts have the same deviations
+        alone = "1D" if i == j else "0D"
+        which = f"CASE q_start WHEN '{STARTS[0]}' THEN {alone} WHEN '{STARTS[1]}' THEN {correlation('g', i, j)} ELSE {correlation('t', i, j)} END"
+        return f"s_{i} * s_{j} * {which} AS c_{i}_{j}"
 
-    starts = start(STARTS[0], lambda i, j: "1D" if i == j else "0D")
-    starts = starts.union(start(STARTS[1], correlation("g"))).union(start(STARTS[2], correlation("t")))
+    starts = sums.withColumn("q_start", F.explode(F.array(*[F.lit(k) for k in STARTS]))).selectExpr(
+        "concat(q_start, q_group) AS q_group", *[f"m_{i}" for i in p], *[value(i, j) for i in p for j in range(i + 1)]
+    )
     return factored(starts, few)
 
 
-def determinants(estimate: DataFrame) -> DataFrame:
-    """``estimate`` with ``q_det``, the logarithm of each determinant."""
-    return estimate.withColumn("q_det", F.expr(" + ".join(f"2 * ln(l_{i}_{i})" for i in range(len(NAMES)))))
-
-
 def smallest_spread(core: DataFrame, few: bool) -> DataFrame:
     """Per group the estimate with the smallest determinant that the starts lead to."""
     rows = core.withColumn("q_start", F.explode(F.array(*[F.lit(k) for k in STARTS])))
     rows = rows.select(F.concat("q_start", "q_group").alias("q_group"), *NAMES)
-    estimate, before = first_spread(core, few), None
-    for _ in range(MOST_STEPS):
-        far = distances(rows, estimate)
-        near = far.join(limit_of(far, CORE_SHARE, "q_most", few), F.col("q_group") == F.col("q_lim"))
-        estimate = spread(near.filter(F.col("q_d2") <= F.col("q_most")), few)
-        after = determinants(estimate).select(F.col("q_of").alias("q_now"), F.col("q_det").alias("q_new"))
-        if before is not None:
-            change = before.join(after, F.col("q_of") == F.col("q_now")).agg(F.max(F.abs(F.col("q_det") - F.col("q_new"))))
-            changed = change.first()[0]
-            if changed is None or changed <= STABLE:
-                break
-        before = determinants(estimate).select("q_of", "q_det")
-    found = determinants(estimate).withColumn("q_of", F.substring("q_of", 2, 1 << 30))
+    estimate = first_spread(core, few)
+    # a step is one query, its test included: every query and broadcast fills the driver's heap
+    for step in range(MOST_STEPS):
+        far = distances(rows, estimate, f"{DETERMINANT} AS q_det")
+        most = limit_of(far, CORE_SHARE, "q_most")
+        most = F.broadcast(most.coalesce(1)) if few else stored(most, "limits")
+        near = far.join(most, F.col("q_group") == F.col("q_lim")).filter(F.col("q_d2") <= F.col("q_most"))
+        change = Observation()
+        estimate = spread(near, few, change)
+        # the first step starts from no estimate of its own
+        if step and (change.get["change"] is None or change.get["change"] <= STABLE):
+            break
+    found = estimate.withColumn("q_of", F.substring("q_of", 2, 1 << 30)).withColumn("q_det", F.expr(DETERMINANT))
     best = found.groupBy("q_of").agg(F.min(F.struct("q_det", *[c for c in estimate.columns if c != "q_of"])).alias("s"))
     return per_group(best.select("q_of", "s.*").drop("q_det"), "spread", few)
 
 
-def distances(rows: DataFrame, spread: DataFrame) -> DataFrame:
-    """The rows with ``q_d2``, the squared Mahalanobis distance within their group."""
+def distances(rows: DataFrame, spread: DataFrame, *more: str) -> DataFrame:
+    """The rows with ``q_d2``, the squared Mahalanobis distance within their group.
+
+    ``more`` are further expressions of the group's estimate.
+    """
     columns, p = rows.columns, range(len(NAMES))
     steps = [
         f"({NAMES[i]} - m_{i}" + "".join(f" - l_{i}_{j} * z_{j}" for j in range(i)) + f") / l_{i}_{i} AS z_{i}" for i in p
     ]
     total = " + ".join(f"z_{i} * z_{i}" for i in p) + " AS q_d2"
     rows = rows.join(spread, F.col("q_group") == F.col("q_of"), "left")
-    return rows.selectExpr(*columns, *steps, total).select(*columns, "q_d2")
+    rows = rows.selectExpr(*columns, *steps, total, *more)
+    return rows.drop(*[f"z_{i}" for i in p])
 
 
-def limit_of(rows: DataFrame, share: float, name: str, few: bool) -> DataFrame:
+def limit_of(rows: DataFrame, share: float, name: str) -> DataFrame:
     """Per group the distance within which that share of the rows lies."""
-    out = rows.groupBy(F.col("q_group").alias("q_lim")).agg(F.percentile_approx("q_d2", share, ACCURACY).alias(name))
-    return per_group(out, "limits", few)
+    return rows.groupBy(F.col("q_group").alias("q_lim")).agg(F.percentile_approx("q_d2", share, ACCURACY).alias(name))
 
 
 def verdicts(docs: DataFrame, carried: list[str]) -> DataFrame:
@@ -312,9 +320,10 @@ def verdicts(docs: DataFrame, carried: list[str]) -> DataFrame:
     rows = rows.withColumns({n: F.when(~F.col("base_failed"), F.expr(v)) for n, (v, _) in PARTS.items()})
     # written once, with what is carried; the passes below read only the numbers of it
     rows, few = grouped(stored(rows, "measured"))
-    core = rows.filter("NOT base_failed AND q_group IS NOT NULL").select("q_group", *NAMES)
+    # written as well, so that the passes need no group tables: each broadcast takes the driver's memory
+    core = stored(rows.filter("NOT base_failed AND q_group IS NOT NULL").select("q_group", *NAMES), "core")
     estimate = smallest_spread(core, few)
-    half = limit_of(distances(core, estimate), 0.5, "q_half", few)
+    half = per_group(limit_of(distances(core, estimate), 0.5, "q_half"), "limits", few)
     rows = distances(rows, estimate).join(half, F.col("q_group") == F.col("q_lim"), "left")
     # the core is narrower than its group: scale so that the median row is where it should be
     distance = F.when(~F.col("base_failed"), F.col("q_d2") * CHI2_MEDIAN / F.greatest("q_half", F.lit(1e-9)))

@@ -292,6 +292,45 @@ def test_a_third_of_a_group_is_junk(spark):
     assert not any(kept[i] for i in range(2000, 2200))
 
 
+def test_a_step_of_the_search_is_one_query(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    core = spark.createDataFrame(
+        [("gh"[i % 2], *map(float, v)) for i, v in enumerate(r.normal(size=(600, len(quality.NAMES))) + 3)],
+        "q_group string, " + ", ".join(f"{n} double" for n in quality.NAMES),
+    )
+    monkeypatch.setattr(quality, "STABLE", -1.0)
+
+    def jobs(steps):
+        monkeypatch.setattr(quality, "MOST_STEPS", steps)
+        group = f"steps-{steps}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert quality.smallest_spread(core, True).count() == 2
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    # two broadcasts, the distances' limits, the sums and the written estimate
+    assert jobs(5) - jobs(2) <= 3 * 5
+
+
+def test_small_groups_are_pooled(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LEAST_GROUP", 4)
+
+    def groups(*sizes):
+        rows = [(lang, source, False) for lang, source, n in sizes for _ in range(n)] + [("en", "a", True)]
+        found, few = quality.grouped(spark.createDataFrame(rows, "q_lang string, q_source string, base_failed boolean"))
+        assert few
+        return {(r.q_lang, r.q_source): r.q_group for r in found.collect()}
+
+    got = groups(("en", "a", 5), ("en", "b", 3), ("en", None, 1), ("de", "a", 2), (None, "b", 2))
+    assert got == {
+        ("en", "a"): "1en\x1fa", ("en", "b"): "2en", ("en", None): "2en", ("de", "a"): "3", (None, "b"): "3",
+    }
+    got = groups(("en", "a", 5), ("de", "a", 3))
+    assert got == {("en", "a"): "1en\x1fa", ("de", "a"): None}
+
+
 # --- decontamination -------------------------------------------------------------------------
 
 ITEM_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
